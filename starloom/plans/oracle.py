@@ -324,3 +324,162 @@ SQL["a13_appointment_changes"] = (
     + "SELECT o.op, count(d.op)::BIGINT AS n FROM (VALUES ('I'), ('U'), ('D'), ('N')) o(op) "
     "LEFT JOIN d ON d.op = o.op GROUP BY o.op"
 )
+
+# ------------------------------------------------------------------------------------------------- dimensions
+EMP = ("e0 AS (SELECT s_suppkey AS employee_id, s_name AS first_name, CAST(NULL AS VARCHAR) AS last_name, "
+       "'Technician' AS role, CAST(NULL AS DATE) AS hire_date FROM supplier)")
+_PTS0 = ("pts0 AS (SELECT CAST(Start_Time AS DATE) AS d, hour(Start_Time) AS h FROM acc UNION "
+         "SELECT CAST(End_Time AS DATE), hour(End_Time) FROM acc UNION "
+         f"SELECT appointment_date, {hour_of('appointment_time')} FROM a0)")
+SQL["d1_dim_date"] = with_(ACC, appointments("a0", 0), _PTS0) + f"SELECT {calendar_cols()} FROM pts0"
+
+_LOC = (
+    "locrows AS (SELECT CAST(round(Start_Lat, 6) AS DECIMAL(9,6)) AS latitude, "
+    "CAST(round(Start_Lng, 6) AS DECIMAL(9,6)) AS longitude, "
+    f"{clean('City', True)} AS city, {clean('State', True)} AS state, {clean('Street')} AS street, "
+    f"{clean('County')} AS county, {clean('Zipcode')} AS zip_code, coalesce({clean('Country')}, 'US') AS country, "
+    "0 AS r, ID AS o FROM acc UNION ALL "
+    f"SELECT NULL, NULL, {clean('city', True)}, {clean('state', True)}, {clean('address')}, NULL, "
+    f"{clean('zip_code')}, 'US', 1, CAST(customer_id AS VARCHAR) FROM c0), "
+    "loc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY latitude, longitude, city, state "
+    "ORDER BY r, o) AS rn FROM locrows WHERE city IS NOT NULL AND state IS NOT NULL) WHERE rn = 1)"
+)
+_LOC_KEY = hkey([n_exact("latitude"), n_exact("longitude"), n_str("city"), n_str("state")])
+SQL["d2_dim_location"] = (
+    with_(GEO, customers("c0", 0), ACC, _LOC)
+    + f"SELECT {_LOC_KEY} AS location_key, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, "
+    "city, state, street, county, zip_code, country FROM loc"
+)
+
+_WEA = (
+    f"wea AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY weather_condition, temperature_f, "
+    "wind_speed_mph, visibility_mi ORDER BY o) AS rn FROM ("
+    f"SELECT {clean('Weather_Condition')} AS weather_condition, Temperature_F AS temperature_f, "
+    "Wind_Speed_mph AS wind_speed_mph, Visibility_mi AS visibility_mi, Wind_Chill_F AS wind_chill_f, "
+    f"Humidity_pct AS humidity_percent, Pressure_in AS pressure_in, {clean('Wind_Direction')} AS wind_direction, "
+    "Precipitation_in AS precipitation_in, ID AS o FROM acc) "
+    "WHERE NOT (weather_condition IS NULL AND temperature_f IS NULL AND wind_speed_mph IS NULL "
+    "AND visibility_mi IS NULL)) WHERE rn = 1)"
+)
+_WEA_KEY = hkey([n_str("weather_condition"), n_exact("temperature_f"), n_exact("wind_speed_mph"),
+                 n_exact("visibility_mi")])
+SQL["d3_dim_weather"] = (
+    with_(ACC, _WEA)
+    + f"SELECT {_WEA_KEY} AS weather_key, weather_condition, CAST(temperature_f AS DOUBLE) AS temperature_f, "
+    "CAST(wind_speed_mph AS DOUBLE) AS wind_speed_mph, CAST(visibility_mi AS DOUBLE) AS visibility_mi, "
+    "CAST(wind_chill_f AS DOUBLE) AS wind_chill_f, CAST(humidity_percent AS DOUBLE) AS humidity_percent, "
+    "CAST(pressure_in AS DOUBLE) AS pressure_in, wind_direction, CAST(precipitation_in AS DOUBLE) AS precipitation_in "
+    "FROM wea"
+)
+_FLAG_SEL = ", ".join(
+    [f"coalesce({f}, FALSE) AS {c}" for f, c in zip(FLAGS, FLAG_COLS)] + [f"FALSE AS {c}" for c in FLAG_COLS[len(FLAGS):]])
+SQL["d4_dim_flags"] = with_(ACC) + f"SELECT DISTINCT {flags_mask()} AS road_features_key, {_FLAG_SEL} FROM acc"
+
+_DAY_COLS = ["sunrise_sunset", "civil_twilight", "nautical_twilight", "astronomical_twilight"]
+_DAY = ("day AS (SELECT DISTINCT * FROM (SELECT " + ", ".join(
+    f"{clean(s)} AS {c}" for s, c in zip(["Sunrise_Sunset", "Civil_Twilight", "Nautical_Twilight", "Astronomical_Twilight"],
+                                         _DAY_COLS)) + " FROM acc) WHERE NOT (" + " AND ".join(f"{c} IS NULL" for c in _DAY_COLS) + "))")
+_DAY_KEY = hkey([n_str(c) for c in _DAY_COLS])
+SQL["d5_dim_daylight"] = with_(ACC, _DAY) + f"SELECT {_DAY_KEY} AS daylight_key, {', '.join(_DAY_COLS)} FROM day"
+
+
+def scd_key(id_col: str, vf: str) -> str:
+    return hkey([n_int(id_col), n_ts(vf, exact=True)])
+
+
+def cust_dim_row(src: str, vf: str, vt: str, cur: str, id_col: str = "customer_id") -> str:
+    return (f"SELECT {scd_key(id_col, vf)} AS customer_key, {id_col} AS original_customer_id, "
+            + strip("concat_ws(' ', first_name, last_name)") + " AS customer_name, email, phone_number, address, city, "
+            + f"state, zip_code, {date_out('registration_date')} AS registration_date, {ts_out(vf)} AS dim_valid_from, "
+            f"{vt} AS dim_valid_to, {cur} AS is_current FROM {src}")
+
+
+NULL_TS = "CAST(NULL AS VARCHAR)"
+SQL["d6_dim_customer"] = with_(GEO, customers("c0", 0)) + cust_dim_row("c0", T0, NULL_TS, "TRUE")
+
+VEH0 = ("v0 AS (SELECT customer_id AS vehicle_id, customer_id, 'VIN' || CAST(customer_id AS VARCHAR) AS VIN, "
+        "last_name AS make FROM c0)")
+SQL["d7_dim_vehicle"] = (
+    with_(GEO, customers("c0", 0), VEH0)
+    + f"SELECT {scd_key('vehicle_id', T0)} AS vehicle_key, vehicle_id AS original_vehicle_id, VIN, make, "
+    "CAST(NULL AS VARCHAR) AS model, CAST(NULL AS BIGINT) AS year, CAST(NULL AS VARCHAR) AS fuel_type, "
+    f"CAST(NULL AS VARCHAR) AS transmission_type, {ts_out(T0)} AS dim_valid_from, {NULL_TS} AS dim_valid_to, "
+    "TRUE AS is_current FROM v0"
+)
+SQL["d8_dim_employee"] = (
+    with_(EMP)
+    + f"SELECT {scd_key('employee_id', T0)} AS employee_key, employee_id AS original_employee_id, "
+    + strip("concat_ws(' ', first_name, last_name)") + " AS employee_name, role, "
+    f"{date_out('hire_date')} AS hire_date, {ts_out(T0)} AS dim_valid_from, {NULL_TS} AS dim_valid_to, "
+    "TRUE AS is_current FROM e0"
+)
+
+
+def part_dim(by_number: bool) -> str:
+    src = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) AS rn " \
+          "FROM part) WHERE rn = 1)" if by_number else "part"
+    return (f"SELECT {scd_key('p_partkey', T0)} AS part_key, p_partkey AS original_part_id, p_brand AS part_name, "
+            f"p_name AS part_number, p_type AS category, {ts_out(T0)} AS dim_valid_from, {NULL_TS} AS dim_valid_to, "
+            f"TRUE AS is_current FROM {src}")
+
+
+SQL["d9_dim_part"] = part_dim(True)
+SQL["d10_dim_service_type"] = (
+    with_(appointments("a0", 0))
+    + f"SELECT DISTINCT {hkey([n_str(strip('service_type'))])} AS service_type_key, {strip('service_type')} "
+    "AS service_type_name FROM a0"
+)
+SQL["k1_dense_key"] = "SELECT c_custkey AS original_customer_id, row_number() OVER (ORDER BY c_custkey) AS dense_key FROM customer"
+SQL["k2_hash_key"] = f"SELECT c_custkey AS original_customer_id, {scd_key('c_custkey', T0)} AS hash_key FROM customer"
+
+# ------------------------------------------------------------------------------------------------------ SCD-2
+CLOSE_T1 = f"({T1} - INTERVAL 1 MICROSECOND)"
+_CDIFF = (
+    "cd AS (SELECT coalesce(s.customer_id, a.customer_id) AS id, CASE WHEN a.customer_id IS NULL THEN 'I' "
+    "WHEN s.customer_id IS NULL THEN 'D' WHEN s.h <> a.h THEN 'U' ELSE 'N' END AS op "
+    f"FROM (SELECT customer_id, md5({CUST_HASH}) AS h FROM c1) s FULL JOIN "
+    f"(SELECT customer_id, md5({CUST_HASH}) AS h FROM c0) a ON s.customer_id = a.customer_id)"
+)
+_SCD_CTES = (GEO, customers("c0", 0), customers("c1", 1), _CDIFF,
+             "c0x AS (SELECT c0.*, cd.op FROM c0 JOIN cd ON c0.customer_id = cd.id)",
+             "c1x AS (SELECT c1.*, cd.op FROM c1 JOIN cd ON c1.customer_id = cd.id)")
+
+
+def _close(cond: str) -> str:
+    return f"CASE WHEN {cond} THEN {ts_out(CLOSE_T1)} END"
+
+
+SQL["d11_scd2_apply"] = (
+    with_(*_SCD_CTES)
+    + cust_dim_row("c0x", T0, _close("op IN ('U','D')"), "op = 'N'") + " UNION ALL "
+    + cust_dim_row("(SELECT * FROM c1x WHERE op IN ('I','U'))", T1, NULL_TS, "TRUE")
+)
+SQL["d11_scd2_delete"] = (
+    with_(*_SCD_CTES)
+    + cust_dim_row("c0x", T0, _close("op = 'U'"), "op <> 'U'") + " UNION ALL "
+    + cust_dim_row("(SELECT * FROM c1x WHERE op IN ('I','U'))", T1, NULL_TS, "TRUE")
+)
+SQL["d11_scd2_track_subset"] = (
+    with_(*_SCD_CTES)
+    + cust_dim_row("c0x", T0, _close("op = 'D'"), "op <> 'D'") + " UNION ALL "
+    + cust_dim_row("(SELECT * FROM c1x WHERE op = 'I')", T1, NULL_TS, "TRUE")
+)
+_TWO_RUNS = (
+    with_(*_SCD_CTES, customers("c2", 2))
+    + cust_dim_row("c0x", T0, _close("op IN ('U','D')"), "op = 'N'") + " UNION ALL "
+    + cust_dim_row("(SELECT * FROM c1x WHERE op IN ('I','U'))", T1, NULL_TS, "TRUE") + " UNION ALL "
+    + cust_dim_row("(SELECT * FROM c2 WHERE customer_id IN (SELECT id FROM cd WHERE op = 'D'))", T2, NULL_TS, "TRUE")
+)
+SQL["d11_scd2_two_runs"] = _TWO_RUNS
+SQL["d11_scd2_rebuild"] = _TWO_RUNS
+
+SQL["d16_dim_date_incr"] = (
+    with_(ACC, appointments("a0", 0), appointments("a1", 1), _PTS0,
+          f"new AS (SELECT appointment_date AS d, {hour_of('appointment_time')} AS h FROM a1 EXCEPT SELECT d, h FROM pts0)")
+    + f"SELECT {calendar_cols()} FROM new"
+)
+SQL["d17_service_type_incr"] = (
+    with_(appointments("a0", 0), appointments("a1", 1),
+          f"new AS (SELECT {strip('service_type')} AS n FROM a1 EXCEPT SELECT {strip('service_type')} FROM a0)")
+    + f"SELECT {hkey([n_str('n')])} AS service_type_key, n AS service_type_name FROM new"
+)
