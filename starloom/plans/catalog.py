@@ -303,9 +303,7 @@ def d11_scd2_track_subset(spark, sf):
 
 @query("d11_scd2_two_runs")
 def d11_scd2_two_runs(spark, sf):
-    dim1 = materialize(_dim_customer_after(spark, sf))
-    arch2 = ST.archives_at(spark, sf, "archive_customers", 2)
-    return finalize(CS.scd2_update(dim1, arch2, "dim_customer", SI.T1, SI.T2))
+    return finalize(d11_scd2_two_runs_raw(spark, sf))
 
 
 @query("d11_scd2_rebuild")
@@ -329,3 +327,171 @@ def d17_service_type_incr(spark, sf):
 
 
 QUERY_NAMES = list(QUERIES)
+
+
+# ------------------------------------------------------------------------------------------------- step 5: facts
+@query("f1_fact_accidents")
+def f1_fact_accidents(spark, sf):
+    return finalize(ST.initial_warehouse(spark, sf).facts["fact_accidents"])
+
+
+@query("f2_fact_appointments")
+def f2_fact_appointments(spark, sf):
+    return finalize(ST.initial_warehouse(spark, sf).facts["fact_service_appointments"])
+
+
+@query("f3_fact_parts_usage")
+def f3_fact_parts_usage(spark, sf):
+    return finalize(ST.initial_warehouse(spark, sf).facts["fact_service_parts_usage"])
+
+
+@query("f4_fact_appointments_incr")
+def f4_fact_appointments_incr(spark, sf):
+    return finalize(ST.incremental_warehouse(spark, sf).facts["fact_service_appointments"])
+
+
+@query("f5_fact_parts_incr")
+def f5_fact_parts_incr(spark, sf):
+    return finalize(ST.incremental_warehouse(spark, sf).facts["fact_service_parts_usage"])
+
+
+@query("f_rejects")
+def f_rejects(spark, sf):
+    wh = ST.initial_warehouse(spark, sf, part_by_number=True)
+    return finalize(wh.rejects["fact_service_parts_usage"])
+
+
+@query("f_rejects_incr")
+def f_rejects_incr(spark, sf):
+    return finalize(ST.incremental_warehouse(spark, sf).rejects["fact_service_appointments"])
+
+
+# --------------------------------------------------------------------------------------- step 6: quality, watermark
+def _all_tables(wh: ST.Warehouse) -> dict[str, DataFrame]:
+    return {**wh.archives, **wh.dims, **wh.facts}
+
+
+@query("q1_row_counts")
+def q1_row_counts(spark, sf):
+    return finalize(Q.row_counts(_all_tables(ST.initial_warehouse(spark, sf))))
+
+
+FACT_REQUIRED = {
+    "fact_accidents": ["original_accident_id", "date_key", "location_key", "weather_key", "road_features_key",
+                       "daylight_key"],
+    "fact_service_appointments": ["original_appointment_id", "date_key", "customer_key", "vehicle_key",
+                                  "employee_key", "service_type_key"],
+    "fact_service_parts_usage": ["original_service_detail_id", "original_appointment_id", "date_key",
+                                 "vehicle_key", "part_key"],
+}
+
+
+@query("q2_fk_nulls")
+def q2_fk_nulls(spark, sf):
+    wh = ST.initial_warehouse(spark, sf)
+    parts = [Q.null_counts(wh.facts[t], t, cols) for t, cols in FACT_REQUIRED.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return finalize(out)
+
+
+@query("q3_star_join")
+def q3_star_join(spark, sf):
+    wh = ST.initial_warehouse(spark, sf)
+    d = wh.dims
+    acc = Q.star_join_count(wh.facts["fact_accidents"], [(d["dim_date"], "date_key"),
+                                                          (d["dim_location"], "location_key")])
+    app = Q.star_join_count(wh.facts["fact_service_appointments"], [
+        (d["dim_date"], "date_key"), (d["dim_customer"], "customer_key"), (d["dim_vehicle"], "vehicle_key"),
+        (d["dim_service_type"], "service_type_key")])
+    out = acc.select(F.lit("fact_accidents").alias("fact"), "*").unionByName(
+        app.select(F.lit("fact_service_appointments").alias("fact"), "*"))
+    return finalize(out)
+
+
+UNIQUE_KEYS = {
+    "dim_date": ["full_date", "hour"],
+    "dim_location": ["latitude", "longitude", "city", "state"],
+    "dim_weather": ["weather_condition", "temperature_f", "wind_speed_mph", "visibility_mi"],
+    "dim_road_features": list(CS.ROAD_FLAG_COLUMNS),
+    "dim_daylight": list(CS.DAYLIGHT_COLUMNS),
+    "dim_service_type": ["service_type_name"],
+    "fact_service_appointments": ["original_appointment_id"],
+    "fact_service_parts_usage": ["original_service_detail_id"],
+}
+
+
+@query("q4_uniqueness")
+def q4_uniqueness(spark, sf):
+    wh = ST.initial_warehouse(spark, sf)
+    tabs = _all_tables(wh)
+    parts = [Q.uniqueness_summary(tabs[t], t, keys) for t, keys in UNIQUE_KEYS.items()]
+    key_parts = [Q.uniqueness_summary(wh.dims[t], t, [k]) for t, k in
+                 (("dim_location", "location_key"), ("dim_weather", "weather_key"), ("dim_customer", "customer_key"))]
+    out = parts[0]
+    for p in parts[1:] + key_parts:
+        out = out.unionByName(p)
+    return finalize(out)
+
+
+@query("q5_load_accounting")
+def q5_load_accounting(spark, sf):
+    wh = ST.initial_warehouse(spark, sf, part_by_number=True)
+    cand = wh.archives["archive_service_details"].filter(F.col("part_id").isNotNull())
+    return finalize(Q.load_accounting(cand, wh.facts["fact_service_parts_usage"],
+                                      wh.rejects["fact_service_parts_usage"], "fact_service_parts_usage"))
+
+
+@query("q6_scd2_invariants")
+def q6_scd2_invariants(spark, sf):
+    return finalize(Q.scd2_invariants(d11_scd2_two_runs_raw(spark, sf), "original_customer_id"))
+
+
+def d11_scd2_two_runs_raw(spark, sf):
+    dim1 = materialize(_dim_customer_after(spark, sf))
+    arch2 = ST.archives_at(spark, sf, "archive_customers", 2)
+    return CS.scd2_update(dim1, arch2, "dim_customer", SI.T1, SI.T2)
+
+
+@query("p3_high_water_mark")
+def p3_high_water_mark(spark, sf):
+    arch = [ST.archives_at(spark, sf, e, 1) for e in
+            ("archive_customers", "archive_service_appointments", "archive_vehicles")]
+    return finalize(Q.high_water_mark(arch))
+
+
+# ------------------------------------------------------------------------------------------------ step 8: marts
+@query("m1_as_of_lookup")
+def m1_as_of_lookup(spark, sf):
+    dim = d11_scd2_two_runs_raw(spark, sf)
+    ev = SI.table(spark, sf, "events").select("event_id", "user_id", "ts")
+    out = M.as_of_lookup(ev, "user_id", "ts", dim, "original_customer_id", "customer_key")
+    return finalize(out.select("event_id", "customer_key"))
+
+
+@query("m3_parts_usage")
+def m3_parts_usage(spark, sf):
+    wh = ST.initial_warehouse(spark, sf)
+    return finalize(M.parts_usage_by_category(wh.facts["fact_service_parts_usage"], wh.dims["dim_part"]))
+
+
+@query("m3_staff_performance")
+def m3_staff_performance(spark, sf):
+    wh = ST.initial_warehouse(spark, sf)
+    return finalize(M.employee_performance(wh.facts["fact_service_appointments"], wh.dims["dim_employee"]))
+
+
+@query("m4_drill_across")
+def m4_drill_across(spark, sf):
+    wh = ST.initial_warehouse(spark, sf)
+    dd = wh.dims["dim_date"].select("date_key", "full_date")
+    acc = wh.facts["fact_accidents"].join(F.broadcast(dd), "date_key").groupBy("full_date").agg(
+        F.count(F.lit(1)).alias("accidents"))
+    app = wh.facts["fact_service_appointments"].join(F.broadcast(dd), "date_key").groupBy("full_date").agg(
+        F.count(F.lit(1)).alias("appointments"),
+        F.sum(F.col("total_service_cost").cast("decimal(18,2)")).alias("billed"))
+    return finalize(M.drill_across(acc, app, ["full_date"], fill=["accidents", "appointments", "billed"]))
+
+
+QUERY_NAMES = list(QUERIES)

@@ -151,7 +151,9 @@ def details(name: str, day: int) -> str:
         "WHERE l_orderkey % 40 = 1")
     return (f"{name} AS (SELECT l_orderkey * 10 + l_linenumber AS service_detail_id, l_orderkey AS appointment_id, "
             "l_partkey AS part_id, CAST(l_quantity AS INTEGER) AS quantity_used, "
-            "TRY_CAST(l_extendedprice / l_quantity AS DECIMAL(10,2)) AS unit_cost, l_shipdate AS created_at "
+            "CASE WHEN CAST(l_quantity AS BIGINT) > 0 THEN CAST(CAST((CAST(round(l_extendedprice * 100) AS BIGINT) * 2 "
+            "+ CAST(l_quantity AS BIGINT)) // (CAST(l_quantity AS BIGINT) * 2) AS DECIMAL(12,0)) * 0.01 AS DECIMAL(10,2)) END "
+            "AS unit_cost, l_shipdate AS created_at "
             f"FROM ({src}))")
 
 
@@ -483,3 +485,212 @@ SQL["d17_service_type_incr"] = (
           f"new AS (SELECT {strip('service_type')} AS n FROM a1 EXCEPT SELECT {strip('service_type')} FROM a0)")
     + f"SELECT {hkey([n_str('n')])} AS service_type_key, n AS service_type_name FROM new"
 )
+
+# ------------------------------------------------------------------------------------------------------ facts
+_ACC_LOC_KEY = hkey([n_exact("CAST(round(Start_Lat, 6) AS DECIMAL(9,6))"),
+                     n_exact("CAST(round(Start_Lng, 6) AS DECIMAL(9,6))"),
+                     n_str(clean("City", True)), n_str(clean("State", True))])
+_ACC_WEA_NULL = (f"{clean('Weather_Condition')} IS NULL AND Temperature_F IS NULL AND Wind_Speed_mph IS NULL "
+                 "AND Visibility_mi IS NULL")
+_ACC_WEA_KEY = hkey([n_str(clean("Weather_Condition")), n_exact("Temperature_F"), n_exact("Wind_Speed_mph"),
+                     n_exact("Visibility_mi")])
+_ACC_DAY = [clean(s) for s in ["Sunrise_Sunset", "Civil_Twilight", "Nautical_Twilight", "Astronomical_Twilight"]]
+_ACC_DAY_NULL = " AND ".join(f"{x} IS NULL" for x in _ACC_DAY)
+_ACC_DAY_KEY = hkey([n_str(x) for x in _ACC_DAY])
+_US = "datediff('microsecond', Start_Time, End_Time)"
+F1 = (
+    with_(ACC)
+    + f"SELECT ID AS original_accident_id, {date_key('CAST(Start_Time AS DATE)', 'hour(Start_Time)')} AS date_key, "
+    f"{_ACC_LOC_KEY} AS location_key, CASE WHEN {_ACC_WEA_NULL} THEN NULL ELSE {_ACC_WEA_KEY} END AS weather_key, "
+    f"{flags_mask()} AS road_features_key, CASE WHEN {_ACC_DAY_NULL} THEN NULL ELSE {_ACC_DAY_KEY} END AS daylight_key, "
+    "Severity::BIGINT AS severity, CAST(Distance_mi AS DOUBLE) AS distance_mi, "
+    f"CAST(sign({_US}) * ((abs({_US}) + 300000) // 600000) AS DOUBLE) / 100 AS duration_minutes, "
+    "Description AS description, Source_ AS source_system FROM (SELECT *, 'events' AS Source_ FROM acc)"
+)
+SQL["f1_fact_accidents"] = F1
+
+
+def appt_fact(src: str, key_of_customer: str, key_of_vehicle: str) -> str:
+    return (f"SELECT appointment_id AS original_appointment_id, "
+            f"{date_key('appointment_date', hour_of('appointment_time'))} AS date_key, "
+            f"{key_of_customer} AS customer_key, {key_of_vehicle} AS vehicle_key, "
+            f"CASE WHEN technician_id IS NOT NULL THEN {scd_key('technician_id', T0)} END AS employee_key, "
+            f"{hkey([n_str(strip('service_type'))])} AS service_type_key, 0.0::DOUBLE AS total_labor_hours, "
+            f"0.0::DOUBLE AS total_parts_cost, CAST(coalesce(total_service_cost, 0) AS DOUBLE) AS total_service_cost "
+            f"FROM {src}")
+
+
+F2 = with_(appointments("a0", 0)) + appt_fact("a0", scd_key("customer_id", T0), scd_key("vehicle_id", T0))
+SQL["f2_fact_appointments"] = F2
+
+
+def parts_fact(details_src: str, appts_src: str, vehicle_key: str, part_key: str) -> str:
+    return (f"SELECT d.service_detail_id AS original_service_detail_id, d.appointment_id AS original_appointment_id, "
+            f"{date_key('a.appointment_date', hour_of('a.appointment_time'))} AS date_key, {vehicle_key} AS vehicle_key, "
+            f"{part_key} AS part_key, coalesce(d.quantity_used, 0)::BIGINT AS quantity_used, "
+            "CAST(coalesce(d.unit_cost, 0) AS DOUBLE) AS unit_cost_at_time_of_service, "
+            "CAST(coalesce(d.quantity_used, 0) * coalesce(d.unit_cost, 0) AS DOUBLE) AS total_cost_for_part_line "
+            f"FROM {details_src} d JOIN {appts_src} a ON d.appointment_id = a.appointment_id "
+            "WHERE d.part_id IS NOT NULL")
+
+
+F3 = (with_(LI_FIRST, details("d0", 0), appointments("a0", 0))
+      + parts_fact("d0", "a0", scd_key("a.vehicle_id", T0), scd_key("d.part_id", T0)))
+SQL["f3_fact_parts_usage"] = F3
+
+_KEPT64 = "kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) AS rn FROM part) WHERE rn = 1)"
+SQL["f_rejects"] = (
+    with_(LI_FIRST, details("d0", 0), _KEPT64)
+    + "SELECT service_detail_id AS original_service_detail_id, appointment_id AS original_appointment_id, "
+    "'missing_part_key' AS reject_reason FROM d0 WHERE part_id IS NOT NULL AND part_id NOT IN (SELECT p_partkey FROM kept)"
+)
+
+# Current surrogate key after the day-1 run: opened at T1 for new/updated ids, at T0 for unchanged ones, none
+# for deleted ids (vehicles mirror customers, so the customer diff decides both).
+_INC_CTES = (GEO, customers("c0", 0), customers("c1", 1), _CDIFF, appointments("a0", 0), appointments("a1", 1))
+
+
+def cur_key(id_expr: str) -> str:
+    return (f"CASE (SELECT op FROM cd WHERE cd.id = {id_expr}) WHEN 'N' THEN {scd_key(id_expr, T0)} "
+            f"WHEN 'U' THEN {scd_key(id_expr, T1)} WHEN 'I' THEN {scd_key(id_expr, T1)} END")
+
+
+_F4_ALL = (with_(*_INC_CTES, "na AS (SELECT * FROM a1 WHERE appointment_id NOT IN (SELECT appointment_id FROM a0))")
+           + "SELECT * FROM (" + appt_fact("na", cur_key("na.customer_id"), cur_key("na.vehicle_id")) + ")")
+SQL["f4_fact_appointments_incr"] = _F4_ALL + " WHERE customer_key IS NOT NULL AND vehicle_key IS NOT NULL"
+SQL["f_rejects_incr"] = (
+    "SELECT original_appointment_id, date_key, customer_key, vehicle_key, employee_key, service_type_key, "
+    "total_labor_hours, total_parts_cost, total_service_cost, CASE WHEN customer_key IS NULL THEN "
+    "'missing_customer_key' ELSE 'missing_vehicle_key' END AS reject_reason FROM (" + _F4_ALL
+    + ") WHERE customer_key IS NULL OR vehicle_key IS NULL"
+)
+SQL["f5_fact_parts_incr"] = (
+    with_(*_INC_CTES, LI_FIRST, details("d0", 0), details("d1", 1),
+          "nd AS (SELECT * FROM d1 WHERE service_detail_id NOT IN (SELECT service_detail_id FROM d0))")
+    + "SELECT * FROM (" + parts_fact("nd", "a1", cur_key("a.vehicle_id"), scd_key("d.part_id", T0))
+    + ") WHERE vehicle_key IS NOT NULL"
+)
+
+# ----------------------------------------------------------------------------------------------------- quality
+def _count(name: str, sql: str) -> str:
+    return f"SELECT '{name}' AS \"table\", count(*)::BIGINT AS rows FROM ({sql})"
+
+
+_ARCH_COUNTS = {
+    "archive_customers": "SELECT * FROM customer",
+    "archive_vehicles": "SELECT * FROM customer",
+    "archive_employees": "SELECT * FROM supplier",
+    "archive_parts_inventory": "SELECT * FROM part",
+    "archive_service_appointments": "SELECT * FROM orders",
+    "archive_service_details": with_(LI_FIRST) + "SELECT * FROM li",
+    "archive_accidents_csv": "SELECT * FROM events",
+}
+_DIM_SQL = {
+    "dim_date": "d1_dim_date", "dim_location": "d2_dim_location", "dim_weather": "d3_dim_weather",
+    "dim_road_features": "d4_dim_flags", "dim_daylight": "d5_dim_daylight", "dim_customer": "d6_dim_customer",
+    "dim_vehicle": "d7_dim_vehicle", "dim_employee": "d8_dim_employee", "dim_service_type": "d10_dim_service_type",
+}
+SQL["q1_row_counts"] = " UNION ALL ".join(
+    [_count(k, v) for k, v in _ARCH_COUNTS.items()]
+    + [_count(k, SQL[v]) for k, v in _DIM_SQL.items()]
+    + [_count("dim_part", part_dim(False)), _count("fact_accidents", F1), _count("fact_service_appointments", F2),
+       _count("fact_service_parts_usage", F3)]
+)
+
+
+def _nulls(table: str, sql: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL)::BIGINT AS nulls "
+        f"FROM ({sql})" for c in cols)
+
+
+SQL["q2_fk_nulls"] = " UNION ALL ".join([
+    _nulls("fact_accidents", F1, ["original_accident_id", "date_key", "location_key", "weather_key",
+                                  "road_features_key", "daylight_key"]),
+    _nulls("fact_service_appointments", F2, ["original_appointment_id", "date_key", "customer_key", "vehicle_key",
+                                             "employee_key", "service_type_key"]),
+    _nulls("fact_service_parts_usage", F3, ["original_service_detail_id", "original_appointment_id", "date_key",
+                                            "vehicle_key", "part_key"]),
+])
+SQL["q3_star_join"] = (
+    f"SELECT 'fact_accidents' AS fact, (SELECT count(*) FROM ({F1}))::BIGINT AS fact_rows, "
+    f"(SELECT count(*) FROM ({F1}) f JOIN ({SQL['d1_dim_date']}) d ON f.date_key = d.date_key "
+    f"JOIN ({SQL['d2_dim_location']}) l ON f.location_key = l.location_key)::BIGINT AS joined_rows "
+    f"UNION ALL SELECT 'fact_service_appointments', (SELECT count(*) FROM ({F2}))::BIGINT, "
+    f"(SELECT count(*) FROM ({F2}) f JOIN ({SQL['d1_dim_date']}) d ON f.date_key = d.date_key "
+    f"JOIN ({SQL['d6_dim_customer']}) c ON f.customer_key = c.customer_key "
+    f"JOIN ({SQL['d7_dim_vehicle']}) v ON f.vehicle_key = v.vehicle_key "
+    f"JOIN ({SQL['d10_dim_service_type']}) s ON f.service_type_key = s.service_type_key)::BIGINT"
+)
+
+
+def _uniq(table: str, sql: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    return (f"SELECT '{table}' AS \"table\", '{','.join(keys)}' AS keys, count(*)::BIGINT AS duplicate_keys, "
+            f"coalesce(sum(c - 1), 0)::BIGINT AS extra_rows FROM (SELECT count(*) AS c FROM ({sql}) GROUP BY {k} "
+            "HAVING count(*) > 1)")
+
+
+SQL["q4_uniqueness"] = " UNION ALL ".join([
+    _uniq("dim_date", SQL["d1_dim_date"], ["full_date", "hour"]),
+    _uniq("dim_location", SQL["d2_dim_location"], ["latitude", "longitude", "city", "state"]),
+    _uniq("dim_weather", SQL["d3_dim_weather"], ["weather_condition", "temperature_f", "wind_speed_mph", "visibility_mi"]),
+    _uniq("dim_road_features", SQL["d4_dim_flags"], FLAG_COLS),
+    _uniq("dim_daylight", SQL["d5_dim_daylight"], _DAY_COLS),
+    _uniq("dim_service_type", SQL["d10_dim_service_type"], ["service_type_name"]),
+    _uniq("fact_service_appointments", F2, ["original_appointment_id"]),
+    _uniq("fact_service_parts_usage", F3, ["original_service_detail_id"]),
+    _uniq("dim_location", SQL["d2_dim_location"], ["location_key"]),
+    _uniq("dim_weather", SQL["d3_dim_weather"], ["weather_key"]),
+    _uniq("dim_customer", SQL["d6_dim_customer"], ["customer_key"]),
+])
+SQL["q5_load_accounting"] = (
+    with_(LI_FIRST, details("d0", 0), _KEPT64)
+    + "SELECT 'fact_service_parts_usage' AS \"table\", count(*)::BIGINT AS candidates, "
+    "count(*) FILTER (WHERE part_id IN (SELECT p_partkey FROM kept))::BIGINT AS loaded, "
+    "count(*) FILTER (WHERE part_id NOT IN (SELECT p_partkey FROM kept))::BIGINT AS rejected "
+    "FROM d0 WHERE part_id IS NOT NULL"
+)
+SQL["q6_scd2_invariants"] = (
+    "WITH d AS (SELECT original_customer_id AS id, CAST(dim_valid_from AS TIMESTAMP) AS vf, "
+    f"coalesce(CAST(dim_valid_to AS TIMESTAMP), {FAR}) AS vt, is_current FROM ({_TWO_RUNS})), "
+    "w AS (SELECT *, lead(vf) OVER (PARTITION BY id ORDER BY vf) AS nxt FROM d), "
+    "per AS (SELECT id, sum(is_current::INT) AS cur, sum((nxt IS NOT NULL AND vt >= nxt)::INT) AS ovl, "
+    f"sum((vt = {FAR} AND NOT is_current)::INT) AS onc, sum((vt <> {FAR} AND is_current)::INT) AS cno FROM w GROUP BY id) "
+    "SELECT count(*) FILTER (WHERE cur > 1)::BIGINT AS multi_current, coalesce(sum(ovl), 0)::BIGINT AS overlaps, "
+    "coalesce(sum(onc), 0)::BIGINT AS open_not_current, coalesce(sum(cno), 0)::BIGINT AS current_not_open FROM per"
+)
+_LT = "TIMESTAMP '1900-01-01 00:00:00'"
+SQL["p3_high_water_mark"] = (
+    with_(GEO, customers("c0", 0), customers("c1", 1), _CDIFF, appointments("a0", 0), appointments("a1", 1),
+          f"lc AS (SELECT max(CASE WHEN op IN ('I', 'U') THEN {T1} ELSE {T0} END) AS lt FROM cd), "
+          f"la AS (SELECT max(lt) AS lt FROM (SELECT {T0} AS lt FROM a0 UNION ALL SELECT {T1} FROM "
+          "(SELECT * FROM a1 EXCEPT SELECT * FROM a0)))")
+    + f"SELECT {ts_out(f'greatest(coalesce(lc.lt, {_LT}), coalesce(la.lt, {_LT}))')} AS high_water_mark FROM lc, la"
+)
+
+# ------------------------------------------------------------------------------------------------------- marts
+SQL["m1_as_of_lookup"] = (
+    f"WITH dh AS ({_TWO_RUNS}), dv AS (SELECT original_customer_id AS id, customer_key, "
+    f"CAST(dim_valid_from AS TIMESTAMP) AS vf, coalesce(CAST(dim_valid_to AS TIMESTAMP), {FAR}) AS vt FROM dh) "
+    "SELECT e.event_id, dv.customer_key FROM events e LEFT JOIN dv ON dv.id = e.user_id AND e.ts >= dv.vf AND e.ts <= dv.vt"
+)
+SQL["m3_parts_usage"] = (
+    f"SELECT p.p_type AS category, count(*)::BIGINT AS lines, sum(f.quantity_used)::BIGINT AS quantity, "
+    f"CAST(sum(CAST(f.total_cost_for_part_line AS DECIMAL(18,2))) AS DOUBLE) AS cost FROM ({F3}) f "
+    f"JOIN part p ON f.part_key = {scd_key('p.p_partkey', T0)} GROUP BY p.p_type"
+)
+SQL["m3_staff_performance"] = (
+    "SELECT s.s_name AS employee_name, count(*)::BIGINT AS appointments, "
+    "CAST(sum(TRY_CAST(o.o_totalprice AS DECIMAL(10,2))) AS DOUBLE) AS billed FROM orders o "
+    "LEFT JOIN supplier s ON s.s_suppkey = CASE WHEN o.o_orderkey % 10 <> 0 THEN o.o_orderkey % 10 END "
+    "GROUP BY s.s_name"
+)
+SQL["m4_drill_across"] = (
+    with_(ACC)
+    + "SELECT coalesce(a.d, b.d) AS full_date, coalesce(a.n, 0)::BIGINT AS accidents, coalesce(b.n, 0)::BIGINT AS appointments, "
+    "CAST(coalesce(b.billed, 0) AS DOUBLE) AS billed FROM "
+    "(SELECT strftime(CAST(Start_Time AS DATE), '%Y-%m-%d') AS d, count(*) AS n FROM acc GROUP BY 1) a FULL JOIN "
+    "(SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS d, count(*) AS n, "
+    "sum(TRY_CAST(o_totalprice AS DECIMAL(10,2))) AS billed FROM orders GROUP BY 1) b ON a.d = b.d"
+)

@@ -163,6 +163,14 @@ def lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_first(li, ["l_orderkey", "l_linenumber"], rest)
 
 
+def _unit_cost():
+    """``l_extendedprice / l_quantity`` rounded half-up to cents in integer arithmetic (exact, no double ties)."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    q = F.col("l_quantity").cast("bigint")
+    unit_cents = F.call_function("div", cents * 2 + q, q * 2)
+    return F.when(q > 0, (unit_cents.cast("decimal(12,0)") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(10,2)"))
+
+
 def details(spark: SparkSession, sf_dir: str, day: int = 0) -> DataFrame:
     li = lineitems(spark, sf_dir)
     if day >= 1:
@@ -176,8 +184,7 @@ def details(spark: SparkSession, sf_dir: str, day: int = 0) -> DataFrame:
         F.lit(None).cast("decimal(5,2)").alias("labor_hours"),
         F.col("l_partkey").alias("part_id"),
         F.col("l_quantity").cast("int").alias("quantity_used"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).try_cast("decimal(10,2)")
-        .alias("unit_cost_at_time_of_service"),
+        _unit_cost().alias("unit_cost_at_time_of_service"),
         F.col("l_shipdate").alias("created_at"),
         F.lit(None).cast("timestamp_ntz").alias("last_updated_timestamp"),
     )

@@ -82,3 +82,31 @@ def archives_at(spark: SparkSession, sf_dir: str, entity: str, day: int) -> Data
         diff = diff_entity(spark, sf_dir, arch, entity, d)
         arch = materialize(archive_after(arch, diff, ts))
     return arch
+
+
+def incremental_warehouse(spark: SparkSession, sf_dir: str, initial: Warehouse | None = None) -> Warehouse:
+    """The warehouse after the day-1 run at T1: archives diffed and materialised, SCD-2 dimensions updated over
+    ``(T0, T1]``, calendar and service types extended, new facts of the window built against current rows."""
+    wh0 = initial or initial_warehouse(spark, sf_dir)
+    src1 = SI.sources(spark, sf_dir, 1)
+    arch1 = dict(wh0.archives)
+    for name in CS.ENTITIES:
+        diff = CS.snapshot_diff(name, src1[CS.SOURCE_TABLES[name]], wh0.archives[name])
+        arch1[name] = materialize(archive_after(wh0.archives[name], diff, SI.T1))
+    dims1 = dict(wh0.dims)
+    for dim_name, arch_name in CS.SCD2_ARCHIVE.items():
+        dims1[dim_name] = CS.scd2_update(wh0.dims[dim_name], arch1[arch_name], dim_name, SI.T0, SI.T1)
+    appts1 = arch1["archive_service_appointments"]
+    dims1["dim_date"] = wh0.dims["dim_date"].unionByName(
+        CS.dim_date_incremental(appts1, wh0.dims["dim_date"], SI.T0, SI.T1))
+    dims1["dim_service_type"] = wh0.dims["dim_service_type"].unionByName(
+        CS.dim_service_type_incremental(appts1, wh0.dims["dim_service_type"], SI.T0, SI.T1))
+    f4, r4 = CS.fact_service_appointments_incremental(
+        appts1, wh0.facts["fact_service_appointments"], dims1, SI.T0, SI.T1)
+    f5, r5 = CS.fact_service_parts_usage_incremental(
+        arch1["archive_service_details"], appts1, wh0.facts["fact_service_parts_usage"], dims1, SI.T0, SI.T1)
+    return Warehouse(
+        archives=arch1, dims=dims1,
+        facts={"fact_service_appointments": f4, "fact_service_parts_usage": f5},
+        rejects={"fact_service_appointments": r4, "fact_service_parts_usage": r5},
+    )
