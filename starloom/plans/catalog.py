@@ -495,3 +495,35 @@ def m4_drill_across(spark, sf):
 
 
 QUERY_NAMES = list(QUERIES)
+
+
+# ------------------------------------------------------------------------------------------ step 7: load runs
+def _fresh_store(spark) -> "Store":
+    import uuid
+
+    from starloom.session import checkpoint_dir
+    from starloom.sources.store import Store
+
+    return Store(spark, f"{checkpoint_dir(spark).rstrip('/')}/starloom-wh-{uuid.uuid4().hex}")
+
+
+@query("p1_full_load")
+def p1_full_load(spark, sf):
+    from starloom.plans.loads import run_full, table_counts
+
+    store = _fresh_store(spark)
+    run_full(spark, store, SI.sources(spark, sf, 0), SI.T0, SI.accident_extract_raw(spark, sf))
+    return finalize(table_counts(spark, store))
+
+
+@query("p2_incremental_load")
+def p2_incremental_load(spark, sf):
+    from starloom.plans.loads import run_full, run_incremental, table_counts
+
+    store = _fresh_store(spark)
+    run_full(spark, store, SI.sources(spark, sf, 0), SI.T0, SI.accident_extract_raw(spark, sf))
+    run_incremental(spark, store, SI.sources(spark, sf, 1), SI.T1)
+    return finalize(table_counts(spark, store))
+
+
+QUERY_NAMES = list(QUERIES)

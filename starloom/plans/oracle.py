@@ -694,3 +694,39 @@ SQL["m4_drill_across"] = (
     "(SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS d, count(*) AS n, "
     "sum(TRY_CAST(o_totalprice AS DECIMAL(10,2))) AS billed FROM orders GROUP BY 1) b ON a.d = b.d"
 )
+
+# --------------------------------------------------------------------------------------------------- load runs
+SQL["p1_full_load"] = SQL["q1_row_counts"]
+
+
+def _plus(name: str, base_sql: str, extra_sql: str) -> str:
+    return (f"SELECT '{name}' AS \"table\", ((SELECT count(*) FROM ({base_sql})) + "
+            f"(SELECT count(*) FROM ({extra_sql})))::BIGINT AS rows")
+
+
+_CHANGED_CUST = with_(*_SCD_CTES) + "SELECT * FROM cd WHERE op IN ('I', 'U')"
+_CHANGED_APPT = with_(appointments("a0", 0), appointments("a1", 1)) + "SELECT * FROM a1 EXCEPT SELECT * FROM a0"
+_NEW_LINES = (with_(LI_FIRST, details("d0", 0), details("d1", 1))
+              + "SELECT * FROM d1 WHERE service_detail_id NOT IN (SELECT service_detail_id FROM d0)")
+SQL["p2_incremental_load"] = " UNION ALL ".join([
+    _plus("archive_customers", "SELECT * FROM customer", _CHANGED_CUST),
+    _plus("archive_vehicles", "SELECT * FROM customer", _CHANGED_CUST),
+    _count("archive_employees", "SELECT * FROM supplier"),
+    _count("archive_parts_inventory", "SELECT * FROM part"),
+    _plus("archive_service_appointments", "SELECT * FROM orders", _CHANGED_APPT),
+    _plus("archive_service_details", with_(LI_FIRST) + "SELECT * FROM li", _NEW_LINES),
+    _count("archive_accidents_csv", "SELECT * FROM events"),
+    _plus("dim_date", SQL["d1_dim_date"], SQL["d16_dim_date_incr"]),
+    _count("dim_location", SQL["d2_dim_location"]),
+    _count("dim_weather", SQL["d3_dim_weather"]),
+    _count("dim_road_features", SQL["d4_dim_flags"]),
+    _count("dim_daylight", SQL["d5_dim_daylight"]),
+    _count("dim_customer", SQL["d11_scd2_apply"]),
+    _plus("dim_vehicle", SQL["d7_dim_vehicle"], _CHANGED_CUST),
+    _count("dim_employee", SQL["d8_dim_employee"]),
+    _count("dim_part", part_dim(False)),
+    _plus("dim_service_type", SQL["d10_dim_service_type"], SQL["d17_service_type_incr"]),
+    _count("fact_accidents", F1),
+    _plus("fact_service_appointments", F2, SQL["f4_fact_appointments_incr"]),
+    _plus("fact_service_parts_usage", F3, SQL["f5_fact_parts_incr"]),
+])
