@@ -42,8 +42,19 @@ CUSTOMER_COPY_OFFSET = 1_000_000
 ORDER_COPY_OFFSET = 1_000_000_000
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One DataFrame per (session, file): plans that use a table several times share one relation (and the
+    driver lists and reads its footers once)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:

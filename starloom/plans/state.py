@@ -17,6 +17,49 @@ from starloom.session import FAR_FUTURE
 from starloom.sources.store import materialize
 
 
+class Lazy(dict):
+    """A dict whose values are built on first access from zero-argument factories (plans are only constructed
+    for the tables a query actually uses; PySpark analyses every DataFrame as it is built)."""
+
+    def __init__(self, factories=None, **kw):
+        super().__init__()
+        self._f = dict(factories or {}, **kw)
+
+    def __missing__(self, key):
+        if key not in self._f:
+            raise KeyError(key)
+        v = self._f[key]()
+        self[key] = v
+        return v
+
+    def __contains__(self, key):
+        return key in self._f or dict.__contains__(self, key)
+
+    def keys(self):
+        return list(self._f) + [k for k in dict.keys(self) if k not in self._f]
+
+    def __iter__(self):
+        return iter(self.keys())
+
+    def items(self):
+        return [(k, self[k]) for k in self.keys()]
+
+    def values(self):
+        return [self[k] for k in self.keys()]
+
+    def __len__(self):
+        return len(self.keys())
+
+    def get(self, key, default=None):
+        return self[key] if key in self else default
+
+    def copy(self):
+        out = Lazy(self._f)
+        for k in dict.keys(self):
+            dict.__setitem__(out, k, dict.__getitem__(self, k))
+        return out
+
+
 @dataclass
 class Warehouse:
     archives: dict[str, DataFrame] = field(default_factory=dict)
@@ -25,28 +68,43 @@ class Warehouse:
     rejects: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def initial_archives(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    src = SI.sources(spark, sf_dir, day=0)
-    arch = CS.archive_all_initial(src, SI.T0)
-    arch["archive_accidents_csv"] = CS.archive_accidents(SI.accident_extract_raw(spark, sf_dir), SI.T0)
-    return arch
+def sources(spark: SparkSession, sf_dir: str, day: int) -> Lazy:
+    return Lazy({
+        "Customers": lambda: SI.customers(spark, sf_dir, day),
+        "Vehicles": lambda: SI.vehicles(spark, sf_dir, day),
+        "Employees": lambda: SI.employees(spark, sf_dir, day),
+        "PartsInventory": lambda: SI.parts(spark, sf_dir, day),
+        "ServiceAppointments": lambda: SI.appointments(spark, sf_dir, day),
+        "ServiceDetails": lambda: SI.details(spark, sf_dir, day),
+    })
+
 
+def initial_archives(spark: SparkSession, sf_dir: str) -> Lazy:
+    src = sources(spark, sf_dir, 0)
 
-def initial_dims(arch: dict[str, DataFrame], part_by_number: bool = False) -> dict[str, DataFrame]:
-    acc = arch["archive_accidents_csv"]
-    appts = arch["archive_service_appointments"]
-    return {
-        "dim_date": CS.dim_date(acc, arch["archive_customers"], appts, arch["archive_employees"]),
-        "dim_location": CS.dim_location(acc, arch["archive_customers"]),
-        "dim_weather": CS.dim_weather(acc),
-        "dim_road_features": CS.dim_road_features(acc),
-        "dim_daylight": CS.dim_daylight(acc),
-        "dim_customer": CS.dim_customer(arch["archive_customers"]),
-        "dim_vehicle": CS.dim_vehicle(arch["archive_vehicles"]),
-        "dim_employee": CS.dim_employee(arch["archive_employees"]),
-        "dim_part": CS.dim_part(arch["archive_parts_inventory"], by_number=part_by_number),
-        "dim_service_type": CS.dim_service_type(appts),
-    }
+    def arch(name):
+        return lambda: CS.A.archive_initial(CS.prepare_source(name, src[CS.SOURCE_TABLES[name]]),
+                                            CS.ENTITIES[name], SI.T0)
+
+    f = {name: arch(name) for name in CS.ENTITIES}
+    f["archive_accidents_csv"] = lambda: CS.archive_accidents(SI.accident_extract_raw(spark, sf_dir), SI.T0)
+    return Lazy(f)
+
+
+def initial_dims(arch: dict[str, DataFrame], part_by_number: bool = False) -> Lazy:
+    return Lazy({
+        "dim_date": lambda: CS.dim_date(arch["archive_accidents_csv"], arch["archive_customers"],
+                                        arch["archive_service_appointments"], arch["archive_employees"]),
+        "dim_location": lambda: CS.dim_location(arch["archive_accidents_csv"], arch["archive_customers"]),
+        "dim_weather": lambda: CS.dim_weather(arch["archive_accidents_csv"]),
+        "dim_road_features": lambda: CS.dim_road_features(arch["archive_accidents_csv"]),
+        "dim_daylight": lambda: CS.dim_daylight(arch["archive_accidents_csv"]),
+        "dim_customer": lambda: CS.dim_customer(arch["archive_customers"]),
+        "dim_vehicle": lambda: CS.dim_vehicle(arch["archive_vehicles"]),
+        "dim_employee": lambda: CS.dim_employee(arch["archive_employees"]),
+        "dim_part": lambda: CS.dim_part(arch["archive_parts_inventory"], by_number=part_by_number),
+        "dim_service_type": lambda: CS.dim_service_type(arch["archive_service_appointments"]),
+    })
 
 
 def initial_warehouse(spark: SparkSession, sf_dir: str, part_by_number: bool = False) -> Warehouse:
@@ -55,17 +113,30 @@ def initial_warehouse(spark: SparkSession, sf_dir: str, part_by_number: bool = F
     arch = initial_archives(spark, sf_dir)
     dims = initial_dims(arch, part_by_number)
     wh = Warehouse(archives=arch, dims=dims)
-    fa, ra = CS.fact_accidents(arch["archive_accidents_csv"], dims)
-    fs, rs = CS.fact_service_appointments(arch["archive_service_appointments"], dims)
-    fp, rp = CS.fact_service_parts_usage(arch["archive_service_details"], arch["archive_service_appointments"], dims)
-    wh.facts = {"fact_accidents": fa, "fact_service_appointments": fs, "fact_service_parts_usage": fp}
-    wh.rejects = {"fact_accidents": ra, "fact_service_appointments": rs, "fact_service_parts_usage": rp}
+    built: dict[str, tuple[DataFrame, DataFrame]] = {}
+
+    def fact(name):
+        def make():
+            if name not in built:
+                if name == "fact_accidents":
+                    built[name] = CS.fact_accidents(arch["archive_accidents_csv"], dims)
+                elif name == "fact_service_appointments":
+                    built[name] = CS.fact_service_appointments(arch["archive_service_appointments"], dims)
+                else:
+                    built[name] = CS.fact_service_parts_usage(
+                        arch["archive_service_details"], arch["archive_service_appointments"], dims)
+            return built[name]
+        return make
+
+    names = ("fact_accidents", "fact_service_appointments", "fact_service_parts_usage")
+    wh.facts = Lazy({n: (lambda m=fact(n): m()[0]) for n in names})
+    wh.rejects = Lazy({n: (lambda m=fact(n): m()[1]) for n in names})
     return wh
 
 
 def diff_entity(spark: SparkSession, sf_dir: str, archive: DataFrame, entity: str, day: int) -> DataFrame:
     """Snapshot diff of one entity's day-``day`` source against the archive's open versions."""
-    src = SI.sources(spark, sf_dir, day)[CS.SOURCE_TABLES[entity]]
+    src = sources(spark, sf_dir, day)[CS.SOURCE_TABLES[entity]]
     return CS.snapshot_diff(entity, src, archive)
 
 
@@ -79,8 +150,10 @@ def archives_at(spark: SparkSession, sf_dir: str, entity: str, day: int) -> Data
     """The archive of ``entity`` after the runs of days 0..``day``."""
     arch = initial_archives(spark, sf_dir)[entity]
     for d, ts in ((1, SI.T1), (2, SI.T2))[:day]:
+        if d > 1:
+            arch = materialize(arch)  # the next run reads what the previous one wrote
         diff = diff_entity(spark, sf_dir, arch, entity, d)
-        arch = materialize(archive_after(arch, diff, ts))
+        arch = archive_after(arch, diff, ts)
     return arch
 
 
@@ -88,25 +161,45 @@ def incremental_warehouse(spark: SparkSession, sf_dir: str, initial: Warehouse |
     """The warehouse after the day-1 run at T1: archives diffed and materialised, SCD-2 dimensions updated over
     ``(T0, T1]``, calendar and service types extended, new facts of the window built against current rows."""
     wh0 = initial or initial_warehouse(spark, sf_dir)
-    src1 = SI.sources(spark, sf_dir, 1)
-    arch1 = dict(wh0.archives)
-    for name in CS.ENTITIES:
-        diff = CS.snapshot_diff(name, src1[CS.SOURCE_TABLES[name]], wh0.archives[name])
-        arch1[name] = materialize(archive_after(wh0.archives[name], diff, SI.T1))
-    dims1 = dict(wh0.dims)
-    for dim_name, arch_name in CS.SCD2_ARCHIVE.items():
-        dims1[dim_name] = CS.scd2_update(wh0.dims[dim_name], arch1[arch_name], dim_name, SI.T0, SI.T1)
-    appts1 = arch1["archive_service_appointments"]
-    dims1["dim_date"] = wh0.dims["dim_date"].unionByName(
-        CS.dim_date_incremental(appts1, wh0.dims["dim_date"], SI.T0, SI.T1))
-    dims1["dim_service_type"] = wh0.dims["dim_service_type"].unionByName(
-        CS.dim_service_type_incremental(appts1, wh0.dims["dim_service_type"], SI.T0, SI.T1))
-    f4, r4 = CS.fact_service_appointments_incremental(
-        appts1, wh0.facts["fact_service_appointments"], dims1, SI.T0, SI.T1)
-    f5, r5 = CS.fact_service_parts_usage_incremental(
-        arch1["archive_service_details"], appts1, wh0.facts["fact_service_parts_usage"], dims1, SI.T0, SI.T1)
+    src1 = sources(spark, sf_dir, 1)
+
+    def arch_of(name):
+        def make():
+            diff = CS.snapshot_diff(name, src1[CS.SOURCE_TABLES[name]], wh0.archives[name])
+            return archive_after(wh0.archives[name], diff, SI.T1)
+        return make
+
+    arch1 = Lazy({name: arch_of(name) for name in CS.ENTITIES})
+    arch1._f["archive_accidents_csv"] = lambda: wh0.archives["archive_accidents_csv"]
+
+    def scd(dim_name, arch_name):
+        return lambda: CS.scd2_update(wh0.dims[dim_name], arch1[arch_name], dim_name, SI.T0, SI.T1)
+
+    f = {d: scd(d, a) for d, a in CS.SCD2_ARCHIVE.items()}
+    f["dim_date"] = lambda: wh0.dims["dim_date"].unionByName(CS.dim_date_incremental(
+        arch1["archive_service_appointments"], wh0.dims["dim_date"], SI.T0, SI.T1))
+    f["dim_service_type"] = lambda: wh0.dims["dim_service_type"].unionByName(CS.dim_service_type_incremental(
+        arch1["archive_service_appointments"], wh0.dims["dim_service_type"], SI.T0, SI.T1))
+    for d in ("dim_location", "dim_weather", "dim_road_features", "dim_daylight"):
+        f[d] = (lambda d=d: wh0.dims[d])
+    dims1 = Lazy(f)
+    built: dict[str, tuple[DataFrame, DataFrame]] = {}
+
+    def f4():
+        if "a" not in built:
+            built["a"] = CS.fact_service_appointments_incremental(
+                arch1["archive_service_appointments"], wh0.facts["fact_service_appointments"], dims1, SI.T0, SI.T1)
+        return built["a"]
+
+    def f5():
+        if "p" not in built:
+            built["p"] = CS.fact_service_parts_usage_incremental(
+                arch1["archive_service_details"], arch1["archive_service_appointments"],
+                wh0.facts["fact_service_parts_usage"], dims1, SI.T0, SI.T1)
+        return built["p"]
+
     return Warehouse(
         archives=arch1, dims=dims1,
-        facts={"fact_service_appointments": f4, "fact_service_parts_usage": f5},
-        rejects={"fact_service_appointments": r4, "fact_service_parts_usage": r5},
+        facts=Lazy({"fact_service_appointments": lambda: f4()[0], "fact_service_parts_usage": lambda: f5()[0]}),
+        rejects=Lazy({"fact_service_appointments": lambda: f4()[1], "fact_service_parts_usage": lambda: f5()[1]}),
     )
