@@ -166,14 +166,15 @@ def incremental_warehouse(spark: SparkSession, sf_dir: str, initial: Warehouse |
     def arch_of(name):
         def make():
             diff = CS.snapshot_diff(name, src1[CS.SOURCE_TABLES[name]], wh0.archives[name])
-            return archive_after(wh0.archives[name], diff, SI.T1)
+            # a run writes its archive; later layers read the written result
+            return materialize(archive_after(wh0.archives[name], diff, SI.T1))
         return make
 
     arch1 = Lazy({name: arch_of(name) for name in CS.ENTITIES})
     arch1._f["archive_accidents_csv"] = lambda: wh0.archives["archive_accidents_csv"]
 
     def scd(dim_name, arch_name):
-        return lambda: CS.scd2_update(wh0.dims[dim_name], arch1[arch_name], dim_name, SI.T0, SI.T1)
+        return lambda: materialize(CS.scd2_update(wh0.dims[dim_name], arch1[arch_name], dim_name, SI.T0, SI.T1))
 
     f = {d: scd(d, a) for d, a in CS.SCD2_ARCHIVE.items()}
     f["dim_date"] = lambda: wh0.dims["dim_date"].unionByName(CS.dim_date_incremental(
