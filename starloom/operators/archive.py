@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.clean import minus_one_micro
 from starloom.functions.hashing import row_hash
-from starloom.session import FAR_FUTURE
+from starloom.session import FAR_FUTURE, ts_lit
 from starloom.spec import EntitySpec
 
 LOAD_TS = "load_timestamp"
@@ -35,7 +35,7 @@ AUDIT_COLUMNS = (LOAD_TS, VALID_FROM, VALID_TO)
 
 
 def _ts(v: datetime | Column) -> Column:
-    return v if isinstance(v, Column) else F.lit(v).cast("timestamp_ntz")
+    return v if isinstance(v, Column) else ts_lit(v)
 
 
 def conform(source: DataFrame, spec: EntitySpec) -> DataFrame:

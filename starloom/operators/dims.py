@@ -17,7 +17,7 @@ from starloom.functions.hashing import hash_key
 from starloom.operators.archive import VALID_FROM, VALID_TO, open_versions
 from starloom.operators.dedupe import keep_first, keep_last
 from starloom.operators.lookup import anti_join
-from starloom.session import DEFAULT_VALID_FROM, FAR_FUTURE
+from starloom.session import DEFAULT_VALID_FROM, FAR_FUTURE, ts_lit
 from starloom.spec import JunkDimSpec, Scd2Spec
 
 CALENDAR_GRAIN = ("full_date", "hour")
@@ -95,7 +95,7 @@ def scd2_row(df: DataFrame, spec: Scd2Spec, valid_from: Column, valid_to: Column
     mapped = df.select(
         F.col(spec.archive_id),
         *spec.mapper(),
-        F.coalesce(valid_from, F.lit(DEFAULT_VALID_FROM).cast("timestamp_ntz")).alias(spec.valid_from),
+        F.coalesce(valid_from, ts_lit(DEFAULT_VALID_FROM)).alias(spec.valid_from),
         valid_to.alias(spec.valid_to),
         current.alias(spec.current),
     )
@@ -124,7 +124,7 @@ def scd2_initial(
     a = pick(a, [spec.archive_id], [VALID_FROM])
     if second_key:
         a = pick(a, list(second_key), [VALID_FROM, spec.archive_id])
-    return scd2_row(a, spec, F.col(VALID_FROM), F.lit(FAR_FUTURE).cast("timestamp_ntz"), F.lit(True))
+    return scd2_row(a, spec, F.col(VALID_FROM), ts_lit(FAR_FUTURE), F.lit(True))
 
 
 def current_rows(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
@@ -135,7 +135,7 @@ def close_interval_view(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
     """Presentation helper: the open sentinel shown as NULL (``9999-12-31`` does not fit pandas/Arrow ns)."""
     return dim.withColumn(
         spec.valid_to,
-        F.when(F.col(spec.valid_to) == F.lit(FAR_FUTURE).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz"))
+        F.when(F.col(spec.valid_to) == ts_lit(FAR_FUTURE), F.lit(None).cast("timestamp_ntz"))
         .otherwise(F.col(spec.valid_to)),
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import FAR_FUTURE
+from starloom.session import FAR_FUTURE, ts_lit
 
 
 def _money_sum(c: str, alias: str):
@@ -66,7 +66,7 @@ def as_of_lookup(facts: DataFrame, fact_id: str, fact_ts: str, dim: DataFrame, d
     """
     out = alias or key
     cols = facts.columns
-    far = F.lit(FAR_FUTURE).cast("timestamp_ntz")
+    far = ts_lit(FAR_FUTURE)
     f = facts.select(
         F.col(fact_id).alias("_id"), F.col(fact_ts).alias("_t"), F.lit(1).alias("_kind"),
         F.struct(*[F.col(c) for c in cols]).alias("_f"),

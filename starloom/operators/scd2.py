@@ -37,16 +37,16 @@ from starloom.functions.clean import minus_one_micro
 from starloom.operators.archive import VALID_FROM, VALID_TO
 from starloom.operators.dims import scd2_row
 from starloom.operators.lookup import semi_join
-from starloom.session import FAR_FUTURE
+from starloom.session import FAR_FUTURE, ts_lit
 from starloom.spec import Scd2Spec
 
 
 def _ts(v: datetime | Column) -> Column:
-    return v if isinstance(v, Column) else F.lit(v).cast("timestamp_ntz")
+    return v if isinstance(v, Column) else ts_lit(v)
 
 
 def _far() -> Column:
-    return F.lit(FAR_FUTURE).cast("timestamp_ntz")
+    return ts_lit(FAR_FUTURE)
 
 
 def changed_ids(archive: DataFrame, id_col: str, last_run, run_ts, include_closed: bool = True) -> DataFrame:

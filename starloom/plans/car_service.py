@@ -13,6 +13,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import ts_lit
+
 from starloom.functions.calendar import date_hour_key, flags_mask
 from starloom.functions.clean import (
     clean_text,
@@ -334,7 +336,7 @@ def dim_service_type(appts: DataFrame, existing: DataFrame | None = None) -> Dat
 def dim_date_incremental(appts_archive: DataFrame, existing: DataFrame, last_run, run_ts) -> DataFrame:
     """(date, hour) of appointment versions with ``valid_from`` in ``[last_run, run_ts]`` not yet present."""
     vf = F.col(A.VALID_FROM)
-    w = appts_archive.filter((vf >= F.lit(last_run).cast("timestamp_ntz")) & (vf <= F.lit(run_ts).cast("timestamp_ntz")))
+    w = appts_archive.filter((vf >= ts_lit(last_run)) & (vf <= ts_lit(run_ts)))
     return D.calendar_dim([appointment_points(w)], existing)
 
 
@@ -342,7 +344,7 @@ def dim_service_type_incremental(appts_archive: DataFrame, existing: DataFrame,
     """Service types of open appointment versions opened in ``(last_run, run_ts]`` not yet present."""
     vf = F.col(A.VALID_FROM)
     w = A.open_versions(appts_archive).filter(
-        (vf > F.lit(last_run).cast("timestamp_ntz")) & (vf <= F.lit(run_ts).cast("timestamp_ntz")))
+        (vf > ts_lit(last_run)) & (vf <= ts_lit(run_ts)))
     return dim_service_type(w, existing)
 
 
@@ -473,7 +475,7 @@ def window_rows(archive: DataFrame, last_run, run_ts, open_only: bool = True) ->
     """Archive versions with ``valid_from`` in the closed window ``[last_run, run_ts]`` (incremental facts)."""
     vf = F.col(A.VALID_FROM)
     a = A.open_versions(archive) if open_only else archive
-    return a.filter((vf >= F.lit(last_run).cast("timestamp_ntz")) & (vf <= F.lit(run_ts).cast("timestamp_ntz")))
+    return a.filter((vf >= ts_lit(last_run)) & (vf <= ts_lit(run_ts)))
 
 
 def fact_service_appointments_incremental(appts_archive: DataFrame, existing_facts: DataFrame,

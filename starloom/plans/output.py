@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.session import FAR_FUTURE
+from starloom.session import FAR_FUTURE, ts_lit
 
 
 def finalize(df: DataFrame) -> DataFrame:
     cols = []
-    far = F.lit(FAR_FUTURE).cast("timestamp_ntz")
+    far = ts_lit(FAR_FUTURE)
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         t = f.dataType

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from starloom.operators import archive as A
 from starloom.plans import car_service as CS
 from starloom.plans import stand_in as SI
-from starloom.session import FAR_FUTURE
+from starloom.session import FAR_FUTURE, ts_lit
 from starloom.sources.store import materialize
 
 
@@ -142,7 +142,7 @@ def diff_entity(spark: SparkSession, sf_dir: str, archive: DataFrame, entity: st
 
 def archive_after(archive: DataFrame, diff: DataFrame, run_ts) -> DataFrame:
     """Whole archive after a run: earlier closed versions + versions closed now + open versions after."""
-    history = archive.filter(F.col(A.VALID_TO) != F.lit(FAR_FUTURE).cast("timestamp_ntz"))
+    history = archive.filter(F.col(A.VALID_TO) != ts_lit(FAR_FUTURE))
     return history.unionByName(A.closed_versions(diff, run_ts)).unionByName(A.open_after(diff, run_ts))
 
 

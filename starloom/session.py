@@ -14,6 +14,15 @@ FAR_FUTURE = datetime(9999, 12, 31, 23, 59, 59)
 DEFAULT_VALID_FROM = datetime(1900, 1, 1, 0, 0, 0)
 
 
+def ts_lit(v):
+    """A ``TIMESTAMP_NTZ`` literal built from text, so its wall-clock value never depends on a time zone."""
+    from pyspark.sql import functions as F
+
+    if isinstance(v, datetime):
+        return F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    return F.lit(v).cast("timestamp_ntz")
+
+
 def build_session(
     app: str = "starloom",
     master: str | None = None,
