@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact, quality
+from starloom.llm import exact, mix, near, pack, quality
+from starloom.llm.catalog import vocabulary
 from starloom.llm.common import documents
 from starloom.sources.store import materialize
 
@@ -23,7 +24,24 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.keep_documents(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies, the document with the smallest id stays."""
+    return near.keep_documents(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies that the source mix takes, in training order: a document may come several times or not at all, and
+    the last copy taken of a source may be cut."""
+    return mix.training_order(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of documents in training sequences."""
+    return pack.pack(docs, vocabulary(pack.VOCABULARY))
+
+
+STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
+          ("mix_sources", mix_sources), ("packing", packing)]
 
 #: The near-duplicate stage has no SQL form; the pipeline is tested against brute force instead.
 ORACLE_SQL = None
@@ -31,8 +49,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialize(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,11 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact, quality
+from starloom.llm import exact, mix, near, pack, quality
 from starloom.llm.common import documents
 from starloom.llm.sql import SQL  # noqa: F401  (read by the driver entry)
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_pack_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(documents(spark, sf_dir), vocabulary(pack.VOCABULARY))
+
+
+def op5_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mixture(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
@@ -19,6 +34,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(documents(spark, sf_dir))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_quality_rules, op8_exact_dedup)
+    f.__name__: f for f in (op1_pack_curve, op5_mix_curriculum, op6_quality_rules, op8_exact_dedup, op9_near_dedup)
 }
