@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact, mix, near, pack, quality
+from starloom.llm import exact, mix, near, pack, quality, substring
 from starloom.llm.common import documents
 from starloom.llm.sql import SQL  # noqa: F401  (read by the driver entry)
 
@@ -38,6 +38,11 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.report(documents(spark, sf_dir))
 
 
+def op10_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pack_curve, op5_mix_curriculum, op6_quality_rules, op8_exact_dedup, op9_near_dedup)
+    f.__name__: f for f in (
+        op1_pack_curve, op5_mix_curriculum, op6_quality_rules, op8_exact_dedup, op9_near_dedup, op10_substring_rlz)
 }
