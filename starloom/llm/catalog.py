@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact, mix, near, pack, quality, substring
+from starloom.llm import exact, lines, mix, near, pack, quality, substring
 from starloom.llm.common import documents
 from starloom.llm.sql import SQL  # noqa: F401  (read by the driver entry)
 
@@ -30,6 +30,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(documents(spark, sf_dir))
 
@@ -44,5 +48,6 @@ def op10_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pack_curve, op5_mix_curriculum, op6_quality_rules, op8_exact_dedup, op9_near_dedup, op10_substring_rlz)
+        op1_pack_curve, op5_mix_curriculum, op6_quality_rules, op7_line_dedup, op8_exact_dedup,
+        op9_near_dedup, op10_substring_rlz)
 }

@@ -52,4 +52,40 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM d JOIN g USING (t)
 """
 
-SQL = {"op6_quality_rules": OP6, "op8_exact_dedup": OP8}
+OP7 = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ln FROM documents
+), l AS (
+  SELECT doc_id, r, p, x, regexp_matches(x, '[^\x20\x09-\x0D]') AS word
+  FROM (SELECT doc_id, r, unnest(range(1, len(ln) + 1)) AS p, unnest(ln) AS x FROM d)
+), numbered AS (
+  SELECT doc_id, r, p, x, row_number() OVER (PARTITION BY r ORDER BY p) AS k FROM l WHERE word
+), w AS (
+  SELECT doc_id, r, k, x AS a, lead(x, 1) OVER s AS b, lead(x, 2) OVER s AS c FROM numbered
+  WINDOW s AS (PARTITION BY r ORDER BY k)
+), later AS (
+  SELECT r, k FROM (
+    SELECT r, k, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id NULLS LAST, r, k) AS nth FROM w WHERE c IS NOT NULL)
+  WHERE nth > 1
+), covered AS (
+  SELECT DISTINCT r, unnest([k, k + 1, k + 2]) AS k FROM later
+), gone AS (
+  SELECT r, k, p FROM covered JOIN numbered USING (r, k)
+), flagged AS (
+  SELECT l.doc_id, l.r, l.p, l.x, l.word, gone.r IS NOT NULL AS gone,
+         -- a line without a word goes if the nearest lines with a word on both sides go in one interval
+         max(CASE WHEN l.word THEN (gone.r IS NOT NULL)::INT + 2 * l.p END) OVER
+           (PARTITION BY l.r ORDER BY l.p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before,
+         min(CASE WHEN l.word THEN (gone.r IS NOT NULL)::INT + 2 * l.p END) OVER
+           (PARTITION BY l.r ORDER BY l.p ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after
+  FROM l LEFT JOIN gone ON l.r = gone.r AND l.p = gone.p
+), kept AS (
+  SELECT r, string_agg(x, chr(10) ORDER BY p) AS kept_text FROM flagged
+  WHERE NOT (gone OR (NOT word AND coalesce(before, 0) % 2 = 1 AND coalesce(after, 0) % 2 = 1)) GROUP BY r
+)
+SELECT d.doc_id, (SELECT count(*) FROM numbered WHERE numbered.r = d.r) AS n_lines,
+       (SELECT count(*) FROM gone WHERE gone.r = d.r) AS n_removed, coalesce(kept_text, '') AS kept_text
+FROM d LEFT JOIN kept USING (r)
+"""
+
+SQL = {"op7_line_dedup": OP7, "op6_quality_rules": OP6, "op8_exact_dedup": OP8}
