@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact, lines, mix, near, pack, quality, substring
+from starloom.llm import (
+    exact,
+    langid,
+    lines,
+    mix,
+    near,
+    pack,
+    pii,
+    quality,
+    secret_scan,
+    substring,
+)
 from starloom.llm.common import documents
 from starloom.llm.sql import SQL  # noqa: F401  (read by the driver entry)
 
@@ -22,6 +33,18 @@ def op1_pack_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(documents(spark, sf_dir), vocabulary(pack.VOCABULARY))
 
 
+def op2_pii_lstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(documents(spark, sf_dir), vocabulary(langid.VOCABULARY))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(documents(spark, sf_dir))
+
+
 def op5_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mixture(documents(spark, sf_dir))
 
@@ -48,6 +71,6 @@ def op10_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pack_curve, op5_mix_curriculum, op6_quality_rules, op7_line_dedup, op8_exact_dedup,
-        op9_near_dedup, op10_substring_rlz)
+        op1_pack_curve, op2_pii_lstm_crf, op3_language_id, op4_secret_scan, op5_mix_curriculum, op6_quality_rules,
+        op7_line_dedup, op8_exact_dedup, op9_near_dedup, op10_substring_rlz)
 }
