@@ -14,7 +14,11 @@ all weights are equal.
 4. Verification: J_P of the pair is computed exactly from the two texts; from ``THRESHOLD`` on it is a link.
 5. Links are closed to classes (connected components, alternating star contraction). Where a bucket still has members
    of several classes, its members outside the leader's class are compared with all members of other classes, and
-   the classes are closed again: in the end any two members of a bucket are in one class or have been compared.
+   the classes are closed again. Pairs that can't be links are left out before: 1 - J_P is a metric, so two texts whose
+   similarities to the leader differ by more than 1 - ``THRESHOLD`` aren't linked; and finer sketches (``FINE`` registers,
+   four bits of each, of these texts only) that agree ``FINE_SIGMAS`` standard deviations less often than at the
+   threshold rule a pair out (a link is lost so with probability 3e-6). In the end any two members of a bucket are in
+   one class, or have been compared, or are ruled out.
 
 Scale: bucket leaders and collapses are aggregates with map-side combine, lookups are equi joins that adaptive
 execution splits at hot keys; no list of a group is ever built. What later steps read more than once is written as
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import slices, text_or_empty
@@ -42,6 +46,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^28 = 1.5e-5.
 BANDS, ROWS = 28, 5
+#: Registers of the finer sketches, a multiple of 16.
+FINE, FINE_SIGMAS = 448, 4.5
 SLICE_BYTES = 1_000_000
 
 
@@ -147,32 +153,75 @@ def shingles_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h, w
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) whose similarity reaches the threshold, with it. The rows of one b come together (the join
-    sorts by it), so its shingles are computed once."""
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) with their similarity. The rows of one b come together (the join sorts by it), so its shingles
+    are computed once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, other = None, None
         for batch in batches:
-            keep, sims = [], []
-            rows = zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True)
-            for i, (b, text_a, text_b) in enumerate(rows):
+            sims = []
+            for b, text_a, text_b in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 if other is None or b != last:
                     last, other = b, shingles_of(text_b.as_py().encode())
-                own = shingles_of(text_a.as_py().encode())
-                s = probability_jaccard(own, other)
-                if s >= threshold - 1e-9:
-                    keep.append(i)
-                    sims.append(s)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())),
-                                              batch.column(1).take(pa.array(keep, pa.int64())),
-                                              pa.array(sims, pa.float64())], names=["a", "b", "similarity"])
+                sims.append(probability_jaccard(shingles_of(text_a.as_py().encode()), other))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims, pa.float64())],
+                                             names=["a", "b", "similarity"])
 
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
 
 
+def links(pairs: DataFrame, threshold: float) -> DataFrame:
+    return pairs.filter(F.col("similarity") >= threshold - 1e-9).select("a", "b")
+
+
+# ------------------------------------------------------------------------------------------------ finer sketches
+def fine_sketches(texts: DataFrame, registers: int = FINE) -> DataFrame:
+    """(node, fine): four bits of each register, sixteen registers to a long."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift = (np.arange(16) * 4).astype(np.uint64)
+        for batch in batches:
+            at = 0
+            for part in slices(batch.column(1).cast(pa.binary()).to_pylist(), len, SLICE_BYTES):
+                r = sketch(*weighted(Words(part)), len(part), registers)
+                nibbles = (mix(r) & U(15)).reshape(len(part), -1, 16)
+                packed = (nibbles << shift).sum(axis=2, dtype=np.uint64).astype(np.int64)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(packed.reshape(-1)), registers // 16)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), lists.cast(pa.list_(pa.int64()))],
+                                                 names=["node", "fine"])
+                at += len(part)
+
+    return texts.select("node", "text").mapInArrow(run, "node long, fine array<long>")
+
+
+def least_agreement(threshold: float, registers: int = FINE) -> int:
+    """The agreeing nibbles that a pair at the threshold has, less ``FINE_SIGMAS`` standard deviations."""
+    p = threshold + (1 - threshold) / 16
+    return int(registers * p - FINE_SIGMAS * (registers * p * (1 - p)) ** 0.5)
+
+
+def agreement(x: str, y: str, registers: int = FINE) -> Column:
+    """How many nibbles of two packed sketches are equal."""
+    total = F.lit(0)
+    for i in range(registers // 16):
+        d = F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        total = total + (16 - F.bit_count(d))
+    return total
+
+
+def first_common_band(x: str, y: str, band: str) -> Column:
+    """Whether two lists of band keys agree in no band before this one: a pair is formed in its first common bucket."""
+    earlier = F.lit(False)
+    for i in range(BANDS - 1):
+        earlier = earlier | ((F.col(band) > i) & (F.get(x, F.lit(i)) == F.get(y, F.lit(i))))
+    return ~earlier
+
+
 # ------------------------------------------------------------------------------------------------ classes
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the links (a, b): root is the smallest node it is connected with. Alternating
@@ -204,6 +253,29 @@ def labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         "node", F.coalesce("root", "node").alias("root"))
 
 
+def across_classes(members: DataFrame, label: DataFrame, led_pairs: DataFrame, reps: DataFrame, texts: DataFrame,
+                   threshold: float) -> DataFrame:
+    """The pairs (a, b) of buckets that hold several classes which are still to be compared: between a member outside
+    the leader's class and one of another class, neither the leader, once per pair, unless ruled out."""
+    named = members.join(label, "node")
+    mixed = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"),
+                                     F.min(F.when(F.col("node") == F.col("lead"), F.col("root"))).alias("lead_root"))
+    mixed = mixed.filter("r0 <> r1 and n > 2").select("key", "lead_root")
+    rows = materialize(named.filter("node <> lead").join(mixed, "key"))
+    sims = led_pairs.select(F.col("a").alias("node"), F.col("b").alias("lead"), F.col("similarity").alias("s"))
+    own = rows.select("node").distinct()
+    sketches = fine_sketches(own.join(texts, "node")).join(reps.select("node", "bands"), "node")
+    rows = rows.join(sims, ["node", "lead"]).join(sketches, "node")
+    side = lambda c: [F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "s", "bands", "fine")]
+    x = rows.filter("root <> lead_root").select("key", "band", F.col("lead_root").alias("main"), *side("x"))
+    y = rows.select("key", *side("y"))
+    once = (F.col("root_y") == F.col("main")) | (F.col("node_x") > F.col("node_y"))
+    pairs = x.join(y, "key").filter(
+        (F.col("root_x") != F.col("root_y")) & once & (F.abs(F.col("s_x") - F.col("s_y")) <= 1 - threshold + 1e-9)
+        & first_common_band("bands_x", "bands_y", "band") & (agreement("fine_x", "fine_y") >= least_agreement(threshold)))
+    return pairs.select(F.greatest("node_x", "node_y").alias("a"), F.least("node_x", "node_y").alias("b"))
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, text_hash, root (the class), class_id (the smallest doc_id of the class),
     class_size, n_texts (the different word sequences of the class)."""
@@ -212,9 +284,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rows.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"), F.count("*").alias("copies"),
                                      F.min("doc_id").alias("min_id"), F.first("bands").alias("bands"))
         .select(F.monotonically_increasing_id().alias("node"), "c1", "c2", "r.*", "copies", "min_id", "bands"))
-    buckets = reps.select("node", F.explode("bands").alias("key"))
+    buckets = reps.select("node", F.posexplode("bands").alias("band", "key"))
     led = buckets.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    members = materialize(buckets.join(led, "key").select("key", "node", "lead"))
+    members = materialize(buckets.join(led, "key").select("key", "band", "node", "lead"))
     first = members.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
 
     ids = members.select("node").distinct().join(reps, "node").select("node", "doc_id", "text_hash")
@@ -225,23 +297,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = materialize(found.select("node", "text").withColumn("_n", F.row_number().over(one)).filter("_n = 1")
                         .select("node", "text"))
 
-    edges = materialize(verified(first, texts, threshold))
-    label = materialize(labelled(reps, edges))
-    # Buckets that still hold several classes: compare across them what hasn't been compared.
-    named = members.join(label, "node")
-    mixed = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
-    named = named.join(mixed, "key")
-    lead_root = named.filter("node = lead").select("key", F.col("root").alias("lead_root"))
-    named = named.join(lead_root, "key")
-    outside = named.filter("root <> lead_root").select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-    others = named.filter("node <> lead").select("key", F.col("node").alias("y"), F.col("root").alias("ry"))
-    more = (outside.join(others, "key").filter("rx <> ry")
-            .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
-    more = materialize(more)
+    led_pairs = materialize(compared(first, texts))
+    label = materialize(labelled(reps, links(led_pairs, threshold)))
+    more = materialize(across_classes(members, label, led_pairs, reps, texts, threshold))
     if not more.isEmpty():
-        extra = materialize(verified(more, texts, threshold))
+        extra = links(materialize(compared(more, texts)), threshold)
         if not extra.isEmpty():
-            label = materialize(labelled(reps, edges.unionByName(extra)))
+            label = materialize(labelled(reps, links(led_pairs, threshold).unionByName(extra)))
 
     owned = reps.join(label, "node")
     named_class = owned.groupBy("root").agg(F.min("min_id").alias("class_id"), F.sum("copies").alias("class_size"),
