@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,16 @@ def keep(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in workers that can import this package from where the driver did, however the
+    driver found it. (On a cluster without a shared installation the package is passed to the job as usual.)"""
+    env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df.mapInArrow(run, schema)
+
+
 def slices(rows: list, weight, limit: int) -> Iterator[list]:
     """Consecutive slices of ``rows`` with at most ``limit`` total weight each (a heavier row is alone), so that a
     batch of very long texts never has all its intermediate arrays in memory at once."""

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import slices
+from starloom.llm.common import map_arrow, slices
 from starloom.sources.store import materialize
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -233,7 +233,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
                                               pa.array(counted.index.get_level_values(1), pa.string()),
                                               pa.array(counted.to_numpy(), pa.int64())], names=["lang", "word", "n"])
 
-    rows = sample.filter("text is not null").select("lang", "text").mapInArrow(run, "lang string, word string, n long")
+    rows = map_arrow(sample.filter("text is not null").select("lang", "text"), run, "lang string, word string, n long")
     return rows.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -336,4 +336,4 @@ def report(docs: DataFrame, path: str) -> DataFrame:
                                              names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
+    return map_arrow(rows, run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")

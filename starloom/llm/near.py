@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import slices, text_or_empty
+from starloom.llm.common import map_arrow, slices, text_or_empty
 from starloom.llm.wordhash import U, Words, mix
 from starloom.sources.store import materialize
 
@@ -126,8 +126,8 @@ def sketched(docs: DataFrame) -> DataFrame:
                 at += len(part)
 
     text = text_or_empty()
-    return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, text_hash long, c1 long, c2 long, bands array<long>")
+    return map_arrow(docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text")),
+                     run, f"doc_id {id_type}, text_hash long, c1 long, c2 long, bands array<long>")
 
 
 # ------------------------------------------------------------------------------------------------ verification
@@ -170,7 +170,7 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
+    return map_arrow(both.select("a", "b", "text_a", "text_b"), run, "a long, b long, similarity double")
 
 
 def links(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -194,7 +194,7 @@ def fine_sketches(texts: DataFrame, registers: int = FINE) -> DataFrame:
                                                  names=["node", "fine"])
                 at += len(part)
 
-    return texts.select("node", "text").mapInArrow(run, "node long, fine array<long>")
+    return map_arrow(texts.select("node", "text"), run, "node long, fine array<long>")
 
 
 def least_agreement(threshold: float, registers: int = FINE) -> int:

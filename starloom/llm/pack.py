@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import slices, text_or_empty
+from starloom.llm.common import map_arrow, slices, text_or_empty
 
 LENGTH = 2048
 END_ID = 1
@@ -152,7 +152,7 @@ def tokenized(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                     names=["doc_id", "key", "ids"])
                 at += len(texts)
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, f"doc_id {id_type}, key long, ids binary")
+    return map_arrow(docs.select("doc_id", text_or_empty().alias("text")), run, f"doc_id {id_type}, key long, ids binary")
 
 
 def halves(n: int) -> list[int]:
@@ -230,4 +230,4 @@ def pack(docs: DataFrame, vocabulary_path: str, length: int = LENGTH) -> DataFra
 
     ordered = tokenized(docs, vocabulary_path).repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id")
     schema = f"doc_id {id_type.simpleString()}, " + ", ".join(f"{n} long" for n in names[1:])
-    return ordered.select("doc_id", "ids").mapInArrow(run, schema)
+    return map_arrow(ordered.select("doc_id", "ids"), run, schema)

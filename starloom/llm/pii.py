@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm import crf
-from starloom.llm.common import slices
+from starloom.llm.common import map_arrow, slices
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = "OEeIiCcPp"  # none, then the first and the further characters of each kind
@@ -264,7 +264,7 @@ def training_rows(docs: DataFrame) -> list[tuple[str, str]]:
             cols = list(zip(*rows, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["kind", "window", "tags"])
 
-    found = _possible(docs).filter("text is not null").mapInArrow(run, "kind string, window string, tags string")
+    found = map_arrow(_possible(docs).filter("text is not null"), run, "kind string, window string, tags string")
     first = Window.partitionBy("kind").orderBy(F.xxhash64("window"), "window", "tags")
     rows = found.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= PER_KIND)
     return sorted((r["window"], r["tags"]) for r in rows.collect())
@@ -289,5 +289,5 @@ def report(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
-    return _possible(docs).mapInArrow(run, f"doc_id {id_type}, n_email long, n_ip long, n_card long, n_phone long, "
+    return map_arrow(_possible(docs), run, f"doc_id {id_type}, n_email long, n_ip long, n_card long, n_phone long, "
                                            "base_sha256 string, spans string")

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import map_arrow
+
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -239,5 +241,6 @@ def report(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long")
+    return map_arrow(
+        docs.select("doc_id", F.col("text").cast("string")), run,
+        f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long")
