@@ -13,7 +13,7 @@ the blocks of its anchor alone, and every document's blocks are indexed: nothing
    map-side combine, however often an anchor occurs). An anchor of one document needs no more work.
 2. Parse: where all blocks of an anchor are equal, a block is part of a factor if the smallest document isn't its own.
 3. Factor boundaries: where an anchor has different blocks (a factor ends inside one of them), their single windows are
-   compared, by the smallest document of each window hash (128 bits).
+   compared, by the smallest document of each window hash (96 bits).
 
 The lookups travel by document: each document gets the anchors and window hashes found for it, never other texts, and
 parses its own text with them. Lists are bounded by the document's own length; hot anchors and windows are aggregated
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import slices, text_or_empty
+from starloom.llm.common import map_arrow, slices, text_or_empty
 from starloom.llm.wordhash import U, Words, mix
 from starloom.sources.store import materialize
 
@@ -129,7 +129,7 @@ def block_rows(docs: DataFrame) -> DataFrame:
                          pa.array(b.hash[s].astype(np.int64))], names=["doc", "anchor", "block"])
                 at += len(part)
 
-    return docs.mapInArrow(run, "doc long, anchor long, block long")
+    return map_arrow(docs, run, "doc long, anchor long, block long")
 
 
 def anchor_hits(docs: DataFrame) -> DataFrame:
@@ -153,13 +153,28 @@ def _removed(n: int, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-PARSED = "doc long, n_words long, n_removed long, kept_sha256 string, text string, found array<long>, " \
-         "open array<struct<at:long,w1:long,w2:long>>"
+def _merged(starts: np.ndarray, window: int = WINDOW) -> list[int]:
+    """Sorted window starts as merged stretches of words: begin, end, begin, end, ..."""
+    if not len(starts):
+        return []
+    new = np.flatnonzero(np.diff(starts) > window) + 1
+    begin = starts[np.concatenate([[0], new])]
+    end = starts[np.concatenate([new, [len(starts)]]) - 1] + window
+    return np.stack([begin, end], axis=1).reshape(-1).tolist()
+
+
+def _second(h: np.ndarray) -> np.ndarray:
+    """The second window hash, 32 bits beside the first's 64."""
+    return (h >> U(32)).astype(np.uint32).view(np.int32)
+
+
+PARSED = "doc long, n_words long, n_removed long, kept_sha256 string, text string, found array<int>, " \
+         "w1 array<long>, w2 array<int>"
 
 
 def first_parse(joined: DataFrame) -> DataFrame:
     """Parse (doc, text, same, mixed). A document without mixed anchors is finished; any other comes with its text, the
-    duplicate windows found so far (``found``) and the windows still open (``open``)."""
+    duplicate stretches found so far (``found``) and the hashes of the windows still open (``w1``, ``w2``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,55 +201,65 @@ def first_parse(joined: DataFrame) -> DataFrame:
             found = b.at[mine][dup[of]] - first
             if unsure.any():
                 o = unsure[of]
-                at = b.at[mine][o] - first
-                out.append((n, None, None, texts[i], found.tolist(),
-                            [{"at": x, "w1": y, "w2": z} for x, y, z in zip(
-                                at.tolist(), w1[mine][o].astype(np.int64).tolist(), w2[mine][o].astype(np.int64).tolist(),
-                                strict=True)]))
+                out.append((n, None, None, texts[i], _merged(found), w1[mine][o].astype(np.int64), _second(w2[mine][o])))
             else:
                 gone = _removed(n, found)
                 kept = words.text(i) if not len(found) else [x for x, g in zip(words.text(i), gone, strict=True) if not g]
-                out.append((n, int(gone.sum()), _sha(kept), None, None, None))
+                out.append((n, int(gone.sum()), _sha(kept), None, None, None, None))
         cols = list(zip(*out, strict=True))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
-             pa.array(cols[3], pa.binary()).cast(pa.string()), pa.array(cols[4], pa.list_(pa.int64())),
-             pa.array(cols[5], pa.list_(pa.struct([("at", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64())])))],
-            names=["doc", "n_words", "n_removed", "kept_sha256", "text", "found", "open"])
+             pa.array(cols[3], pa.binary()).cast(pa.string()), pa.array(cols[4], pa.list_(pa.int32())),
+             pa.array(cols[5], pa.list_(pa.int64())), pa.array(cols[6], pa.list_(pa.int32()))],
+            names=["doc", "n_words", "n_removed", "kept_sha256", "text", "found", "w1", "w2"])
 
-    return joined.select("doc", "text", "same", "mixed").mapInArrow(run, PARSED)
+    return map_arrow(joined.select("doc", "text", "same", "mixed"), run, PARSED)
 
 
 def boundary_hits(open_rows: DataFrame) -> DataFrame:
     """(doc, windows): of the open windows, those that a smaller document has too, as hash pairs."""
-    windows = open_rows.select("doc", F.explode("open").alias("w")).select("doc", "w.w1", "w.w2")
+    windows = open_rows.select("doc", F.explode(F.arrays_zip("w1", "w2")).alias("w")).select("doc", "w.w1", "w.w2")
     owners = windows.groupBy("w1", "w2").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).filter("d0 < d1")
     hits = windows.join(owners, ["w1", "w2"]).filter("d0 < doc")
     return hits.groupBy("doc").agg(F.collect_set(F.struct("w1", "w2")).alias("windows"))
 
 
 def second_parse(joined: DataFrame) -> DataFrame:
-    """Finish (doc, n_words, text, found, open, windows): the open windows among ``windows`` are duplicates as well."""
+    """Finish (doc, text, found, windows): the document's windows among ``windows`` are duplicates as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, shas = [], []
-            for n, text, found, opened, windows in zip(*(batch.column(i) for i in range(1, 6)), strict=True):
-                starts = np.asarray(found.values, dtype=np.int64)
-                if windows.is_valid:
-                    pairs = lambda x: zip(*(x.values.field(c).to_pylist() for c in ("w1", "w2")), strict=True)
-                    known = set(pairs(windows))
-                    hit = np.fromiter((p in known for p in pairs(opened)), dtype=bool, count=len(opened.values))
-                    starts = np.concatenate([starts, np.asarray(opened.values.field("at"), dtype=np.int64)[hit]])
-                gone = _removed(n.as_py(), starts)
-                removed.append(int(gone.sum()))
-                shas.append(_sha([x for x, g in zip(text.as_py().encode().split(), gone, strict=True) if not g]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()),
-                                              pa.array(shas, pa.string())],
-                                             names=["doc", "n_words", "n_removed", "kept_sha256"])
-
-    return joined.select("doc", "n_words", "text", "found", "open", "windows").mapInArrow(
-        run, "doc long, n_words long, n_removed long, kept_sha256 string")
+            rows = list(zip(batch.column(1).cast(pa.binary()).to_pylist(), range(batch.num_rows), strict=True))
+            for part in slices(rows, lambda r: len(r[0]), SLICE_BYTES):
+                yield parse([t for t, _ in part], batch.slice(part[0][1], len(part)))
+
+    def parse(texts: list[bytes], batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = Words(texts)
+        at, w1 = words.windows(WINDOW)
+        w2 = _second(words.windows(WINDOW, salt=1)[1])
+        bounds = np.searchsorted(words.doc[at] if len(at) else at, np.arange(len(texts) + 1))
+        out = []
+        for i, (found, windows) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            gone = np.zeros(int(words.count[i]), dtype=bool)
+            stretches = found.values.to_pylist()
+            for begin, end in zip(stretches[::2], stretches[1::2], strict=True):
+                gone[begin:end] = True
+            if windows.is_valid:
+                mine = slice(bounds[i], bounds[i + 1])
+                own1, own2 = w1[mine].astype(np.int64), w2[mine]
+                known = set(zip(*(windows.values.field(c).to_pylist() for c in ("w1", "w2")), strict=True))
+                maybe = np.flatnonzero(_isin(own1, np.asarray(windows.values.field("w1"), dtype=np.int64)))
+                hit = [p for p, x, y in zip(maybe.tolist(), own1[maybe].tolist(), own2[maybe].tolist(), strict=True)
+                       if (x, y) in known]
+                gone |= _removed(len(gone), at[mine][hit] - words.first[i])
+            out.append((len(gone), int(gone.sum()), _sha([x for x, g in zip(words.text(i), gone, strict=True) if not g])))
+        cols = list(zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string()), strict=True))],
+            names=["doc", "n_words", "n_removed", "kept_sha256"])
+
+    return map_arrow(joined.select("doc", "text", "found", "windows"), run,
+                     "doc long, n_words long, n_removed long, kept_sha256 string")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -243,6 +268,6 @@ def report(docs: DataFrame) -> DataFrame:
     parsed = materialize(first_parse(source.join(anchor_hits(source), "doc", "left")))
     done = parsed.filter("text is null").select("doc", "n_words", "n_removed", "kept_sha256")
     rest = parsed.filter("text is not null")
-    finished = second_parse(rest.join(boundary_hits(rest), "doc", "left"))
+    finished = second_parse(rest.select("doc", "text", "found").join(boundary_hits(rest), "doc", "left"))
     return done.unionByName(finished).select(
         F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
