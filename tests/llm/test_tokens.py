@@ -22,15 +22,16 @@ def plain_ids(texts):
     return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
-def test_unit_tokenizer_equals_the_tokenizer():
-    texts = [t or "" for _, t, *_ in rows() if len(t or "") < 50_000]
+def test_encoder_equals_the_tokenizer():
+    texts = [t or "" for _, t, *_ in rows()]
     texts += ["a  b", " lead", "trail ", "x\n\ny", "x\n y", "x \ny", "tab\tx", "a b c", "it's we'll\n'tis", "\n", " ",
               "  ", "a\0b c", "1 22 333", "<|endoftext|> x", "é è\nñ", "　x y", "a\x1c b", "line\r\nline 2"]
     rng = np.random.default_rng(1)
     texts += ["".join(rng.choice(list("ab 1.\n\t'"), 40)) for _ in range(300)]
-    unit = pack.UnitTokenizer(VOCABULARY, remembered=500)
-    for own, want in zip(unit(texts), plain_ids(texts), strict=True):
-        assert np.frombuffer(own, dtype="<u2").tolist() == want
+    for segment in (100_000, 7):
+        encode = pack.Encoder(VOCABULARY, segment)
+        for t, want in zip(texts, plain_ids(texts), strict=True):
+            assert encode(t).tolist() == [*want, pack.END_ID]
 
 
 def test_hilbert_neighbours_touch():
