@@ -127,10 +127,3 @@ def change_counts(diff: DataFrame) -> DataFrame:
     counts = diff.groupBy("op").agg(F.count(F.lit(1)).alias("n"))
     return F.broadcast(ops).join(counts, "op", "left").select("op", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
-
-def guard_deletes(diff: DataFrame, max_delete_ratio: float) -> Column:
-    """A boolean column expression (over ``change_counts``-style aggregation) used by runners to refuse a run
-    whose source snapshot would close more than ``max_delete_ratio`` of the open versions (empty extract)."""
-    d = F.sum(F.when(F.col("op") == "D", 1).otherwise(0))
-    total = F.sum(F.when(F.col("op") != "I", 1).otherwise(0))
-    return (total == 0) | (d / total <= F.lit(max_delete_ratio))

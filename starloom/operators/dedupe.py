@@ -2,7 +2,8 @@
 
 ``dropDuplicates(subset)`` keeps an arbitrary row; these operators pick the row that is minimal (first) or
 maximal (last) under ``order`` -- ties broken by all remaining columns, so the result does not depend on
-partitioning or retries. They run as ``min_by``/``max_by`` aggregates: partial aggregation collapses each key on
+partitioning or retries. They run as ``min``/``max`` aggregates over
+one struct: partial aggregation collapses each key on
 the map side before the shuffle, so a key that holds a third of all rows costs one row per map task, not a
 third of the data in one reducer.
 """
@@ -15,29 +16,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _order_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> Column:
-    cols: list[Column] = []
-    named = []
-    for i, o in enumerate(order):
-        if isinstance(o, str):
-            cols.append(F.col(o).alias(f"_o{i}"))
-            named.append(o)
-        else:
-            cols.append(o.alias(f"_o{i}"))
-    rest = [c for c in df.columns if c not in keys and c not in named]
-    cols += [F.col(c).alias(f"_r{j}") for j, c in enumerate(rest)]
-    return F.struct(*cols)
-
-
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], last: bool) -> DataFrame:
+    """The row is carried once, in the order it is compared in: ``order`` first, then all other columns."""
     keys = list(keys)
-    payload_cols = [c for c in df.columns if c not in keys]
-    if not payload_cols:
+    payload = [c for c in df.columns if c not in keys]
+    if not payload:
         return df.select(*keys).distinct()
-    payload = F.struct(*[F.col(c) for c in payload_cols])
-    ordering = _order_struct(df, keys, order)
-    agg = F.max_by(payload, ordering) if last else F.min_by(payload, ordering)
-    return df.groupBy(*keys).agg(agg.alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload_cols])
+    cols = [F.col(o).alias(f"_o{i}") if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order)]
+    place = {o: f"_o{i}" for i, o in enumerate(order) if isinstance(o, str)}
+    rest = [c for c in payload if c not in place]
+    place |= {c: f"_r{j}" for j, c in enumerate(rest)}
+    row = F.struct(*cols, *[F.col(c).alias(place[c]) for c in rest])
+    agg = F.max(row) if last else F.min(row)
+    return df.groupBy(*keys).agg(agg.alias("_row")).select(*keys, *[F.col(f"_row.{place[c]}").alias(c) for c in payload])
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:

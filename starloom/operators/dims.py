@@ -127,20 +127,7 @@ def scd2_initial(
     return scd2_row(a, spec, F.col(VALID_FROM), ts_lit(FAR_FUTURE), F.lit(True))
 
 
-def current_rows(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
-    return dim.filter(F.col(spec.current))
-
-
-def close_interval_view(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """Presentation helper: the open sentinel shown as NULL (``9999-12-31`` does not fit pandas/Arrow ns)."""
-    return dim.withColumn(
-        spec.valid_to,
-        F.when(F.col(spec.valid_to) == ts_lit(FAR_FUTURE), F.lit(None).cast("timestamp_ntz"))
-        .otherwise(F.col(spec.valid_to)),
-    )
-
-
 __all__ = [
     "date_hours", "calendar_dim", "junk_dim", "flags_dim", "name_dim", "scd2_row", "scd2_initial",
-    "current_rows", "close_interval_view", "VALID_TO",
+    "VALID_TO",
 ]

@@ -2,17 +2,18 @@
 
 ``build_facts`` adds every lookup's key with a left join, then splits the rows into facts (all required keys
 found) and rejects (a ``reject_reason`` naming the first missing key). Rejects are data, not a printed count:
-a later run can feed them back (``replay_rejects``) once the missing dimension row exists.
+the next run feeds them back (``replay_rejects``), until the missing dimension row exists.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookup import anti_join, lookup_key
+from starloom.functions.hashing import hash_key
+from starloom.operators.lookup import anti_join, lookup_key, semi_join
 from starloom.spec import LookupSpec
 
 REJECT_REASON = "reject_reason"
@@ -50,16 +51,22 @@ def build_facts(
     measures: Sequence[Column] = (),
     required: Sequence[str] | None = None,
     carry: Sequence[str] = (),
+    key: tuple[str, str] | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Look up keys, compute ``measures`` and split into ``(facts, rejects)``.
 
     ``required`` defaults to the keys of the lookups marked ``required``; ``carry`` lists source columns kept
-    in the output (ids, degenerate dimensions).
+    in the output (ids, degenerate dimensions); ``key`` = (name, id column) adds the fact's own surrogate key. ``cut``
+    (e.g. ``materialize``) is applied to the looked-up rows before the split, so that a caller that writes both
+    halves runs the lookups once.
     """
     looked = apply_lookups(df, dims, lookups)
     keys = [lk.key for lk in lookups]
     req = list(required) if required is not None else [lk.key for lk in lookups if lk.required]
-    out = looked.select(*carry, *keys, *measures)
+    own = [hash_key(looked, [key[1]]).alias(key[0])] if key else []
+    out = looked.select(*own, *carry, *keys, *measures)
+    out = cut(out) if cut else out
     return split_facts(out, [c for c in req])
 
 
@@ -79,14 +86,19 @@ def attach_parent(child: DataFrame, parent: DataFrame, on: tuple[str, str], cols
 
 
 def new_facts_only(candidates: DataFrame, existing_facts: DataFrame, id_cols: Sequence[str]) -> DataFrame:
-    """Insert-only facts: drop candidates whose id is already in the fact table."""
-    return anti_join(candidates, existing_facts, list(id_cols), null_safe=False)
+    """Insert-only facts: drop candidates whose id is already in the fact table. The facts are reduced to the
+    candidates' ids first (a day's candidates are few; adaptive execution broadcasts them), so the history isn't
+    shuffled."""
+    seen = semi_join(existing_facts.select(*id_cols), candidates.select(*id_cols), list(id_cols))
+    return anti_join(candidates, seen, list(id_cols), null_safe=False)
 
 
-def replay_rejects(window_rows: DataFrame, previous_rejects: DataFrame | None, id_cols: Sequence[str]) -> DataFrame:
-    """Union the run window with earlier rejects (same schema, reason dropped) so late dimensions heal them."""
+def replay_rejects(window_rows: DataFrame, archive: DataFrame, previous_rejects: DataFrame | None, id_col: str
+                   ) -> DataFrame:
+    """The run window's rows and, for each earlier reject outside it, the archive's row of that id, so that a
+    dimension row that came late heals it. ``archive``: the rows that may become facts (open versions)."""
     if previous_rejects is None:
         return window_rows
-    prev = previous_rejects.drop(REJECT_REASON).select(*window_rows.columns)
-    prev = anti_join(prev, window_rows, list(id_cols), null_safe=False)
-    return window_rows.unionByName(prev)
+    again = semi_join(archive, previous_rejects, [id_col])
+    again = anti_join(again, window_rows, [id_col], null_safe=False)
+    return window_rows.unionByName(again.select(*window_rows.columns))

@@ -177,6 +177,10 @@ WEATHER = JunkDimSpec(
     order=("_src_order",),
 )
 DAYLIGHT_DIM = JunkDimSpec(name="dim_daylight", key="daylight_key", natural_key=DAYLIGHT_COLUMNS)
+#: The surrogate key of every dimension.
+DIM_KEYS = {"dim_date": "date_key", "dim_location": "location_key", "dim_weather": "weather_key",
+            "dim_road_features": "road_features_key", "dim_daylight": "daylight_key",
+            "dim_service_type": "service_type_key", **{n: s.key for n, s in SCD2_DIMS.items()}}
 
 
 # --------------------------------------------------------------------------------------------------------------
@@ -322,10 +326,9 @@ def dim_employee(archive: DataFrame) -> DataFrame:
     return D.scd2_initial(archive, DIM_EMPLOYEE, keep="first")
 
 
-def dim_part(archive: DataFrame, by_number: bool = True) -> DataFrame:
-    """Open versions, last by id, then last by part number (``by_number=False`` skips stage two)."""
-    return D.scd2_initial(archive, DIM_PART, keep="last", second_key=("part_number",) if by_number else (),
-                          require=("part_number",))
+def dim_part(archive: DataFrame) -> DataFrame:
+    """Open versions, last by id, then last by part number."""
+    return D.scd2_initial(archive, DIM_PART, keep="last", second_key=("part_number",), require=("part_number",))
 
 
 def dim_service_type(appts: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -357,16 +360,16 @@ def scd2_update(dim: DataFrame, archive: DataFrame, name: str, last_run, run_ts,
 # --------------------------------------------------------------------------------------------------------------
 # Facts
 # --------------------------------------------------------------------------------------------------------------
-LK_DATE = LookupSpec(dim="dim_date", key="date_key", on=(("_date_key", "date_key"),), bounded=True)
+LK_DATE = LookupSpec(dim="dim_date", key="date_key", on=(("_date_key", "date_key"),))
 LK_SERVICE_TYPE = LookupSpec(dim="dim_service_type", key="service_type_key",
-                             on=(("_service_type", "service_type_name"),), bounded=True)
+                             on=(("_service_type", "service_type_name"),))
 
 
 def _lk_scd2(dim: str, key: str, fact_col: str, id_col: str, current: bool, required: bool = True) -> LookupSpec:
     return LookupSpec(dim=dim, key=key, on=((fact_col, id_col),), current_only=current, required=required)
 
 
-def fact_accidents(accidents: DataFrame, dims: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+def fact_accidents(accidents: DataFrame, dims: Mapping[str, DataFrame], cut=None) -> tuple[DataFrame, DataFrame]:
     """five lookups (date by start hour; location, weather, daylight null-safe; road features by mask);
     ``duration_minutes`` from start/end; id, date and location required."""
     src = accidents.select(
@@ -393,14 +396,14 @@ def fact_accidents(accidents: DataFrame, dims: Mapping[str, DataFrame]) -> tuple
                        ("_vis", "visibility_mi"))),
         LookupSpec(dim="dim_road_features", key="road_features_key", on=(("_rf", "road_features_key"),),
                    bounded=True, required=False),
-        LookupSpec(dim="dim_daylight", key="daylight_key", null_safe=True, bounded=True, required=False,
+        LookupSpec(dim="dim_daylight", key="daylight_key", null_safe=True, required=False,
                    on=tuple((f"_{t}", t) for t in DAYLIGHT_COLUMNS)),
     ]
     return FX.build_facts(
         src, dims, lookups,
         measures=[F.col(c) for c in ("severity", "distance_mi", "duration_minutes", "description", "source_system")],
         required=["original_accident_id", "date_key", "location_key"],
-        carry=["original_accident_id"],
+        carry=["original_accident_id"], key=("fact_accident_key", "original_accident_id"), cut=cut,
     )
 
 
@@ -414,7 +417,7 @@ def _appointment_src(appts: DataFrame) -> DataFrame:
 
 
 def fact_service_appointments(appts: DataFrame, dims: Mapping[str, DataFrame], current_only: bool = False,
-                              zero_fill: bool = True) -> tuple[DataFrame, DataFrame]:
+                              zero_fill: bool = True, cut=None) -> tuple[DataFrame, DataFrame]:
     """Date, customer, vehicle, employee (optional), service type; measures NULL -> 0."""
     src = _appointment_src(appts)
     lookups = [
@@ -431,12 +434,13 @@ def fact_service_appointments(appts: DataFrame, dims: Mapping[str, DataFrame], c
         for c in ("total_labor_hours", "total_parts_cost", "total_service_cost")
     ]
     return FX.build_facts(src, dims, lookups, measures=measures, carry=["original_appointment_id"],
+                          key=("fact_service_appointment_key", "original_appointment_id"), cut=cut,
                           required=["original_appointment_id", "date_key", "customer_key", "vehicle_key",
                                     "service_type_key"])
 
 
 def fact_service_parts_usage(details: DataFrame, appts: DataFrame, dims: Mapping[str, DataFrame],
-                             current_only: bool = False) -> tuple[DataFrame, DataFrame]:
+                             current_only: bool = False, cut=None) -> tuple[DataFrame, DataFrame]:
     """Details with a part, attached to their appointment (date, vehicle); lookups date, vehicle,
     part; ``total_cost_for_part_line = qty * unit cost``. Details without an appointment are rejects too."""
     d = details.filter(F.col("part_id").isNotNull())
@@ -463,6 +467,7 @@ def fact_service_parts_usage(details: DataFrame, appts: DataFrame, dims: Mapping
         src, dims, lookups,
         measures=[F.col(c) for c in ("quantity_used", "unit_cost_at_time_of_service", "total_cost_for_part_line")],
         carry=["original_service_detail_id", "original_appointment_id"],
+        key=("fact_service_parts_usage_key", "original_service_detail_id"), cut=cut,
         required=["original_service_detail_id", "original_appointment_id", "date_key", "vehicle_key", "part_key"],
     )
     orphan_rejects = orphans.select(
@@ -480,25 +485,26 @@ def window_rows(archive: DataFrame, last_run, run_ts, open_only: bool = True) ->
 
 def fact_service_appointments_incremental(appts_archive: DataFrame, existing_facts: DataFrame,
                                           dims: Mapping[str, DataFrame], last_run, run_ts,
-                                          previous_rejects: DataFrame | None = None):
-    """new open appointment versions of the window, not yet in the fact (insert-only), current dims."""
+                                          previous_rejects: DataFrame | None = None, cut=None):
+    """new open appointment versions of the window and those rejected before, not yet in the fact (insert-only),
+    against current dimension rows."""
     w = window_rows(appts_archive, last_run, run_ts)
-    w = FX.replay_rejects(w, previous_rejects, ["original_appointment_id"])
+    w = FX.replay_rejects(w, A.open_versions(appts_archive), previous_rejects, "original_appointment_id")
     w = FX.new_facts_only(w, existing_facts, ["original_appointment_id"])
-    return fact_service_appointments(w, dims, current_only=True)
+    return fact_service_appointments(w, dims, current_only=True, cut=cut)
 
 
 def fact_service_parts_usage_incremental(details_archive: DataFrame, appts_archive: DataFrame,
                                          existing_facts: DataFrame, dims: Mapping[str, DataFrame], last_run,
-                                         run_ts):
-    """new open detail versions of the window with a part, against open appointments and current dims."""
-    w = window_rows(details_archive, last_run, run_ts).filter(F.col("part_id").isNotNull())
+                                         run_ts, previous_rejects: DataFrame | None = None, cut=None):
+    """new open detail versions of the window with a part and those rejected before, against open appointments
+    and current dims."""
+    has_part = F.col("part_id").isNotNull()
+    w = window_rows(details_archive, last_run, run_ts).filter(has_part)
+    w = FX.replay_rejects(w, A.open_versions(details_archive).filter(has_part), previous_rejects,
+                          "original_service_detail_id")
     w = FX.new_facts_only(w, existing_facts, ["original_service_detail_id"])
-    return fact_service_parts_usage(w, A.open_versions(appts_archive), dims, current_only=True)
-
-
-def first_wins(df: DataFrame, keys, order) -> DataFrame:
-    return keep_first(df, keys, order)
+    return fact_service_parts_usage(w, A.open_versions(appts_archive), dims, current_only=True, cut=cut)
 
 
 __all__ = [n for n in dir() if not n.startswith("_")]

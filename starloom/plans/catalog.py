@@ -6,7 +6,9 @@ after; results go through ``finalize`` (engine-neutral types).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +26,12 @@ from starloom.operators.scd2 import scd2_rebuild
 from starloom.plans import car_service as CS
 from starloom.plans import stand_in as SI
 from starloom.plans import state as ST
+from starloom.plans.loads import run_full, run_id_of, run_incremental, table_digests
 from starloom.plans.output import finalize
-from starloom.sources.store import materialize
+from starloom.session import checkpoint_dir
+from starloom.sources.sql import register_views, run_sql
+from starloom.sources.store import Store, materialize
+from starloom.sources.tables import read_csv_with_quarantine, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -210,9 +216,9 @@ def a13_appointment_changes(spark, sf):
 
 
 # ------------------------------------------------------------------------------------------------- step 3: dims
-def _dims(spark, sf, by_number=False):
+def _dims(spark, sf):
     arch = ST.initial_archives(spark, sf)
-    return arch, ST.initial_dims(arch, by_number)
+    return arch, ST.initial_dims(arch, written=False)
 
 
 @query("d1_dim_date")
@@ -257,7 +263,7 @@ def d8_dim_employee(spark, sf):
 
 @query("d9_dim_part")
 def d9_dim_part(spark, sf):
-    return finalize(_dims(spark, sf, by_number=True)[1]["dim_part"])
+    return finalize(_dims(spark, sf)[1]["dim_part"])
 
 
 @query("d10_dim_service_type")
@@ -326,9 +332,6 @@ def d17_service_type_incr(spark, sf):
     return finalize(CS.dim_service_type_incremental(appts1, dims["dim_service_type"], SI.T0, SI.T1))
 
 
-QUERY_NAMES = list(QUERIES)
-
-
 # ------------------------------------------------------------------------------------------------- step 5: facts
 @query("f1_fact_accidents")
 def f1_fact_accidents(spark, sf):
@@ -357,7 +360,7 @@ def f5_fact_parts_incr(spark, sf):
 
 @query("f_rejects")
 def f_rejects(spark, sf):
-    wh = ST.initial_warehouse(spark, sf, part_by_number=True)
+    wh = ST.initial_warehouse(spark, sf)
     return finalize(wh.rejects["fact_service_parts_usage"])
 
 
@@ -373,7 +376,7 @@ def _all_tables(wh: ST.Warehouse) -> dict[str, DataFrame]:
 
 @query("q1_row_counts")
 def q1_row_counts(spark, sf):
-    return finalize(Q.row_counts(_all_tables(ST.initial_warehouse(spark, sf))))
+    return finalize(Q.row_counts(_all_tables(ST.initial_warehouse(spark, sf, share=True))))
 
 
 FACT_REQUIRED = {
@@ -388,7 +391,7 @@ FACT_REQUIRED = {
 
 @query("q2_fk_nulls")
 def q2_fk_nulls(spark, sf):
-    wh = ST.initial_warehouse(spark, sf)
+    wh = ST.initial_warehouse(spark, sf, share=True)
     parts = [Q.null_counts(wh.facts[t], t, cols) for t, cols in FACT_REQUIRED.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -398,7 +401,7 @@ def q2_fk_nulls(spark, sf):
 
 @query("q3_star_join")
 def q3_star_join(spark, sf):
-    wh = ST.initial_warehouse(spark, sf)
+    wh = ST.initial_warehouse(spark, sf, share=True)
     d = wh.dims
     acc = Q.star_join_count(wh.facts["fact_accidents"], [(d["dim_date"], "date_key"),
                                                           (d["dim_location"], "location_key")])
@@ -424,7 +427,7 @@ UNIQUE_KEYS = {
 
 @query("q4_uniqueness")
 def q4_uniqueness(spark, sf):
-    wh = ST.initial_warehouse(spark, sf)
+    wh = ST.initial_warehouse(spark, sf, share=True)
     tabs = _all_tables(wh)
     parts = [Q.uniqueness_summary(tabs[t], t, keys) for t, keys in UNIQUE_KEYS.items()]
     key_parts = [Q.uniqueness_summary(wh.dims[t], t, [k]) for t, k in
@@ -437,7 +440,7 @@ def q4_uniqueness(spark, sf):
 
 @query("q5_load_accounting")
 def q5_load_accounting(spark, sf):
-    wh = ST.initial_warehouse(spark, sf, part_by_number=True)
+    wh = ST.initial_warehouse(spark, sf, share=True)
     cand = wh.archives["archive_service_details"].filter(F.col("part_id").isNotNull())
     return finalize(Q.load_accounting(cand, wh.facts["fact_service_parts_usage"],
                                       wh.rejects["fact_service_parts_usage"], "fact_service_parts_usage"))
@@ -484,46 +487,146 @@ def m3_staff_performance(spark, sf):
 
 @query("m4_drill_across")
 def m4_drill_across(spark, sf):
-    wh = ST.initial_warehouse(spark, sf)
+    wh = ST.initial_warehouse(spark, sf, share=True)
     dd = wh.dims["dim_date"].select("date_key", "full_date")
-    acc = wh.facts["fact_accidents"].join(F.broadcast(dd), "date_key").groupBy("full_date").agg(
+    acc = wh.facts["fact_accidents"].join(dd, "date_key").groupBy("full_date").agg(
         F.count(F.lit(1)).alias("accidents"))
-    app = wh.facts["fact_service_appointments"].join(F.broadcast(dd), "date_key").groupBy("full_date").agg(
+    app = wh.facts["fact_service_appointments"].join(dd, "date_key").groupBy("full_date").agg(
         F.count(F.lit(1)).alias("appointments"),
         F.sum(F.col("total_service_cost").cast("decimal(18,2)")).alias("billed"))
     return finalize(M.drill_across(acc, app, ["full_date"], fill=["accidents", "appointments", "billed"]))
 
 
-QUERY_NAMES = list(QUERIES)
+# ------------------------------------------------------------------------------------------ step 7: load runs
+def _fresh_store(spark) -> Store:
+    return Store(spark, f"{checkpoint_dir(spark).rstrip('/')}/starloom-wh-{uuid.uuid4().hex}")
 
 
-# ------------------------------------------------------------------------------------------ step 7: load runs
-def _fresh_store(spark) -> "Store":
-    import uuid
+def _full(spark, sf, store, ts=SI.T0):
+    run_full(spark, store, SI.sources(spark, sf, 0), ts, SI.accident_extract_raw(spark, sf))
 
-    from starloom.session import checkpoint_dir
-    from starloom.sources.store import Store
 
-    return Store(spark, f"{checkpoint_dir(spark).rstrip('/')}/starloom-wh-{uuid.uuid4().hex}")
+#: The columns whose contents the load queries digest, per table (archives: business columns).
+DIGEST_COLUMNS = {
+    "archive_customers": ["original_customer_id", "first_name", "last_name", "address", "city", "state"],
+    "archive_vehicles": ["original_vehicle_id", "customer_id", "VIN", "make"],
+    "archive_employees": ["original_employee_id", "first_name", "role"],
+    "archive_parts_inventory": ["original_part_id", "part_name", "part_number", "category", "unit_cost"],
+    "archive_service_appointments": ["original_appointment_id", "customer_id", "appointment_date", "appointment_time",
+                                     "service_type", "status", "technician_id", "total_service_cost"],
+    "archive_service_details": ["original_service_detail_id", "appointment_id", "part_id", "quantity_used",
+                                "unit_cost_at_time_of_service"],
+    "archive_accidents_csv": ["ID", "Severity", "City", "State", "Weather_Condition", "Temperature_F", "Bump"],
+}
 
 
 @query("p1_full_load")
 def p1_full_load(spark, sf):
-    from starloom.plans.loads import run_full, table_counts
+    store = _fresh_store(spark)
+    _full(spark, sf, store)
+    return finalize(table_digests(spark, store, DIGEST_COLUMNS))
+
 
+@query("p1_full_reload")
+def p1_full_reload(spark, sf):
+    """A second full load replaces the first: same contents as one."""
     store = _fresh_store(spark)
-    run_full(spark, store, SI.sources(spark, sf, 0), SI.T0, SI.accident_extract_raw(spark, sf))
-    return finalize(table_counts(spark, store))
+    _full(spark, sf, store, SI.T0 - timedelta(days=1))
+    _full(spark, sf, store)
+    return finalize(table_digests(spark, store, DIGEST_COLUMNS))
 
 
 @query("p2_incremental_load")
 def p2_incremental_load(spark, sf):
-    from starloom.plans.loads import run_full, run_incremental, table_counts
+    store = _fresh_store(spark)
+    _full(spark, sf, store)
+    run_incremental(spark, store, SI.sources(spark, sf, 1), SI.T1)
+    return finalize(table_digests(spark, store, DIGEST_COLUMNS))
+
 
+@query("p4_reject_replay")
+def p4_reject_replay(spark, sf):
+    """Appointments rejected on day 1 (their customers were missing) become facts on day 2, when the customers are
+    back; with the number of rejects left."""
     store = _fresh_store(spark)
-    run_full(spark, store, SI.sources(spark, sf, 0), SI.T0, SI.accident_extract_raw(spark, sf))
+    _full(spark, sf, store)
     run_incremental(spark, store, SI.sources(spark, sf, 1), SI.T1)
-    return finalize(table_counts(spark, store))
+    run_incremental(spark, store, SI.sources(spark, sf, 2), SI.T2)
+    day1 = store.read("rejects_fact_service_appointments", run_id=run_id_of(SI.T1)).select("original_appointment_id")
+    left = store.read("rejects_fact_service_appointments").select("original_appointment_id").withColumn("_left", F.lit(1))
+    facts = store.read("fact_service_appointments").select(
+        "original_appointment_id", "customer_key", "vehicle_key", "date_key")
+    out = day1.join(facts, "original_appointment_id", "left").join(left, "original_appointment_id", "left")
+    return finalize(out.select("original_appointment_id", "customer_key", "vehicle_key", "date_key",
+                               F.coalesce("_left", F.lit(0)).alias("still_rejected")))
+
+
+# ------------------------------------------------------------------------------------------ sources
+@query("s2_csv_round_trip")
+def s2_csv_round_trip(spark, sf):
+    """``documents`` written as CSV and read back: texts with quotes, commas and line breaks survive."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/starloom-csv-{uuid.uuid4().hex}"
+    docs = SI.table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    write_csv(docs, path)
+    good, bad = read_csv_with_quarantine(spark, path, ["n_chars", "doc_id", "source", "lang", "text", "absent"])
+    rows = good.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("text_md5"), "lang", "source",
+                       F.col("n_chars").cast("bigint").alias("n_chars"), F.col("absent").alias("absent"))
+    lost = bad.select(F.lit(None).cast("bigint").alias("doc_id"), F.md5("line").alias("text_md5"),
+                      *[F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("source", "string"),
+                                                                  ("n_chars", "bigint"), ("absent", "string"))])
+    return finalize(rows.unionByName(lost))
+
+
+@query("s9_parameterised_sql")
+def s9_parameterised_sql(spark, sf):
+    """Published tables as views, queried with named parameters."""
+    wh = ST.initial_warehouse(spark, sf)
+    views = register_views({"fact_service_appointments": wh.facts["fact_service_appointments"],
+                            "dim_service_type": wh.dims["dim_service_type"]}, "s9_")
+    return finalize(run_sql(spark, f"""
+        SELECT t.service_type_name, count(*) AS appointments, sum(f.total_service_cost) AS billed
+        FROM {views['fact_service_appointments']} f JOIN {views['dim_service_type']} t USING (service_type_key)
+        WHERE f.total_service_cost >= :least GROUP BY t.service_type_name""", {"least": 1000}))
+
+
+@query("x9_timestamp_coerce")
+def x9_timestamp_coerce(spark, sf):
+    e = SI.table(spark, sf, "events")
+    text = F.when(F.col("event_type") == "error", F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return finalize(e.select("event_id", X.to_timestamp_ntz(text).alias("at"),
+                             X.to_date(F.substring(text, 1, 10)).alias("on_day")))
+
+
+@query("x20_boolean_coerce")
+def x20_boolean_coerce(spark, sf):
+    e = SI.table(spark, sf, "events")
+    text = (F.when(F.col("event_type") == "click", "True").when(F.col("event_type") == "view", "false")
+            .when(F.col("event_type") == "error", "maybe").otherwise("no"))
+    return finalize(e.select("event_id", X.to_boolean(text).alias("flag"),
+                             F.coalesce(X.to_boolean(text), F.lit(False)).alias("flag_or_false")))
+
+
+@query("a3_archive_vehicles")
+def a3_archive_vehicles(spark, sf):
+    a = ST.initial_archives(spark, sf)["archive_vehicles"]
+    return finalize(a.select("original_vehicle_id", "customer_id", "VIN", "make", "load_timestamp", "valid_to_timestamp"))
+
+
+@query("a4_archive_employees")
+def a4_archive_employees(spark, sf):
+    a = ST.initial_archives(spark, sf)["archive_employees"]
+    return finalize(a.select("original_employee_id", "first_name", "last_name", "role", "load_timestamp"))
+
+
+@query("a5_archive_parts")
+def a5_archive_parts(spark, sf):
+    a = ST.initial_archives(spark, sf)["archive_parts_inventory"]
+    return finalize(a.select("original_part_id", "part_name", "part_number", "category", "current_stock_quantity",
+                             "unit_cost", "load_timestamp"))
 
 
-QUERY_NAMES = list(QUERIES)
+@query("a7_archive_details")
+def a7_archive_details(spark, sf):
+    a = ST.initial_archives(spark, sf)["archive_service_details"]
+    return finalize(a.select("original_service_detail_id", "appointment_id", "part_id", "quantity_used",
+                             "unit_cost_at_time_of_service", "task_description", "load_timestamp"))

@@ -92,7 +92,7 @@ def cust_base(day: int) -> str:
     if day == 0:
         return "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer"
     b = ("SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 20 = 3 THEN 'CHANGED' ELSE c_mktsegment END "
-         "AS c_mktsegment FROM customer UNION ALL SELECT c_custkey + 1000000, c_name, c_nationkey, c_mktsegment "
+         "AS c_mktsegment FROM customer UNION ALL SELECT c_custkey + 1099511627776, c_name, c_nationkey, c_mktsegment "
          "FROM customer WHERE c_custkey % 100 = 1")
     if day == 1:
         b = f"SELECT * FROM ({b}) WHERE c_custkey % 50 <> 7"
@@ -120,7 +120,7 @@ def orders_base(day: int) -> str:
         return "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
     return ("SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 25 = 0 THEN 'CANCELLED' ELSE o_orderstatus END "
             "AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders UNION ALL "
-            "SELECT o_orderkey + 1000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate + INTERVAL 1 DAY + INTERVAL 9 HOUR, "
+            "SELECT o_orderkey + 1099511627776, o_custkey, o_orderstatus, o_totalprice, o_orderdate + INTERVAL 1 DAY + INTERVAL 9 HOUR, "
             "o_orderpriority || '-REPEAT' FROM orders WHERE o_orderkey % 40 = 1")
 
 
@@ -141,19 +141,24 @@ APPT_HASH = canon([n_str("appointment_date_s"), n_str("appointment_time"), n_int
 
 LI_ORDER = ("l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, "
             "l_shipdate")
-LI_FIRST = ("li AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
-            f"ORDER BY {LI_ORDER}) AS rn FROM lineitem) WHERE rn = 1)")
+LI_FIRST = "li AS (SELECT DISTINCT * FROM lineitem)"
+DETAIL_ID = hkey([n_int("l_orderkey"), n_int("l_partkey"), n_int("l_suppkey"), n_int("l_linenumber"),
+                  *(n_int(f"CAST(round({c} * 100) AS BIGINT)") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+                  n_str("l_returnflag"), n_str("l_linestatus"), n_date("l_shipdate")])
+PART_NUMBER = "'PN' || CAST(p_partkey - CASE WHEN p_partkey % 20 = 19 THEN 1 ELSE 0 END AS VARCHAR)"
+KEPT_PARTS = (f"kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {PART_NUMBER} ORDER BY p_partkey DESC) "
+              "AS rn FROM part) WHERE rn = 1)")
 
 
 def details(name: str, day: int) -> str:
     src = "SELECT * FROM li" if day == 0 else (
-        "SELECT * FROM li UNION ALL SELECT * REPLACE (l_orderkey + 1000000000 AS l_orderkey) FROM li "
+        "SELECT * FROM li UNION ALL SELECT * REPLACE (l_orderkey + 1099511627776 AS l_orderkey) FROM li "
         "WHERE l_orderkey % 40 = 1")
-    return (f"{name} AS (SELECT l_orderkey * 10 + l_linenumber AS service_detail_id, l_orderkey AS appointment_id, "
+    return (f"{name} AS (SELECT {DETAIL_ID} AS service_detail_id, l_orderkey AS appointment_id, "
             "l_partkey AS part_id, CAST(l_quantity AS INTEGER) AS quantity_used, "
             "CASE WHEN CAST(l_quantity AS BIGINT) > 0 THEN CAST(CAST((CAST(round(l_extendedprice * 100) AS BIGINT) * 2 "
             "+ CAST(l_quantity AS BIGINT)) // (CAST(l_quantity AS BIGINT) * 2) AS DECIMAL(12,0)) * 0.01 AS DECIMAL(10,2)) END "
-            "AS unit_cost, l_shipdate AS created_at "
+            "AS unit_cost, l_returnflag || l_linestatus AS task_description, l_shipdate AS created_at "
             f"FROM ({src}))")
 
 
@@ -417,15 +422,13 @@ SQL["d8_dim_employee"] = (
 )
 
 
-def part_dim(by_number: bool) -> str:
-    src = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) AS rn " \
-          "FROM part) WHERE rn = 1)" if by_number else "part"
-    return (f"SELECT {scd_key('p_partkey', T0)} AS part_key, p_partkey AS original_part_id, p_brand AS part_name, "
-            f"p_name AS part_number, p_type AS category, {ts_out(T0)} AS dim_valid_from, {NULL_TS} AS dim_valid_to, "
-            f"TRUE AS is_current FROM {src}")
+def part_dim() -> str:
+    return (f"WITH {KEPT_PARTS} SELECT {scd_key('p_partkey', T0)} AS part_key, p_partkey AS original_part_id, p_brand AS part_name, "
+            f"{PART_NUMBER} AS part_number, p_type AS category, {ts_out(T0)} AS dim_valid_from, {NULL_TS} AS dim_valid_to, "
+            f"TRUE AS is_current FROM kept")
 
 
-SQL["d9_dim_part"] = part_dim(True)
+SQL["d9_dim_part"] = part_dim()
 SQL["d10_dim_service_type"] = (
     with_(appointments("a0", 0))
     + f"SELECT DISTINCT {hkey([n_str(strip('service_type'))])} AS service_type_key, {strip('service_type')} "
@@ -500,7 +503,7 @@ _ACC_DAY_KEY = hkey([n_str(x) for x in _ACC_DAY])
 _US = "datediff('microsecond', Start_Time, End_Time)"
 F1 = (
     with_(ACC)
-    + f"SELECT ID AS original_accident_id, {date_key('CAST(Start_Time AS DATE)', 'hour(Start_Time)')} AS date_key, "
+    + f"SELECT {hkey([n_str('ID')])} AS fact_accident_key, ID AS original_accident_id, {date_key('CAST(Start_Time AS DATE)', 'hour(Start_Time)')} AS date_key, "
     f"{_ACC_LOC_KEY} AS location_key, CASE WHEN {_ACC_WEA_NULL} THEN NULL ELSE {_ACC_WEA_KEY} END AS weather_key, "
     f"{flags_mask()} AS road_features_key, CASE WHEN {_ACC_DAY_NULL} THEN NULL ELSE {_ACC_DAY_KEY} END AS daylight_key, "
     "Severity::BIGINT AS severity, CAST(Distance_mi AS DOUBLE) AS distance_mi, "
@@ -511,7 +514,8 @@ SQL["f1_fact_accidents"] = F1
 
 
 def appt_fact(src: str, key_of_customer: str, key_of_vehicle: str) -> str:
-    return (f"SELECT appointment_id AS original_appointment_id, "
+    return (f"SELECT {hkey([n_int('appointment_id')])} AS fact_service_appointment_key, "
+            f"appointment_id AS original_appointment_id, "
             f"{date_key('appointment_date', hour_of('appointment_time'))} AS date_key, "
             f"{key_of_customer} AS customer_key, {key_of_vehicle} AS vehicle_key, "
             f"CASE WHEN technician_id IS NOT NULL THEN {scd_key('technician_id', T0)} END AS employee_key, "
@@ -525,22 +529,22 @@ SQL["f2_fact_appointments"] = F2
 
 
 def parts_fact(details_src: str, appts_src: str, vehicle_key: str, part_key: str) -> str:
-    return (f"SELECT d.service_detail_id AS original_service_detail_id, d.appointment_id AS original_appointment_id, "
+    return (f"SELECT {hkey([n_int('d.service_detail_id')])} AS fact_service_parts_usage_key, "
+            f"d.service_detail_id AS original_service_detail_id, d.appointment_id AS original_appointment_id, "
             f"{date_key('a.appointment_date', hour_of('a.appointment_time'))} AS date_key, {vehicle_key} AS vehicle_key, "
             f"{part_key} AS part_key, coalesce(d.quantity_used, 0)::BIGINT AS quantity_used, "
             "CAST(coalesce(d.unit_cost, 0) AS DOUBLE) AS unit_cost_at_time_of_service, "
             "CAST(coalesce(d.quantity_used, 0) * coalesce(d.unit_cost, 0) AS DOUBLE) AS total_cost_for_part_line "
             f"FROM {details_src} d JOIN {appts_src} a ON d.appointment_id = a.appointment_id "
-            "WHERE d.part_id IS NOT NULL")
+            "WHERE d.part_id IN (SELECT p_partkey FROM kept)")
 
 
-F3 = (with_(LI_FIRST, details("d0", 0), appointments("a0", 0))
+F3 = (with_(LI_FIRST, KEPT_PARTS, details("d0", 0), appointments("a0", 0))
       + parts_fact("d0", "a0", scd_key("a.vehicle_id", T0), scd_key("d.part_id", T0)))
 SQL["f3_fact_parts_usage"] = F3
 
-_KEPT64 = "kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) AS rn FROM part) WHERE rn = 1)"
 SQL["f_rejects"] = (
-    with_(LI_FIRST, details("d0", 0), _KEPT64)
+    with_(LI_FIRST, details("d0", 0), KEPT_PARTS)
     + "SELECT service_detail_id AS original_service_detail_id, appointment_id AS original_appointment_id, "
     "'missing_part_key' AS reject_reason FROM d0 WHERE part_id IS NOT NULL AND part_id NOT IN (SELECT p_partkey FROM kept)"
 )
@@ -559,13 +563,13 @@ _F4_ALL = (with_(*_INC_CTES, "na AS (SELECT * FROM a1 WHERE appointment_id NOT I
            + "SELECT * FROM (" + appt_fact("na", cur_key("na.customer_id"), cur_key("na.vehicle_id")) + ")")
 SQL["f4_fact_appointments_incr"] = _F4_ALL + " WHERE customer_key IS NOT NULL AND vehicle_key IS NOT NULL"
 SQL["f_rejects_incr"] = (
-    "SELECT original_appointment_id, date_key, customer_key, vehicle_key, employee_key, service_type_key, "
-    "total_labor_hours, total_parts_cost, total_service_cost, CASE WHEN customer_key IS NULL THEN "
+    "SELECT fact_service_appointment_key, original_appointment_id, date_key, customer_key, vehicle_key, employee_key, "
+    "service_type_key, total_labor_hours, total_parts_cost, total_service_cost, CASE WHEN customer_key IS NULL THEN "
     "'missing_customer_key' ELSE 'missing_vehicle_key' END AS reject_reason FROM (" + _F4_ALL
     + ") WHERE customer_key IS NULL OR vehicle_key IS NULL"
 )
 SQL["f5_fact_parts_incr"] = (
-    with_(*_INC_CTES, LI_FIRST, details("d0", 0), details("d1", 1),
+    with_(*_INC_CTES, LI_FIRST, KEPT_PARTS, details("d0", 0), details("d1", 1),
           "nd AS (SELECT * FROM d1 WHERE service_detail_id NOT IN (SELECT service_detail_id FROM d0))")
     + "SELECT * FROM (" + parts_fact("nd", "a1", cur_key("a.vehicle_id"), scd_key("d.part_id", T0))
     + ") WHERE vehicle_key IS NOT NULL"
@@ -593,7 +597,7 @@ _DIM_SQL = {
 SQL["q1_row_counts"] = " UNION ALL ".join(
     [_count(k, v) for k, v in _ARCH_COUNTS.items()]
     + [_count(k, SQL[v]) for k, v in _DIM_SQL.items()]
-    + [_count("dim_part", part_dim(False)), _count("fact_accidents", F1), _count("fact_service_appointments", F2),
+    + [_count("dim_part", part_dim()), _count("fact_accidents", F1), _count("fact_service_appointments", F2),
        _count("fact_service_parts_usage", F3)]
 )
 
@@ -645,7 +649,7 @@ SQL["q4_uniqueness"] = " UNION ALL ".join([
     _uniq("dim_customer", SQL["d6_dim_customer"], ["customer_key"]),
 ])
 SQL["q5_load_accounting"] = (
-    with_(LI_FIRST, details("d0", 0), _KEPT64)
+    with_(LI_FIRST, details("d0", 0), KEPT_PARTS)
     + "SELECT 'fact_service_parts_usage' AS \"table\", count(*)::BIGINT AS candidates, "
     "count(*) FILTER (WHERE part_id IN (SELECT p_partkey FROM kept))::BIGINT AS loaded, "
     "count(*) FILTER (WHERE part_id NOT IN (SELECT p_partkey FROM kept))::BIGINT AS rejected "
@@ -695,38 +699,151 @@ SQL["m4_drill_across"] = (
     "sum(TRY_CAST(o_totalprice AS DECIMAL(10,2))) AS billed FROM orders GROUP BY 1) b ON a.d = b.d"
 )
 
+# ------------------------------------------------------------------------------------------------- archives
+SQL["a3_archive_vehicles"] = (
+    with_(GEO, customers("c0", 0), VEH0)
+    + f"SELECT vehicle_id AS original_vehicle_id, customer_id, VIN, make, {ts_out(T0)} AS load_timestamp, "
+    f"{NULL_TS} AS valid_to_timestamp FROM v0"
+)
+SQL["a4_archive_employees"] = (
+    "SELECT s_suppkey AS original_employee_id, s_name AS first_name, CAST(NULL AS VARCHAR) AS last_name, "
+    f"'Technician' AS role, {ts_out(T0)} AS load_timestamp FROM supplier"
+)
+SQL["a5_archive_parts"] = (
+    f"SELECT p_partkey AS original_part_id, p_brand AS part_name, {PART_NUMBER} AS part_number, p_type AS category, "
+    "p_size::BIGINT AS current_stock_quantity, CAST(TRY_CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS unit_cost, "
+    f"{ts_out(T0)} AS load_timestamp FROM part"
+)
+SQL["a7_archive_details"] = (
+    with_(LI_FIRST, details("d0", 0))
+    + "SELECT service_detail_id AS original_service_detail_id, appointment_id, part_id, "
+    "quantity_used::BIGINT AS quantity_used, CAST(unit_cost AS DOUBLE) AS unit_cost_at_time_of_service, task_description, "
+    f"{ts_out(T0)} AS load_timestamp FROM d0"
+)
+
+# ------------------------------------------------------------------------------------------------- sources, scalars
+SQL["s2_csv_round_trip"] = (
+    "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars, CAST(NULL AS VARCHAR) AS absent FROM documents"
+)
+SQL["s9_parameterised_sql"] = (
+    "SELECT o_orderpriority AS service_type_name, count(*)::BIGINT AS appointments, "
+    "CAST(sum(TRY_CAST(o_totalprice AS DECIMAL(10,2))) AS DOUBLE) AS billed FROM orders "
+    "WHERE TRY_CAST(o_totalprice AS DECIMAL(10,2)) >= 1000 GROUP BY 1"
+)
+SQL["x9_timestamp_coerce"] = (
+    "SELECT event_id, CASE WHEN event_type <> 'error' THEN strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S.%f') END AS at, "
+    "CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d') END AS on_day FROM events"
+)
+SQL["x20_boolean_coerce"] = (
+    "SELECT event_id, CASE event_type WHEN 'click' THEN TRUE WHEN 'error' THEN NULL ELSE FALSE END AS flag, "
+    "event_type = 'click' AS flag_or_false FROM events"
+)
+
 # --------------------------------------------------------------------------------------------------- load runs
-SQL["p1_full_load"] = SQL["q1_row_counts"]
-
-
-def _plus(name: str, base_sql: str, extra_sql: str) -> str:
-    return (f"SELECT '{name}' AS \"table\", ((SELECT count(*) FROM ({base_sql})) + "
-            f"(SELECT count(*) FROM ({extra_sql})))::BIGINT AS rows")
-
-
-_CHANGED_CUST = with_(*_SCD_CTES) + "SELECT * FROM cd WHERE op IN ('I', 'U')"
-_CHANGED_APPT = with_(appointments("a0", 0), appointments("a1", 1)) + "SELECT * FROM a1 EXCEPT SELECT * FROM a0"
-_NEW_LINES = (with_(LI_FIRST, details("d0", 0), details("d1", 1))
-              + "SELECT * FROM d1 WHERE service_detail_id NOT IN (SELECT service_detail_id FROM d0)")
-SQL["p2_incremental_load"] = " UNION ALL ".join([
-    _plus("archive_customers", "SELECT * FROM customer", _CHANGED_CUST),
-    _plus("archive_vehicles", "SELECT * FROM customer", _CHANGED_CUST),
-    _count("archive_employees", "SELECT * FROM supplier"),
-    _count("archive_parts_inventory", "SELECT * FROM part"),
-    _plus("archive_service_appointments", "SELECT * FROM orders", _CHANGED_APPT),
-    _plus("archive_service_details", with_(LI_FIRST) + "SELECT * FROM li", _NEW_LINES),
-    _count("archive_accidents_csv", "SELECT * FROM events"),
-    _plus("dim_date", SQL["d1_dim_date"], SQL["d16_dim_date_incr"]),
-    _count("dim_location", SQL["d2_dim_location"]),
-    _count("dim_weather", SQL["d3_dim_weather"]),
-    _count("dim_road_features", SQL["d4_dim_flags"]),
-    _count("dim_daylight", SQL["d5_dim_daylight"]),
-    _count("dim_customer", SQL["d11_scd2_apply"]),
-    _plus("dim_vehicle", SQL["d7_dim_vehicle"], _CHANGED_CUST),
-    _count("dim_employee", SQL["d8_dim_employee"]),
-    _count("dim_part", part_dim(False)),
-    _plus("dim_service_type", SQL["d10_dim_service_type"], SQL["d17_service_type_incr"]),
-    _count("fact_accidents", F1),
-    _plus("fact_service_appointments", F2, SQL["f4_fact_appointments_incr"]),
-    _plus("fact_service_parts_usage", F3, SQL["f5_fact_parts_incr"]),
-])
+_TABLE_COLUMNS = {
+    "archive_customers": ["original_customer_id", "first_name", "last_name", "address", "city", "state"],
+    "archive_vehicles": ["original_vehicle_id", "customer_id", "VIN", "make"],
+    "archive_employees": ["original_employee_id", "first_name", "role"],
+    "archive_parts_inventory": ["original_part_id", "part_name", "part_number", "category", "unit_cost"],
+    "archive_service_appointments": ["original_appointment_id", "customer_id", "appointment_date", "appointment_time",
+                                     "service_type", "status", "technician_id", "total_service_cost"],
+    "archive_service_details": ["original_service_detail_id", "appointment_id", "part_id", "quantity_used",
+                                "unit_cost_at_time_of_service"],
+    "archive_accidents_csv": ["ID", "Severity", "City", "State", "Weather_Condition", "Temperature_F", "Bump"],
+    "dim_date": ["date_key", "day", "day_of_week", "full_date", "hour", "month", "month_name", "quarter", "year"],
+    "dim_location": ["city", "country", "county", "latitude", "location_key", "longitude", "state", "street",
+        "zip_code"],
+    "dim_weather": ["humidity_percent", "precipitation_in", "pressure_in", "temperature_f", "visibility_mi",
+        "weather_condition", "weather_key", "wind_chill_f", "wind_direction", "wind_speed_mph"],
+    "dim_road_features": ["has_amenity", "has_bump", "has_crossing", "has_give_way", "has_junction", "has_no_exit",
+        "has_railway", "has_roundabout", "has_station", "has_stop", "has_traffic_calming", "has_traffic_signal",
+        "is_turning_loop", "road_features_key"],
+    "dim_daylight": ["astronomical_twilight", "civil_twilight", "daylight_key", "nautical_twilight",
+        "sunrise_sunset"],
+    "dim_customer": ["address", "city", "customer_key", "customer_name", "dim_valid_from", "dim_valid_to", "email",
+        "is_current", "original_customer_id", "phone_number", "registration_date", "state", "zip_code"],
+    "dim_vehicle": ["VIN", "dim_valid_from", "dim_valid_to", "fuel_type", "is_current", "make", "model",
+        "original_vehicle_id", "transmission_type", "vehicle_key", "year"],
+    "dim_employee": ["dim_valid_from", "dim_valid_to", "employee_key", "employee_name", "hire_date", "is_current",
+        "original_employee_id", "role"],
+    "dim_part": ["category", "dim_valid_from", "dim_valid_to", "is_current", "original_part_id", "part_key",
+        "part_name", "part_number"],
+    "dim_service_type": ["service_type_key", "service_type_name"],
+    "fact_accidents": ["date_key", "daylight_key", "description", "distance_mi", "duration_minutes",
+        "fact_accident_key", "location_key", "original_accident_id", "road_features_key", "severity",
+        "source_system", "weather_key"],
+    "fact_service_appointments": ["customer_key", "date_key", "employee_key", "fact_service_appointment_key",
+        "original_appointment_id", "service_type_key", "total_labor_hours", "total_parts_cost",
+        "total_service_cost", "vehicle_key"],
+    "fact_service_parts_usage": ["date_key", "fact_service_parts_usage_key", "original_appointment_id",
+        "original_service_detail_id", "part_key", "quantity_used", "total_cost_for_part_line",
+        "unit_cost_at_time_of_service", "vehicle_key"],
+}
+_DOUBLES = {"unit_cost", "total_service_cost", "unit_cost_at_time_of_service", "Temperature_F", "latitude", "longitude",
+            "temperature_f", "wind_chill_f", "humidity_percent", "pressure_in", "visibility_mi", "wind_speed_mph",
+            "precipitation_in", "distance_mi", "duration_minutes", "total_labor_hours", "total_parts_cost",
+            "total_cost_for_part_line"}
+
+
+def _digest(name: str, sql: str) -> str:
+    """Row count and the order-free content hash of one table."""
+    text = canon([f"CAST(CAST(round({c} * 1000000) AS BIGINT) AS VARCHAR)" if c in _DOUBLES else f"CAST({c} AS VARCHAR)"
+                  for c in _TABLE_COLUMNS[name]])
+    return (f"SELECT '{name}' AS \"table\", count(*)::BIGINT AS rows, "
+            f"CAST(sum(('0x' || substr(md5({text}), 1, 15))::BIGINT) AS VARCHAR) AS content FROM ({sql})")
+
+
+def _both(base: str, extra: str, columns: list[str]) -> str:
+    cols = ", ".join(columns)
+    return f"SELECT {cols} FROM ({base}) UNION ALL SELECT {cols} FROM ({extra})"
+
+
+_ACC_ARCHIVE = with_(ACC) + "SELECT ID, Severity, City, State, Weather_Condition, Temperature_F, Bump FROM acc"
+_DAY0 = {
+    "archive_customers": with_(GEO, customers("c0", 0)) + "SELECT customer_id AS original_customer_id, * FROM c0",
+    "archive_vehicles": SQL["a3_archive_vehicles"], "archive_employees": SQL["a4_archive_employees"],
+    "archive_parts_inventory": SQL["a5_archive_parts"], "archive_service_appointments": SQL["a6_archive_appointments"],
+    "archive_service_details": SQL["a7_archive_details"], "archive_accidents_csv": _ACC_ARCHIVE,
+    "dim_date": SQL["d1_dim_date"], "dim_location": SQL["d2_dim_location"], "dim_weather": SQL["d3_dim_weather"],
+    "dim_road_features": SQL["d4_dim_flags"], "dim_daylight": SQL["d5_dim_daylight"], "dim_customer": SQL["d6_dim_customer"],
+    "dim_vehicle": SQL["d7_dim_vehicle"], "dim_employee": SQL["d8_dim_employee"], "dim_part": SQL["d9_dim_part"],
+    "dim_service_type": SQL["d10_dim_service_type"], "fact_accidents": F1, "fact_service_appointments": F2,
+    "fact_service_parts_usage": F3,
+}
+SQL["p1_full_load"] = SQL["p1_full_reload"] = " UNION ALL ".join(_digest(n, q) for n, q in _DAY0.items())
+
+_VEHICLE_ROW = (
+    "SELECT {key} AS vehicle_key, customer_id AS original_vehicle_id, 'VIN' || CAST(customer_id AS VARCHAR) AS VIN, "
+    "last_name AS make, CAST(NULL AS VARCHAR) AS model, CAST(NULL AS BIGINT) AS year, CAST(NULL AS VARCHAR) AS fuel_type, "
+    "CAST(NULL AS VARCHAR) AS transmission_type, {vf} AS dim_valid_from, {vt} AS dim_valid_to, {cur} AS is_current FROM {src}"
+)
+_VEHICLES1 = with_(*_SCD_CTES) + _VEHICLE_ROW.format(
+    key=scd_key("customer_id", T0), vf=ts_out(T0), vt=_close("op IN ('U','D')"), cur="op = 'N'", src="c0x") + " UNION ALL " \
+    + _VEHICLE_ROW.format(key=scd_key("customer_id", T1), vf=ts_out(T1), vt=NULL_TS, cur="TRUE",
+                          src="(SELECT * FROM c1x WHERE op IN ('I','U'))")
+_CHANGED = with_(*_SCD_CTES) + "SELECT {cols} FROM c1x WHERE op IN ('I', 'U')"
+_EXTRA1 = {
+    "archive_customers": _CHANGED.format(cols="customer_id AS original_customer_id, *"),
+    "archive_vehicles": _CHANGED.format(cols="customer_id AS original_vehicle_id, customer_id, 'VIN' || "
+                                             "CAST(customer_id AS VARCHAR) AS VIN, last_name AS make"),
+    "archive_service_appointments": (
+        with_(appointments("a0", 0), appointments("a1", 1)) + "SELECT appointment_id AS original_appointment_id, customer_id, "
+        f"{date_out('appointment_date')} AS appointment_date, appointment_time, service_type, status, technician_id, "
+        "total_service_cost FROM (SELECT * FROM a1 EXCEPT SELECT * FROM a0)"),
+    "archive_service_details": (
+        with_(LI_FIRST, details("d0", 0), details("d1", 1)) + "SELECT service_detail_id AS original_service_detail_id, "
+        "appointment_id, part_id, quantity_used, unit_cost AS unit_cost_at_time_of_service FROM d1 "
+        "WHERE service_detail_id NOT IN (SELECT service_detail_id FROM d0)"),
+    "dim_date": SQL["d16_dim_date_incr"], "dim_service_type": SQL["d17_service_type_incr"],
+    "fact_service_appointments": SQL["f4_fact_appointments_incr"], "fact_service_parts_usage": SQL["f5_fact_parts_incr"],
+}
+_DAY1 = {n: _both(q, _EXTRA1[n], _TABLE_COLUMNS[n]) if n in _EXTRA1 else q for n, q in _DAY0.items()}
+_DAY1 |= {"dim_customer": SQL["d11_scd2_apply"], "dim_vehicle": _VEHICLES1}
+SQL["p2_incremental_load"] = " UNION ALL ".join(_digest(n, q) for n, q in _DAY1.items())
+
+# Customers deleted on day 1 are back on day 2 with a version opened then; so are their vehicles.
+SQL["p4_reject_replay"] = (
+    f"SELECT original_appointment_id, {scd_key('a.customer_id', T2)} AS customer_key, "
+    f"{scd_key('a.vehicle_id', T2)} AS vehicle_key, date_key, 0::BIGINT AS still_rejected FROM ({SQL['f_rejects_incr']}) r "
+    f"JOIN ({with_(appointments('a1', 1))} SELECT * FROM a1) a ON a.appointment_id = r.original_appointment_id"
+)

@@ -7,20 +7,21 @@ Customers              ``customer`` ⋈ ``nation`` ⋈ ``region``: first name =
                        address = 'ADDR <key>', city = n_name, state = r_name
 Vehicles               one vehicle per customer: id = c_custkey, VIN = 'VIN<key>', make = segment
 Employees              ``supplier``: first name = s_name, role 'Technician'
-PartsInventory         ``part``: name = p_brand, number = p_name (64 distinct -> two-stage de-dup bites),
+PartsInventory         ``part``: name = p_brand, number = 'PN<key>' (of key mod 20 = 19: the number of the part before,
+                       so the de-duplication by number drops one part in twenty and rejects its details),
                        category = p_type, stock = p_size, cost = p_retailprice
 ServiceAppointments    ``orders``: vehicle/customer = o_custkey, date/time = o_orderdate, service type =
                        o_orderpriority, status = o_orderstatus, technician = o_orderkey mod 10 (0 -> none),
                        service cost = o_totalprice
-ServiceDetails         ``lineitem`` (first row per (l_orderkey, l_linenumber)): id = l_orderkey*10 + l_linenumber,
-                       part = l_partkey, quantity = l_quantity, unit cost = l_extendedprice / l_quantity
+ServiceDetails         ``lineitem`` (rows equal in all columns once): id = hash of all columns, part = l_partkey,
+                       quantity = l_quantity, unit cost = l_extendedprice / l_quantity
 Accident extract       ``events``: start = ts, end = ts + value minutes, weather condition = event_type except
                        'error', temperature = round(value) except 0, city 'CITY_<user>', state = event_type
 =====================  ===========================================================================================
 
 Change days (run timestamps ``T0 < T1 < T2``): day 1 deletes customers with key mod 50 = 7, renames the segment of
-key mod 20 = 3 to 'CHANGED' and adds copies (key + 1,000,000) of key mod 100 = 1; it also cancels orders with key
-mod 25 = 0 and books a repeat order (key + 1,000,000,000, one day and nine hours later, service type
+key mod 20 = 3 to 'CHANGED' and adds copies (key + 2^40) of key mod 100 = 1; it also cancels orders with key
+mod 25 = 0 and books a repeat order (key + 2^40, one day and nine hours later, service type
 '<priority>-REPEAT') with
 its line items for key mod 40 = 1. Day 2 brings the deleted customers back.
 """
@@ -32,14 +33,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.dedupe import keep_first
+from starloom.functions.hashing import hash_key
 
 # The run timestamps of the three stand-in load days and the change-rule constants.
 T0 = datetime(2024, 1, 1, 0, 0, 0)
 T1 = datetime(2024, 1, 11, 0, 0, 0)
 T2 = datetime(2024, 1, 21, 0, 0, 0)
-CUSTOMER_COPY_OFFSET = 1_000_000
-ORDER_COPY_OFFSET = 1_000_000_000
+CUSTOMER_COPY_OFFSET = 2**40
+ORDER_COPY_OFFSET = 2**40
 
 
 _READS: dict[tuple[int, str], DataFrame] = {}
@@ -120,11 +121,11 @@ def employees(spark: SparkSession, sf_dir: str, day: int = 0) -> DataFrame:
 
 
 def parts(spark: SparkSession, sf_dir: str, day: int = 0) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    p, key = table(spark, sf_dir, "part"), F.col("p_partkey")
     return p.select(
         F.col("p_partkey").alias("part_id"),
         F.col("p_brand").alias("part_name"),
-        F.col("p_name").alias("part_number"),
+        F.concat(F.lit("PN"), (key - F.when(key % 20 == 19, 1).otherwise(0)).cast("string")).alias("part_number"),
         F.col("p_type").alias("category"),
         F.col("p_size").alias("current_stock_quantity"),
         F.col("p_retailprice").try_cast("decimal(10,2)").alias("unit_cost"),
@@ -168,10 +169,23 @@ def appointments(spark: SparkSession, sf_dir: str, day: int = 0) -> DataFrame:
 
 
 def lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` with one row per (l_orderkey, l_linenumber): the first under all remaining columns."""
-    li = table(spark, sf_dir, "lineitem")
-    rest = [c for c in li.columns if c not in ("l_orderkey", "l_linenumber")]
-    return keep_first(li, ["l_orderkey", "l_linenumber"], rest)
+    """``lineitem`` without exact repetitions."""
+    return table(spark, sf_dir, "lineitem").distinct()
+
+
+def _detail_id(li: DataFrame):
+    """60 bits of hash over all columns; amounts in hundredths, so that the text is the same everywhere."""
+    cents = lambda c: F.round(F.col(c) * 100).cast("bigint").alias(c)
+    typed = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
+                      F.to_date("l_shipdate").alias("l_shipdate"),
+                      *[cents(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")], *[
+                          F.col(c).alias(f"_{c}") for c in li.columns])
+    return typed.withColumn("service_detail_id", hash_key(typed, DETAIL_COLUMNS)).select(
+        "service_detail_id", *[F.col(f"_{c}").alias(c) for c in li.columns])
+
+
+DETAIL_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                  "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 def _unit_cost():
@@ -188,8 +202,8 @@ def details(spark: SparkSession, sf_dir: str, day: int = 0) -> DataFrame:
         repeat = li.filter(F.col("l_orderkey") % 40 == 1).withColumn(
             "l_orderkey", F.col("l_orderkey") + ORDER_COPY_OFFSET)
         li = li.unionByName(repeat)
-    return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("service_detail_id"),
+    return _detail_id(li).select(
+        "service_detail_id",
         F.col("l_orderkey").alias("appointment_id"),
         F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("task_description"),
         F.lit(None).cast("decimal(5,2)").alias("labor_hours"),

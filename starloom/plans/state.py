@@ -1,6 +1,8 @@
 """Lazily built warehouse states over the stand-in sources (initial load at T0, increments at T1 and T2).
 
-Nothing here runs a job: each function returns DataFrames whose plans start at the driver tables.
+Tables are built on first use. Dimensions, and the archives and dimensions of later days, are written to the shared
+checkpoint folder then (``materialize`` runs a job), as a load run would write them: facts, checks and marts that read
+one several times scan a small written table instead of deriving it again from the driver tables.
 """
 
 from __future__ import annotations
@@ -91,8 +93,12 @@ def initial_archives(spark: SparkSession, sf_dir: str) -> Lazy:
     return Lazy(f)
 
 
-def initial_dims(arch: dict[str, DataFrame], part_by_number: bool = False) -> Lazy:
-    return Lazy({
+def initial_dims(arch: dict[str, DataFrame], written: bool = True) -> Lazy:
+    """The dimensions of the full load; ``written``: each is materialized when it is first used."""
+    def kept(build):
+        return lambda: materialize(build()) if written else build()
+
+    return Lazy({k: kept(v) for k, v in {
         "dim_date": lambda: CS.dim_date(arch["archive_accidents_csv"], arch["archive_customers"],
                                         arch["archive_service_appointments"], arch["archive_employees"]),
         "dim_location": lambda: CS.dim_location(arch["archive_accidents_csv"], arch["archive_customers"]),
@@ -102,16 +108,19 @@ def initial_dims(arch: dict[str, DataFrame], part_by_number: bool = False) -> La
         "dim_customer": lambda: CS.dim_customer(arch["archive_customers"]),
         "dim_vehicle": lambda: CS.dim_vehicle(arch["archive_vehicles"]),
         "dim_employee": lambda: CS.dim_employee(arch["archive_employees"]),
-        "dim_part": lambda: CS.dim_part(arch["archive_parts_inventory"], by_number=part_by_number),
+        "dim_part": lambda: CS.dim_part(arch["archive_parts_inventory"]),
         "dim_service_type": lambda: CS.dim_service_type(arch["archive_service_appointments"]),
-    })
+    }.items()})
 
 
-def initial_warehouse(spark: SparkSession, sf_dir: str, part_by_number: bool = False) -> Warehouse:
-    """Full load at T0. ``part_by_number=False`` keeps one part row per id (every detail finds its part);
-    ``True`` applies the second de-duplication on part number, so most parts -- and their details -- drop out."""
+def initial_warehouse(spark: SparkSession, sf_dir: str, share: bool = False) -> Warehouse:
+    """Full load at T0. ``share``: archives and facts are written on first use as well, for consumers that read them
+    several times (checks over the whole warehouse)."""
+    cut = materialize if share else None
     arch = initial_archives(spark, sf_dir)
-    dims = initial_dims(arch, part_by_number)
+    if share:
+        arch = Lazy({n: (lambda f=f: materialize(f())) for n, f in arch._f.items()})
+    dims = initial_dims(arch)
     wh = Warehouse(archives=arch, dims=dims)
     built: dict[str, tuple[DataFrame, DataFrame]] = {}
 
@@ -119,12 +128,12 @@ def initial_warehouse(spark: SparkSession, sf_dir: str, part_by_number: bool = F
         def make():
             if name not in built:
                 if name == "fact_accidents":
-                    built[name] = CS.fact_accidents(arch["archive_accidents_csv"], dims)
+                    built[name] = CS.fact_accidents(arch["archive_accidents_csv"], dims, cut=cut)
                 elif name == "fact_service_appointments":
-                    built[name] = CS.fact_service_appointments(arch["archive_service_appointments"], dims)
+                    built[name] = CS.fact_service_appointments(arch["archive_service_appointments"], dims, cut=cut)
                 else:
                     built[name] = CS.fact_service_parts_usage(
-                        arch["archive_service_details"], arch["archive_service_appointments"], dims)
+                        arch["archive_service_details"], arch["archive_service_appointments"], dims, cut=cut)
             return built[name]
         return make
 

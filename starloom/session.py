@@ -62,14 +62,16 @@ def build_session(
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read here. When it is unset (local tests)
-    a folder is chosen -- ``fallback`` or a fresh temp dir -- and registered with the session.
+    On a cluster the setting must point at shared storage and is only read here. When it is unset and the master is
+    local (tests), a folder is chosen -- ``fallback`` or a fresh temp dir -- and registered with the session.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     d = fallback or tempfile.mkdtemp(prefix="starloom-ckpt-")
     os.makedirs(d, exist_ok=True)
     spark.sparkContext.setCheckpointDir(d)

@@ -1,20 +1,20 @@
 """Warehouse storage on plain Parquet: staged run directories published by a manifest, and lineage cuts.
 
-Layout of a versioned table (history is never rewritten; a run costs O(open rows), not O(all versions))::
+Layout of a versioned table (history is never rewritten)::
 
-    <wh>/<table>/open/run=<run_id>/        the complete set of open versions after that run
-    <wh>/<table>/closed/run=<run_id>/      versions closed by that run (append-only)
-    <wh>/_manifest/<run_id>.json           table -> live open dir + closed dirs; written last = commit point
+    <wh>/<table>/open/run=<run_id>/attempt=<a>/      the complete set of open versions after that run
+    <wh>/<table>/closed/run=<run_id>/attempt=<a>/    versions closed by that run (append-only)
+    <wh>/_manifest/<run_id>.<n>.json                 table -> live open dir + closed dirs; renamed into place last
 
-Insert-only tables (junk dimensions, facts, rejects) use ``<wh>/<table>/run=<run_id>/`` parts. A failed run leaves
-unreferenced directories and the previous manifest valid; re-running a run id overwrites its own directories.
-Spark never overwrites a path it is reading, because every run writes new directories.
+Insert-only tables (junk dimensions, facts) use ``<wh>/<table>/run=<run_id>/attempt=<a>/`` parts. Every attempt at a run
+writes directories of its own, so a run that fails, or is run again, never touches what a published manifest names:
+until the new manifest is renamed into place, readers see the old one. Runs are published in order of their ids; a
+full load replaces all tables, an incremental one carries on from the last run before it.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Mapping
 
@@ -65,7 +65,16 @@ def list_manifests(spark: SparkSession, warehouse: str) -> list[str]:
     fs, p = _fs(spark, f"{warehouse}/_manifest")
     if not fs.exists(p):
         return []
-    return sorted(st.getPath().getName()[:-5] for st in fs.listStatus(p) if st.getPath().getName().endswith(".json"))
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(n[:-5] for n in names if n.endswith(".json") and not n.startswith((".", "_")))
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a file; fails if the target exists."""
+    fs, p = _fs(spark, old)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)
+    if fs.exists(target) or not fs.rename(p, target):
+        raise RuntimeError(f"can't publish {new}")
 
 
 class Store:
@@ -74,23 +83,40 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._attempts: dict[str, str] = {}
+
+    # ------------------------------------------------------------------------------------------------ runs
+    def run_ids(self) -> list[str]:
+        """The published runs, in order."""
+        return sorted({n.rsplit(".", 1)[0] for n in list_manifests(self.spark, self.root)})
+
+    def begin(self, run_id: str) -> None:
+        """Start an attempt at a run. A run older than the last published one is refused: what came after it was
+        built without it."""
+        ids = self.run_ids()
+        if ids and run_id < ids[-1]:
+            raise RuntimeError(f"run {run_id} is older than the published run {ids[-1]}")
+        self._attempts[run_id] = uuid.uuid4().hex[:12]
 
     # ------------------------------------------------------------------------------------------------ writing
     def write(self, df: DataFrame, table: str, run_id: str, part: str | None = None,
               partition_by: list[str] | None = None) -> str:
         """Write one run's data of ``table`` (optionally a sub-part such as ``open``/``closed``)."""
         sub = f"{part}/" if part else ""
-        path = f"{self.root}/{table}/{sub}run={run_id}"
-        w = df.write.mode("overwrite").option("compression", "zstd")
+        if run_id not in self._attempts:
+            self.begin(run_id)
+        path = f"{self.root}/{table}/{sub}run={run_id}/attempt={self._attempts[run_id]}"
+        w = df.write.mode("errorifexists").option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         return path
 
-    def publish(self, run_id: str, run_ts: str, tables: Mapping[str, Mapping[str, object]]) -> str:
+    def publish(self, run_id: str, run_ts: str, tables: Mapping[str, Mapping[str, object]], replace: bool = False) -> str:
         """Write the manifest for ``run_id``: ``{table: {"open": dir, "closed": [dirs], "parts": [dirs]}}``.
-        Carries forward every table of the previous manifest the run did not touch."""
-        prev = self.manifest()
+        Carries forward every table of the run before that this one did not touch, or, with ``replace`` (a full
+        load), nothing."""
+        prev = None if replace else self.manifest_before(run_id)
         merged: dict[str, dict] = {k: dict(v) for k, v in (prev or {}).get("tables", {}).items()}
         for t, entry in tables.items():
             cur = merged.setdefault(t, {})
@@ -104,19 +130,39 @@ class Store:
                             have.append(d)
                     cur[key] = have
         doc = {"run_id": run_id, "run_ts": run_ts, "tables": merged}
-        path = f"{self.root}/_manifest/{run_id}.json"
-        write_text(self.spark, path, json.dumps(doc, indent=1, sort_keys=True))
+        n = 1 + sum(x.rsplit(".", 1)[0] == run_id for x in list_manifests(self.spark, self.root))
+        path, draft = f"{self.root}/_manifest/{run_id}.{n:06d}.json", f"{self.root}/_manifest/.draft-{uuid.uuid4().hex}"
+        write_text(self.spark, draft, json.dumps(doc, indent=1, sort_keys=True))
+        rename(self.spark, draft, path)
+        self._attempts.pop(run_id, None)
         return path
 
+    def compact(self, tables: list[str] | None = None) -> None:
+        """Rewrite the closed versions and parts of tables as one directory each and publish that as the last run's
+        state; without it their lists grow by a directory per run."""
+        run_id, m = self.run_ids()[-1], self.manifest()
+        self.begin(run_id)
+        entries = {}
+        for t, e in m["tables"].items():
+            entry = dict(e)
+            for key in ("closed", "parts"):
+                if (tables is None or t in tables) and len(e.get(key, [])) > 1:
+                    entry[key] = [self.write(self.spark.read.parquet(*e[key]), t, run_id, part=f"{key}-compact")]
+            entries[t] = entry
+        self.publish(run_id, m["run_ts"], entries, replace=True)
+
     # ------------------------------------------------------------------------------------------------ reading
     def manifest(self, run_id: str | None = None) -> dict | None:
-        ids = list_manifests(self.spark, self.root)
-        if not ids:
-            return None
-        rid = run_id or ids[-1]
-        txt = read_text(self.spark, f"{self.root}/_manifest/{rid}.json")
+        """The last manifest, or that of a run."""
+        names = [n for n in list_manifests(self.spark, self.root) if run_id is None or n.rsplit(".", 1)[0] == run_id]
+        txt = read_text(self.spark, f"{self.root}/_manifest/{names[-1]}.json") if names else None
         return json.loads(txt) if txt else None
 
+    def manifest_before(self, run_id: str) -> dict | None:
+        """The manifest of the last run before ``run_id``."""
+        ids = [i for i in self.run_ids() if i < run_id]
+        return self.manifest(ids[-1]) if ids else None
+
     def read(self, table: str, which: str = "all", run_id: str | None = None) -> DataFrame | None:
         """Read a published table: ``open`` versions, ``closed`` history, insert-only ``parts``, or ``all``."""
         m = self.manifest(run_id)
@@ -137,7 +183,3 @@ class Store:
     def exists(self) -> bool:
         return bool(list_manifests(self.spark, self.root))
 
-
-def local_path(path: str) -> str:
-    """Plain local paths become ``file:`` URIs; URIs pass through."""
-    return path if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.sources.store import materialize
+
 CORRUPT = "_corrupt_record"
 
 
@@ -36,8 +38,12 @@ def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", schema:
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, props: Mapping[str, str] | None = None,
-               mode: str = "append", batchsize: int = 1000, truncate: bool = False) -> None:
-    """Append (or truncate-and-load) a relational target; ``batchsize`` rows per INSERT batch."""
+               mode: str = "append", batchsize: int = 1000, truncate: bool = False,
+               target_columns: list[str] | None = None) -> None:
+    """Append (or truncate-and-load) a relational target; ``batchsize`` rows per INSERT batch. With
+    ``target_columns``, columns the target lacks are left out."""
+    if target_columns is not None:
+        df, _ = project_to(df, target_columns)
     w = df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batchsize)
     if truncate:
         w = w.option("truncate", "true")
@@ -46,28 +52,31 @@ def write_jdbc(df: DataFrame, url: str, table: str, props: Mapping[str, str] | N
     w.mode(mode).save()
 
 
-def csv_schema(types: Mapping[str, str]) -> T.StructType:
-    """All-string schema for the raw CSV columns (typed coercion happens afterwards with ``try_cast``) plus the
-    corrupt-record column."""
-    fields = [T.StructField(c, T.StringType(), True) for c in types]
-    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
-
-
-def read_csv_with_quarantine(spark: SparkSession, path: str, columns: list[str], limit: int | None = None,
-                             ) -> tuple[DataFrame, DataFrame]:
-    """Read a headered CSV extract as text columns. Malformed lines go to a quarantine frame instead of failing
-    the load (row-level, not chunk-level). ``limit`` keeps the first N rows (the reference's row cap option)."""
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns]
-                          + [T.StructField(CORRUPT, T.StringType(), True)])
-    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", False).csv(path))
-    if limit is not None:
-        raw = raw.limit(limit)
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+def read_csv_with_quarantine(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Read a headered CSV extract as text columns: ``(good, bad)``, which partition its records whatever columns are
+    read from them.
+
+    Columns are bound by the header's names (a requested column that the header lacks is NULL; files whose headers
+    differ fail). Quoted values may hold line breaks, doubled quotes are quotes; so a file is parsed by one task, and a
+    large extract should come as many files. Records with too few or too many values go to ``bad`` as they are
+    (column ``line``). The extract is parsed once, into the shared checkpoint folder."""
+    reader = spark.read.options(header=True, multiLine=True, escape='"', mode="PERMISSIVE", enforceSchema=False,
+                                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*names, CORRUPT]])
+    parsed = materialize(reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    good = parsed.filter(F.col(CORRUPT).isNull()).select(
+        *[(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c) for c in columns])
+    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
     return good, bad
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write a CSV extract that ``read_csv_with_quarantine`` reads back (empty texts as NULL, which CSV can't tell from
+    them)."""
+    df.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
 def project_to(df: DataFrame, target_columns: list[str]) -> tuple[DataFrame, list[str]]:
     """Schema-drift guard: keep only the target's columns (in the target's order); report the dropped ones."""
     keep = [c for c in target_columns if c in df.columns]

@@ -74,8 +74,7 @@ class LookupSpec:
     """Left lookup of a surrogate key: fact columns ``on[i][0]`` match dimension columns ``on[i][1]``.
 
     ``null_safe`` makes NULL match NULL (multi-column junk keys). ``bounded`` declares that the dimension's size
-    is bounded independently of the data volume (calendar, flag sets, service types): only then is it broadcast
-    explicitly; otherwise the join strategy is left to the optimizer's size estimate and AQE's runtime sizes.
+    is bounded by its definition (13 flags: at most 2^13 rows): only then is it broadcast explicitly; otherwise the join strategy is left to the optimizer's size estimate and AQE's runtime sizes.
     ``current_only`` restricts a type-2 dimension to its current rows.
     """
 
@@ -87,12 +86,3 @@ class LookupSpec:
     current_only: bool = False
     required: bool = True
 
-
-@dataclass(frozen=True)
-class FactSpec:
-    name: str
-    id_cols: tuple[str, ...]
-    lookups: tuple[LookupSpec, ...]
-    measures: tuple[str, ...] = ()
-    zero_fill: tuple[str, ...] = ()
-    carry: tuple[str, ...] = ()

@@ -5,7 +5,7 @@ import pytest
 
 from tests.conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
 
 def test_entry_smoke(spark):

@@ -10,6 +10,7 @@ from starloom.operators import archive as A
 from starloom.operators.scd2 import scd2_apply, scd2_rebuild
 from starloom.plans import car_service as CS
 from starloom.session import FAR_FUTURE
+from starloom.sources.store import materialize
 
 T0, T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 EPS = timedelta(microseconds=1)
@@ -108,8 +109,39 @@ def test_track_subset_suppresses_untracked_change(spark, days):
     assert (1, True) in rows and sum(1 for r in dim1.collect() if r.original_customer_id == 1) == 1
 
 
-def test_empty_snapshot_guard(spark, days):
-    empty = days["s2"].limit(0)
-    diff = A.snapshot_diff(empty, A.open_versions(days["a2"]), CS.CUSTOMERS)
-    ok = diff.agg(A.guard_deletes(diff, 0.5).alias("ok")).first().ok
-    assert ok is False
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_change_streams(spark, seed):
+    """Random inserts, updates, deletes and re-appearances over several days: the dimension maintained run by run
+    equals the one rebuilt from the archive, and the archive's versions equal a plain replay."""
+    import random
+
+    rng = random.Random(seed)
+    state = {i: "a" for i in range(6)}
+    stamps = [T0 + timedelta(days=d) for d in range(4)]
+    archive = A.archive_initial(snap(spark, sorted(state.items())), CS.CUSTOMERS, stamps[0])
+    dim = CS.dim_customer(archive)
+    expected = {i: [("a", stamps[0], FAR_FUTURE)] for i in state}
+    for last, now in zip(stamps, stamps[1:]):
+        before = dict(state)
+        for i in range(9):
+            p = rng.random()
+            if p < 0.2:
+                state.pop(i, None)
+            elif p < 0.5:
+                state[i] = rng.choice("abc")
+        for i in set(before) | set(state):
+            if before.get(i) == state.get(i):
+                continue
+            versions = expected.setdefault(i, [])
+            if i in before:
+                versions[-1] = (*versions[-1][:2], now - EPS)
+            if i in state:
+                versions.append((state[i], now, FAR_FUTURE))
+        archive = materialize(run(archive, snap(spark, sorted(state.items())), now)[1])
+        dim = materialize(scd2_apply(dim, archive, CS.DIM_CUSTOMER, last, now))
+    want = {(i, *v) for i, vs in expected.items() for v in vs}
+    got = {(r.original_customer_id, r.first_name, r.valid_from_timestamp, r.valid_to_timestamp) for r in archive.collect()}
+    assert got == want
+    again = scd2_rebuild(archive, CS.DIM_CUSTOMER).select(*dim.columns)
+    assert sorted(map(str, dim.collect())) == sorted(map(str, again.collect()))

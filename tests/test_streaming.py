@@ -6,7 +6,7 @@ import tempfile
 
 from starloom.plans import stand_in as SI
 from starloom.plans import state as ST
-from starloom.plans.loads import run_full, table_counts
+from starloom.plans.loads import run_full, table_digests
 from starloom.sources.store import Store, list_manifests
 from starloom.streaming.increments import run_increments
 from tests.conftest import SF_SMALL
@@ -25,7 +25,7 @@ def test_stream_runs_incremental(spark):
     q = run_increments(spark, store, f"{base}/control", f"{base}/stream-ckpt")
     q.awaitTermination(600)
     assert len(list_manifests(spark, store.root)) == 2
-    counts = {r["table"]: r["rows"] for r in table_counts(spark, store).collect()}
+    counts = {r["table"]: r["rows"] for r in table_digests(spark, store).collect()}
     assert counts["archive_customers"] > 150
     q2 = run_increments(spark, store, f"{base}/control", f"{base}/stream-ckpt")  # nothing new: no new run
     q2.awaitTermination(600)
