@@ -174,32 +174,51 @@ def test_substrings_of_an_empty_table(spark):
     assert substring.report(frame(spark, [])).count() == 0
 
 
+def kept_ids(rows_in, same):
+    """Brute force: the class of each row under ``same`` (pairwise), closed."""
+    links = [(i, j) for i in range(len(rows_in)) for j in range(i) if same(rows_in[i], rows_in[j])]
+    root = closed(len(rows_in), links)
+    members = defaultdict(list)
+    for i, r in enumerate(root):
+        members[r].append(rows_in[i]["doc_id"])
+    return list(members.values())
+
+
 def test_pipeline_stages(spark, tmp_path):
-    """Each stage against the operators' own answers on its input, from rows to packed pieces."""
+    """Each stage against brute force on its input, from rows to packed pieces."""
     import corpus_pipeline as cp
-    from starloom.llm import exact, mix, quality
+    from starloom.llm import mix
+    from tests.llm.test_native import expected_quality, normal
 
     frame(spark, rows(3, 90)).write.parquet(str(tmp_path / "documents.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    columns, sizes = docs.columns, [docs.count()]
-    checks = {
-        "quality_rules": lambda a, b: quality.score(a).filter("kept").count() == b.count(),
-        "exact_dedup": lambda a, b: exact.groups(b).agg({"group_size": "max"}).first()[0] == 1,
-        "near_dedup": lambda a, b: near.classes(a).select("root").distinct().count() == b.count(),
-        "mix_sources": lambda a, b: (mix.mixture(a).agg({"taken": "sum"}).first()[0]
-                                     == sum(len(words(r["text"])) for r in b.collect())),
-    }
+    columns, sizes, out = docs.columns, [docs.count()], {}
     for i, (name, stage) in enumerate(cp.STAGES):
-        out = stage(spark, docs, str(tmp_path))
-        out.write.parquet(str(tmp_path / f"s{i}"))
-        after = spark.read.parquet(str(tmp_path / f"s{i}"))
-        if name in checks:
-            assert after.columns == columns and checks[name](docs, after)
-            docs = after
-            sizes.append(docs.count())
-        else:
-            tokens = sum(r["length"] for r in after.collect())
-            firsts = after.filter("start = 0").count()
-            assert firsts == docs.count() and tokens > firsts
+        before = docs.collect()
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"s{i}"))
+        docs_after = spark.read.parquet(str(tmp_path / f"s{i}"))
+        after = out[name] = docs_after.collect()
+        ids = Counter(r["doc_id"] for r in after)
+        if name == "quality_rules":
+            assert ids and all(not expected_quality(r["text"])[5] for r in after)
+            plain = [r["doc_id"] for r in before if r["text"] and not expected_quality(r["text"])[5]
+                     and "x" * 50 not in r["text"] and len(words(r["text"])) > 15]
+            assert set(plain) <= set(ids)
+        elif name == "exact_dedup":
+            assert ids == Counter(max(c, key=lambda x: (x is not None, x)) for c in kept_ids(
+                before, lambda a, b: normal(a["text"]) == normal(b["text"])))
+        elif name == "near_dedup":
+            sets = {id(r): shingles(r["text"]) for r in before}
+            assert ids == Counter(min(c, key=lambda x: (x is None, x)) for c in kept_ids(
+                before, lambda a, b: words(a["text"]) == words(b["text"])
+                or jp(sets[id(a)], sets[id(b)]) >= near.THRESHOLD - 1e-9))
+        elif name == "mix_sources":
+            assert mix.mixture(docs).agg({"taken": "sum"}).first()[0] == sum(len(words(r["text"])) for r in after)
+        if name != "packing":
+            assert docs_after.columns == columns
+            docs = docs_after
+            sizes.append(len(after))
     assert sizes[0] > sizes[1] > sizes[2] > sizes[3] > 0
+    tokens = sum(r["length"] for r in out["packing"])
+    assert sum(r["start"] == 0 for r in out["packing"]) == len(out["mix_sources"]) and tokens > len(out["mix_sources"])
     assert cp.run(spark, str(tmp_path)).agg({"length": "sum"}).first()[0] == tokens
