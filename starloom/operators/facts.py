@@ -93,6 +93,13 @@ def new_facts_only(candidates: DataFrame, existing_facts: DataFrame, id_cols: Se
     return anti_join(candidates, seen, list(id_cols), null_safe=False)
 
 
+def upsert_facts(existing_facts: DataFrame, accepted: DataFrame, id_cols: Sequence[str]) -> DataFrame:
+    """All facts after a run that replaces: the accepted rows, and every earlier fact they don't replace (a fact whose
+    new version was rejected stays)."""
+    kept = anti_join(existing_facts, accepted, list(id_cols), null_safe=False)
+    return kept.unionByName(accepted)
+
+
 def replay_rejects(window_rows: DataFrame, archive: DataFrame, previous_rejects: DataFrame | None, id_col: str
                    ) -> DataFrame:
     """The run window's rows and, for each earlier reject outside it, the archive's row of that id, so that a

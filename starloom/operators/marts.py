@@ -62,12 +62,14 @@ def as_of_lookup(facts: DataFrame, fact_id: str, fact_ts: str, dim: DataFrame, d
 
     No range join and no pairs: facts and versions are unioned, sorted per id by time (a version sorts before a
     fact at the same instant), and each fact takes the last version seen (``last(..., ignorenulls)``) if that
-    version has not ended before the fact. Cost is one shuffle + sort of facts ∪ versions.
+    version has not ended before the fact. Cost is one shuffle + sort of facts ∪ versions. Facts without an id, which
+    may be many and match nothing, are set aside first.
     """
     out = alias or key
     cols = facts.columns
     far = ts_lit(FAR_FUTURE)
-    f = facts.select(
+    without = facts.filter(F.col(fact_id).isNull()).select(*cols, F.lit(None).cast("bigint").alias(out))
+    f = facts.filter(F.col(fact_id).isNotNull()).select(
         F.col(fact_id).alias("_id"), F.col(fact_ts).alias("_t"), F.lit(1).alias("_kind"),
         F.struct(*[F.col(c) for c in cols]).alias("_f"),
         F.lit(None).cast("bigint").alias("_k"), F.lit(None).cast("timestamp_ntz").alias("_vt"),
@@ -84,4 +86,5 @@ def as_of_lookup(facts: DataFrame, fact_id: str, fact_ts: str, dim: DataFrame, d
         F.last("_vt", ignorenulls=True).over(w).alias("_lvt"),
     )
     hit = F.when(F.col("_t") <= F.col("_lvt"), F.col("_lk"))
-    return u.filter(F.col("_kind") == 1).select(*[F.col(f"_f.{c}").alias(c) for c in cols], hit.alias(out))
+    found = u.filter(F.col("_kind") == 1).select(*[F.col(f"_f.{c}").alias(c) for c in cols], hit.alias(out))
+    return found.unionByName(without)

@@ -476,34 +476,40 @@ def fact_service_parts_usage(details: DataFrame, appts: DataFrame, dims: Mapping
     return facts, rejects.unionByName(orphan_rejects)
 
 
-def window_rows(archive: DataFrame, last_run, run_ts, open_only: bool = True) -> DataFrame:
-    """Archive versions with ``valid_from`` in the closed window ``[last_run, run_ts]`` (incremental facts)."""
+def window_rows(archive: DataFrame, last_run, run_ts, open_only: bool = True, after: bool = False) -> DataFrame:
+    """Archive versions with ``valid_from`` in the closed window ``[last_run, run_ts]`` (incremental facts), or, with
+    ``after``, in ``(last_run, run_ts]``: what has changed since."""
     vf = F.col(A.VALID_FROM)
     a = A.open_versions(archive) if open_only else archive
-    return a.filter((vf >= ts_lit(last_run)) & (vf <= ts_lit(run_ts)))
+    return a.filter(((vf > ts_lit(last_run)) if after else (vf >= ts_lit(last_run))) & (vf <= ts_lit(run_ts)))
 
 
 def fact_service_appointments_incremental(appts_archive: DataFrame, existing_facts: DataFrame,
                                           dims: Mapping[str, DataFrame], last_run, run_ts,
-                                          previous_rejects: DataFrame | None = None, cut=None):
-    """new open appointment versions of the window and those rejected before, not yet in the fact (insert-only),
-    against current dimension rows."""
-    w = window_rows(appts_archive, last_run, run_ts)
+                                          previous_rejects: DataFrame | None = None, cut=None,
+                                          on_update: str = "ignore"):
+    """new open appointment versions of the window and those rejected before, against current dimension rows.
+    ``on_update="ignore"``: insert-only, ids that are in the fact stay as they are; ``"replace"``: changed
+    appointments (cancelled, re-priced) come again, for ``facts.upsert_facts``."""
+    w = window_rows(appts_archive, last_run, run_ts, after=on_update == "replace")
     w = FX.replay_rejects(w, A.open_versions(appts_archive), previous_rejects, "original_appointment_id")
-    w = FX.new_facts_only(w, existing_facts, ["original_appointment_id"])
+    if on_update == "ignore":
+        w = FX.new_facts_only(w, existing_facts, ["original_appointment_id"])
     return fact_service_appointments(w, dims, current_only=True, cut=cut)
 
 
 def fact_service_parts_usage_incremental(details_archive: DataFrame, appts_archive: DataFrame,
                                          existing_facts: DataFrame, dims: Mapping[str, DataFrame], last_run,
-                                         run_ts, previous_rejects: DataFrame | None = None, cut=None):
+                                         run_ts, previous_rejects: DataFrame | None = None, cut=None,
+                                         on_update: str = "ignore"):
     """new open detail versions of the window with a part and those rejected before, against open appointments
-    and current dims."""
+    and current dims (``on_update`` as for F4)."""
     has_part = F.col("part_id").isNotNull()
-    w = window_rows(details_archive, last_run, run_ts).filter(has_part)
+    w = window_rows(details_archive, last_run, run_ts, after=on_update == "replace").filter(has_part)
     w = FX.replay_rejects(w, A.open_versions(details_archive).filter(has_part), previous_rejects,
                           "original_service_detail_id")
-    w = FX.new_facts_only(w, existing_facts, ["original_service_detail_id"])
+    if on_update == "ignore":
+        w = FX.new_facts_only(w, existing_facts, ["original_service_detail_id"])
     return fact_service_parts_usage(w, A.open_versions(appts_archive), dims, current_only=True, cut=cut)
 
 

@@ -22,6 +22,7 @@ from starloom.operators import keys as K
 from starloom.operators import lookup as L
 from starloom.operators import marts as M
 from starloom.operators import quality as Q
+from starloom.operators.facts import upsert_facts
 from starloom.operators.scd2 import scd2_rebuild
 from starloom.plans import car_service as CS
 from starloom.plans import stand_in as SI
@@ -358,6 +359,17 @@ def f5_fact_parts_incr(spark, sf):
     return finalize(ST.incremental_warehouse(spark, sf).facts["fact_service_parts_usage"])
 
 
+@query("f4_fact_appointments_replace")
+def f4_fact_appointments_replace(spark, sf):
+    """All appointment facts after a run in which changed appointments replace theirs."""
+    wh0 = ST.initial_warehouse(spark, sf)
+    wh1 = ST.incremental_warehouse(spark, sf, wh0)
+    old = materialize(wh0.facts["fact_service_appointments"])
+    new, _ = CS.fact_service_appointments_incremental(wh1.archives["archive_service_appointments"], old, wh1.dims, SI.T0,
+                                                      SI.T1, cut=materialize, on_update="replace")
+    return finalize(upsert_facts(old, new, ["original_appointment_id"]))
+
+
 @query("f_rejects")
 def f_rejects(spark, sf):
     wh = ST.initial_warehouse(spark, sf)

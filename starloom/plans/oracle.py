@@ -562,6 +562,15 @@ def cur_key(id_expr: str) -> str:
 _F4_ALL = (with_(*_INC_CTES, "na AS (SELECT * FROM a1 WHERE appointment_id NOT IN (SELECT appointment_id FROM a0))")
            + "SELECT * FROM (" + appt_fact("na", cur_key("na.customer_id"), cur_key("na.vehicle_id")) + ")")
 SQL["f4_fact_appointments_incr"] = _F4_ALL + " WHERE customer_key IS NOT NULL AND vehicle_key IS NOT NULL"
+_CHANGED_FACTS = (
+    "SELECT * FROM (" + with_(*_INC_CTES, "ca AS (SELECT * FROM a1 EXCEPT SELECT * FROM a0)")
+    + "SELECT * FROM (" + appt_fact("ca", cur_key("ca.customer_id"), cur_key("ca.vehicle_id"))
+    + ") WHERE customer_key IS NOT NULL AND vehicle_key IS NOT NULL)"
+)
+SQL["f4_fact_appointments_replace"] = (
+    f"WITH n AS ({_CHANGED_FACTS}) SELECT * FROM n UNION ALL SELECT * FROM ({F2}) "
+    "WHERE original_appointment_id NOT IN (SELECT original_appointment_id FROM n)"
+)
 SQL["f_rejects_incr"] = (
     "SELECT fact_service_appointment_key, original_appointment_id, date_key, customer_key, vehicle_key, employee_key, "
     "service_type_key, total_labor_hours, total_parts_cost, total_service_cost, CASE WHEN customer_key IS NULL THEN "

@@ -113,8 +113,8 @@ class Store:
         return path
 
     def publish(self, run_id: str, run_ts: str, tables: Mapping[str, Mapping[str, object]], replace: bool = False) -> str:
-        """Write the manifest for ``run_id``: ``{table: {"open": dir, "closed": [dirs], "parts": [dirs]}}``.
-        Carries forward every table of the run before that this one did not touch, or, with ``replace`` (a full
+        """Write the manifest for ``run_id``: ``{table: {"open": dir, "closed": [dirs], "parts": [dirs]}}``
+        (``"replace": True``: the directories replace the table's earlier ones instead of adding to them). Carries forward every table of the run before that this one did not touch, or, with ``replace`` (a full
         load), nothing."""
         prev = None if replace else self.manifest_before(run_id)
         merged: dict[str, dict] = {k: dict(v) for k, v in (prev or {}).get("tables", {}).items()}
@@ -124,7 +124,7 @@ class Store:
                 cur["open"] = entry["open"]
             for key in ("closed", "parts"):
                 if key in entry:
-                    have = list(cur.get(key, []))
+                    have = [] if entry.get("replace") else list(cur.get(key, []))
                     for d in entry[key]:
                         if d not in have:
                             have.append(d)
