@@ -11,7 +11,7 @@ times its source's size and the excess is reshared by weight among the rest. Tha
 with the sources in order of cap / weight, the level L is the largest of (total - caps before) / (weights from here
 on), and target = least(cap, L * weight).
 
-Scale: a source may hold a third of all rows, so its order is cut by hash into ``BUCKETS`` buckets. Bucket sums are
+Scale: a source may hold a third of all rows, so its order is cut by hash into 2^``BUCKET_BITS`` buckets. Bucket sums are
 aggregated on the map side and prefix-summed (a row per source and bucket); running sums then need only the rows of
 one bucket together. Only the table of sources, one row each, is ever ordered as a whole.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import WORD, text_or_empty
 from starloom.sources.store import materialize
 
-BUCKETS = 1024
+BUCKET_BITS = 10
 MAX_COPIES = 3
 #: Weight at the beginning and the end of training, in turn over the sources; each pair sums to 2, so that the
 #: integral over all of training is 1.
@@ -38,11 +38,12 @@ SCHEDULES = ((1.5, 0.5), (0.5, 1.5), (1.0, 1.0))
 def sized(docs: DataFrame, *carry: str) -> DataFrame:
     """Add the word count, the key of the source and the place in the source's shuffled order."""
     t = text_or_empty()
-    order = F.xxhash64(F.col("doc_id"), t)
+    order = F.conv(F.substring(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), t)), 1, 15),
+                   16, 10).cast("long")  # 60 bits
     return docs.select(
         "doc_id", F.regexp_count(t, F.lit(WORD)).cast("long").alias("size"),
         F.col("source").isNull().alias("no_source"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("name"),
-        order.alias("place"), (F.shiftrightunsigned(order, 32) % BUCKETS).alias("bucket"), *carry)
+        order.alias("place"), F.shiftright(order, 60 - BUCKET_BITS).alias("bucket"), *carry)
 
 
 def targets(bucket_sums: DataFrame) -> DataFrame:

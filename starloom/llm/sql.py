@@ -88,4 +88,64 @@ SELECT d.doc_id, (SELECT count(*) FROM numbered WHERE numbered.r = d.r) AS n_lin
 FROM d LEFT JOIN kept USING (r)
 """
 
-SQL = {"op7_line_dedup": OP7, "op6_quality_rules": OP6, "op8_exact_dedup": OP8}
+OP10 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(doc_id, 9223372036854775807) AS doc, row_number() OVER () AS r, {_WORDS} AS w FROM documents
+), windows AS (
+  SELECT r, doc, i, array_to_string(w[i:i+12], ' ') AS g
+  FROM (SELECT r, doc, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)
+), repeated AS (
+  SELECT r, i FROM (SELECT r, i, doc, min(doc) OVER (PARTITION BY g) AS first FROM windows) WHERE first < doc
+), covered AS (
+  SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM repeated
+), words AS (
+  SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM words ANTI JOIN covered USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+_DEMAND = "CAST(floor(target) AS BIGINT)"
+_COPY = [f"greatest(0, least(size, {_DEMAND} - starts - {j} * source_size))" for j in range(3)]
+
+OP5 = rf"""
+WITH d AS (
+  SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS place
+  FROM documents
+), src AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM d GROUP BY source
+), weighed AS (
+  SELECT *, rank % 3 + 1 AS weight FROM src
+), levelled AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (
+              ORDER BY (3 * source_size)::DOUBLE / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+            / CAST(sum(weight) OVER (ORDER BY (3 * source_size)::DOUBLE / weight, rank
+                                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM weighed
+), aimed AS (
+  SELECT source, source_size, least((3 * source_size)::DOUBLE, max(level) OVER () * weight) AS target,
+         ([1.5, 0.5, 1.0]::DOUBLE[])[rank % 3 + 1] AS w0, ([0.5, 1.5, 1.0]::DOUBLE[])[rank % 3 + 1] AS w1
+  FROM levelled
+), placed AS (
+  SELECT d.*, source_size, target, w0, w1, coalesce(sum(size) OVER (
+           PARTITION BY d.source ORDER BY place, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT
+           AS starts
+  FROM d JOIN aimed ON d.source IS NOT DISTINCT FROM aimed.source
+), taken AS (
+  SELECT *, ({_COPY[0]} + {_COPY[1]} + {_COPY[2]})::BIGINT AS taken,
+         (({_COPY[0]} > 0)::BIGINT + ({_COPY[1]} > 0)::BIGINT + ({_COPY[2]} > 0)::BIGINT) AS n_copies,
+         CASE WHEN target > 0 THEN starts / target ELSE 0 END AS share
+  FROM placed
+)
+SELECT doc_id, size, source_size, target, taken, n_copies,
+       CASE WHEN taken = 0 THEN NULL WHEN w1 = w0 THEN share
+            ELSE 2 * share / (w0 + sqrt(greatest(w0 * w0 + 2 * (w1 - w0) * share, 0::DOUBLE))) END AS position
+FROM taken
+"""
+
+SQL = {"op5_mix_curriculum": OP5, "op10_substring_rlz": OP10, "op7_line_dedup": OP7, "op6_quality_rules": OP6, "op8_exact_dedup": OP8}
