@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import map_arrow, slices, text_or_empty
+from starloom.sources.store import materialize
 
 LENGTH = 2048
 END_ID = 1
@@ -233,6 +234,8 @@ def pack(docs: DataFrame, vocabulary_path: str, length: int = LENGTH) -> DataFra
         if filler.rows:
             yield out()
 
-    ordered = tokenized(docs, vocabulary_path).repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id")
+    # written first: choosing the ranges reads all rows as well, and would tokenize them a second time
+    rows = materialize(tokenized(docs, vocabulary_path))
+    ordered = rows.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id")
     schema = f"doc_id {id_type.simpleString()}, " + ", ".join(f"{n} long" for n in names[1:])
     return map_arrow(ordered.select("doc_id", "ids"), run, schema)
