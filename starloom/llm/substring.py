@@ -126,7 +126,7 @@ def block_rows(docs: DataFrame) -> DataFrame:
                     s = slice(i, i + 500_000)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[at + b.doc[s]]), pa.array(b.anchor[s].astype(np.int64)),
-                         pa.array(b.hash[s].astype(np.int64))], names=["doc", "anchor", "block"])
+                         pa.array((b.hash[s] >> U(16)).astype(np.int64))], names=["doc", "anchor", "block"])
                 at += len(part)
 
     return map_arrow(docs, run, "doc long, anchor long, block long")
@@ -168,21 +168,26 @@ def _second(h: np.ndarray) -> np.ndarray:
     return (h >> U(32)).astype(np.uint32).view(np.int32)
 
 
-PARSED = "doc long, n_words long, n_removed long, kept_sha256 string, text string, found array<int>, " \
-         "w1 array<long>, w2 array<int>"
+PARSED = "row long, doc long, n_words long, n_removed long, kept_sha256 string, text string, found array<int>, " \
+         "at array<int>, w1 array<long>, w2 array<int>"
 
 
 def first_parse(joined: DataFrame) -> DataFrame:
-    """Parse (doc, text, same, mixed). A document without mixed anchors is finished; any other comes with its text, the
-    duplicate stretches found so far (``found``) and the hashes of the windows still open (``w1``, ``w2``)."""
+    """Parse (doc, text, same, mixed). A document without mixed anchors is finished; any other comes with the
+    duplicate stretches found so far (``found``), the words outside them (``text``), and the place and hashes of the
+    windows still open (``at``, ``w1``, ``w2``). ``row`` numbers the rows: ids may repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = list(zip(batch.column(1).cast(pa.binary()).to_pylist(), range(batch.num_rows), strict=True))
             for part in slices(rows, lambda r: len(r[0]), SLICE_BYTES):
-                yield parse([t for t, _ in part], batch.slice(part[0][1], len(part)))
+                yield parse([t for t, _ in part], batch.slice(part[0][1], len(part)), row)
+                row += len(part)
 
-    def parse(texts: list[bytes], batch: pa.RecordBatch) -> pa.RecordBatch:
+    def parse(texts: list[bytes], batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
         words = Words(texts)
         b = Blocks(words)
         bounds = np.searchsorted(b.doc, np.arange(len(texts) + 1))
@@ -199,66 +204,56 @@ def first_parse(joined: DataFrame) -> DataFrame:
             dup, unsure = _isin(b.anchor[blocks], lists[0]), _isin(b.anchor[blocks], lists[1])
             of = b.block[mine] - bounds[i]
             found = b.at[mine][dup[of]] - first
+            gone = _removed(n, found)
+            kept = words.text(i) if not len(found) else [x for x, g in zip(words.text(i), gone, strict=True) if not g]
             if unsure.any():
                 o = unsure[of]
-                out.append((n, None, None, texts[i], _merged(found), w1[mine][o].astype(np.int64), _second(w2[mine][o])))
+                out.append((n, None, None, b" ".join(kept), _merged(found), (b.at[mine][o] - first).astype(np.int32),
+                            w1[mine][o].astype(np.int64), _second(w2[mine][o])))
             else:
-                gone = _removed(n, found)
-                kept = words.text(i) if not len(found) else [x for x, g in zip(words.text(i), gone, strict=True) if not g]
-                out.append((n, int(gone.sum()), _sha(kept), None, None, None, None))
+                out.append((n, int(gone.sum()), _sha(kept), None, None, None, None, None))
         cols = list(zip(*out, strict=True))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
-             pa.array(cols[3], pa.binary()).cast(pa.string()), pa.array(cols[4], pa.list_(pa.int32())),
-             pa.array(cols[5], pa.list_(pa.int64())), pa.array(cols[6], pa.list_(pa.int32()))],
-            names=["doc", "n_words", "n_removed", "kept_sha256", "text", "found", "w1", "w2"])
+            [pa.array(range(row, row + len(texts)), pa.int64()), batch.column(0), pa.array(cols[0], pa.int64()),
+             pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
+             pa.array(cols[3], pa.binary()).cast(pa.string()), *(pa.array(cols[j], pa.list_(t)) for j, t in (
+                 (4, pa.int32()), (5, pa.int32()), (6, pa.int64()), (7, pa.int32())))],
+            names=["row", "doc", "n_words", "n_removed", "kept_sha256", "text", "found", "at", "w1", "w2"])
 
     return map_arrow(joined.select("doc", "text", "same", "mixed"), run, PARSED)
 
 
 def boundary_hits(open_rows: DataFrame) -> DataFrame:
-    """(doc, windows): of the open windows, those that a smaller document has too, as hash pairs."""
-    windows = open_rows.select("doc", F.explode(F.arrays_zip("w1", "w2")).alias("w")).select("doc", "w.w1", "w.w2")
+    """(row, starts): the places of the open windows that a smaller document has too."""
+    windows = open_rows.select("row", "doc", F.explode(F.arrays_zip("at", "w1", "w2")).alias("w")).select(
+        "row", "doc", "w.at", "w.w1", "w.w2")
     owners = windows.groupBy("w1", "w2").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).filter("d0 < d1")
     hits = windows.join(owners, ["w1", "w2"]).filter("d0 < doc")
-    return hits.groupBy("doc").agg(F.collect_set(F.struct("w1", "w2")).alias("windows"))
+    return hits.groupBy("row").agg(F.collect_list("at").alias("starts"))
 
 
 def second_parse(joined: DataFrame) -> DataFrame:
-    """Finish (doc, text, found, windows): the document's windows among ``windows`` are duplicates as well."""
+    """Finish (doc, n_words, text, found, starts): the open windows at ``starts`` are duplicates as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(zip(batch.column(1).cast(pa.binary()).to_pylist(), range(batch.num_rows), strict=True))
-            for part in slices(rows, lambda r: len(r[0]), SLICE_BYTES):
-                yield parse([t for t, _ in part], batch.slice(part[0][1], len(part)))
-
-    def parse(texts: list[bytes], batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = Words(texts)
-        at, w1 = words.windows(WINDOW)
-        w2 = _second(words.windows(WINDOW, salt=1)[1])
-        bounds = np.searchsorted(words.doc[at] if len(at) else at, np.arange(len(texts) + 1))
-        out = []
-        for i, (found, windows) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-            gone = np.zeros(int(words.count[i]), dtype=bool)
-            stretches = found.values.to_pylist()
-            for begin, end in zip(stretches[::2], stretches[1::2], strict=True):
-                gone[begin:end] = True
-            if windows.is_valid:
-                mine = slice(bounds[i], bounds[i + 1])
-                own1, own2 = w1[mine].astype(np.int64), w2[mine]
-                known = set(zip(*(windows.values.field(c).to_pylist() for c in ("w1", "w2")), strict=True))
-                maybe = np.flatnonzero(_isin(own1, np.asarray(windows.values.field("w1"), dtype=np.int64)))
-                hit = [p for p, x, y in zip(maybe.tolist(), own1[maybe].tolist(), own2[maybe].tolist(), strict=True)
-                       if (x, y) in known]
-                gone |= _removed(len(gone), at[mine][hit] - words.first[i])
-            out.append((len(gone), int(gone.sum()), _sha([x for x, g in zip(words.text(i), gone, strict=True) if not g])))
-        cols = list(zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string()), strict=True))],
-            names=["doc", "n_words", "n_removed", "kept_sha256"])
-
-    return map_arrow(joined.select("doc", "text", "found", "windows"), run,
+            removed, shas = [], []
+            for n, text, found, starts in zip(*(batch.column(i) for i in range(1, 5)), strict=True):
+                before = np.zeros(n.as_py(), dtype=bool)
+                stretches = found.values.to_pylist()
+                for begin, end in zip(stretches[::2], stretches[1::2], strict=True):
+                    before[begin:end] = True
+                gone, words = before, text.as_py().encode().split()
+                if starts.is_valid:
+                    gone = before | _removed(len(before), np.asarray(starts.values, dtype=np.int64))
+                    words = [x for x, g in zip(words, gone[~before], strict=True) if not g]
+                removed.append(int(gone.sum()))
+                shas.append(_sha(words))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()),
+                                              pa.array(shas, pa.string())],
+                                             names=["doc", "n_words", "n_removed", "kept_sha256"])
+
+    return map_arrow(joined.select("doc", "n_words", "text", "found", "starts"), run,
                      "doc long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -268,6 +263,7 @@ def report(docs: DataFrame) -> DataFrame:
     parsed = materialize(first_parse(source.join(anchor_hits(source), "doc", "left")))
     done = parsed.filter("text is null").select("doc", "n_words", "n_removed", "kept_sha256")
     rest = parsed.filter("text is not null")
-    finished = second_parse(rest.select("doc", "text", "found").join(boundary_hits(rest), "doc", "left"))
+    rest_words = rest.select("row", "doc", "n_words", "text", "found")
+    finished = second_parse(rest_words.join(boundary_hits(rest), "row", "left"))
     return done.unionByName(finished).select(
         F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
