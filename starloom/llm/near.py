@@ -9,8 +9,8 @@ all weights are equal.
    hit of its document (early termination). Two documents agree in a register with probability J_P.
 2. Texts with equal word sequences are collapsed first; what follows works on one representative of each.
 3. Banding: representatives that agree in all ``ROWS`` registers of one of ``BANDS`` bands share a bucket. In each
-   bucket the smallest member leads; every member is compared with its leader, so a bucket of n costs n comparisons,
-   not n^2 / 2.
+   bucket the member that shares buckets with the most others leads; every member is compared with its leader, so a
+   bucket of n costs n comparisons, not n^2 / 2.
 4. Verification: J_P of the pair is computed exactly from the two texts; from ``THRESHOLD`` on it is a link.
 5. Links are closed to classes (connected components, alternating star contraction). Where a bucket still has members
    of several classes, its members outside the leader's class are compared with all members of other classes, and
@@ -253,6 +253,16 @@ def labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         "node", F.coalesce("root", "node").alias("root"))
 
 
+def led_by_hubs(shared: DataFrame) -> DataFrame:
+    """(key, band, node, lead): each bucket's leader is its member with the most fellow members over all bands (then the
+    largest node). The text in the middle of a family meets more of it than any other, so most of a family's buckets
+    get one leader, and the one that most members are linked with."""
+    fellows = shared.groupBy("node").agg(F.sum("n").alias("fellows"))
+    rows = shared.select("key", "band", "node").join(fellows, "node")
+    hub = rows.groupBy("key").agg(F.max(F.struct("fellows", "node")).alias("hub"))
+    return rows.join(hub, "key").select("key", "band", "node", F.col("hub.node").alias("lead"))
+
+
 def across_classes(members: DataFrame, label: DataFrame, led_pairs: DataFrame, reps: DataFrame, texts: DataFrame,
                    threshold: float) -> DataFrame:
     """The pairs (a, b) of buckets that hold several classes which are still to be compared: between a member outside
@@ -285,8 +295,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                                      F.min("doc_id").alias("min_id"), F.first("bands").alias("bands"))
         .select(F.monotonically_increasing_id().alias("node"), "c1", "c2", "r.*", "copies", "min_id", "bands"))
     buckets = reps.select("node", F.posexplode("bands").alias("band", "key"))
-    led = buckets.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    members = materialize(buckets.join(led, "key").select("key", "band", "node", "lead"))
+    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = materialize(led_by_hubs(materialize(buckets.join(shared, "key"))))
     first = members.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
 
     ids = members.select("node").distinct().join(reps, "node").select("node", "doc_id", "text_hash")
