@@ -13,7 +13,7 @@ the blocks of its anchor alone, and every document's blocks are indexed: nothing
    map-side combine, however often an anchor occurs). An anchor of one document needs no more work.
 2. Parse: where all blocks of an anchor are equal, a block is part of a factor if the smallest document isn't its own.
 3. Factor boundaries: where an anchor has different blocks (a factor ends inside one of them), their single windows are
-   compared, by the smallest document of each window hash (96 bits).
+   compared, by the smallest document of each window hash (80 bits).
 
 The lookups travel by document: each document gets the anchors and window hashes found for it, never other texts, and
 parses its own text with them. Lists are bounded by the document's own length; hot anchors and windows are aggregated
@@ -114,7 +114,8 @@ def _isin(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------------------------------------ index
 def block_rows(docs: DataFrame) -> DataFrame:
-    """(doc, anchor, block): one row per block; a null id counts as ``NO_ID``."""
+    """(doc, anchor, block): one row per block, known by 64 bits of its anchor and 40 of its words; a null id counts as
+    ``NO_ID``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +127,7 @@ def block_rows(docs: DataFrame) -> DataFrame:
                     s = slice(i, i + 500_000)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[at + b.doc[s]]), pa.array(b.anchor[s].astype(np.int64)),
-                         pa.array((b.hash[s] >> U(16)).astype(np.int64))], names=["doc", "anchor", "block"])
+                         pa.array((b.hash[s] >> U(24)).astype(np.int64))], names=["doc", "anchor", "block"])
                 at += len(part)
 
     return map_arrow(docs, run, "doc long, anchor long, block long")
@@ -164,12 +165,12 @@ def _merged(starts: np.ndarray, window: int = WINDOW) -> list[int]:
 
 
 def _second(h: np.ndarray) -> np.ndarray:
-    """The second window hash, 32 bits beside the first's 64."""
-    return (h >> U(32)).astype(np.uint32).view(np.int32)
+    """The second window hash, 16 bits beside the first's 64."""
+    return (h >> U(48)).astype(np.uint16).view(np.int16)
 
 
 PARSED = "row long, doc long, n_words long, n_removed long, kept_sha256 string, text string, found array<int>, " \
-         "at array<int>, w1 array<long>, w2 array<int>"
+         "at array<int>, w1 array<long>, w2 array<smallint>"
 
 
 def first_parse(joined: DataFrame) -> DataFrame:
@@ -217,7 +218,7 @@ def first_parse(joined: DataFrame) -> DataFrame:
             [pa.array(range(row, row + len(texts)), pa.int64()), batch.column(0), pa.array(cols[0], pa.int64()),
              pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
              pa.array(cols[3], pa.binary()).cast(pa.string()), *(pa.array(cols[j], pa.list_(t)) for j, t in (
-                 (4, pa.int32()), (5, pa.int32()), (6, pa.int64()), (7, pa.int32())))],
+                 (4, pa.int32()), (5, pa.int32()), (6, pa.int64()), (7, pa.int16())))],
             names=["row", "doc", "n_words", "n_removed", "kept_sha256", "text", "found", "at", "w1", "w2"])
 
     return map_arrow(joined.select("doc", "text", "same", "mixed"), run, PARSED)
