@@ -2,8 +2,8 @@
 
 The text itself is scanned first. Then a worklist unwraps what it holds: percent-encoded and Unicode-escaped lines and
 base64 tokens (also of compressed bytes) become layers of their own, are scanned with the same patterns and unwrapped
-again, until nothing new turns up. A layer whose text was seen before isn't queued again, so encodings that decode to
-each other or to themselves end. Every layer knows for each of its characters which characters of the original text it
+again, until nothing new turns up. A layer whose text was seen before at the same place isn't queued again, so encodings
+that decode to each other or to themselves end, while an equal token elsewhere is a layer again. Every layer knows for each of its characters which characters of the original text it
 came from; a finding is reported at that place.
 
 One pass over the documents, no shuffle. Edge cases: a null text counts as empty; very long texts are scanned whole;
@@ -67,6 +67,14 @@ class Layer:
         """A layer whose character i was made of this layer's characters a[i] to b[i] - 1."""
         return Layer(text, a, b) if self.start is None else Layer(text, self.start[a], self.end[b - 1])
 
+    def mark(self) -> bytes:
+        """Equal for layers of the same text made of the same characters of the original."""
+        own = hashlib.sha1(self.text.encode("utf-8", "replace"))
+        for place in (self.start, self.end):
+            if place is not None:
+                own.update(place.astype("<i8").tobytes())
+        return own.digest()
+
 
 def _lines(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
     """The lines in which the pattern occurs."""
@@ -148,14 +156,14 @@ class Unwrapper:
 
     def __init__(self, text: str):
         self.queue = [Layer(text)]
-        self.seen = {hashlib.sha1(text.encode("utf-8", "replace")).digest()}
+        self.seen = {self.queue[0].mark()}
         self.budget = MAX_UNPACKED
         self.layers = 0
 
     def push(self, layer: Layer | None) -> None:
         if layer is None or not layer.text:
             return
-        mark = hashlib.sha1(layer.text.encode("utf-8", "replace")).digest()
+        mark = layer.mark()
         if mark not in self.seen:
             self.seen.add(mark)
             self.queue.append(layer)
@@ -213,9 +221,12 @@ def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int
     base = scan(text)
     work = Unwrapper(text)
     kept: list[tuple[str, int, int]] = []
-    for k, a, b in sorted(set(work.run()), key=lambda s: (s[1] - s[2], s)):
-        if not any(k == k2 and a2 <= a and b <= b2 for k2, a2, b2 in base + kept):
-            kept.append((k, a, b))
+    reach: dict[str, int] = {}  # the furthest end, by kind, of the spans that begin here or before
+    spans = {(a, -b, k, True) for k, a, b in work.run()} | {(a, -b, k, False) for k, a, b in base}
+    for a, end, k, layered in sorted(spans):
+        if layered and -end > reach.get(k, -1):
+            kept.append((k, a, -end))
+        reach[k] = max(reach.get(k, -1), -end)
     return base, kept, work.layers - 1
 
 

@@ -191,6 +191,22 @@ def test_cycles_end_and_plain_text_stays_plain():
     assert secret_scan.findings("Entlichkeitenverschwerungen INTERNATIONALISIERUNG schreibmaschine")[2] == 0
 
 
+@pytest.mark.parametrize("wrap", [
+    b64, lambda s: urllib.parse.quote(s, safe=""), lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
+    lambda s: b64(gzip.compress(s.encode(), mtime=0)), lambda s: b64("x " + b64(s) + " y")])
+def test_equal_tokens_are_each_found(wrap):
+    inner = wrap(SECRET)
+    text = f"one {inner}\ntwo {inner}\nthree {b64(SECRET)} {wrap(SECRET + ' ')}\n{inner}"
+    found = [(a, b) for k, a, b in secret_scan.findings(text)[1] if k == "assign"]
+    for m in re.finditer(re.escape(inner), text):
+        assert any(m.start() <= a < b <= m.end() for a, b in found)
+    assert any(text.index("three") < a and b <= text.index("three") + 6 + len(b64(SECRET)) for a, b in found)
+
+
+def test_many_equal_tokens_take_linear_time():
+    assert len(secret_scan.findings(f"{b64(SECRET)}\n" * 3000)[1]) == 3000
+
+
 def test_secret_query(spark):
     data = rows() + [(5000, f"x {b64(SECRET)} y", "en", "s", 1), (5001, "token=abcdefabcdefabcdef", "en", "s", 1)]
     got = secret_scan.report(clashing(frame(spark, data))).collect()
