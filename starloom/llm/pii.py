@@ -3,7 +3,8 @@
 The patterns find e-mail and IP addresses, card and phone numbers in every text; those spans always stay. Windows around
 them (and around other digits, as counter-examples) with one tag per character are the labelled spans the model learns
 from; variants such as numbers without a country code and written-out @ signs are added while training. The model then
-tags every window of ``WIDTH`` characters that holds a digit or an @ sign (no kind of personal data does without).
+tags every window of ``WIDTH`` characters that holds a digit, an @ sign or the word 'at', by which an @ sign is written
+out (``plausible`` accepts no span without one of them).
 Windows overlap by half and are decoded by Viterbi; a character that two windows tag gets the tag of the window in whose
 middle it lies more, and equal neighbouring tags merge into spans over the whole text. A span is added if it overlaps
 no span found by pattern, ends at word borders and has the form of its kind (digits, check sum, dots).
@@ -40,7 +41,7 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-POSSIBLE = re.compile("[0-9@]")
+POSSIBLE = re.compile(r"[0-9@]|\bat\b")
 
 
 # ------------------------------------------------------------------------------------------------ patterns
@@ -114,7 +115,7 @@ def char_ids(texts: list[str]) -> np.ndarray:
 
 
 def window_starts(text: str) -> list[int]:
-    """The starts, in steps of half a window, of the windows that hold a digit or an @ sign."""
+    """The starts, in steps of half a window, of the windows that hold a digit, an @ sign or the word 'at'."""
     out: list[int] = []
     for m in POSSIBLE.finditer(text):
         own = m.start() // STEP * STEP
@@ -250,9 +251,10 @@ def found_in(texts: list[str], model: crf.Model | None) -> list[tuple[list, list
 
 # ------------------------------------------------------------------------------------------------ Spark
 def _possible(docs: DataFrame) -> DataFrame:
-    """The texts that hold a digit or an @ sign; the others, which can hold no span, are null."""
+    """The texts that hold what ``POSSIBLE`` finds (or a bit more: letters beyond ASCII don't join to 'at' here); the
+    others, which can hold no span, are null."""
     text = F.col("text").cast("string")
-    return docs.select("doc_id", F.when(text.rlike("[0-9@]"), text).alias("text"))
+    return docs.select("doc_id", F.when(text.rlike("[0-9@]|(?<![A-Za-z0-9_])at(?![A-Za-z0-9_])"), text).alias("text"))
 
 
 def training_rows(docs: DataFrame) -> list[tuple[str, str]]:

@@ -151,6 +151,25 @@ def test_personal_data_query(spark):
     assert pii.report(frame(spark, [])).count() == 0
 
 
+WRITTEN_OUT = ["Please write to john.doe (at) example.com for more of it", "or to mary.major at mail.example.org today"]
+
+
+def test_written_out_addresses_without_digits(spark):
+    """They are trained on, so the windows that hold them are decoded, in texts without any digit or @ sign."""
+    rng = random.Random(9)
+    names, hosts = ["john.doe", "ann", "bo.li", "mary.major", "c_d"], ["example.com", "mail.example.org", "host.example.net"]
+    data = [(i, f"{rng.choice(['Please write', 'mail', 'or send'])} to {rng.choice(names)}@{rng.choice(hosts)} "
+                f"{rng.choice(['today', 'for more of it', 'at once'])}", "en", "s", 1) for i in range(150)]
+    data += [(1000 + i, t, "en", "s", 1) for i, t in enumerate(WRITTEN_OUT)]
+    data.append((2000, "we met at noon and looked at the river", "en", "s", 1))
+    got = {r["doc_id"]: r["spans"] for r in pii.report(frame(spark, data)).collect()}
+    for i, t in enumerate(WRITTEN_OUT):
+        a = t.index(" to ") + 4
+        kind, x, y = got[1000 + i].split(":")
+        assert kind == "email" and a <= int(x) < int(y) <= len(t) and "at" in t[int(x):int(y)]
+    assert got[2000] == ""
+
+
 SECRET = 'password = "hunter2hunter2hunter2"'
 
 
