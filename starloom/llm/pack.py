@@ -56,18 +56,23 @@ def byte_of() -> dict[str, int]:
 
 class Encoder:
     """The ids that the vocabulary file's own library gives, several times faster: the file's tokens as ranks (their
-    ids are in merge order) for the byte-pair engine of tiktoken. Special tokens in a text are ordinary text."""
+    ids are in merge order) for the byte-pair engine of tiktoken. With ``special``, the file's added tokens in a text are
+    their own ids, as that library has it by default; otherwise they are ordinary text."""
 
-    def __init__(self, path: str, segment: int = 100_000):
+    def __init__(self, path: str, segment: int = 100_000, special: bool = False):
         import tiktoken
 
-        byte, special = byte_of(), set()
+        byte = byte_of()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec.get("added_tokens", [])}
-        ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+        added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
         self.engine = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.segment = segment
+        self.added = added if special else {}
+        # cut apart before anything else, the longest first where several begin at one place
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") \
+            if self.added else None
 
     def segments(self, text: str) -> Iterator[str]:
         at = 0
@@ -77,7 +82,12 @@ class Encoder:
         yield text[at:]
 
     def __call__(self, text: str) -> np.ndarray:
-        parts = [self.engine.encode_to_numpy(x, disallowed_special=()) for x in self.segments(text)]
+        parts = []
+        for piece in self.cut.split(text) if self.cut else [text]:
+            if piece in self.added:
+                parts.append([self.added[piece]])
+            elif piece:
+                parts += [self.engine.encode_to_numpy(x, disallowed_special=()) for x in self.segments(piece)]
         return np.concatenate([*parts, [END_ID]]).astype("<u2")
 
 
@@ -87,7 +97,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """The worker's encoder; it outlives a task."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, special=True)
     return _ENCODERS[path]
 
 

@@ -34,6 +34,20 @@ def test_encoder_equals_the_tokenizer():
             assert encode(t).tolist() == [*want, pack.END_ID]
 
 
+def test_added_tokens_are_their_own_ids(spark):
+    """The operator's encoder gives what the library gives as it is, also where texts are cut into segments."""
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "x\n<|endoftext|>\n y", "  <|endoftext|>  y",
+             "<|endoftext|", "a <|endoftext |> b", "one two three four <|endoftext|> five six seven " * 9, ""]
+    want = [e.ids for e in Tokenizer.from_file(VOCABULARY).encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275]
+    for encode in (pack.encoder(VOCABULARY), pack.Encoder(VOCABULARY, 7, special=True)):
+        assert [encode(t).tolist() for t in texts] == [[*w, pack.END_ID] for w in want]
+    got = pack.pack(frame(spark, [(1, texts[0], "en", "s", 1)]), VOCABULARY).collect()
+    assert sum(r["length"] for r in got) == 5 and {r["doc_tokens"] for r in got} == {5}
+
+
 def test_hilbert_neighbours_touch():
     g = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
     key = pack.hilbert(g, bits=3)
