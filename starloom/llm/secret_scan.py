@@ -14,7 +14,6 @@ after ``MAX_UNPACKED`` bytes in total, the guard against archives built to fill
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -40,6 +39,15 @@ MAX_UNPACKED = 64_000_000
 URL = re.compile(r"%[0-9A-Fa-f]{2}")
 UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: An end of line, perhaps written as an escape, with what quoting, comments and source code put around it.
+BREAK = re.compile(r"""["',;]?[ \t\\]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t>#*|"']*""")
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:{BREAK.pattern}[A-Za-z0-9+/_-]++)+={{0,2}}")
+#: What can hold a secret among bytes that are no text as a whole; the shortest secret has 16 characters, and no
+#: encoding of one has fewer.
+READABLE = re.compile(
+    rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){16,}")
+PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\0")
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -122,18 +130,21 @@ def _escape(m: re.Match) -> str | None:
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 
 
-def unpack(data: bytes, budget: int) -> bytes | None:
-    """The content of a gzip, zlib, bzip2 or xz stream, at most ``budget`` bytes; None if it is none."""
+def unpack(data: bytes, budget: int) -> tuple[bytes, int] | None:
+    """The content of the gzip, zlib, bzip2 or xz stream that the bytes begin with, at most ``budget`` bytes, and the
+    stream's length; None if there is none."""
     try:
         if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and int.from_bytes(data[:2]) % 31 == 0):
-            return zlib.decompressobj(47).decompress(data, budget)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, budget)
-        if data[:6] == b"\xfd7zXZ\0":
-            return lzma.LZMADecompressor().decompress(data, budget)
+            stream = zlib.decompressobj(47)
+        elif data[:3] == b"BZh":
+            stream = bz2.BZ2Decompressor()
+        elif data[:6] == b"\xfd7zXZ\0":
+            stream = lzma.LZMADecompressor()
+        else:
+            return None
+        return stream.decompress(data, budget), len(data) - len(stream.unused_data)
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        pass
-    return None
+        return None
 
 
 def _as_text(data: bytes) -> str | None:
@@ -151,6 +162,31 @@ def _could_be_base64(t: str) -> bool:
     return not (t.isalpha() and (t[1:].islower() or t.isupper()))
 
 
+def _runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Base64 wrapped over lines: the spans of its lines' characters."""
+    for m in WRAPPED.finditer(text):
+        spans, at = [], m.start()
+        for x in BREAK.finditer(text, *m.span()):
+            spans.append((at, x.start()))
+            at = x.end()
+        spans.append((at, m.end()))
+        if any(b - a >= 16 for a, b in spans):
+            yield spans
+
+
+def _decoded(body: str) -> bytes:
+    body = body[:len(body) - 1] if len(body) % 4 == 1 else body
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
+def _placed(layer: Layer, text: str, first: int, at: np.ndarray) -> Layer:
+    """A layer of bytes from number ``first`` on, decoded from the characters ``at``: three bytes come from four."""
+    sizes = np.ones(len(text), np.int64) if text.isascii() else np.fromiter(
+        (len(c.encode()) for c in text), dtype=np.int64, count=len(text))
+    last = first + np.cumsum(sizes)
+    return layer.child(text, at[(last - sizes) * 4 // 3], at[np.minimum(-(-last * 4 // 3), len(at)) - 1] + 1)
+
+
 class Unwrapper:
     """The worklist of one document."""
 
@@ -176,33 +212,52 @@ class Unwrapper:
         if "\\" in text or "&#" in text:
             for a, b in _lines(text, UNICODE):
                 self.push(_spliced(layer, a, b, UNICODE, _escape))
+        whole = 0  # the end of the last run of lines that decoded as one token
+        runs = _runs(text) if BASE64.search(text) else iter(())
+        run = next(runs, None)
         for m in BASE64.finditer(text):
-            if _could_be_base64(m[0]):
-                self.push(self.base64_layer(layer, m))
-
-    def base64_layer(self, layer: Layer, m: re.Match) -> Layer | None:
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        body = body[:len(body) - 1] if len(body) % 4 == 1 else body
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
-            return None
-        inner = unpack(data, self.budget) if self.budget > 0 else None
-        if inner is not None:
-            self.budget -= len(inner)
-            while self.budget > 0 and (more := unpack(inner, self.budget)) is not None and more != inner:
-                inner = more
-                self.budget -= max(1, len(inner))
-            text = _as_text(inner)
-            return text and layer.child(text, np.full(len(text), m.start()), np.full(len(text), m.end()))
-        text = _as_text(data)
+            while run and run[0][0] < m.end():
+                if self.base64_layers(layer, run):
+                    whole = run[-1][1]
+                run = next(runs, None)
+            if m.start() >= whole and _could_be_base64(m[0]):
+                self.base64_layers(layer, [m.span()])
+
+    def base64_layers(self, layer: Layer, spans: list[tuple[int, int]]) -> bool:
+        """Push what a token (the spans, joined) decodes to; whether it decodes as a whole. If it doesn't, it has other
+        characters before or after it, so the readable parts and archives at each of the four alignments are pushed."""
+        body = "".join(layer.text[a:b] for a, b in spans).rstrip("=").replace("-", "+").replace("_", "/")
+        at = np.concatenate([np.arange(a, b) for a, b in spans])[:len(body)]
+        for k in range(4):
+            data = _decoded(body[k:])
+            if k == 0:
+                text = _as_text(data)
+                if text:
+                    self.push(_placed(layer, text, 0, at))
+                if PACKED.match(data) and self.unpacked(layer, data, 0, at) == len(data) or text:
+                    return True
+            for m in READABLE.finditer(data):
+                self.push(_placed(layer, m[0].decode(), m.start(), at[k:]))
+            for m in PACKED.finditer(data, 1 if k == 0 else 0):
+                self.unpacked(layer, data, m.start(), at[k:])
+        return False
+
+    def unpacked(self, layer: Layer, data: bytes, first: int, at: np.ndarray) -> int:
+        """Push the text that is packed in the bytes from number ``first`` on; where that ends, 0 if there is none."""
+        inner = unpack(data[first:], self.budget) if self.budget > 0 else None
+        if inner is None:
+            return 0
+        inner, used = inner
+        self.budget -= len(inner)
+        while self.budget > 0 and (more := unpack(inner, self.budget)) is not None and more[0] != inner:
+            inner = more[0]
+            self.budget -= max(1, len(inner))
+        text = _as_text(inner)
         if not text:
-            return None
-        sizes = np.fromiter((len(c.encode()) for c in text), dtype=np.int64, count=len(text))
-        last = np.cumsum(sizes)  # three bytes come from four characters
-        a = m.start() + (last - sizes) * 4 // 3
-        b = np.minimum(m.start() + -(-last * 4 // 3), m.end())
-        return layer.child(text, a, b)
+            return 0
+        a, b = at[first * 4 // 3], at[min(-(-(first + used) * 4 // 3), len(at)) - 1] + 1
+        self.push(layer.child(text, np.full(len(text), a), np.full(len(text), b)))
+        return first + used
 
     def run(self) -> list[tuple[str, int, int]]:
         found = []

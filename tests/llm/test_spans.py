@@ -8,6 +8,7 @@ import lzma
 import random
 import re
 import urllib.parse
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -226,6 +227,38 @@ def test_many_equal_tokens_take_linear_time():
     assert len(secret_scan.findings(f"{b64(SECRET)}\n" * 3000)[1]) == 3000
 
 
+LONG = "nothing of it in this line of text\n" * 3
+
+
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("line", ["\n", "\r\n", "\n    ", "\\n", '"\n"', "\n> "])
+@pytest.mark.parametrize("pack", [str.encode, lambda s: gzip.compress(s.encode()), lambda s: bz2.compress(s.encode())])
+def test_wrapped_base64_is_one_token(width, line, pack):
+    noise = random.Random(3)
+    for shift in (0, 10, 23):  # the secret crosses a line end, or stands far behind an archive's first line
+        inner = "x" * (30 + shift) + SECRET + "".join(noise.choice("ghijklmnop \n") for _ in range(400)) + "\n" + SECRET
+        whole = b64(pack(inner))
+        token = line.join(whole[i:i + width] for i in range(0, len(whole), width))
+        text = f"-----BEGIN CERTIFICATE-----\n{token}\n-----END CERTIFICATE-----\nmore"
+        found = [(a, b) for k, a, b in secret_scan.findings(text)[1] if k == "assign"]
+        at = text.index(token)
+        assert found and all(at <= a < b <= at + len(token) for a, b in found)
+        assert len(found) == (2 if pack is str.encode else 1)
+
+
+@pytest.mark.parametrize("before", ["https://host.example/q/", "https://host.example/ab/q/", "a/b-c_", "key-", "xy/", "x"])
+@pytest.mark.parametrize("after", ["", "/tail", "-x.html", "/abc/defgh"])
+@pytest.mark.parametrize("pack", [str.encode, lambda s: gzip.compress(s.encode()), lambda s: zlib.compress(s.encode())])
+def test_base64_inside_a_path(before, after, pack):
+    text = f"see {before}{b64(pack(LONG + SECRET)).rstrip('=')}{after} for it"
+    assert any(k == "assign" for k, _, _ in secret_scan.findings(text)[1])
+
+
+def test_long_runs_without_base64_take_linear_time():
+    assert secret_scan.findings("x" * 1_000_000 + " " * 200_000 + "y" * 1_000_000)[0] == []
+    assert secret_scan.findings("word\nanother\n" * 50_000 + "a_long_name_of_something\n")[0] == []
+
+
 def test_secret_query(spark):
     data = rows() + [(5000, f"x {b64(SECRET)} y", "en", "s", 1), (5001, "token=abcdefabcdefabcdef", "en", "s", 1)]
     got = secret_scan.report(clashing(frame(spark, data))).collect()
