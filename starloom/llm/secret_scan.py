@@ -7,8 +7,10 @@ that decode to each other or to themselves end, while an equal token elsewhere i
 came from; a finding is reported at that place.
 
 One pass over the documents, no shuffle. Edge cases: a null text counts as empty; very long texts are scanned whole;
-repeated rows and null ids get their own rows; an empty table gives an empty result. Decompression of one document stops
-after ``MAX_UNPACKED`` bytes in total, the guard against archives built to fill memory; everything else is unbounded.
+repeated rows and null ids get their own rows; an empty table gives an empty result. Archives are unpacked member after
+member and scanned in overlapping chunks, so memory doesn't grow with what they hold. Unpacking of one document stops
+after ``MAX_UNPACKED`` bytes in total, the guard against archives that unpack without end; then, or if a chunk's border
+may cut something longer than the overlap, the row's ``truncated`` is true.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ ASSIGN = re.compile(
 KEYWORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that are long enough
-MAX_UNPACKED = 64_000_000
+MAX_UNPACKED = 4_000_000_000
+PIECE, CHUNK, OVERLAP = 1 << 20, 64_000_000, 1 << 20
 
 URL = re.compile(r"%[0-9A-Fa-f]{2}")
 UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
@@ -47,6 +50,9 @@ WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:{BREAK.pattern}[
 READABLE = re.compile(
     rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
     rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){16,}")
+CONTROL = bytes([*range(9), *range(14, 32), 127])
+#: Bytes that may be part of one long token or pattern.
+UNBROKEN = re.compile(rb"[A-Za-z0-9+/_=\s-]*")
 PACKED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\0")
 
 
@@ -79,8 +85,8 @@ class Layer:
         """Equal for layers of the same text made of the same characters of the original."""
         own = hashlib.sha1(self.text.encode("utf-8", "replace"))
         for place in (self.start, self.end):
-            if place is not None:
-                own.update(place.astype("<i8").tobytes())
+            if place is not None:  # one number for all characters is hashed once
+                own.update((place if place.strides[0] else place[:1]).astype("<i8").tobytes())
         return own.digest()
 
 
@@ -130,21 +136,41 @@ def _escape(m: re.Match) -> str | None:
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 
 
-def unpack(data: bytes, budget: int) -> tuple[bytes, int] | None:
-    """The content of the gzip, zlib, bzip2 or xz stream that the bytes begin with, at most ``budget`` bytes, and the
-    stream's length; None if there is none."""
-    try:
-        if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and int.from_bytes(data[:2]) % 31 == 0):
-            stream = zlib.decompressobj(47)
-        elif data[:3] == b"BZh":
-            stream = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\0":
-            stream = lzma.LZMADecompressor()
-        else:
-            return None
-        return stream.decompress(data, budget), len(data) - len(stream.unused_data)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
+def _stream(data: bytes):
+    """A decompressor for the gzip, zlib, bzip2 or xz stream that the bytes begin with; None if there is none."""
+    if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and int.from_bytes(data[:2]) % 31 == 0):
+        return zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\0" else None
+
+
+class Members:
+    """The content, in pieces, of the streams that come one after the other from ``first`` on in ``data``; ``end`` is
+    where the last one ended, ``cut`` whether the data ended before it."""
+
+    def __init__(self, data: bytes, first: int):
+        self.data, self.end, self.cut = data, first, False
+
+    def __iter__(self) -> Iterator[bytes]:
+        while (stream := _stream(self.data[self.end:self.end + 6])) is not None:
+            at, rest = self.end, b""
+            try:
+                while not stream.eof:
+                    if not rest and getattr(stream, "needs_input", True):
+                        rest = self.data[at:at + PIECE]
+                        at += len(rest)
+                    given = len(rest)
+                    out = stream.decompress(rest, PIECE)
+                    rest = getattr(stream, "unconsumed_tail", b"")
+                    if out:
+                        yield out
+                    elif not given:
+                        self.cut, self.end = True, len(self.data)
+                        return
+            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                return  # damaged: what came before it was given
+            self.end = at - len(stream.unused_data)
 
 
 def _as_text(data: bytes) -> str | None:
@@ -153,7 +179,7 @@ def _as_text(data: bytes) -> str | None:
         text = data.decode()
     except UnicodeDecodeError:
         return None
-    odd = sum(c < " " and c not in "\t\n\r\f\v" or c == "\x7f" for c in text)
+    odd = len(data) - len(data.translate(None, CONTROL))
     return text if text and odd * 20 <= len(text) else None
 
 
@@ -170,8 +196,15 @@ def _runs(text: str) -> Iterator[list[tuple[int, int]]]:
             spans.append((at, x.start()))
             at = x.end()
         spans.append((at, m.end()))
-        if any(b - a >= 16 for a, b in spans):
-            yield spans
+        own: list[tuple[int, int]] = []
+        for a, b in [*spans, (0, 0)]:
+            alone = b - a >= 16 and _complete(_decoded(text[a:b].rstrip("=").replace("-", "+").replace("_", "/")))
+            if alone or a == b:  # a line that is an archive by itself isn't part of its neighbours' token
+                if len(own) > 1 and any(y - x >= 16 for x, y in own):
+                    yield own
+                own = []
+            else:
+                own.append((a, b))
 
 
 def _decoded(body: str) -> bytes:
@@ -187,13 +220,25 @@ def _placed(layer: Layer, text: str, first: int, at: np.ndarray) -> Layer:
     return layer.child(text, at[(last - sizes) * 4 // 3], at[np.minimum(-(-last * 4 // 3), len(at)) - 1] + 1)
 
 
+def _complete(data: bytes, limit: int = 64_000_000) -> bool:
+    """Whether the bytes are archives one after the other and nothing else (not told of very large ones)."""
+    if not PACKED.match(data):
+        return False
+    members = Members(data, 0)
+    for piece in members:
+        limit -= len(piece)
+        if limit < 0:
+            return False
+    return members.end == len(data) and not members.cut
+
+
 class Unwrapper:
     """The worklist of one document."""
 
     def __init__(self, text: str):
         self.queue = [Layer(text)]
         self.seen = {self.queue[0].mark()}
-        self.budget = MAX_UNPACKED
+        self.budget, self.truncated = MAX_UNPACKED, False
         self.layers = 0
 
     def push(self, layer: Layer | None) -> None:
@@ -234,35 +279,69 @@ class Unwrapper:
                 text = _as_text(data)
                 if text:
                     self.push(_placed(layer, text, 0, at))
-                if PACKED.match(data) and self.unpacked(layer, data, 0, at) == len(data) or text:
+                if text and not PACKED.match(data):
+                    return True
+                if not text and PACKED.match(data) and _complete(data):
+                    self.queue.append(self.archives(layer, data, at))
                     return True
-            for m in READABLE.finditer(data):
-                self.push(_placed(layer, m[0].decode(), m.start(), at[k:]))
-            for m in PACKED.finditer(data, 1 if k == 0 else 0):
-                self.unpacked(layer, data, m.start(), at[k:])
+            if k or not text:
+                for m in READABLE.finditer(data):
+                    self.push(_placed(layer, m[0].decode(), m.start(), at[k:]))
+            if PACKED.search(data):
+                self.queue.append(self.archives(layer, data, at[k:]))
         return False
 
-    def unpacked(self, layer: Layer, data: bytes, first: int, at: np.ndarray) -> int:
-        """Push the text that is packed in the bytes from number ``first`` on; where that ends, 0 if there is none."""
-        inner = unpack(data[first:], self.budget) if self.budget > 0 else None
-        if inner is None:
-            return 0
-        inner, used = inner
-        self.budget -= len(inner)
-        while self.budget > 0 and (more := unpack(inner, self.budget)) is not None and more[0] != inner:
-            inner = more[0]
-            self.budget -= max(1, len(inner))
-        text = _as_text(inner)
-        if not text:
-            return 0
-        a, b = at[first * 4 // 3], at[min(-(-(first + used) * 4 // 3), len(at)) - 1] + 1
-        self.push(layer.child(text, np.full(len(text), a), np.full(len(text), b)))
-        return first + used
+    def archives(self, layer: Layer, data: bytes, at: np.ndarray | None) -> Iterator[None]:
+        """Push what the archives in the bytes hold, a chunk a step. ``at``: the layer's characters that the bytes were
+        decoded from; None: all of the bytes come from the layer's one place."""
+        first = 0
+        while m := PACKED.search(data, first):
+            members = Members(data, m.start())
+            buffer, fresh = bytearray(), False
+            for piece in members:
+                self.budget -= len(piece)
+                buffer += piece
+                fresh = True
+                if len(buffer) >= CHUNK:
+                    self.chunk(layer, bytes(buffer), m.start(), len(data), at)
+                    yield
+                    buffer, fresh = buffer[-OVERLAP:], False
+                    # a token or an archive inside that is longer than the overlap may have been cut
+                    self.truncated |= UNBROKEN.fullmatch(buffer) is not None or _as_text(bytes(buffer)) is None
+                if self.budget <= 0:
+                    self.truncated = True
+                    return
+            if fresh:
+                self.chunk(layer, bytes(buffer), m.start(), members.end if members.end > m.start() else len(data), at)
+                yield
+            first = max(m.start() + 1, members.end)
+
+    def chunk(self, layer: Layer, data: bytes, first: int, end: int, at: np.ndarray | None) -> None:
+        """Push the text of unpacked bytes, which come from the bytes ``first`` to ``end`` - 1."""
+        if at is None:
+            a, b = layer.place(0, 1)
+        else:
+            a, b = layer.place(int(at[first * 4 // 3]), int(at[min(-(-end * 4 // 3), len(at)) - 1]) + 1)
+        mark = hashlib.sha1(data + b"%d %d" % (a, b)).digest()
+        if mark in self.seen:
+            return
+        self.seen.add(mark)
+        text = _as_text(data) or "\n\n".join(m[0].decode() for m in READABLE.finditer(data))
+        own = Layer(text or "-", np.broadcast_to(np.int64(a), len(text) or 1), np.broadcast_to(np.int64(b), len(text) or 1))
+        if text:
+            self.push(own)
+        if PACKED.search(data):
+            self.queue.append(self.archives(own, data, None))
 
     def run(self) -> list[tuple[str, int, int]]:
         found = []
         while self.queue:
             layer = self.queue.pop()
+            if not isinstance(layer, Layer):  # an archive: its next chunk, and then what that holds
+                under = len(self.queue)
+                if next(layer, self) is not self:
+                    self.queue.insert(under, layer)
+                continue
             if self.layers:
                 found += [(k, *layer.place(a, b)) for k, a, b in scan(layer.text)]
             self.layers += 1
@@ -270,8 +349,8 @@ class Unwrapper:
         return found
 
 
-def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
-    """(spans in the text itself, spans of secrets inside its layers, number of layers). A layer's finding that lies
+def examined(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int, bool]:
+    """(spans in the text itself, spans of secrets inside its layers, number of layers, truncated). A layer's finding that lies
     within one of the same kind already found isn't repeated."""
     base = scan(text)
     work = Unwrapper(text)
@@ -282,7 +361,11 @@ def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int
         if layered and -end > reach.get(k, -1):
             kept.append((k, a, -end))
         reach[k] = max(reach.get(k, -1), -end)
-    return base, kept, work.layers - 1
+    return base, kept, work.layers - 1, work.truncated
+
+
+def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
+    return examined(text)[:3]
 
 
 def joined(spans: list[tuple[str, int, int]], kinds=KINDS) -> str:
@@ -291,22 +374,24 @@ def joined(spans: list[tuple[str, int, int]], kinds=KINDS) -> str:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex (in the text itself), base_sha256, spans (all), n_layers."""
+    """One row per document: doc_id, n_assign, n_access, n_hex (in the text itself), base_sha256, spans (all), n_layers,
+    truncated."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_layers"]
+    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_layers", "truncated"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for cell in batch.column(1):
-                base, more, layers = findings(cell.as_py() or "")
+                base, more, layers, truncated = examined(cell.as_py() or "")
                 rows.append((*(sum(k == s[0] for s in base) for k in KINDS),
-                             hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + more), layers))
-            cols = list(zip(*rows, strict=True)) or [()] * 6
-            types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
+                             hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + more), layers, truncated))
+            cols = list(zip(*rows, strict=True)) or [()] * 7
+            types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
     return map_arrow(
         docs.select("doc_id", F.col("text").cast("string")), run,
-        f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long")
+        f"doc_id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long, "
+        "truncated boolean")

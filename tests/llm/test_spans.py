@@ -259,6 +259,18 @@ def test_long_runs_without_base64_take_linear_time():
     assert secret_scan.findings("word\nanother\n" * 50_000 + "a_long_name_of_something\n")[0] == []
 
 
+@pytest.mark.parametrize("packer", [gzip, bz2, lzma])
+def test_every_member_is_scanned(packer, monkeypatch):
+    z = packer.compress
+    monkeypatch.setattr(secret_scan, "CHUNK", 4_000_000)
+    for data in (z(b"first ") + z(SECRET.encode()), z(b"pass") + z(SECRET.encode()[4:]), z(z(b"one ") + z(SECRET.encode())),
+                 z(b"x" * 100) + bytes(64) + z(SECRET.encode()), z(bytes(70_000_000) + SECRET.encode())):
+        base, more, _, truncated = secret_scan.examined(f"see {b64(data)} here")
+        assert [k for k, *_ in more] == ["assign"] and 4 <= more[0][1] < more[0][2] <= 4 + len(b64(data))
+    monkeypatch.setattr(secret_scan, "MAX_UNPACKED", 1000)
+    assert secret_scan.examined(b64(z(b"ab cd, " * 1000)))[3] and not secret_scan.examined(b64(z(b"ab cd, " * 9)))[3]
+
+
 def test_secret_query(spark):
     data = rows() + [(5000, f"x {b64(SECRET)} y", "en", "s", 1), (5001, "token=abcdefabcdefabcdef", "en", "s", 1)]
     got = secret_scan.report(clashing(frame(spark, data))).collect()
