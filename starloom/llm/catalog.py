@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import (
+    centroids,
     exact,
     langid,
     lines,
     mix,
     near,
     pack,
+    phrases,
     pii,
     quality,
     secret_scan,
@@ -69,8 +71,16 @@ def op10_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(documents(spark, sf_dir))
 
 
+def op11_ptolemaic_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_hat_trie_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pack_curve, op2_pii_lstm_crf, op3_language_id, op4_secret_scan, op5_mix_curriculum, op6_quality_rules,
-        op7_line_dedup, op8_exact_dedup, op9_near_dedup, op10_substring_rlz)
+        op7_line_dedup, op8_exact_dedup, op9_near_dedup, op10_substring_rlz, op11_ptolemaic_centroids, op12_hat_trie_phrases)
 }

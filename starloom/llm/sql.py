@@ -148,4 +148,80 @@ SELECT doc_id, size, source_size, target, taken, n_copies,
 FROM taken
 """
 
-SQL = {"op5_mix_curriculum": OP5, "op10_substring_rlz": OP10, "op7_line_dedup": OP7, "op6_quality_rules": OP6, "op8_exact_dedup": OP8}
+
+def _op11(k: int = 8, rounds: int = 10, dimensions: int = 64) -> str:
+    """Each round is two common table expressions: the vectors' clusters, then the centroids' components."""
+    def nearest(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, (s, c)) AS c, min(s) AS s
+  FROM (SELECT r, c, sum((x - y) * (x - y))::BIGINT AS s FROM v JOIN c{i} USING (i) GROUP BY r, c) GROUP BY r
+)"""
+
+    def moved(i: int) -> str:
+        return f"""c{i} AS MATERIALIZED (
+  SELECT c, i, coalesce(m, y) AS y FROM c{i - 1} LEFT JOIN (
+    SELECT c, i, (s - ((s % n) + n) % n) // n AS m
+    FROM (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM v JOIN a{i - 1} USING (r) GROUP BY c, i)) USING (c, i)
+)"""
+
+    steps = [x for i in range(1, rounds + 1) for x in (nearest(i - 1), moved(i))] + [nearest(rounds)]
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding AS e FROM embeddings
+  WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS MATERIALIZED (
+  SELECT r, unnest(range(1, {dimensions + 1})) AS i, unnest(list_transform(e, lambda x: floor(1024 * x::DOUBLE)::BIGINT)) AS x FROM e
+), seeds AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), e) - 1 AS c FROM e
+), c0 AS MATERIALIZED (
+  SELECT c, i, x AS y FROM seeds JOIN v USING (r) WHERE c < {k}
+), {", ".join(steps)}
+, sha AS (
+  SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c
+)
+SELECT vec_id, c::INT AS cluster, s AS distance, (sum(s) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(s) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN e USING (r) JOIN sha USING (c)
+"""
+
+
+OP11 = _op11()
+
+OP12 = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) AS s(k) WHERE len(w) >= k)
+), totals AS MATERIALIZED (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), f AS MATERIALIZED (  -- the parts of a phrase occur as often as it does at least
+  SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30
+), c AS MATERIALIZED (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), cut AS MATERIALIZED (
+  SELECT *, array_to_string(w[1:cut], ' ') AS lp, array_to_string(w[cut + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+), cuts AS (
+  SELECT cut.lang, cut.phrase, cut.a, cut, l.a AS l, r.a AS r, (2000000::HUGEINT * cut.a // (l.a + r.a))::BIGINT AS score
+  FROM cut JOIN f AS l ON l.lang = cut.lang AND l.phrase = lp JOIN f AS r ON r.lang = cut.lang AND r.phrase = rp
+), best AS (
+  SELECT lang, phrase, a, l, r, score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS MATERIALIZED (
+  SELECT lang, a, array_to_string(w[i:i + j - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - j + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS j FROM c))
+), swallowed AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN inside AS x
+    ON x.lang = c.lang AND x.phrase = c.phrase AND 100 * x.a >= 80 * c.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM best ANTI JOIN swallowed USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+SQL = {"op12_hat_trie_phrases": OP12, "op11_ptolemaic_centroids": OP11, "op5_mix_curriculum": OP5, "op10_substring_rlz": OP10, "op7_line_dedup": OP7, "op6_quality_rules": OP6, "op8_exact_dedup": OP8}
