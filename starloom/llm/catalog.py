@@ -14,6 +14,7 @@ from starloom.llm import (
     mix,
     near,
     pack,
+    pages,
     phrases,
     pii,
     quality,
@@ -79,8 +80,13 @@ def op12_hat_trie_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.report(documents(spark, sf_dir))
 
 
+def op13_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.report(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pack_curve, op2_pii_lstm_crf, op3_language_id, op4_secret_scan, op5_mix_curriculum, op6_quality_rules,
-        op7_line_dedup, op8_exact_dedup, op9_near_dedup, op10_substring_rlz, op11_ptolemaic_centroids, op12_hat_trie_phrases)
+        op7_line_dedup, op8_exact_dedup, op9_near_dedup, op10_substring_rlz, op11_ptolemaic_centroids, op12_hat_trie_phrases,
+        op13_site_templates)
 }

@@ -14,8 +14,8 @@ back is an ordinary equi join whose hot keys adaptive execution splits.
 
 Edge cases: null text counts as empty (its recipe is the empty list); equal texts keep the largest ``doc_id``; a null
 ``doc_id`` sorts below all others, and a group with no other id has a null ``keep_id`` and is kept; rows that repeat
-both text and ``doc_id`` are one document: ``groups`` gives each of them the same answer, ``keep_documents`` returns one
-of them; an empty table gives an empty result; other columns are carried along untouched.
+both text and ``doc_id`` are one document: ``groups`` gives each of them the same answer, ``keep_documents`` returns the one
+whose other columns, as JSON, come first; an empty table gives an empty result; other columns are carried along untouched.
 """
 
 from __future__ import annotations
@@ -78,11 +78,18 @@ def _key(sha: Column) -> Column:
     return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha)
 
 
+def others(docs: DataFrame) -> Column:
+    """The columns beside id and text as one string, by which rows that repeat a document are told apart in a fixed order."""
+    names = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return F.to_json(F.struct(*names)) if names else F.lit("")
+
+
 def keep_documents(docs: DataFrame) -> DataFrame:
     """The documents that stay, with their own columns. The full rows are shuffled once, for the semi join; the
     choice among rows that repeat a document reuses that partitioning and order."""
     kept = groups(docs).filter("kept").select(_key(F.col("text_sha256")).alias("_key"))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), _key(F.sha2(normalised(), 256)).alias("_key"))
-    one = Window.partitionBy("_key").orderBy("_key")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), _key(F.sha2(normalised(), 256)).alias("_key"), others(docs).alias("_o"),
+                       F.xxhash64(text_or_empty()).alias("_t"))
+    one = Window.partitionBy("_key").orderBy("_o", "_t", "_row.text")
     return (rows.join(kept, "_key", "left_semi").withColumn("_n", F.row_number().over(one))
             .filter("_n = 1").select("_row.*"))

@@ -2,8 +2,8 @@
 
 Each language has a probability for every piece of a fixed public vocabulary. A word is a string of pieces, cut in any
 way the vocabulary allows; its probability is the sum over all its segmentations, computed by the forward algorithm. A
-text scores the product over its words (runs of letters, lower-cased, with a mark for the word's beginning) and the
-share of the language's documents. The highest score wins; ``score`` is its share of all languages' scores.
+text scores the product over its words (runs of letters and their combining marks, lower-cased, with a mark for the word's
+beginning; digits and signs such as Roman numerals or fractions of their own are no letters) and the share of the language's documents. The highest score wins; ``score`` is its share of all languages' scores.
 
 Learning: expectation maximisation. Words of a bounded sample of the labelled training documents (about ``FIT_DOCS`` a
 language, by hash of the id) are counted per language by Spark; each round computes expected piece counts by
@@ -16,17 +16,19 @@ forward sums advancing one character at a time in numpy. Workers remember scores
 
 Edge cases: a null text, or one without letters, is ``und`` with score 0; without any labelled training document all
 are; a null id is never learned from and not held out; repeated rows count as often as they occur; very long texts are
-scored whole (sums are rescaled, so they can't underflow); an empty table gives an empty result.
+scored whole and teach whole (sums are rescaled, so they can't underflow; learning takes memory in proportion to the longest
+word of the sample); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +37,10 @@ from starloom.sources.store import materialize
 
 VOCABULARY = "piece_bpe_32k.model"
 FIT_DOCS, ROUNDS = 3000, 3
-MAX_PIECE = 8
 SMOOTHING, UNKNOWN = 0.05, 1e-8
 MARK = "▁"
-LETTERS = re.compile(r"[^\W\d_]+")
+#: A letter (of any script), and the letters and combining marks that follow; digits and number-like signs are none.
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 SLICE_CHARS, REMEMBERED = 4_000_000, 400_000
 
 U = np.uint64
@@ -54,21 +56,21 @@ def _mixed(cp: np.ndarray) -> np.ndarray:
     return (x ^ (x >> U(29))) * U(0x94D049BB133111EB)
 
 
-_FACTOR = [U(pow(0xD1342543DE82EF95, i + 1, 2**64)) for i in range(MAX_PIECE)]
+def _factor(i: int) -> np.uint64:
+    return U(pow(0xD1342543DE82EF95, i + 1, 2**64))
 
 
 class Pieces:
-    """The vocabulary's pieces of letters, up to ``MAX_PIECE`` characters, found by hash. Number ``n`` (one more than
-    the last piece) stands for a single character that is no piece, ``n + 1`` for no piece at all."""
+    """The vocabulary's pieces of letters and marks, the longest of ``longest`` characters, found by hash. Number ``n`` (one
+    more than the last piece) stands for a single character that is no piece, ``n + 1`` for no piece at all."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = {model.id_to_piece(i) for i in range(model.get_piece_size())}
-        self.names = sorted(p for p in names if len(p) <= MAX_PIECE and p.lstrip(MARK).isalpha() and p == p.lower()
-                            and MARK not in p[1:]) + [MARK]
-        self.n = len(self.names)
+        self.names = sorted(p for p in names if regex.fullmatch(rf"{MARK}?[\p{{L}}\p{{M}}]+", p) and p == p.lower()) + [MARK]
+        self.n, self.longest = len(self.names), max(map(len, self.names))
         keys = np.array([self.key(p) for p in self.names], dtype=U)
         self.order = np.argsort(keys)
         self.keys = keys[self.order]
@@ -78,15 +80,15 @@ class Pieces:
     @staticmethod
     def key(piece: str) -> int:
         x = _mixed(np.frombuffer(piece.encode("utf-32-le"), dtype="<u4"))
-        return int((x * np.array(_FACTOR[:len(x)], dtype=U)).sum(dtype=U))
+        return int((x * np.array([_factor(i) for i in range(len(x))], dtype=U)).sum(dtype=U))
 
     def at(self, chars: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
         """For words as rows of characters: per piece length l, an array (word, start) of piece numbers."""
         mixed, out = _mixed(chars), []
         h = np.zeros(chars.shape, dtype=U)
         width = chars.shape[1]
-        for step in range(min(MAX_PIECE, width)):
-            h = h[:, :width - step] + mixed[:, step:] * _FACTOR[step]
+        for step in range(min(self.longest, width)):
+            h = h[:, :width - step] + mixed[:, step:] * _factor(step)
             inside = np.arange(width - step) + step < length[:, None]
             ids = np.full(h.shape, self.n + 1, dtype=np.int32)
             r, c = np.nonzero(self.maybe[(h >> U(44)).astype(np.int64)] & inside)
@@ -127,28 +129,37 @@ def table(probabilities: np.ndarray) -> np.ndarray:
     return np.concatenate([probabilities, np.full((1, k), UNKNOWN), np.zeros((1, k))])
 
 
+def _used(ids: list[np.ndarray], none: int) -> list[np.ndarray]:
+    """For each piece length, the starts at which any word has a piece."""
+    return [(x < none).any(axis=0) for x in ids]
+
+
+def _eased(recent: list[np.ndarray], scale: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The recent sums, all that later ones depend on, divided by their largest, and the logarithm of what was divided by."""
+    top = np.max(recent, axis=0)
+    top = np.where(top > 0, top, 1.0)
+    return [x / top for x in recent], scale + np.log(top)
+
+
 def _forward(ids: list[np.ndarray], width: int, p: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(t, sums, log scale) after t characters: the summed probability of all segmentations of the first t."""
     n, k = len(ids[0]), p.shape[1]
-    recent = [np.ones((n, k))]
+    recent, used = [np.ones((n, k))], _used(ids, len(p) - 1)
     scale = np.zeros((n, k))
     for t in range(1, width + 1):
         now = np.zeros((n, k))
         for step in range(min(len(ids), t)):
             start = t - step - 1
-            if start >= ids[step].shape[1]:
+            if start >= len(used[step]) or not used[step][start]:
                 continue
             col = ids[step][:, start]
             on = np.flatnonzero(col <= len(p) - 2)
-            if len(on):
-                now[on] += recent[-1 - step][on] * p[col[on]]
+            now[on] += recent[-1 - step][on] * p[col[on]]
         recent.append(now)
-        if len(recent) > MAX_PIECE:
+        if len(recent) > len(ids):
             recent.pop(0)
-        if t % 8 == 0:  # the recent sums are all that later ones depend on
-            top = np.maximum(np.max(recent, axis=0), 1e-300)
-            recent = [x / top for x in recent]
-            scale = scale + np.log(top)
+        if t % 8 == 0:
+            recent, scale = _eased(recent, scale)
         yield t, recent[-1], scale
 
 
@@ -171,32 +182,36 @@ def expected(words: list[str], counts: np.ndarray, pieces: Pieces, p: np.ndarray
     for own in classes(words):
         chars, length = matrix([words[i] for i in own])
         ids, width, n = pieces.at(chars, length), chars.shape[1], len(own)
-        # words longer than this would need rescaled sums in both directions; they don't teach
-        use = length <= 40
-        if not use.any():
-            continue
-        ids, length, width = [x[use] for x in ids], length[use], min(width, 40)
-        weight, n = counts[own][use], int(use.sum())
-        alpha, beta = np.zeros((width + 1, n, p.shape[1])), np.zeros((width + 1, n, p.shape[1]))
-        alpha[0] = 1
-        beta[length, np.arange(n)] = 1
-        for t in range(1, width + 1):
-            for step in range(min(len(ids), t)):
-                col = ids[step][:, t - step - 1]
-                on = np.flatnonzero(col <= len(p) - 2)
-                alpha[t, on] += alpha[t - step - 1, on] * p[col[on]]
-        for s in range(width - 1, -1, -1):
+        k, weight, used = p.shape[1], counts[own], _used(ids, len(p) - 1)
+        alpha, up = np.ones((width + 1, n, k)), np.zeros((width + 1, n, k))
+        for t, sums, scale in _forward(ids, width, p):
+            alpha[t], up[t] = sums, scale
+        # the same from the words' ends; a word begins to count where it ends
+        recent, scale = [], np.zeros((n, k))
+        beta, down = np.zeros((width + 1, n, k)), np.zeros((width + 1, n, k))
+        for s in range(width, -1, -1):
+            now = np.zeros((n, k))
+            now[length == s] = 1
             for step in range(min(len(ids), width - s)):
-                col = ids[step][:, s]
-                on = np.flatnonzero(col <= len(p) - 2)
-                beta[s, on] += beta[s + step + 1, on] * p[col[on]]
-        z = np.maximum(beta[0], 1e-300)
+                if used[step][s]:
+                    col = ids[step][:, s]
+                    on = np.flatnonzero(col <= len(p) - 2)
+                    now[on] += recent[-1 - step][on] * p[col[on]]
+            recent.append(now)
+            if len(recent) > len(ids):
+                recent.pop(0)
+            beta[s], down[s] = now, scale
+            if s % 8 == 0:
+                recent, scale = _eased(recent, scale)
+        z = np.log(np.maximum(beta[0], 1e-300)) + down[0]
         for s in range(width):
             for step in range(min(len(ids), width - s)):
-                col = ids[step][:, s]
-                on = np.flatnonzero(col <= len(p) - 2)
-                if len(on):
-                    np.add.at(total, col[on], alpha[s, on] * p[col[on]] * beta[s + step + 1, on] / z[on] * weight[on])
+                if used[step][s]:
+                    col = ids[step][:, s]
+                    on = np.flatnonzero(col <= len(p) - 2)
+                    e = s + step + 1
+                    share = alpha[s, on] * p[col[on]] * beta[e, on] * np.exp(up[s, on] + down[e, on] - z[on])
+                    np.add.at(total, col[on], share * weight[on])
     return total[:pieces.n]
 
 
@@ -223,15 +238,12 @@ def word_counts(sample: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, words = [], []
+            counted: Counter[tuple[str, str]] = Counter()
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = words_of(text.as_py())
-                words += own
-                langs += [lang] * len(own)
-            counted = pd.DataFrame({"lang": langs, "word": words}).groupby(["lang", "word"]).size()
-            yield pa.RecordBatch.from_arrays([pa.array(counted.index.get_level_values(0), pa.string()),
-                                              pa.array(counted.index.get_level_values(1), pa.string()),
-                                              pa.array(counted.to_numpy(), pa.int64())], names=["lang", "word", "n"])
+                counted.update((lang, w) for w in words_of(text.as_py()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in counted], pa.string()), pa.array([k[1] for k in counted], pa.string()),
+                 pa.array(counted.values(), pa.int64())], names=["lang", "word", "n"])
 
     rows = map_arrow(sample.filter("text is not null").select("lang", "text"), run, "lang string, word string, n long")
     return rows.groupBy("lang", "word").agg(F.sum("n").alias("n"))

@@ -10,7 +10,7 @@ task; the join that hands the verdict back to the windows is an equi join that a
 shuffled once, to meet their intervals. Everything is built-in expressions.
 
 Edge cases: a null text has no lines and comes back empty; texts with fewer than three lines stay; a null ``doc_id``
-comes after all others; rows that repeat both id and text are one document (they take nothing from each other), rows
+comes after all others; ids may be of any type with an order; rows that repeat both id and text are one document (they take nothing from each other), rows
 with the same id and different texts are two; long texts are handled in time proportional to their length; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -23,12 +23,11 @@ from pyspark.sql import functions as F
 from starloom.llm.common import WORD, keep, text_or_empty
 
 LINES = 3
-NO_ID = 2**63 - 1
 
 
 def _lined(docs: DataFrame) -> DataFrame:
     """(doc, th, lines, at): the lines of each text and the positions of those with a word."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_or_empty().alias("text"))
+    rows = docs.select(F.col("doc_id").alias("doc"), text_or_empty().alias("text"))
     rows = keep(rows.withColumn("th", F.xxhash64("text")), "lines", F.split("text", "\n", -1))
     at = F.filter(F.transform("lines", lambda x, i: F.when(x.rlike(WORD), i)), lambda i: i.isNotNull())
     return keep(rows.select("doc", "th", "lines"), "at", at)
@@ -47,9 +46,9 @@ def windows(docs: DataFrame, size: int = LINES) -> DataFrame:
 def later(docs: DataFrame, size: int = LINES) -> DataFrame:
     """(doc, th, ks): the windows of each document that aren't their text's first."""
     rows = windows(docs, size)
-    first = (rows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "th", "k")).alias("first"), F.count("*").alias("n"))
-             .filter("n > 1"))
-    repeats = rows.join(first, ["h1", "h2"]).filter(F.struct("doc", "th", "k") != F.col("first"))
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "th", "k")  # null ids last
+    first = rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    repeats = rows.join(first, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first")))
     return repeats.groupBy("doc", "th").agg(F.sort_array(F.collect_set("k")).alias("ks"))
 
 
@@ -63,7 +62,8 @@ def intervals(ks: Column, size: int = LINES) -> Column:
 
 def deduplicated(docs: DataFrame, size: int = LINES) -> DataFrame:
     """One row per document: doc_id, n_lines (with a word), n_removed, kept_text."""
-    rows = _lined(docs).join(later(docs, size), ["doc", "th"], "left")
+    gone = later(docs, size).withColumnsRenamed({"doc": "_doc", "th": "_th"})
+    rows = _lined(docs).join(gone, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("th") == F.col("_th")), "left")
     rows = keep(rows, "gone", F.when(F.col("ks").isNotNull(), intervals(F.col("ks"), size)))
     # the stretches between intervals, as 1-based beginnings and lengths in ``lines``
     n = F.size("gone")
@@ -75,6 +75,6 @@ def deduplicated(docs: DataFrame, size: int = LINES) -> DataFrame:
     parts = F.flatten(F.transform(F.sequence(F.lit(0), n), stretch))
     removed = F.aggregate("gone", F.lit(0).cast("long"), lambda a, g: a + (g["e"] - g["s"]))
     return rows.select(
-        F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), F.size("at").cast("long").alias("n_lines"),
+        F.col("doc").alias("doc_id"), F.size("at").cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), F.lit(0).cast("long")).otherwise(removed).alias("n_removed"),
         F.when(F.col("gone").isNull(), F.array_join("lines", "\n")).otherwise(F.array_join(parts, "\n")).alias("kept_text"))

@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import map_arrow, slices, text_or_empty
+from starloom.llm.exact import others
 from starloom.llm.wordhash import U, Words, mix
 from starloom.sources.store import materialize
 
@@ -334,7 +335,7 @@ def keep_documents(docs: DataFrame) -> DataFrame:
     key = lambda h: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), h)
     best = (classes(docs).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash"))
                                               .alias("b")).select("b.*").select(key(F.col("text_hash")).alias("_key")))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), key(F.xxhash64(text_or_empty())).alias("_key"))
-    one = Window.partitionBy("_key").orderBy("_key")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), key(F.xxhash64(text_or_empty())).alias("_key"), others(docs).alias("_o"))
+    one = Window.partitionBy("_key").orderBy("_o")  # rows that repeat a document differ in other columns at most
     return (rows.join(best, "_key", "left_semi").withColumn("_n", F.row_number().over(one)).filter("_n = 1")
             .select("_row.*"))

@@ -51,7 +51,7 @@ _GAP = re.compile(rb"[ .]")
 _FACTOR = np.random.default_rng(12).integers(1, 2**63, LONGEST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def slices_of(text: bytes, size: int = SLICE) -> Iterator[list[bytes]]:
+def slices_of(text: bytes, size: int) -> Iterator[list[bytes]]:
     """The words of a text in UTF-8, with ``b"."`` wherever a piece ends, in slices of about ``size`` bytes."""
     text, at = text.translate(_TABLE), 0
     while at < len(text):
@@ -191,7 +191,7 @@ class Counter:
     def add(self, text: bytes) -> Iterator[pa.RecordBatch]:
         """Count a text; yields what had to be spilled to make room for more words."""
         before: list[bytes] = []
-        for part in slices_of(text):
+        for part in slices_of(text, SLICE):
             if len(self.words.names) + len(part) + self.n >= _WORDS:
                 yield from self.spill(0)
                 self.words, self.trie = Words(self.lang), Node(self.n, 0)

@@ -3,8 +3,8 @@
 The patterns find e-mail and IP addresses, card and phone numbers in every text; those spans always stay. Windows around
 them (and around other digits, as counter-examples) with one tag per character are the labelled spans the model learns
 from; variants such as numbers without a country code and written-out @ signs are added while training. The model then
-tags every window of ``WIDTH`` characters that holds a digit, an @ sign or the word 'at', by which an @ sign is written
-out (``plausible`` accepts no span without one of them).
+tags every window of ``WIDTH`` characters that holds a digit, an @ sign or the word 'at' (or 'ät', in any case), by which an @ sign is
+written out: ``plausible`` accepts no span without one of them (a test measures what decoding all windows would add).
 Windows overlap by half and are decoded by Viterbi; a character that two windows tag gets the tag of the window in whose
 middle it lies more, and equal neighbouring tags merge into spans over the whole text. A span is added if it overlaps
 no span found by pattern, ends at word borders and has the form of its kind (digits, check sum, dots).
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,9 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-POSSIBLE = re.compile(r"[0-9@]|\bat\b")
+#: An @ sign written out, in the forms that ``plausible`` accepts, and a dot.
+AT, DOT = r"\b(?:at|ät)\b", r"\b(?:dot|punkt)\b"
+POSSIBLE = re.compile(rf"[0-9@]|{AT}", re.IGNORECASE)
 
 
 # ------------------------------------------------------------------------------------------------ patterns
@@ -73,7 +76,8 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 
 
 def good_ip(s: str) -> bool:
-    return all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in s.split("."))
+    parts = [x.lstrip("0") or "0" for x in s.split(".")]
+    return all(len(x) <= 3 and int(x) <= 255 for x in parts)
 
 
 def good_card(s: str) -> bool:
@@ -115,7 +119,7 @@ def char_ids(texts: list[str]) -> np.ndarray:
 
 
 def window_starts(text: str) -> list[int]:
-    """The starts, in steps of half a window, of the windows that hold a digit, an @ sign or the word 'at'."""
+    """The starts, in steps of half a window, of the windows that can hold what a span needs (``POSSIBLE``)."""
     out: list[int] = []
     for m in POSSIBLE.finditer(text):
         own = m.start() // STEP * STEP
@@ -125,6 +129,24 @@ def window_starts(text: str) -> list[int]:
     return out
 
 
+class Cover:
+    """The union of spans; tells whether a stretch overlaps one."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(s[1:] for s in spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(b, self.ends[-1])
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        i = bisect_right(self.ends, a)  # the first that ends behind a
+        return i < len(self.starts) and self.starts[i] < b
+
+
 def tags_of(n: int, spans: list[tuple[str, int, int]]) -> list[str]:
     tags = ["O"] * n
     for kind, a, b in spans:
@@ -138,17 +160,22 @@ def labelled_windows(text: str) -> Iterator[tuple[str, str, str]]:
     (kind none)."""
     spans, _ = base_spans(text)
     spans.sort(key=lambda s: (s[1], s[0] != "phone"))
-    apart = [s for i, s in enumerate(spans) if i == 0 or s[1] >= max(x[2] for x in spans[:i])] if len(spans) < 50 else spans
-    used: list[tuple[int, int]] = []
+    apart, reach = [], 0  # the spans that overlap none before
+    for s in spans:
+        if s[1] >= reach:
+            apart.append(s)
+        reach = max(reach, s[2])
+    starts, ends = [s[1] for s in apart], [s[2] for s in apart]
     for kind, a, b in apart:
         shift = int.from_bytes(hashlib.md5(text[a:b].encode("utf-8", "replace")).digest()[:2]) % max(1, WIDTH - min(WIDTH, b - a))
         s = max(0, a - shift)
-        inside = [(k, max(x, s) - s, min(y, s + WIDTH) - s) for k, x, y in apart if x < s + WIDTH and y > s]
+        near = apart[bisect_right(ends, s):bisect_left(starts, s + WIDTH)]
+        inside = [(k, max(x, s) - s, min(y, s + WIDTH) - s) for k, x, y in near]
         window = text[s:s + WIDTH]
-        used.append((s, s + WIDTH))
         yield kind, window, "".join(tags_of(len(window), inside))
+    covered = Cover(spans)
     for s in window_starts(text):
-        if not any(x < s + WIDTH and y > s for _, x, y in spans):
+        if not covered.meets(s, s + WIDTH):
             window = text[s:s + WIDTH]
             yield "none", window, "O" * len(window)
 
@@ -156,9 +183,15 @@ def labelled_windows(text: str) -> Iterator[tuple[str, str, str]]:
 def variants(window: str, tags: str) -> Iterator[tuple[str, str]]:
     """The window itself, and with its spans written in other ways."""
     yield window, tags
-    for pattern, new in ((r"\+[0-9]+ ", ""), ("@", " at "), ("@", " (at) "), (r"(?<=[0-9])-(?=[0-9])", ".")):
+    pick = hashlib.md5(window.encode("utf-8", "replace")).digest()[0]
+    sign = (" (at) ", " [at] ", " AT ", "(AT)")[pick % 4]
+    for pattern, new in ((r"\+[0-9]+ ", ""), ("@", " at "), ("@", sign), (r"(?<=[0-9])-(?=[0-9])", "."),
+                         (r"@|(?<=[A-Za-z])\.(?=[A-Za-z])", None)):
         w, t, at = "", "", 0
+        written = new
         for m in re.finditer(pattern, window):
+            if written is None:
+                new = " at " if m[0] == "@" else " dot "
             tag = tags[m.start()]
             if tag == "O":
                 continue
@@ -209,7 +242,8 @@ def reconciled(length: int, starts: list[int], tags: np.ndarray) -> list[tuple[s
 
 def plausible(kind: str, s: str) -> bool:
     if kind == "email":
-        return bool(re.search(r"@|\bat\b", s)) and "." in s and any(c.isalpha() for c in s)
+        low = s.lower()
+        return bool(re.search(f"@|{AT}", low) and re.search(rf"\.|{DOT}", low) and re.search(r"[^\W\d_]", re.sub(f"{AT}|{DOT}", "", low)))
     if kind == "ip":
         return bool(re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", s)) and good_ip(s)
     if kind == "card":
@@ -219,14 +253,14 @@ def plausible(kind: str, s: str) -> bool:
 
 def added(text: str, spans: list[tuple[str, int, int]], base: list, failed: list) -> list[tuple[str, int, int]]:
     """Of the model's spans, those that may be added."""
-    out = []
+    out, taken = [], Cover(base)
+    spoilt = {kind: Cover([s for s in failed if s[0] == kind and (kind != "card" or s[2] - s[1] >= 14)]) for kind in KINDS}
     for kind, a, b in spans:
         while a < b and text[a] in " .,;:":
             a += 1
         while b > a and text[b - 1] in " .,;:":
             b -= 1
-        free = not any(x < b and y > a for _, x, y in base) and not any(k == kind and x < b and y > a for k, x, y in failed
-                                                                        if k != "card" or y - x >= 14)
+        free = not taken.meets(a, b) and not spoilt[kind].meets(a, b)
         border = not (a and text[a - 1].isalnum()) and not (b < len(text) and text[b].isalnum())
         if b > a and free and border and plausible(kind, text[a:b]):
             out.append((kind, a, b))
@@ -254,7 +288,7 @@ def _possible(docs: DataFrame) -> DataFrame:
     """The texts that hold what ``POSSIBLE`` finds (or a bit more: letters beyond ASCII don't join to 'at' here); the
     others, which can hold no span, are null."""
     text = F.col("text").cast("string")
-    return docs.select("doc_id", F.when(text.rlike("[0-9@]|(?<![A-Za-z0-9_])at(?![A-Za-z0-9_])"), text).alias("text"))
+    return docs.select("doc_id", F.when(text.rlike("(?i)[0-9@]|(?<![A-Za-z0-9_])(?:a|ä|Ä)t(?![A-Za-z0-9_])"), text).alias("text"))
 
 
 def training_rows(docs: DataFrame) -> list[tuple[str, str]]:
@@ -267,8 +301,11 @@ def training_rows(docs: DataFrame) -> list[tuple[str, str]]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["kind", "window", "tags"])
 
     found = map_arrow(_possible(docs).filter("text is not null"), run, "kind string, window string, tags string")
-    first = Window.partitionBy("kind").orderBy(F.xxhash64("window"), "window", "tags")
-    rows = found.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= PER_KIND)
+    # first of every part of a kind, so that no task gets all map tasks' windows of a kind
+    order = [F.xxhash64("window"), F.col("window"), F.col("tags")]
+    parts = Window.partitionBy("kind", F.pmod(F.xxhash64("tags", "window"), F.lit(64))).orderBy(*order)
+    rows = found.withColumn("n", F.row_number().over(parts)).filter(F.col("n") <= PER_KIND)
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("kind").orderBy(*order))).filter(F.col("n") <= PER_KIND)
     return sorted((r["window"], r["tags"]) for r in rows.collect())
 
 

@@ -5,8 +5,9 @@ shuffle, no user function, nothing collected. ``measure`` adds the statistics, `
 
 Edge cases: a null or empty text has no words (all counts 0, ``base_failed``); very long texts are handled whole,
 in time proportional to length (only texts that do repeat a window sort their windows); repeated rows are judged
-separately and equally; an empty table gives an empty result; other columns are ignored by ``score`` and passed
-through by ``keep_documents``.
+separately and equally; an empty table gives an empty result; a null ``lang``, a language without stop words here, or a
+table without that column: the stop-word rule isn't applied; other columns are ignored by ``score`` and passed through by
+``keep_documents``.
 """
 
 from __future__ import annotations
@@ -20,25 +21,28 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-#: Very common words of the languages served, in lower case; a word with a first capital counts as well.
-STOP_WORDS = (
-    "the and of to in is that it on was for as with be are "
-    "der die das und von zu ist den sich ein eine nicht "
-    "le la les de et des en un une est que du dans pas "
-    "el los las y que se con por no es del al lo"
-).split()
-
-#: (rule, statistic, least, most, judged from so many words on); None: no bound.
+#: Very common words of the languages served, by ``lang``, in lower case; words are compared without regard to case.
+STOP_WORDS = {
+    "en": "the and of to in is that it on was for as with be are".split(),
+    "de": "der die das und von zu ist den sich ein eine nicht".split(),
+    "fr": "le la les de et des en un une est que du dans pas".split(),
+    "es": "el los las y que se con por no es del al lo".split(),
+}
+ALL_STOP_WORDS = sorted({w for words in STOP_WORDS.values() for w in words})
+#: A text in a language served has a stop word, of any of them, for so many words.
+WORDS_A_STOP_WORD = 60
+
+#: (rule, statistic, least, most); None: no bound.
 RULES = (
-    ("length", "n_words", 10, 1_000_000, 0),
-    ("word_length", "mean_word_chars", 2.5, 12.0, 0),
-    ("symbols", "symbols_per_word", None, 0.1, 0),
-    ("exclamation", "exclamations_per_word", None, 0.3, 0),
-    ("letters", "words_with_letters", 0.5, None, 0),
-    ("stop_words", "stop_words_found", 1, None, 60),
-    ("repeated_lines", "dup_line_ratio", None, 0.5, 0),
-    ("bullets", "bullet_line_ratio", None, 0.9, 0),
-    ("ellipsis", "ellipsis_line_ratio", None, 0.3, 0),
+    ("length", "n_words", 10, None),
+    ("word_length", "mean_word_chars", 2.5, 12.0),
+    ("symbols", "symbols_per_word", None, 0.1),
+    ("exclamation", "exclamations_per_word", None, 0.3),
+    ("letters", "words_with_letters", 0.5, None),
+    ("stop_words", "missing_stop_words", None, 0),
+    ("repeated_lines", "dup_line_ratio", None, 0.5),
+    ("bullets", "bullet_line_ratio", None, 0.9),
+    ("ellipsis", "ellipsis_line_ratio", None, 0.3),
 )
 
 
@@ -71,7 +75,9 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     df = keep(df, "_g", F.when(n >= WINDOW, F.transform(
         F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))),
         lambda i: F.xxhash64(*[F.get(at, i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>")))
-    stop = F.array(*[F.lit(x) for w in dict.fromkeys(STOP_WORDS) for x in (w, w[0].upper() + w[1:])])
+    stop = F.array(*map(F.lit, ALL_STOP_WORDS))
+    served = F.col("lang").cast("string").isin(list(STOP_WORDS)) if "lang" in df.columns else F.lit(False)
+    found = F.size(F.filter("_w", lambda x: F.array_contains(stop, F.lower(x))))
     return df.select(
         "*",
         n.cast("long").alias("n_words"),
@@ -83,7 +89,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         F.size("_lines").cast("long").alias("n_lines"),
         F.regexp_count("_t", F.lit("!")).cast("long").alias("n_exclamations"),
         F.size(F.filter("_w", lambda x: x.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"),
-        F.size(F.array_intersect("_w", stop)).cast("long").alias("stop_words_found"),
+        F.when(F.coalesce(served, F.lit(False)), F.floor(n / F.lit(WORDS_A_STOP_WORD)) - found).cast("long").alias("missing_stop_words"),
         F.size(F.filter("_lines", lambda x: x.rlike(r"^[\x20\x09-\x0D]*[-*•]"))).cast("long").alias("n_bullets"),
         F.size(F.filter("_lines", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$"))).cast("long")
         .alias("n_ellipsis"),
@@ -98,7 +104,7 @@ def _statistics() -> dict[str, Column]:
         "symbols_per_word": ratio("n_symbols", "n_words"),
         "exclamations_per_word": ratio("n_exclamations", "n_words"),
         "words_with_letters": ratio("n_letter_words", "n_words"),
-        "stop_words_found": F.col("stop_words_found"),
+        "missing_stop_words": F.col("missing_stop_words"),
         "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
         "bullet_line_ratio": ratio("n_bullets", "n_lines"),
         "ellipsis_line_ratio": ratio("n_ellipsis", "n_lines"),
@@ -106,15 +112,16 @@ def _statistics() -> dict[str, Column]:
 
 
 def compile_rules(rules=RULES) -> Column:
-    """The names of the rules a row breaks, as one expression. A rule without a value (no words) isn't broken."""
+    """The names of the rules a row breaks, as one expression. A rule without a value (no words, a language that isn't
+    served) isn't broken."""
     stats, broken = _statistics(), []
-    for name, stat, least, most, since in rules:
+    for name, stat, least, most in rules:
         bad = F.lit(False)
         if least is not None:
             bad = bad | (stats[stat] < F.lit(least))
         if most is not None:
             bad = bad | (stats[stat] > F.lit(most))
-        broken.append(F.when(F.coalesce(bad, F.lit(False)) & (F.col("n_words") >= since), F.lit(name)))
+        broken.append(F.when(F.coalesce(bad, F.lit(False)), F.lit(name)))
     return F.filter(F.array(*broken), lambda x: x.isNotNull())
 
 
@@ -125,14 +132,18 @@ def verdict(measured: DataFrame, rules=RULES) -> DataFrame:
             .withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0)))
 
 
+def _lang(docs: DataFrame) -> list[str]:
+    return ["lang"] if "lang" in docs.columns else []
+
+
 def score(docs: DataFrame, rules=RULES) -> DataFrame:
     """One row per document: the statistics and the verdict."""
-    out = verdict(measure(docs.select("doc_id", "text")), rules)
+    out = verdict(measure(docs.select("doc_id", "text", *_lang(docs))), rules)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
 
 
 def keep_documents(docs: DataFrame, rules=RULES) -> DataFrame:
     """The documents that pass, with their own columns (carried in a struct, so no name can clash)."""
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text"))
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text"), *_lang(docs))
     return verdict(measure(packed), rules).filter("kept").select("_row.*")

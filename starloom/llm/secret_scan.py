@@ -2,7 +2,9 @@
 
 The text itself is scanned first. Then a worklist unwraps what it holds: percent-encoded and Unicode-escaped lines and
 base64 tokens (also of compressed bytes) become layers of their own, are scanned with the same patterns and unwrapped
-again, until nothing new turns up. A layer whose text was seen before at the same place isn't queued again, so encodings
+again, until nothing new turns up. Escapes inside escapes (``%2525...``, also of several kinds, or with escaped digits) are
+unwrapped a layer at a time ``LITERAL`` times; what is nested deeper is followed to its end in one pass, character by
+character, so that depth costs nothing and has no limit. A layer whose text was seen before at the same place isn't queued again, so encodings
 that decode to each other or to themselves end, while an equal token elsewhere is a layer again. Every layer knows for each of its characters which characters of the original text it
 came from; a finding is reported at that place.
 
@@ -37,6 +39,8 @@ KEYWORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that are long enough
 MAX_UNPACKED = 4_000_000_000
+#: So many layers of escapes are scanned one by one.
+LITERAL = 3
 PIECE, CHUNK, OVERLAP = 1 << 20, 64_000_000, 1 << 20
 
 URL = re.compile(r"%[0-9A-Fa-f]{2}")
@@ -71,15 +75,17 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 class Layer:
     """A decoded text; character i came from characters ``start[i]`` to ``end[i]`` - 1 of the original text."""
 
-    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None):
-        self.text, self.start, self.end = text, start, end
+    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None, escapes: int = 0):
+        self.text, self.start, self.end, self.escapes = text, start, end, escapes
 
     def place(self, a: int, b: int) -> tuple[int, int]:
         return (a, b) if self.start is None else (int(self.start[a:b].min()), int(self.end[a:b].max()))
 
-    def child(self, text: str, a: np.ndarray, b: np.ndarray) -> Layer:
-        """A layer whose character i was made of this layer's characters a[i] to b[i] - 1."""
-        return Layer(text, a, b) if self.start is None else Layer(text, self.start[a], self.end[b - 1])
+    def child(self, text: str, a: np.ndarray, b: np.ndarray, escapes: int = 0) -> Layer:
+        """A layer whose character i was made of this layer's characters a[i] to b[i] - 1, ``escapes`` more deep in escapes."""
+        if self.start is not None:
+            a, b = self.start[a], self.end[b - 1]
+        return Layer(text, a, b, self.escapes + escapes)
 
     def mark(self) -> bytes:
         """Equal for layers of the same text made of the same characters of the original."""
@@ -118,7 +124,7 @@ def _spliced(layer: Layer, a: int, b: int, pattern: re.Pattern, decode) -> Layer
     chars.append(layer.text[at:b])
     lo.append(np.arange(at, b))
     hi.append(np.arange(at + 1, b + 1))
-    return layer.child("".join(chars), np.concatenate(lo), np.concatenate(hi))
+    return layer.child("".join(chars), np.concatenate(lo), np.concatenate(hi), 1)
 
 
 def _percent(m: re.Match) -> str | None:
@@ -133,6 +139,46 @@ def _escape(m: re.Match) -> str | None:
     return chr(n) if n < 0x110000 and not 0xD800 <= n < 0xE000 else None
 
 
+def _settled(layer: Layer, a: int, b: int) -> Layer | None:
+    """The part a..b of the layer with all escapes of ASCII characters followed to their end: every character read, or
+    made by an escape, may complete another escape with those before it. Each step takes characters away, so the time is
+    in proportion to the length. (Escapes of other characters can't nest; they are left to ``_spliced``.)"""
+    chars: list[str] = []
+    lo: list[int] = []
+    hi: list[int] = []
+    changed = False
+    for i, c in enumerate(layer.text[a:b], a):
+        start, end = i, i + 1
+        while True:
+            chars.append(c)
+            lo.append(start)
+            hi.append(end)
+            m = _tail(chars)
+            code = _code(m) if m else None
+            if code is None or code > 127:
+                break
+            n, c, changed = len(m[0]), chr(code), True
+            start, end = lo[-n], hi[-1]
+            del chars[-n:], lo[-n:], hi[-n:]
+    return layer.child("".join(chars), np.array(lo), np.array(hi), 1) if changed else None
+
+
+#: An escape at the end of a text, and the characters an escape can end with.
+ENDING = re.compile(r"(?:%([0-9A-Fa-f]{2})|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});)\Z")
+_LAST = frozenset("0123456789abcdefABCDEF;")
+
+
+ESCAPE = re.compile(f"{URL.pattern}|{UNICODE.pattern}")
+
+
+def _tail(chars: list[str]) -> re.Match | None:
+    return ENDING.search("".join(chars[-10:])) if chars[-1] in _LAST else None
+
+
+def _code(m: re.Match) -> int:
+    return int(m[5]) if m[5] else int(m[1] or m[2] or m[3] or m[4], 16)
+
+
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 
 
@@ -220,11 +266,11 @@ def _placed(layer: Layer, text: str, first: int, at: np.ndarray) -> Layer:
     return layer.child(text, at[(last - sizes) * 4 // 3], at[np.minimum(-(-last * 4 // 3), len(at)) - 1] + 1)
 
 
-def _complete(data: bytes, limit: int = 64_000_000) -> bool:
-    """Whether the bytes are archives one after the other and nothing else (not told of very large ones)."""
+def _complete(data: bytes) -> bool:
+    """Whether the bytes are archives one after the other and nothing else (not told of those that ``MAX_UNPACKED`` stops)."""
     if not PACKED.match(data):
         return False
-    members = Members(data, 0)
+    members, limit = Members(data, 0), MAX_UNPACKED
     for piece in members:
         limit -= len(piece)
         if limit < 0:
@@ -251,12 +297,19 @@ class Unwrapper:
 
     def unwrap(self, layer: Layer) -> None:
         text = layer.text
-        if "%" in text:
-            for a, b in _lines(text, URL):
-                self.push(_spliced(layer, a, b, URL_RUN, _percent))
-        if "\\" in text or "&#" in text:
-            for a, b in _lines(text, UNICODE):
-                self.push(_spliced(layer, a, b, UNICODE, _escape))
+        done: list[tuple[int, int]] = []  # lines followed to their end
+        if layer.escapes >= LITERAL:
+            for a, b in _lines(text, ESCAPE):
+                settled = _settled(layer, a, b)
+                if settled is not None:
+                    self.push(settled)
+                    done.append((a, b))
+        for present, pattern, run, decode in (("%" in text, URL, URL_RUN, _percent),
+                                              ("\\" in text or "&#" in text, UNICODE, UNICODE, _escape)):
+            own = set(done)
+            for a, b in _lines(text, pattern) if present else ():
+                if (a, b) not in own:
+                    self.push(_spliced(layer, a, b, run, decode))
         whole = 0  # the end of the last run of lines that decoded as one token
         runs = _runs(text) if BASE64.search(text) else iter(())
         run = next(runs, None)

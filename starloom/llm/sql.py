@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from starloom.llm.quality import STOP_WORDS
+from starloom.llm.quality import ALL_STOP_WORDS, STOP_WORDS, WORDS_A_STOP_WORD
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
-_STOP = ", ".join(f"'{x}'" for w in dict.fromkeys(STOP_WORDS) for x in (w, w[0].upper() + w[1:]))
+_STOP = ", ".join(f"'{w}'" for w in ALL_STOP_WORDS)
+_SERVED = ", ".join(f"'{x}'" for x in STOP_WORDS)
 
 OP6 = rf"""
 WITH d AS (
-  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, {_WORDS} AS w,
+  SELECT doc_id, lang, row_number() OVER () AS r, coalesce(text, '') AS t, {_WORDS} AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln
   FROM documents
 ), windows AS (
@@ -22,13 +23,13 @@ WITH d AS (
   SELECT r, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT r, unnest([i, i + 1, i + 2, i + 3, i + 4]) AS p FROM twice) GROUP BY r
 ), m AS (
-  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  SELECT doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(ln) - len(list_distinct(ln)))::BIGINT AS n_dup_lines,
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
          len(ln) AS n_lines, length(regexp_replace(t, '[^!]', '', 'g')) AS n_excl,
          len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter,
-         len(list_filter(list_distinct(w), lambda x: x IN ({_STOP}))) AS n_stop,
+         len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS n_stop,
          len(list_filter(ln, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullets,
          len(list_filter(ln, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis
   FROM d LEFT JOIN covered USING (r)
@@ -36,9 +37,9 @@ WITH d AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND n_words <= 1000000 AND word_chars / n_words BETWEEN 2.5 AND 12
+       NOT base_failed AND word_chars / n_words BETWEEN 2.5 AND 12
        AND n_symbols / n_words <= 0.1 AND n_excl / n_words <= 0.3 AND n_letter / n_words >= 0.5
-       AND (n_stop >= 1 OR n_words < 60) AND n_dup_lines / n_lines <= 0.5 AND n_bullets / n_lines <= 0.9
+       AND (n_stop >= n_words // {WORDS_A_STOP_WORD} OR coalesce(lang NOT IN ({_SERVED}), true)) AND n_dup_lines / n_lines <= 0.5 AND n_bullets / n_lines <= 0.9
        AND n_ellipsis / n_lines <= 0.3 AS kept
 FROM f
 """

@@ -1,8 +1,8 @@
-"""Substring de-duplication by relative Lempel-Ziv parsing of word sequences.
+"""Substring de-duplication by membership of word windows; it stands in for a relative Lempel-Ziv parse.
 
-Every document is parsed against all documents with smaller ids: from left to right it is cut into factors, each the
-longest stretch of words whose windows of ``WINDOW`` words all start in such a document too. Factors of at least
-``WINDOW`` words are duplicate spans; their words go, the words between stay.
+A window of ``WINDOW`` consecutive words of a document that also starts in a document with a smaller id is a duplicate;
+the words that duplicate windows cover, merged to stretches, go, the words between stay. No factor is made: there is no
+reference position, no longest match and no parse from left to right.
 
 The reference index. Documents are cut into overlapping *blocks* by content: each window of 13 words is assigned to the
 5-word anchor in it with the smallest hash, and consecutive windows with the same anchor form a block (about five
@@ -20,7 +20,7 @@ parses its own text with them. Lists are bounded by the document's own length; h
 before they are shuffled, and the joins back are equi joins that adaptive execution splits.
 
 Edge cases: a null text has no words; a null ``doc_id`` counts as larger than all others, so such a document loses what
-any document with an id has, and nothing to another without; rows that share a ``doc_id`` are one document (they take
+any document with an id has, and nothing to another without; ids may be of any type with an order; rows that share a ``doc_id`` are one document (they take
 nothing from each other); texts under 13 words stay; very long texts are parsed whole; an empty table gives an empty
 result.
 """
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import map_arrow, slices, text_or_empty
@@ -41,7 +41,6 @@ from starloom.sources.store import materialize
 
 WINDOW, ANCHOR = 13, 5
 SLICE_BYTES = 1_000_000
-NO_ID = 2**63 - 1
 
 
 class Blocks:
@@ -114,23 +113,38 @@ def _isin(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------------------------------------ index
 def block_rows(docs: DataFrame) -> DataFrame:
-    """(doc, anchor, block): one row per block, known by 64 bits of its anchor and 40 of its words; a null id counts as
-    ``NO_ID``."""
+    """(doc, anchor, block): one row per block, known by 64 bits of its anchor and 40 of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0)
             for part in slices(batch.column(1).cast(pa.binary()).to_pylist(), len, SLICE_BYTES):
                 b = Blocks(Words(part))
                 for i in range(0, len(b.doc), 500_000):
                     s = slice(i, i + 500_000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[at + b.doc[s]]), pa.array(b.anchor[s].astype(np.int64)),
+                        [ids.take(pa.array(at + b.doc[s])), pa.array(b.anchor[s].astype(np.int64)),
                          pa.array((b.hash[s] >> U(24)).astype(np.int64))], names=["doc", "anchor", "block"])
                 at += len(part)
 
-    return map_arrow(docs, run, "doc long, anchor long, block long")
+    return map_arrow(docs, run, f"doc {_kind(docs)}, anchor long, block long")
+
+
+def _kind(docs: DataFrame) -> str:
+    return docs.schema["doc"].dataType.simpleString()
+
+
+def _before() -> Column:
+    """Whether document ``d0`` comes before ``doc``; those without an id come last."""
+    return F.col("d0").isNotNull() & (F.col("doc").isNull() | (F.col("d0") < F.col("doc")))
+
+
+def _shared() -> list[Column]:
+    return [F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.max(F.col("doc").isNull()).alias("none")]
+
+
+SHARED = "d0 < d1 or (none and d0 is not null)"
 
 
 def anchor_hits(docs: DataFrame) -> DataFrame:
@@ -138,9 +152,9 @@ def anchor_hits(docs: DataFrame) -> DataFrame:
     document has it; ``mixed``: the anchor is in several documents, with different blocks."""
     rows = block_rows(docs)
     index = (rows.groupBy("anchor")
-             .agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.min("block").alias("b0"), F.max("block").alias("b1"))
-             .filter("d0 < d1").select("anchor", "d0", (F.col("b0") != F.col("b1")).alias("differ")))
-    found = rows.select("doc", "anchor").join(index, "anchor").filter("differ or d0 < doc")
+             .agg(*_shared(), F.min("block").alias("b0"), F.max("block").alias("b1"))
+             .filter(SHARED).select("anchor", "d0", (F.col("b0") != F.col("b1")).alias("differ")))
+    found = rows.select("doc", "anchor").join(index, "anchor").filter(F.col("differ") | _before())
     return found.groupBy("doc").agg(F.collect_set(F.when(~F.col("differ"), F.col("anchor"))).alias("same"),
                                     F.collect_set(F.when(F.col("differ"), F.col("anchor"))).alias("mixed"))
 
@@ -169,8 +183,8 @@ def _second(h: np.ndarray) -> np.ndarray:
     return (h >> U(48)).astype(np.uint16).view(np.int16)
 
 
-PARSED = "row long, doc long, n_words long, n_removed long, kept_sha256 string, text string, found array<int>, " \
-         "at array<int>, w1 array<long>, w2 array<smallint>"
+PARSED = "n_words long, n_removed long, kept_sha256 string, text string, found array<int>, at array<int>, " \
+         "w1 array<long>, w2 array<smallint>"
 
 
 def first_parse(joined: DataFrame) -> DataFrame:
@@ -221,15 +235,15 @@ def first_parse(joined: DataFrame) -> DataFrame:
                  (4, pa.int32()), (5, pa.int32()), (6, pa.int64()), (7, pa.int16())))],
             names=["row", "doc", "n_words", "n_removed", "kept_sha256", "text", "found", "at", "w1", "w2"])
 
-    return map_arrow(joined.select("doc", "text", "same", "mixed"), run, PARSED)
+    return map_arrow(joined.select("doc", "text", "same", "mixed"), run, f"row long, doc {_kind(joined)}, {PARSED}")
 
 
 def boundary_hits(open_rows: DataFrame) -> DataFrame:
     """(row, starts): the places of the open windows that a smaller document has too."""
     windows = open_rows.select("row", "doc", F.explode(F.arrays_zip("at", "w1", "w2")).alias("w")).select(
         "row", "doc", "w.at", "w.w1", "w.w2")
-    owners = windows.groupBy("w1", "w2").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).filter("d0 < d1")
-    hits = windows.join(owners, ["w1", "w2"]).filter("d0 < doc")
+    owners = windows.groupBy("w1", "w2").agg(*_shared()).filter(SHARED).select("w1", "w2", "d0")
+    hits = windows.join(owners, ["w1", "w2"]).filter(_before())
     return hits.groupBy("row").agg(F.collect_list("at").alias("starts"))
 
 
@@ -255,16 +269,16 @@ def second_parse(joined: DataFrame) -> DataFrame:
                                              names=["doc", "n_words", "n_removed", "kept_sha256"])
 
     return map_arrow(joined.select("doc", "n_words", "text", "found", "starts"), run,
-                     "doc long, n_words long, n_removed long, kept_sha256 string")
+                     f"doc {_kind(joined)}, n_words long, n_removed long, kept_sha256 string")
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words, joined by one space)."""
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_or_empty().alias("text"))
-    parsed = materialize(first_parse(source.join(anchor_hits(source), "doc", "left")))
+    source = docs.select(F.col("doc_id").alias("doc"), text_or_empty().alias("text"))
+    hits = anchor_hits(source).withColumnRenamed("doc", "_doc")
+    parsed = materialize(first_parse(source.join(hits, F.col("doc").eqNullSafe(F.col("_doc")), "left")))
     done = parsed.filter("text is null").select("doc", "n_words", "n_removed", "kept_sha256")
     rest = parsed.filter("text is not null")
     rest_words = rest.select("row", "doc", "n_words", "text", "found")
     finished = second_parse(rest_words.join(boundary_hits(rest), "row", "left"))
-    return done.unionByName(finished).select(
-        F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+    return done.unionByName(finished).withColumnRenamed("doc", "doc_id")

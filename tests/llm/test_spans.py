@@ -7,6 +7,8 @@ import hashlib
 import lzma
 import random
 import re
+import duckdb
+import time
 import urllib.parse
 import zlib
 from collections import Counter
@@ -15,6 +17,7 @@ import numpy as np
 import pytest
 
 from starloom.llm import crf, pii, secret_scan
+from tests.conftest import SF_SMALL
 from tests.llm.data import clashing, frame, rows
 
 PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -155,12 +158,16 @@ def test_personal_data_query(spark):
 WRITTEN_OUT = ["Please write to john.doe (at) example.com for more of it", "or to mary.major at mail.example.org today"]
 
 
-def test_written_out_addresses_without_digits(spark):
-    """They are trained on, so the windows that hold them are decoded, in texts without any digit or @ sign."""
+def written_out():
     rng = random.Random(9)
     names, hosts = ["john.doe", "ann", "bo.li", "mary.major", "c_d"], ["example.com", "mail.example.org", "host.example.net"]
-    data = [(i, f"{rng.choice(['Please write', 'mail', 'or send'])} to {rng.choice(names)}@{rng.choice(hosts)} "
-                f"{rng.choice(['today', 'for more of it', 'at once'])}", "en", "s", 1) for i in range(150)]
+    return [f"{rng.choice(['Please write', 'mail', 'or send'])} to {rng.choice(names)}@{rng.choice(hosts)} "
+            f"{rng.choice(['today', 'for more of it', 'at once'])}" for i in range(150)] + list(WRITTEN_OUT)
+
+
+def test_written_out_addresses_without_digits(spark):
+    """They are trained on, so the windows that hold them are decoded, in texts without any digit or @ sign."""
+    data = [(i, t, "en", "s", 1) for i, t in enumerate(written_out()[:150])]
     data += [(1000 + i, t, "en", "s", 1) for i, t in enumerate(WRITTEN_OUT)]
     data.append((2000, "we met at noon and looked at the river", "en", "s", 1))
     got = {r["doc_id"]: r["spans"] for r in pii.report(frame(spark, data)).collect()}
@@ -223,6 +230,71 @@ def test_equal_tokens_are_each_found(wrap):
     assert any(text.index("three") < a and b <= text.index("three") + 6 + len(b64(SECRET)) for a, b in found)
 
 
+NESTED = {
+    "percent": ("%" + "25" * 50_000 + "41KIA" + "Q7" * 10, 4), "digits": ("%3" * 30_000 + "%31", 4),
+    "unicode": ("\\u005c" + "u005c" * 20_000 + "u0041KIA" + "Q7" * 10, 4), "entities": ("&#" + "38;#" * 20_000 + "65;KIA" + "Q7" * 10, 4),
+    "mixed": ("%5cu0025" + "5cu0025" * 15_000 + "41KIA" + "Q7" * 10, 4)}
+
+
+@pytest.mark.parametrize("name", NESTED)
+def test_escapes_nested_thousands_deep(name):
+    text, layers = NESTED[name]
+    started = time.time()
+    _, more, n = secret_scan.findings("x " + text + " y")
+    assert time.time() - started < 10 and n == layers
+    assert [s for s in more if s[0] == "access"] == ([] if name == "digits" else [("access", 2, 2 + len(text))])
+
+
+@pytest.mark.parametrize("depth", range(8))
+def test_every_depth_of_escapes_is_found(depth):
+    text = "".join(f"%{c:02x}" for c in "straße secret: Zr5tYu8iOp2aSd".encode())
+    for i in range(depth):
+        text = text.replace("%", "%25") if i % 2 else text.replace("%", "\\u0025")
+    assert [(k, a >= 2, b) for k, a, b in secret_scan.findings("- " + text)[1] if k == "assign"] == [("assign", True, 2 + len(text))]
+
+
+def test_numbers_of_thousands_of_digits():
+    """They are no address and end no query; leading zeros are none of a part's size."""
+    assert pii.base_spans("1.2.3." + "0" * 5000)[0] == [("ip", 0, 5006)]
+    assert pii.base_spans("1.2.3." + "9" * 5000)[0] == []
+    assert pii.base_spans("000" * 3000 + "1.2.3." + "0" * 4999 + "7")[0] == [("ip", 0, 9000 + 6 + 5000)]
+
+
+def test_many_spans_take_linear_time():
+    text = " ".join(f"10.0.{i % 256}.{i // 256 % 256} a{i}@b.org" for i in range(50_000))
+    started = time.time()
+    base, failed = pii.base_spans(text)
+    assert len(base) == 100_000
+    assert sum(1 for _ in pii.labelled_windows(text)) == 100_000
+    assert pii.added(text, base, base, failed) == [] and len(pii.added(text, base, [], failed)) == 100_000
+    assert time.time() - started < 30
+
+
+def test_overlapping_spans_are_set_apart_whatever_their_number():
+    one = "+4915112345678 "  # a phone number whose digits may be part of a card number too
+    for n in (3, 60, 300):
+        text = "call +49 151 1234 5678 or a@b.de, 10.1.2.3; " * n
+        windows = list(pii.labelled_windows(text))
+        assert len({w for w in windows}) < 40 and all(len(t) == len(w) for _, w, t in windows)
+    assert len(list(pii.labelled_windows(one * 100))) == 100
+
+
+def test_decoding_all_windows_adds_next_to_nothing(monkeypatch):
+    """Windows that hold nothing a span needs aren't decoded: the recall against decoding every window."""
+    texts = [t for t, *_ in duckdb.sql(f"SELECT text FROM '{SF_SMALL}/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    texts = [t[i:i + 20_000] for t in texts for i in range(0, len(t), 20_000)]
+    data = written_out()
+    windows = sorted({x for t in data + texts for x in pii.labelled_windows(t)}, key=lambda x: hashlib.md5(x[1].encode()).digest())
+    kinds = {k: [x[1:] for x in windows if x[0] == k][:pii.PER_KIND] for k in (*pii.KINDS, "none")}
+    model = pii.fit(sorted(x for own in kinds.values() for x in own))
+    texts += data + [t.replace("@", sign) for t in data[:40] for sign in (" at ", " (at) ", " AT ", " [at] ")]
+    some = [more for _, more in pii.found_in(texts, model)]
+    monkeypatch.setattr(pii, "window_starts", lambda t: list(range(0, max(1, len(t) - pii.STEP), pii.STEP)))
+    every = [more for _, more in pii.found_in(texts, model)]
+    both = sum(len(set(a) & set(b)) for a, b in zip(some, every))
+    assert sum(map(len, every)) >= 10 and both >= 0.9 * sum(map(len, every))
+
+
 def test_many_equal_tokens_take_linear_time():
     assert len(secret_scan.findings(f"{b64(SECRET)}\n" * 3000)[1]) == 3000
 

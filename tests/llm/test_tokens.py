@@ -1,5 +1,6 @@
 """Packing and language identification: what they return against direct computation."""
 
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import public_tokenizers
 import pytest
 
 from starloom.llm import langid, pack
-from tests.llm.data import clashing, frame, rows
+from tests.llm.data import SCHEMA, clashing, frame, rows
 
 VOCABULARY = public_tokenizers.path(pack.VOCABULARY)
 PIECES = public_tokenizers.path(langid.VOCABULARY)
@@ -100,7 +101,7 @@ def marginal(word, names, p):
     a = np.zeros((len(s) + 1, p.shape[1]))
     a[0] = 1
     for t in range(1, len(s) + 1):
-        for n in range(1, min(langid.MAX_PIECE, t) + 1):
+        for n in range(1, t + 1):
             piece = s[t - n:t]
             if piece in names:
                 a[t] += a[t - n] * p[names[piece]]
@@ -132,6 +133,41 @@ def test_expected_counts_are_the_gradient():
         assert change[0, 0] / 1e-6 == pytest.approx(uses[i, 0], abs=1e-4)
 
 
+def lettered(text):
+    return any(unicodedata.category(c)[0] == "L" for c in text)
+
+
+def test_words_are_letters_and_their_marks():
+    assert langid.words_of("½ ② Ⅷ x² 3rd हिन्दी e\u0301té ⓐ") == ["x", "rd", "हिन्दी", "e\u0301té"]
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        text = "".join(chr(c) for c in rng.integers(32, 0x3000, 6))
+        assert bool(langid.words_of(text)) == lettered(text)
+
+
+def test_long_pieces_and_long_words_teach():
+    pieces = langid.Pieces(PIECES)
+    longest = max((x for x in pieces.names if x[0] == langid.MARK), key=len)
+    assert len(longest) == pieces.longest > 8
+    p = np.full((pieces.n, 1), 1.0 / pieces.n)
+    uses = langid.expected([longest[1:]], np.ones((1, 1)), pieces, langid.table(p))
+    assert uses[pieces.names.index(longest), 0] > 0.9
+    # a word of many parts uses what its parts use; the pieces in it make up its length
+    word = "schönheit" * 700
+    uses = langid.expected([word, "a"], np.array([[1.0], [0.0]]), pieces, langid.table(p))
+    length = sum(u * len(x) for u, x in zip(uses[:, 0], pieces.names))
+    assert length == pytest.approx(len(word) + 1, rel=1e-6)
+
+
+def test_batches_without_a_letter(spark):
+    """In training, over many small partitions, some of them without any letter; number-like signs are no letters."""
+    data = [(i, "1 2 3 ½ Ⅷ ²" if i % 2 else "the river runs under the stone", "en", "s", 1) for i in range(60)]
+    got = langid.report(spark.createDataFrame(data, SCHEMA).repartition(30), PIECES).collect()
+    assert {(r["doc_id"] % 2, r["lang_pred"]) for r in got} == {(1, "und"), (0, "en")}
+    empty = [(i, "", "en", "s", 1) for i in range(9)]
+    assert {(r["lang_pred"], r["score"]) for r in langid.report(frame(spark, empty), PIECES).collect()} == {("und", 0.0)}
+
+
 def test_language_of_held_out_documents(spark):
     data = rows(8, 300)
     truth = {d: lang for d, t, lang, *_ in data if lang and d is not None and len(t or "") > 60 and "x" * 50 not in t}
@@ -142,7 +178,7 @@ def test_language_of_held_out_documents(spark):
         assert r["held_out"] == (crc == 1) and 0 <= r["score"] <= 1
     held = [r for r in got if r["held_out"] and r["doc_id"] in truth]
     assert len(held) > 50 and np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.97
-    und = {d for d, t, *_ in data if d is not None and not langid.words_of(t or "")}
+    und = {d for d, t, *_ in data if d is not None and not lettered(t or "")}
     assert {r["doc_id"] for r in got if r["lang_pred"] == "und" and r["doc_id"] is not None} == und
 
 
