@@ -22,11 +22,12 @@ words whole, slice by slice of ``SLICE`` bytes, and the last words of a slice go
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,10 +39,11 @@ from starloom.sources.store import materialize
 LONGEST, LEAST, SHARE, TOP = 4, 30, 80, 2000
 UNKNOWN = "und"
 FILTER_BITS = 1 << 27
-BURST, ENTRIES, SLICE = 1 << 14, 400_000, 1 << 20
+BURST, ENTRIES, SLICE, RUN = 1 << 14, 2_000_000, 1 << 22, 1 << 16
 #: Word ids have 21 bits, so that three of them fit a long; a task that meets more words spills all and starts anew.
 _ID = 21
 _WORDS = (1 << _ID) - 1
+WORDS_KEPT = _WORDS
 
 # The characters that end a piece, and those that separate words in it.
 _ENDS, _SPACES = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -62,90 +64,112 @@ def slices_of(text: bytes, size: int) -> Iterator[list[bytes]]:
 
 
 # ------------------------------------------------------------------------------------------------ the trie
+class Entries(NamedTuple):
+    """Phrases of n words, as the id of the first and the ids of the others (21 bits each, the second highest), and counts."""
+
+    first: np.ndarray
+    rest: np.ndarray
+    count: np.ndarray
+
+    def part(self, rows) -> Entries:
+        return Entries(self.first[rows], self.rest[rows], self.count[rows])
+
+
+def _concat(parts: list[Entries]) -> Entries:
+    return parts[0] if len(parts) == 1 else Entries(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
+NONE = Entries(*(np.empty(0, dtype=np.int64),) * 3)
+
+
 class Container:
-    """Counts of phrases whose word at this depth has an id from ``low`` to below ``high``."""
+    """Counts of phrases whose word at this depth has an id from ``low`` to below ``high``: a hash table (Arrow's grouped
+    sum), and chunks of entries that came since; those are hashed into it once they are as many as it holds."""
 
-    __slots__ = ("low", "high", "counts")
+    __slots__ = ("low", "high", "table", "fresh", "waiting")
 
-    def __init__(self, low: int, high: int, counts: dict | None = None):
-        self.low, self.high, self.counts = low, high, counts or {}
+    def __init__(self, low: int, high: int, table: Entries = NONE):
+        self.low, self.high, self.table = low, high, table
+        self.fresh: list[Entries] = []
+        self.waiting = 0
+
+    @property
+    def size(self) -> int:
+        return len(self.table.first) + self.waiting
+
+    def add(self, entries: Entries) -> None:
+        self.fresh.append(entries)
+        self.waiting += len(entries.first)
+
+    def settle(self) -> Entries:
+        if self.fresh:
+            rows = pa.table(_concat([self.table, *self.fresh])._asdict()).group_by(["first", "rest"]).aggregate([("count", "sum")])
+            self.table = Entries(*(rows.column(c).to_numpy() for c in ("first", "rest", "count_sum")))
+            self.fresh, self.waiting = [], 0
+        return self.table
 
 
 class Node:
-    """The children of a prefix, in order of the ranges of word ids they hold. A phrase of n words is a key of n ids of
-    21 bits, the first word highest; at ``depth`` the word that tells the child is ``key >> shift & _WORDS``."""
-
-    def __init__(self, n: int, depth: int, counts: dict | None = None):
-        self.n, self.depth, self.shift = n, depth, _ID * (n - 1 - depth)
-        self.lows, self.kids, self.size = [0], [Container(0, _WORDS + 1, counts)], len(counts or ())
-        if counts:
-            self._burst(0)
-
-    def add(self, items: list[tuple[int, int]]) -> int:
-        """Add (key, count) pairs in order of keys; returns how many phrases are new."""
-        new, at = 0, 0
-        while at < len(items):
-            word = items[at][0] >> self.shift & _WORDS
-            i = bisect_right(self.lows, word) - 1
+    """The children of a prefix, in order of the ranges of word ids they hold. ``depth`` words are the same in all."""
+
+    def __init__(self, n: int, depth: int, table: Entries = NONE):
+        self.n, self.depth = n, depth
+        self.lows, self.kids = [0], [Container(0, _WORDS + 1, table)]
+        self._burst(0)
+
+    @property
+    def size(self) -> int:
+        return sum(kid.size for kid in self.kids)
+
+    def _words(self, entries: Entries) -> np.ndarray:
+        """The word of each phrase that tells the child."""
+        return entries.first if self.depth == 0 else entries.rest >> _ID * (self.n - 2)
+
+    def add(self, entries: Entries) -> None:
+        """Add entries in order of their words."""
+        at = np.searchsorted(self._words(entries), [*self.lows[1:], _WORDS + 1])
+        begin = 0
+        for i, end in reversed(list(enumerate(at.tolist()))):
+            begin = int(at[i - 1]) if i else 0
+            if begin == end:
+                continue
             kid = self.kids[i]
-            high = kid.high if isinstance(kid, Container) else self.lows[i] + 1
-            end = at + 1
-            while end < len(items) and items[end][0] >> self.shift & _WORDS < high:
-                end += 1
-            if isinstance(kid, Node):
-                new += kid.add(items[at:end])
-            else:
-                counts, before = kid.counts, len(kid.counts)
-                for key, c in items[at:end]:
-                    counts[key] = counts.get(key, 0) + c
-                new += len(counts) - before
-                if len(counts) > BURST:
-                    self._burst(i)
-            at = end
-        self.size += new
-        return new
+            kid.add(entries.part(slice(begin, end)))
+            if isinstance(kid, Container) and kid.waiting > max(BURST, len(kid.table.first)):
+                self._burst(i)
 
     def _burst(self, i: int) -> None:
-        """Split the i-th container until none is too large that can be split."""
-        work = [self.kids[i]]
-        done: list = []
+        """Settle the i-th container and split it until none is too large that can be split."""
+        work, done = [self.kids[i]], []
         while work:
             box = work.pop()
-            if len(box.counts) <= BURST or (box.high - box.low == 1 and self.depth + 1 >= min(self.n, 3) - 1):
-                done.append((box.low, box))
+            table = box.settle()
+            if box.size <= BURST or (box.high - box.low == 1 and self.depth + 1 >= min(self.n, 3) - 1):
+                done.append(box)
             elif box.high - box.low == 1:
-                done.append((box.low, Node(self.n, self.depth + 1, box.counts)))
+                done.append((box.low, Node(self.n, self.depth + 1, table)))
             else:
-                ids = sorted(k >> self.shift & _WORDS for k in box.counts)
-                cut = ids[len(ids) // 2]
-                cut = cut if cut > box.low else box.low + 1
-                halves: tuple[dict, dict] = ({}, {})
-                for k, c in box.counts.items():
-                    halves[k >> self.shift & _WORDS >= cut][k] = c
-                work += [Container(box.low, cut, halves[0]), Container(cut, box.high, halves[1])]
-        done.sort(key=lambda x: x[0])
+                words = self._words(table)
+                cut = max(int(np.partition(words, len(words) // 2)[len(words) // 2]), box.low + 1)
+                high = words >= cut
+                work += [Container(box.low, cut, table.part(~high)), Container(cut, box.high, table.part(high))]
+        done = sorted((x if isinstance(x, tuple) else (x.low, x) for x in done), key=lambda x: x[0])
         self.lows[i:i + 1], self.kids[i:i + 1] = [x[0] for x in done], [x[1] for x in done]
 
-    def items(self) -> Iterator[tuple[int, int]]:
-        for kid in self.kids:
-            yield from (kid.counts.items() if isinstance(kid, Container) else kid.items())
+    def settle(self) -> Entries:
+        return _concat([kid.settle() for kid in self.kids])
 
-    def spill(self, keep: int) -> Iterator[list[tuple[int, int]]]:
+    def spill(self, keep: int) -> Iterator[Entries]:
         """Take out whole subtrees, the largest first, until at most ``keep`` phrases are left."""
-        sized = sorted(range(len(self.kids)), key=lambda i: -self._size(i))
-        for i in sized:
-            if self.size <= keep:
+        left = sum(len(kid.settle().first) for kid in self.kids)
+        for i in sorted(range(len(self.kids)), key=lambda i: -self.kids[i].size):
+            if left <= keep:
                 break
-            kid, n = self.kids[i], self._size(i)
-            if n:
-                yield list(kid.counts.items() if isinstance(kid, Container) else kid.items())
-                high = kid.high if isinstance(kid, Container) else self.lows[i] + 1
-                self.kids[i] = Container(self.lows[i], high)
-                self.size -= n
-
-    def _size(self, i: int) -> int:
-        kid = self.kids[i]
-        return len(kid.counts) if isinstance(kid, Container) else kid.size
+            kid = self.kids[i]
+            if kid.size:
+                left -= kid.size
+                yield kid.settle()
+                self.kids[i] = Container(self.lows[i], kid.high if isinstance(kid, Container) else self.lows[i] + 1)
 
 
 class Words(dict):
@@ -154,6 +178,7 @@ class Words(dict):
     def __init__(self, lang: str):
         super().__init__({b".": 0})
         self.names, self.hashes, self.seed = [b"."], [0], xxhash.xxh3_64_intdigest(lang.encode())
+        self._known = np.empty(0, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         self[word] = i = len(self.names)
@@ -161,6 +186,11 @@ class Words(dict):
         self.hashes.append(xxhash.xxh3_64_intdigest(word, self.seed))
         return i
 
+    def hashed(self, ids: np.ndarray) -> np.ndarray:
+        if len(self._known) < len(self.hashes):
+            self._known = np.concatenate([self._known, np.array(self.hashes[len(self._known):], dtype=np.uint64)])
+        return self._known[ids]
+
 
 def _bits(hashes: list[np.ndarray]) -> np.ndarray:
     """The filter's bit for phrases of words with these hashes (a list of columns)."""
@@ -192,7 +222,7 @@ class Counter:
         """Count a text; yields what had to be spilled to make room for more words."""
         before: list[bytes] = []
         for part in slices_of(text, SLICE):
-            if len(self.words.names) + len(part) + self.n >= _WORDS:
+            if len(self.words.names) + len(part) + self.n >= WORDS_KEPT:
                 yield from self.spill(0)
                 self.words, self.trie = Words(self.lang), Node(self.n, 0)
             part = before + part
@@ -201,49 +231,51 @@ class Counter:
 
     def _count(self, tokens: list[bytes]) -> None:
         words, n = self.words, self.n
-        ids = np.array([words[t] for t in tokens], dtype=np.int64)
+        ids = np.fromiter(map(words.__getitem__, tokens), dtype=np.int64, count=len(tokens))
         if len(ids) < n:
             return
         ok = ids != 0
         at = np.flatnonzero(np.logical_and.reduce([ok[j:len(ids) - n + 1 + j] for j in range(n)]))
         if self.known is not None:
             # the two phrases of one word less in each
-            h = np.array(words.hashes, dtype=np.uint64)[ids]
+            h = words.hashed(ids)
             has = np.zeros(len(ids) + 1, dtype=bool)
             parts = np.unique(np.concatenate([at, at + 1]))
             has[parts] = self.known.has([h[parts + j] for j in range(n - 1)])
             at = at[has[at] & has[at + 1]]
         if not len(at):
             return
-        columns = [ids[at + j] for j in range(n)]
-        low = np.zeros(len(at), dtype=np.int64)
-        for c in columns[-3:]:
-            low = low << _ID | c
+        first, rest = ids[at], np.zeros(len(at), dtype=np.int64)
+        for j in range(1, n):
+            rest = rest << _ID | ids[at + j]
         if n <= 3:
-            keys, counts = np.unique(low, return_counts=True)
-            pairs = list(zip(keys.tolist(), counts.tolist(), strict=True))
+            key, count = np.unique(first << _ID * (n - 1) | rest, return_counts=True)
+            first, rest = key >> _ID * (n - 1), key & (1 << _ID * (n - 1)) - 1
         else:
-            order = np.lexsort((low, columns[0]))
-            low, high = low[order], columns[0][order]
-            first = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
-            counts = np.diff(np.append(first, len(low)))
-            pairs = [(a << 3 * _ID | b, c) for a, b, c in zip(high[first].tolist(), low[first].tolist(), counts.tolist(), strict=True)]
-        self.trie.add(pairs)
+            order = np.lexsort((rest, first))
+            first, rest = first[order], rest[order]
+            new = np.flatnonzero(np.concatenate([[True], (rest[1:] != rest[:-1]) | (first[1:] != first[:-1])]))
+            first, rest, count = first[new], rest[new], np.diff(np.append(new, len(rest)))
+        self.trie.add(Entries(first, rest, count.astype(np.int64)))
 
     def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
-        """Whole subtrees as sorted runs of (lang, first, phrase, n), until at most ``keep`` phrases are left."""
-        names, shifts = self.words.names, [_ID * (self.n - 1 - j) for j in range(self.n)]
-        for items in self.trie.spill(keep):
-            rows = sorted((b" ".join([names[key >> s & _WORDS] for s in shifts]), names[key >> shifts[0]], c) for key, c in items)
-            phrases, first, counts = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([self.lang] * len(rows), pa.string()), pa.array(first, pa.binary()).cast(pa.string()),
-                 pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
-                names=["lang", "first", "phrase", "n"])
+        """Whole subtrees as sorted runs of (lang, phrase, n), until at most ``keep`` phrases are left."""
+        names = None
+        for entries in self.trie.spill(keep):
+            names = pa.array(self.words.names, pa.binary()).cast(pa.string()) if names is None else names
+            columns = [entries.first, *((entries.rest >> _ID * (self.n - 1 - j)) & _WORDS for j in range(1, self.n))]
+            words = [names.take(pa.array(c)) for c in columns]
+            phrases = pc.binary_join_element_wise(*words, " ") if self.n > 1 else words[0]
+            order = pc.sort_indices(phrases)
+            for at in range(0, len(order), RUN):
+                rows = order.slice(at, RUN)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([self.lang]).take(pa.array(np.zeros(len(rows), dtype=np.int32))), phrases.take(rows),
+                     pa.array(entries.count).take(rows)], names=["lang", "phrase", "n"])
 
 
 def runs(docs: DataFrame, n: int, known: Filter | None = None) -> DataFrame:
-    """(lang, first, phrase, n): the tasks' counts of phrases of ``n`` words, some of them in several runs. With ``known``, only
+    """(lang, phrase, n): the tasks' counts of phrases of ``n`` words, some of them in several runs. With ``known``, only
     phrases whose parts of one word less it has."""
     def run(batches):
         counters: dict[str, Counter] = {}
@@ -256,13 +288,16 @@ def runs(docs: DataFrame, n: int, known: Filter | None = None) -> DataFrame:
                 counter = counters.setdefault(lang, Counter(lang, n, known))
                 for part in slices(texts, len, SLICE):
                     yield from counter.add(b".".join(part))
-                    while sum(x.trie.size for x in counters.values()) > ENTRIES:
+                    if sum(x.trie.size for x in counters.values()) > ENTRIES:
+                        for x in counters.values():  # what is left once equal phrases are one
+                            x.trie.settle()
+                    while sum(x.trie.size for x in counters.values()) > ENTRIES * 3 // 4:
                         yield from max(counters.values(), key=lambda x: x.trie.size).spill(ENTRIES // 8)
         for c in counters.values():
             yield from c.spill(0)
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("string").alias("text"))
-    return map_arrow(rows, run, "lang string, first string, phrase string, n long")
+    return map_arrow(rows, run, "lang string, phrase string, n long")
 
 
 def _cell(lang: Column, first: Column) -> Column:
@@ -272,7 +307,8 @@ def _cell(lang: Column, first: Column) -> Column:
 def merged(parts: DataFrame, hot: list[str]) -> DataFrame:
     """(lang, phrase, f): the runs merged by prefix partition, the prefix being the first word, or the whole phrase if the
     first word is one of ``hot``."""
-    prefix = F.when(_cell(F.col("lang"), F.col("first")).isin(hot), F.col("phrase")).otherwise(F.col("first"))
+    first = F.substring_index("phrase", " ", 1)
+    prefix = F.when(_cell(F.col("lang"), first).isin(hot), F.col("phrase")).otherwise(first)
     return (parts.withColumn("prefix", prefix).repartition("lang", "prefix")
             .groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("f")).drop("prefix"))
 
