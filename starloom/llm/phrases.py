@@ -39,11 +39,11 @@ from starloom.sources.store import materialize
 LONGEST, LEAST, SHARE, TOP = 4, 30, 80, 2000
 UNKNOWN = "und"
 FILTER_BITS = 1 << 27
-BURST, ENTRIES, SLICE, RUN = 1 << 14, 2_000_000, 1 << 22, 1 << 16
+BURST, ENTRIES, SLICE, RUN = 1 << 14, 800_000, 1 << 21, 1 << 16
 #: Word ids have 21 bits, so that three of them fit a long; a task that meets more words spills all and starts anew.
 _ID = 21
 _WORDS = (1 << _ID) - 1
-WORDS_KEPT = _WORDS
+WORDS_KEPT = 1_000_000
 
 # The characters that end a piece, and those that separate words in it.
 _ENDS, _SPACES = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -53,13 +53,15 @@ _GAP = re.compile(rb"[ .]")
 _FACTOR = np.random.default_rng(12).integers(1, 2**63, LONGEST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def slices_of(text: bytes, size: int) -> Iterator[list[bytes]]:
+def slices_of(text: bytes, size: int) -> Iterator[pa.Array]:
     """The words of a text in UTF-8, with ``b"."`` wherever a piece ends, in slices of about ``size`` bytes."""
     text, at = text.translate(_TABLE), 0
     while at < len(text):
         stop = _GAP.search(text, min(at + size, len(text)))
         end = stop.end() if stop else len(text)
-        yield text[at:end].replace(b".", b" . ").split()
+        part = pa.array([text[at:end].replace(b".", b" . ").strip(b" ")], pa.binary()).cast(pa.string())
+        words = pc.ascii_split_whitespace(part).flatten().cast(pa.binary())
+        yield words if len(words) != 1 or words[0].as_py() else words.slice(1)
         at = end
 
 
@@ -159,9 +161,15 @@ class Node:
     def settle(self) -> Entries:
         return _concat([kid.settle() for kid in self.kids])
 
+    def tidy(self) -> None:
+        """Make equal phrases one, everywhere."""
+        for kid in self.kids:
+            kid.tidy() if isinstance(kid, Node) else kid.settle()
+
     def spill(self, keep: int) -> Iterator[Entries]:
         """Take out whole subtrees, the largest first, until at most ``keep`` phrases are left."""
-        left = sum(len(kid.settle().first) for kid in self.kids)
+        self.tidy()
+        left = self.size
         for i in sorted(range(len(self.kids)), key=lambda i: -self.kids[i].size):
             if left <= keep:
                 break
@@ -220,18 +228,19 @@ class Counter:
 
     def add(self, text: bytes) -> Iterator[pa.RecordBatch]:
         """Count a text; yields what had to be spilled to make room for more words."""
-        before: list[bytes] = []
+        before = pa.array([], pa.binary())
         for part in slices_of(text, SLICE):
-            if len(self.words.names) + len(part) + self.n >= WORDS_KEPT:
+            part = pa.concat_arrays([before, part])
+            coded = part.dictionary_encode()
+            if len(self.words.names) + len(coded.dictionary) >= WORDS_KEPT:
                 yield from self.spill(0)
                 self.words, self.trie = Words(self.lang), Node(self.n, 0)
-            part = before + part
-            self._count(part)
-            before = part[len(part) - self.n + 1:] if self.n > 1 else []
+            ids = np.fromiter(map(self.words.__getitem__, coded.dictionary.to_pylist()), dtype=np.int64, count=len(coded.dictionary))
+            self._count(ids[coded.indices.to_numpy()])
+            before = part.slice(max(0, len(part) - self.n + 1))
 
-    def _count(self, tokens: list[bytes]) -> None:
+    def _count(self, ids: np.ndarray) -> None:
         words, n = self.words, self.n
-        ids = np.fromiter(map(words.__getitem__, tokens), dtype=np.int64, count=len(tokens))
         if len(ids) < n:
             return
         ok = ids != 0
@@ -290,9 +299,10 @@ def runs(docs: DataFrame, n: int, known: Filter | None = None) -> DataFrame:
                     yield from counter.add(b".".join(part))
                     if sum(x.trie.size for x in counters.values()) > ENTRIES:
                         for x in counters.values():  # what is left once equal phrases are one
-                            x.trie.settle()
+                            x.trie.tidy()
                     while sum(x.trie.size for x in counters.values()) > ENTRIES * 3 // 4:
                         yield from max(counters.values(), key=lambda x: x.trie.size).spill(ENTRIES // 8)
+                    pa.default_memory_pool().release_unused()
         for c in counters.values():
             yield from c.spill(0)
 
