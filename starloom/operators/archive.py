@@ -18,6 +18,7 @@ runner materialises the diff once and derives all outputs from it.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from starloom.functions.clean import minus_one_micro
 from starloom.functions.hashing import row_hash
 from starloom.session import FAR_FUTURE, ts_lit
+from starloom.sources import buckets as B
 from starloom.spec import EntitySpec
 
 LOAD_TS = "load_timestamp"
@@ -101,6 +103,28 @@ def snapshot_diff(source: DataFrame, open_archive: DataFrame, spec: EntitySpec)
     return j.select(F.col("_id").alias(idc), op.alias("op"), "_src", "_arc")
 
 
+def digest_diff(source: DataFrame, entry: Mapping, spec: EntitySpec) -> tuple[DataFrame, list[int]]:
+    """The changes between a source snapshot and a bucketed archive, by digests first: ``(diff, buckets)``.
+
+    The source's digests are compared with those kept with the archive; only the differing buckets of the archive are
+    read, and joined with the source rows of the same buckets. ``diff`` has the columns of ``snapshot_diff``, with the ids of
+    differing buckets only (all other ids are unchanged); ``buckets`` are the differing ones.
+    """
+    n = entry["of"]
+    src = conform(source, spec)
+    found = B.differing(B.digests(src, spec.archive_id, row_hash(src, spec.compare), n), B.known_digests(entry))
+    own = {a: c for c, a in ((c, spec.archive_name(c)) for c in spec.columns)}
+    part = src.filter(B.bucket_of(spec.archive_id, n).isin(found)) if found else src.limit(0)
+    back = part.select(*[F.col(a).alias(c) for a, c in own.items()])
+    return snapshot_diff(back, B.read_buckets(source.sparkSession, entry, found), spec), found
+
+
+def unchanged_elsewhere(source: DataFrame, n: int, found: Sequence[int], spec: EntitySpec) -> DataFrame:
+    """(id, op = N) of the source rows in the buckets that don't differ; the archive isn't read for them."""
+    ids = conform(source, spec).select(spec.archive_id)
+    return ids.filter(~B.bucket_of(spec.archive_id, n).isin(list(found)) if found else F.lit(True)).withColumn("op", F.lit("N"))
+
+
 def closed_versions(diff: DataFrame, run_ts: datetime | Column) -> DataFrame:
     """Open versions ended by this run (updated or deleted ids), ``valid_to = run_ts - 1 µs``."""
     return (

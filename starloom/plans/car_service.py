@@ -225,6 +225,11 @@ def snapshot_diff(name: str, source: DataFrame, archive: DataFrame) -> DataFrame
     return A.snapshot_diff(prepare_source(name, source), A.open_versions(archive), ENTITIES[name])
 
 
+def digest_diff(name: str, source: DataFrame, entry: Mapping) -> tuple[DataFrame, list[int]]:
+    """A9 by digests, for a bucketed archive: the changes and the buckets that have any."""
+    return A.digest_diff(prepare_source(name, source), entry, ENTITIES[name])
+
+
 # --------------------------------------------------------------------------------------------------------------
 # Dimensions
 # --------------------------------------------------------------------------------------------------------------

@@ -27,9 +27,11 @@ from starloom.operators.scd2 import scd2_rebuild
 from starloom.plans import car_service as CS
 from starloom.plans import stand_in as SI
 from starloom.plans import state as ST
+from starloom.plans.ledger import Extract, apply_extract
 from starloom.plans.loads import run_full, run_id_of, run_incremental, table_digests
 from starloom.plans.output import finalize
 from starloom.session import checkpoint_dir
+from starloom.sources import buckets as B
 from starloom.sources.sql import register_views, run_sql
 from starloom.sources.store import Store, materialize
 from starloom.sources.tables import read_csv_with_quarantine, write_csv
@@ -556,6 +558,51 @@ def p2_incremental_load(spark, sf):
     return finalize(table_digests(spark, store, DIGEST_COLUMNS))
 
 
+@query("p2_resumed_run")
+def p2_resumed_run(spark, sf):
+    """An incremental run that ends behind its dimensions, and its second attempt, which takes over what was written: the
+    contents of all tables, as in ``p2_incremental_load``."""
+    store = _fresh_store(spark)
+    _full(spark, sf, store)
+    run_incremental(spark, store, SI.sources(spark, sf, 1), SI.T1, resume="day 1", until="dimensions")
+    run_incremental(spark, store, SI.sources(spark, sf, 1), SI.T1, resume="day 1")
+    return finalize(table_digests(spark, store, DIGEST_COLUMNS))
+
+
+@query("p6_late_extract")
+def p6_late_extract(spark, sf):
+    """Day 2 is applied before day 1 arrives, then day 1, and day 1 again: the customer dimension is as after both days
+    in order."""
+    store = _fresh_store(spark)
+    _full(spark, sf, store)
+    for day, ts in ((2, SI.T2), (1, SI.T1), (1, SI.T1)):
+        apply_extract(spark, store, Extract(ts.isoformat(), str(day)), lambda s, root: SI.sources(s, sf, int(root)))
+    return finalize(store.read("dim_customer"))
+
+
+@query("s5_bucket_update")
+def s5_bucket_update(spark, sf):
+    """A full load and an incremental run on a store with id buckets: the contents of all tables, as in
+    ``p2_incremental_load``."""
+    store = Store(spark, _fresh_store(spark).root, buckets=32)
+    _full(spark, sf, store)
+    run_incremental(spark, store, SI.sources(spark, sf, 1), SI.T1)
+    return finalize(table_digests(spark, store, DIGEST_COLUMNS))
+
+
+@query("a9_digest_diff")
+def a9_digest_diff(spark, sf):
+    """Customers of day 1 against the bucketed archive of day 0: the changes, read from the differing buckets only, and the
+    unchanged ids of all others."""
+    store = _fresh_store(spark)
+    spec, n = CS.CUSTOMERS, 64
+    entry = B.write_buckets(store, ST.initial_archives(spark, sf)[spec.name], spec.name, run_id_of(SI.T0), spec.archive_id,
+                            lambda d: row_hash(d, spec.compare), n)
+    source = materialize(SI.sources(spark, sf, 1)["Customers"])
+    diff, found = CS.digest_diff(spec.name, source, entry)
+    return finalize(diff.select(spec.archive_id, "op").unionByName(A.unchanged_elsewhere(source, n, found, spec)))
+
+
 @query("p4_reject_replay")
 def p4_reject_replay(spark, sf):
     """Appointments rejected on day 1 (their customers were missing) become facts on day 2, when the customers are

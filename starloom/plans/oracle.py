@@ -306,6 +306,7 @@ _DIFF = (
           "ON s.customer_id = a.customer_id)")
 )
 SQL["a9_snapshot_diff"] = _DIFF + "SELECT original_customer_id, op FROM d"
+SQL["a9_digest_diff"] = SQL["a9_snapshot_diff"]
 SQL["a10_closed_versions"] = (
     _DIFF + f"SELECT original_customer_id, a_first AS first_name, a_last AS last_name, "
     f"{ts_out(T0)} AS valid_from_timestamp, {ts_out(T1 + ' - INTERVAL 1 MICROSECOND')} AS valid_to_timestamp "
@@ -849,6 +850,8 @@ _EXTRA1 = {
 _DAY1 = {n: _both(q, _EXTRA1[n], _TABLE_COLUMNS[n]) if n in _EXTRA1 else q for n, q in _DAY0.items()}
 _DAY1 |= {"dim_customer": SQL["d11_scd2_apply"], "dim_vehicle": _VEHICLES1}
 SQL["p2_incremental_load"] = " UNION ALL ".join(_digest(n, q) for n, q in _DAY1.items())
+SQL["s5_bucket_update"] = SQL["p2_resumed_run"] = SQL["p2_incremental_load"]
+SQL["p6_late_extract"] = SQL["d11_scd2_two_runs"]
 
 # Customers deleted on day 1 are back on day 2 with a version opened then; so are their vehicles.
 SQL["p4_reject_replay"] = (

@@ -14,13 +14,15 @@ full load replaces all tables, an incremental one carries on from the last run b
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.session import checkpoint_dir
+from starloom.sources.buckets import carried, read_buckets
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -61,14 +63,32 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def list_manifests(spark: SparkSession, warehouse: str) -> list[str]:
-    fs, p = _fs(spark, f"{warehouse}/_manifest")
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """The names, without ending, of a folder's JSON files."""
+    fs, p = _fs(spark, folder)
     if not fs.exists(p):
         return []
     names = [st.getPath().getName() for st in fs.listStatus(p)]
     return sorted(n[:-5] for n in names if n.endswith(".json") and not n.startswith((".", "_")))
 
 
+def list_manifests(spark: SparkSession, warehouse: str) -> list[str]:
+    return list_names(spark, f"{warehouse}/_manifest")
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in place of an earlier one, as a whole or not at all: a reader finds the old or the new text."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    draft = f"{path.rsplit('/', 1)[0]}/.draft-{uuid.uuid4().hex}"
+    write_text(spark, draft, text)
+    conf = sc._jsc.hadoopConfiguration()
+    place, of = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.FileContext
+    context = of.getFileContext(place(path).getFileSystem(conf).getUri(), conf)
+    options = sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(place(draft), place(path), options)
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     """Rename a file; fails if the target exists."""
     fs, p = _fs(spark, old)
@@ -80,8 +100,11 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
 class Store:
     """A warehouse root with staged writes and manifest publication."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+        """``buckets``: keep open versions in so many id buckets (see ``sources.buckets``), so that a run rewrites the
+        buckets it changes; without it a run rewrites all open versions of a table."""
         self.spark = spark
+        self.buckets = buckets
         self.root = root.rstrip("/")
         self._attempts: dict[str, str] = {}
 
@@ -90,14 +113,30 @@ class Store:
         """The published runs, in order."""
         return sorted({n.rsplit(".", 1)[0] for n in list_manifests(self.spark, self.root)})
 
-    def begin(self, run_id: str) -> None:
-        """Start an attempt at a run. A run older than the last published one is refused: what came after it was
-        built without it."""
+    def begin(self, run_id: str, replay: bool = False) -> None:
+        """Start an attempt at a run. A run older than the last published one is refused, as what came after it was
+        built without it, unless the caller is going to run that again as well (``replay``)."""
         ids = self.run_ids()
-        if ids and run_id < ids[-1]:
+        if ids and run_id < ids[-1] and not replay:
             raise RuntimeError(f"run {run_id} is older than the published run {ids[-1]}")
         self._attempts[run_id] = uuid.uuid4().hex[:12]
 
+    def step(self, run_id: str, name: str, make: Callable[[], dict], resume: str | None) -> dict:
+        """The manifest entries that ``make`` writes for one step of a run. With ``resume`` (what tells one run's inputs from
+        others'), they are noted once the step is done, and an earlier attempt's note, made of the same inputs on the same
+        state, is used instead of running the step again."""
+        if resume is None:
+            return make()
+        before = [n for n in list_manifests(self.spark, self.root) if n.rsplit(".", 1)[0] < run_id]
+        token = hashlib.md5(json.dumps([resume, before[-1:], self.buckets]).encode()).hexdigest()
+        path = f"{self.root}/_journal/{run_id}/{token}/{name}.json"
+        noted = read_text(self.spark, path)
+        if noted:
+            return json.loads(noted)
+        entry = make()
+        replace_text(self.spark, path, json.dumps(entry))
+        return entry
+
     # ------------------------------------------------------------------------------------------------ writing
     def write(self, df: DataFrame, table: str, run_id: str, part: str | None = None,
               partition_by: list[str] | None = None) -> str:
@@ -122,6 +161,8 @@ class Store:
             cur = merged.setdefault(t, {})
             if "open" in entry:
                 cur["open"] = entry["open"]
+            if "buckets" in entry:
+                cur.update(carried(cur, entry))
             for key in ("closed", "parts"):
                 if key in entry:
                     have = [] if entry.get("replace") else list(cur.get(key, []))
@@ -135,6 +176,8 @@ class Store:
         write_text(self.spark, draft, json.dumps(doc, indent=1, sort_keys=True))
         rename(self.spark, draft, path)
         self._attempts.pop(run_id, None)
+        fs, journal = _fs(self.spark, f"{self.root}/_journal/{run_id}")
+        fs.delete(journal, True)
         return path
 
     def compact(self, tables: list[str] | None = None) -> None:
@@ -170,6 +213,10 @@ class Store:
             return None
         e = m["tables"][table]
         paths: list[str] = []
+        if which in ("open", "all") and e.get("buckets") is not None:
+            if which == "open" or not e.get("closed"):
+                return read_buckets(self.spark, e)
+            paths += e["buckets"].values()
         if which in ("open", "all") and e.get("open"):
             paths.append(e["open"])
         if which in ("closed", "all"):
