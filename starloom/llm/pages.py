@@ -326,7 +326,8 @@ def extracted(pages: DataFrame, article: tuple[int, int] = ARTICLE, body: tuple[
     """(page_id, url, text) of every page."""
     keyed = _keyed(pages)
     found = materialize(subtrees(keyed))
-    lists = deletions(found, templates(found, article, body))
+    # written first: by its size Spark decides whether the pages must be shuffled to meet their lists
+    lists = materialize(deletions(found, templates(found, article, body)))
     rows = keyed.join(lists, ["site", "k1", "k2"], "left").select("page_id", "url", "html", "template")
 
     def run(batches):
