@@ -85,10 +85,14 @@ def attach_parent(child: DataFrame, parent: DataFrame, on: tuple[str, str], cols
     return matched, unmatched
 
 
-def new_facts_only(candidates: DataFrame, existing_facts: DataFrame, id_cols: Sequence[str]) -> DataFrame:
+def new_facts_only(candidates: DataFrame, existing_facts: DataFrame | Callable[[DataFrame], DataFrame],
+                   id_cols: Sequence[str]) -> DataFrame:
     """Insert-only facts: drop candidates whose id is already in the fact table. The facts are reduced to the
     candidates' ids first (a day's candidates are few; adaptive execution broadcasts them), so the history isn't
-    shuffled."""
+    shuffled. In place of the facts, a function may give those of the candidates' ids that are known (see
+    ``sources.parts``), so that only some parts of the history are read."""
+    if callable(existing_facts):
+        return anti_join(candidates, existing_facts(candidates), list(id_cols), null_safe=False)
     seen = semi_join(existing_facts.select(*id_cols), candidates.select(*id_cols), list(id_cols))
     return anti_join(candidates, seen, list(id_cols), null_safe=False)
 

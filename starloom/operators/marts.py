@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.session import FAR_FUTURE, ts_lit
@@ -16,11 +16,11 @@ def _money_sum(c: str, alias: str):
 
 def service_trends(fact: DataFrame, dim_date: DataFrame, dim_service_type: DataFrame,
                    cost: str = "total_service_cost") -> DataFrame:
-    """Appointments and cost per (year, month, service type). Both dimensions are bounded -> broadcast;
+    """Appointments and cost per (year, month, service type). How the dimensions are joined is left to their written sizes;
     the fact is aggregated map-side before the shuffle."""
     j = (
-        fact.join(F.broadcast(dim_date.select("date_key", "year", "month")), "date_key")
-        .join(F.broadcast(dim_service_type.select("service_type_key", "service_type_name")), "service_type_key")
+        fact.join(dim_date.select("date_key", "year", "month"), "date_key")
+        .join(dim_service_type.select("service_type_key", "service_type_name"), "service_type_key")
     )
     return j.groupBy("year", "month", "service_type_name").agg(
         F.count(F.lit(1)).alias("appointments"),
@@ -55,6 +55,57 @@ def drill_across(left: DataFrame, right: DataFrame, keys: Sequence[str], fill: S
                              for c in j.columns if c not in keys])
 
 
+def _bounds(facts: DataFrame, fact_ts: str, slices: int) -> list[int]:
+    """Times (microseconds) that cut the facts into about equal slices; their number is bounded by ``slices``."""
+    t = facts.select(F.unix_micros(F.col(fact_ts).cast("timestamp_ltz")).cast("double").alias("t")).filter("t is not null")
+    return sorted({int(x) for x in t.approxQuantile("t", [i / slices for i in range(1, slices)], 0.002)})
+
+
+def as_of_sliced(facts: DataFrame, fact_id: str, fact_ts: str, dim: DataFrame, dim_id: str, key: str,
+                 valid_from: str = "dim_valid_from", valid_to: str = "dim_valid_to", alias: str | None = None,
+                 slices: int = 64) -> DataFrame:
+    """``as_of_lookup`` for facts of which one id may have a great part: a prefix scan on two levels.
+
+    Time is cut into slices that hold about equally many facts. (1) Each (id, slice) is reduced to its last version. (2) A
+    scan over an id's slices, ``slices`` rows at most, gives every slice the last version before it, its carry. (3) Facts, versions
+    and carries are scanned by (id, slice), so an id's facts are spread over as many tasks as it has slices. Facts are
+    shuffled once, as in the plain form. Facts without an id or a time match nothing.
+    """
+    out, cols, far = alias or key, facts.columns, ts_lit(FAR_FUTURE)
+    bounds = _bounds(facts, fact_ts, slices)
+
+    def slice_of(t: str) -> Column:
+        micros, at = F.unix_micros(F.col(t).cast("timestamp_ltz")), F.lit(0)
+        for i, b in enumerate(bounds):  # the last bound reached counts
+            at = F.when(micros >= b, F.lit(i + 1)).otherwise(at)
+        return at
+
+    usable = F.col(fact_id).isNotNull() & F.col(fact_ts).isNotNull()
+    without = facts.filter(~usable).select(*cols, F.lit(None).cast("bigint").alias(out))
+    f = facts.filter(usable).select(
+        F.col(fact_id).alias("_id"), F.col(fact_ts).alias("_t"), F.lit(2).alias("_kind"),
+        F.struct(*[F.col(c) for c in cols]).alias("_f"), F.lit(None).cast("struct<k:bigint,vt:timestamp_ntz>").alias("_v"))
+    f = f.withColumn("_s", slice_of("_t"))
+    version = F.struct(F.col(key).cast("bigint").alias("k"), F.coalesce(F.col(valid_to), far).cast("timestamp_ntz").alias("vt"))
+    none = F.lit(None).cast(f.schema["_f"].dataType).alias("_f")
+    d = dim.filter(F.col(dim_id).isNotNull()).select(
+        F.col(dim_id).cast(f.schema["_id"].dataType).alias("_id"), F.col(valid_from).cast(f.schema["_t"].dataType).alias("_t"),
+        F.lit(1).alias("_kind"), none, version.alias("_v"))
+    d = d.withColumn("_s", slice_of("_t"))
+
+    last = d.groupBy("_id", "_s").agg(F.max_by("_v", "_t").alias("_v"))
+    places = last.unionByName(f.select("_id", "_s").distinct().select("_id", "_s", F.lit(None).cast(last.schema["_v"].dataType).alias("_v")))
+    before = Window.partitionBy("_id").orderBy("_s").rangeBetween(Window.unboundedPreceding, -1)
+    carry = (places.select("_id", "_s", F.last("_v", ignorenulls=True).over(before).alias("_v")).filter("_v is not null")
+             .distinct().select("_id", F.lit(None).cast(f.schema["_t"].dataType).alias("_t"), F.lit(0).alias("_kind"), none, "_v", "_s"))
+
+    # a carry has no time and sorts first; at one instant a version comes before the facts
+    scan = Window.partitionBy("_id", "_s").orderBy(F.col("_t").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    u = f.unionByName(d).unionByName(carry).select("_kind", "_f", "_t", F.last("_v", ignorenulls=True).over(scan).alias("_v"))
+    hit = F.when(F.col("_t") <= F.col("_v.vt"), F.col("_v.k"))
+    return u.filter("_kind = 2").select(*[F.col(f"_f.{c}").alias(c) for c in cols], hit.alias(out)).unionByName(without)
+
+
 def as_of_lookup(facts: DataFrame, fact_id: str, fact_ts: str, dim: DataFrame, dim_id: str, key: str,
                  valid_from: str = "dim_valid_from", valid_to: str = "dim_valid_to", alias: str | None = None
                  ) -> DataFrame:

@@ -356,6 +356,16 @@ def f4_fact_appointments_incr(spark, sf):
     return finalize(ST.incremental_warehouse(spark, sf).facts["fact_service_appointments"])
 
 
+@query("f4_pruned_append")
+def f4_pruned_append(spark, sf):
+    """The appointment facts that a run adds on a store whose fact parts have filters: as ``f4_fact_appointments_incr``."""
+    store = Store(spark, _fresh_store(spark).root, buckets=8)
+    _full(spark, sf, store)
+    run_incremental(spark, store, SI.sources(spark, sf, 1), SI.T1)
+    added = store.manifest()["tables"]["fact_service_appointments"]["parts"][-1]
+    return finalize(spark.read.parquet(added))
+
+
 @query("f5_fact_parts_incr")
 def f5_fact_parts_incr(spark, sf):
     return finalize(ST.incremental_warehouse(spark, sf).facts["fact_service_parts_usage"])
@@ -487,6 +497,16 @@ def m1_as_of_lookup(spark, sf):
     return finalize(out.select("event_id", "customer_key"))
 
 
+@query("m1_as_of_sliced")
+def m1_as_of_sliced(spark, sf):
+    """As ``m1_as_of_lookup``, with a third of all events by one user, in time slices."""
+    dim = d11_scd2_two_runs_raw(spark, sf)
+    ev = SI.table(spark, sf, "events").select("event_id", "user_id", "ts")
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")).cast(ev.schema["user_id"].dataType)
+    out = M.as_of_sliced(ev.withColumn("user_id", hot), "user_id", "ts", dim, "original_customer_id", "customer_key")
+    return finalize(out.select("event_id", "customer_key"))
+
+
 @query("m3_parts_usage")
 def m3_parts_usage(spark, sf):
     wh = ST.initial_warehouse(spark, sf)

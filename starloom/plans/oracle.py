@@ -563,6 +563,7 @@ def cur_key(id_expr: str) -> str:
 _F4_ALL = (with_(*_INC_CTES, "na AS (SELECT * FROM a1 WHERE appointment_id NOT IN (SELECT appointment_id FROM a0))")
            + "SELECT * FROM (" + appt_fact("na", cur_key("na.customer_id"), cur_key("na.vehicle_id")) + ")")
 SQL["f4_fact_appointments_incr"] = _F4_ALL + " WHERE customer_key IS NOT NULL AND vehicle_key IS NOT NULL"
+SQL["f4_pruned_append"] = SQL["f4_fact_appointments_incr"]
 _CHANGED_FACTS = (
     "SELECT * FROM (" + with_(*_INC_CTES, "ca AS (SELECT * FROM a1 EXCEPT SELECT * FROM a0)")
     + "SELECT * FROM (" + appt_fact("ca", cur_key("ca.customer_id"), cur_key("ca.vehicle_id"))
@@ -689,6 +690,8 @@ SQL["m1_as_of_lookup"] = (
     f"CAST(dim_valid_from AS TIMESTAMP) AS vf, coalesce(CAST(dim_valid_to AS TIMESTAMP), {FAR}) AS vt FROM dh) "
     "SELECT e.event_id, dv.customer_key FROM events e LEFT JOIN dv ON dv.id = e.user_id AND e.ts >= dv.vf AND e.ts <= dv.vt"
 )
+SQL["m1_as_of_sliced"] = SQL["m1_as_of_lookup"].replace(
+    "FROM events e ", "FROM (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id FROM events) e ")
 SQL["m3_parts_usage"] = (
     f"SELECT p.p_type AS category, count(*)::BIGINT AS lines, sum(f.quantity_used)::BIGINT AS quantity, "
     f"CAST(sum(CAST(f.total_cost_for_part_line AS DECIMAL(18,2))) AS DOUBLE) AS cost FROM ({F3}) f "

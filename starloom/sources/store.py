@@ -163,6 +163,8 @@ class Store:
                 cur["open"] = entry["open"]
             if "buckets" in entry:
                 cur.update(carried(cur, entry))
+            if "filters" in entry:
+                cur["filters"] = {**({} if entry.get("replace") else cur.get("filters", {})), **entry["filters"]}
             for key in ("closed", "parts"):
                 if key in entry:
                     have = [] if entry.get("replace") else list(cur.get(key, []))
@@ -180,17 +182,21 @@ class Store:
         fs.delete(journal, True)
         return path
 
-    def compact(self, tables: list[str] | None = None) -> None:
+    def compact(self, tables: list[str] | None = None, describe: Callable[[str, str, str], dict] | None = None) -> None:
         """Rewrite the closed versions and parts of tables as one directory each and publish that as the last run's
-        state; without it their lists grow by a directory per run."""
+        state; without it their lists grow by a directory per run. ``describe(path, table, run_id)`` gives the note of a
+        merged part for tables that have such (``filters``); without it those tables' parts stay as they are."""
         run_id, m = self.run_ids()[-1], self.manifest()
         self.begin(run_id)
         entries = {}
         for t, e in m["tables"].items():
             entry = dict(e)
             for key in ("closed", "parts"):
-                if (tables is None or t in tables) and len(e.get(key, [])) > 1:
+                noted = key == "parts" and "filters" in e
+                if (tables is None or t in tables) and len(e.get(key, [])) > 1 and not (noted and describe is None):
                     entry[key] = [self.write(self.spark.read.parquet(*e[key]), t, run_id, part=f"{key}-compact")]
+                    if noted:
+                        entry["filters"] = {p: describe(p, t, run_id) for p in entry[key]}
             entries[t] = entry
         self.publish(run_id, m["run_ts"], entries, replace=True)
 
