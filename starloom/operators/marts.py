@@ -57,6 +57,8 @@ def drill_across(left: DataFrame, right: DataFrame, keys: Sequence[str], fill: S
 
 def _bounds(facts: DataFrame, fact_ts: str, slices: int) -> list[int]:
     """Times (microseconds) that cut the facts into about equal slices; their number is bounded by ``slices``."""
+    if slices < 2:
+        return []
     t = facts.select(F.unix_micros(F.col(fact_ts).cast("timestamp_ltz")).cast("double").alias("t")).filter("t is not null")
     return sorted({int(x) for x in t.approxQuantile("t", [i / slices for i in range(1, slices)], 0.002)})
 

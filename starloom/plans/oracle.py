@@ -683,6 +683,7 @@ SQL["p3_high_water_mark"] = (
           "(SELECT * FROM a1 EXCEPT SELECT * FROM a0)))")
     + f"SELECT {ts_out(f'greatest(coalesce(lc.lt, {_LT}), coalesce(la.lt, {_LT}))')} AS high_water_mark FROM lc, la"
 )
+SQL["q4_one_pass"] = SQL["q4_uniqueness"]
 
 # ------------------------------------------------------------------------------------------------------- marts
 SQL["m1_as_of_lookup"] = (

@@ -7,6 +7,7 @@ one several times scan a small written table instead of deriving it again from t
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,12 +94,12 @@ def initial_archives(spark: SparkSession, sf_dir: str) -> Lazy:
     return Lazy(f)
 
 
-def initial_dims(arch: dict[str, DataFrame], written: bool = True) -> Lazy:
-    """The dimensions of the full load; ``written``: each is materialized when it is first used."""
-    def kept(build):
-        return lambda: materialize(build()) if written else build()
+def initial_dims(arch: dict[str, DataFrame], written: bool | Collection[str] = True) -> Lazy:
+    """The dimensions of the full load; those in ``written`` (or all) are materialized when they are first used."""
+    def kept(name, build):
+        return lambda: materialize(build()) if written is True or (written and name in written) else build()
 
-    return Lazy({k: kept(v) for k, v in {
+    return Lazy({k: kept(k, v) for k, v in {
         "dim_date": lambda: CS.dim_date(arch["archive_accidents_csv"], arch["archive_customers"],
                                         arch["archive_service_appointments"], arch["archive_employees"]),
         "dim_location": lambda: CS.dim_location(arch["archive_accidents_csv"], arch["archive_customers"]),
@@ -113,14 +114,15 @@ def initial_dims(arch: dict[str, DataFrame], written: bool = True) -> Lazy:
     }.items()})
 
 
-def initial_warehouse(spark: SparkSession, sf_dir: str, share: bool = False) -> Warehouse:
-    """Full load at T0. ``share``: archives and facts are written on first use as well, for consumers that read them
-    several times (checks over the whole warehouse)."""
+def initial_warehouse(spark: SparkSession, sf_dir: str, share: bool = False,
+                      written: bool | Collection[str] = False) -> Warehouse:
+    """Full load at T0. ``written``: the dimensions (True: all) that have several readers and are written on first use.
+    ``share``: all tables are, for consumers that read them several times (checks over the whole warehouse)."""
     cut = materialize if share else None
     arch = initial_archives(spark, sf_dir)
     if share:
         arch = Lazy({n: (lambda f=f: materialize(f())) for n, f in arch._f.items()})
-    dims = initial_dims(arch)
+    dims = initial_dims(arch, True if share else written)
     wh = Warehouse(archives=arch, dims=dims)
     built: dict[str, tuple[DataFrame, DataFrame]] = {}
 
@@ -169,7 +171,7 @@ def archives_at(spark: SparkSession, sf_dir: str, entity: str, day: int) -> Data
 def incremental_warehouse(spark: SparkSession, sf_dir: str, initial: Warehouse | None = None) -> Warehouse:
     """The warehouse after the day-1 run at T1: archives diffed and materialised, SCD-2 dimensions updated over
     ``(T0, T1]``, calendar and service types extended, new facts of the window built against current rows."""
-    wh0 = initial or initial_warehouse(spark, sf_dir)
+    wh0 = initial or initial_warehouse(spark, sf_dir, written=True)
     src1 = sources(spark, sf_dir, 1)
 
     def arch_of(name):
