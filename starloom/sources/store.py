@@ -8,7 +8,9 @@ Layout of a versioned table (history is never rewritten)::
 
 Insert-only tables (junk dimensions, facts) use ``<wh>/<table>/run=<run_id>/attempt=<a>/`` parts. Every attempt at a run
 writes directories of its own, so a run that fails, or is run again, never touches what a published manifest names:
-until the new manifest is renamed into place, readers see the old one. Runs are published in order of their ids; a
+until the new manifest is renamed into place, readers see the old one. A manifest is only created, never replaced; a
+publisher that finds another's in its place looks at it and goes on top of it, or gives up if both changed a table
+(``Conflict``). That rests on the file system's rename, which is atomic on HDFS and alike, not on plain object stores. Runs are published in order of their ids; a
 full load replaces all tables, an incremental one carries on from the last run before it.
 """
 
@@ -19,6 +21,7 @@ import json
 import uuid
 from collections.abc import Callable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.session import checkpoint_dir
@@ -30,11 +33,21 @@ def materialize(df: DataFrame) -> DataFrame:
     (``spark.checkpoint.dir``) and read it back. Survives executor loss (unlike caching or a local checkpoint)
     and is columnar and compressed (unlike an RDD checkpoint)."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/starloom-mat/{uuid.uuid4().hex}"
+    path = f"{_intermediates(spark)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
+def _intermediates(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/starloom-mat/{spark.sparkContext.applicationId}"
+
+
+def clear_intermediates(spark: SparkSession) -> None:
+    """Delete all tables that ``materialize`` wrote for this application; for when its results have been written."""
+    fs, p = _fs(spark, _intermediates(spark))
+    fs.delete(p, True)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -76,8 +89,10 @@ def list_manifests(spark: SparkSession, warehouse: str) -> list[str]:
     return list_names(spark, f"{warehouse}/_manifest")
 
 
-def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file in place of an earlier one, as a whole or not at all: a reader finds the old or the new text."""
+def replace_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> bool:
+    """Write a small file in place of an earlier one, as a whole or not at all: a reader finds the old or the new text.
+    Without ``overwrite`` only if there is none; the answer is whether it was written (the file system's rename decides, so
+    of two writers one is told no)."""
     jvm, sc = spark.sparkContext._jvm, spark.sparkContext
     draft = f"{path.rsplit('/', 1)[0]}/.draft-{uuid.uuid4().hex}"
     write_text(spark, draft, text)
@@ -85,16 +100,19 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     place, of = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.FileContext
     context = of.getFileContext(place(path).getFileSystem(conf).getUri(), conf)
     options = sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(place(draft), place(path), options)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE if overwrite else jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        context.rename(place(draft), place(path), options)
+    except Py4JJavaError as e:
+        if overwrite or "FileAlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        place(draft).getFileSystem(conf).delete(place(draft), False)
+        return False
+    return True
 
 
-def rename(spark: SparkSession, old: str, new: str) -> None:
-    """Rename a file; fails if the target exists."""
-    fs, p = _fs(spark, old)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)
-    if fs.exists(target) or not fs.rename(p, target):
-        raise RuntimeError(f"can't publish {new}")
+class Conflict(RuntimeError):
+    """Another publisher has changed what this run was built on."""
 
 
 class Store:
@@ -107,6 +125,7 @@ class Store:
         self.buckets = buckets
         self.root = root.rstrip("/")
         self._attempts: dict[str, str] = {}
+        self._seen: dict[str, set[str]] = {}  # what was published when an attempt began
 
     # ------------------------------------------------------------------------------------------------ runs
     def run_ids(self) -> list[str]:
@@ -120,6 +139,7 @@ class Store:
         if ids and run_id < ids[-1] and not replay:
             raise RuntimeError(f"run {run_id} is older than the published run {ids[-1]}")
         self._attempts[run_id] = uuid.uuid4().hex[:12]
+        self._seen[run_id] = set(list_manifests(self.spark, self.root))
 
     def step(self, run_id: str, name: str, make: Callable[[], dict], resume: str | None) -> dict:
         """The manifest entries that ``make`` writes for one step of a run. With ``resume`` (what tells one run's inputs from
@@ -155,7 +175,34 @@ class Store:
         """Write the manifest for ``run_id``: ``{table: {"open": dir, "closed": [dirs], "parts": [dirs]}}``
         (``"replace": True``: the directories replace the table's earlier ones instead of adding to them). Carries forward every table of the run before that this one did not touch, or, with ``replace`` (a full
         load), nothing."""
+        while True:
+            path = self._publish_once(run_id, run_ts, tables, replace)
+            if path:
+                break
+        self._attempts.pop(run_id, None)
+        fs, journal = _fs(self.spark, f"{self.root}/_journal/{run_id}")
+        fs.delete(journal, True)
+        return path
+
+    def _check(self, run_id: str, tables: Mapping) -> list[str]:
+        """The manifests published since the attempt began, by others; ``Conflict`` if this run can't go on top of them:
+        they are of a later run, or changed a table that this one changes as well."""
+        seen = self._seen.get(run_id)
+        others = [] if seen is None else [n for n in list_manifests(self.spark, self.root) if n not in seen]
+        for n in others:
+            doc = json.loads(read_text(self.spark, f"{self.root}/_manifest/{n}.json"))
+            both = sorted(set(doc.get("touched", doc["tables"])) & set(tables))
+            if both or doc["run_id"] > run_id:
+                raise Conflict(f"run {run_id}: {n} was published meanwhile" + (f" and changed {', '.join(both)}" if both else ""))
+        return others
+
+    def _publish_once(self, run_id: str, run_ts: str, tables: Mapping[str, Mapping[str, object]], replace: bool) -> str | None:
+        """Publish on top of what is there now; None if another publisher came first (then it is to be looked at again)."""
+        others = self._check(run_id, tables)
         prev = None if replace else self.manifest_before(run_id)
+        own = [n for n in others if n.rsplit(".", 1)[0] == run_id]
+        if own:  # the same run, other tables: carry them as well
+            prev = json.loads(read_text(self.spark, f"{self.root}/_manifest/{own[-1]}.json"))
         merged: dict[str, dict] = {k: dict(v) for k, v in (prev or {}).get("tables", {}).items()}
         for t, entry in tables.items():
             cur = merged.setdefault(t, {})
@@ -172,15 +219,11 @@ class Store:
                         if d not in have:
                             have.append(d)
                     cur[key] = have
-        doc = {"run_id": run_id, "run_ts": run_ts, "tables": merged}
-        n = 1 + sum(x.rsplit(".", 1)[0] == run_id for x in list_manifests(self.spark, self.root))
-        path, draft = f"{self.root}/_manifest/{run_id}.{n:06d}.json", f"{self.root}/_manifest/.draft-{uuid.uuid4().hex}"
-        write_text(self.spark, draft, json.dumps(doc, indent=1, sort_keys=True))
-        rename(self.spark, draft, path)
-        self._attempts.pop(run_id, None)
-        fs, journal = _fs(self.spark, f"{self.root}/_journal/{run_id}")
-        fs.delete(journal, True)
-        return path
+        doc = {"run_id": run_id, "run_ts": run_ts, "tables": merged, "touched": sorted(tables)}
+        known = self._seen.get(run_id, set()) | set(others) if run_id in self._seen else set(list_manifests(self.spark, self.root))
+        n = 1 + sum(x.rsplit(".", 1)[0] == run_id for x in known)
+        path = f"{self.root}/_manifest/{run_id}.{n:06d}.json"
+        return path if replace_text(self.spark, path, json.dumps(doc, indent=1, sort_keys=True), overwrite=False) else None
 
     def compact(self, tables: list[str] | None = None, describe: Callable[[str, str, str], dict] | None = None) -> None:
         """Rewrite the closed versions and parts of tables as one directory each and publish that as the last run's

@@ -100,5 +100,5 @@ def test_keys_in_one_pass_equal_one_by_one(spark):
     assert [got[",".join(k)] for k in sets] == want
     unique = spark.range(100).selectExpr("id", "id % 7 AS m")
     assert [tuple(r) for r in Q.uniqueness_one_pass(unique, "u", [["id"]]).collect()] == [("u", "id", 0, 0)]
-    plan = Q._fingerprints(df, sets).groupBy("set", "h1", "h2").count()._jdf.queryExecution().executedPlan().toString()
+    plan = Q._fingerprints(unique, [["id"], ["m"], ["id", "m"]]).groupBy("set", "h1", "h2").count()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1

@@ -4,7 +4,11 @@ import os
 import tempfile
 from datetime import datetime
 
+import pytest
+
 from starloom.plans import car_service as CS
+from starloom.sources import store
+from starloom.sources.store import Conflict, Store
 from starloom.sources.tables import project_to, read_csv_with_quarantine, write_csv
 
 COLS = ["ID", "Severity", "Start_Time", "End_Time", "City", "State", "Temperature(F)", "Bump", "Sunrise_Sunset"]
@@ -58,3 +62,53 @@ def test_schema_drift_projection(spark):
     df = spark.createDataFrame([(1, "a", "extra")], "id int, name string, surprise string")
     out, dropped = project_to(df, ["id", "name", "missing"])
     assert out.columns == ["id", "name"] and dropped == ["surprise"]
+
+
+def test_interleaved_publishers(spark):
+    """Of two publishers on one state, the second goes on top of the first if their tables differ, and gives up if not."""
+    root = tempfile.mkdtemp(prefix="wh-")
+    a, b, c = (Store(spark, root) for _ in range(3))
+    a.begin("r1")
+    a.publish("r1", "t1", {"x": {"parts": [a.write(spark.range(3), "x", "r1")]}})
+    for s in (a, b, c):
+        s.begin("r2")
+    new = {s: {t: {"parts": [s.write(spark.range(n), t, "r2")]}} for s, t, n in ((a, "y", 1), (b, "z", 2), (c, "y", 5))}
+    a.publish("r2", "t2", new[a])
+    b.publish("r2", "t2", new[b])  # another table: on top of the other's
+    with pytest.raises(Conflict, match="changed y"):
+        c.publish("r2", "t2", new[c])
+    assert {t: a.read(t).count() for t in a.manifest()["tables"]} == {"x": 3, "y": 1, "z": 2}
+    late = Store(spark, root)
+    late.begin("r3")
+    b.begin("r4")
+    b.publish("r4", "t4", {"w": {"parts": [b.write(spark.range(4), "w", "r4")]}})
+    with pytest.raises(Conflict, match="r4"):  # a later run was built without this one
+        late.publish("r3", "t3", {"v": {"parts": [late.write(spark.range(4), "v", "r3")]}})
+    assert not [n for n in os.listdir(f"{root}/_manifest") if n.startswith(".draft")]
+
+
+def test_a_manifest_is_never_replaced(spark, monkeypatch):
+    """The file that another publisher creates between the look and the rename is found by the rename."""
+    root = tempfile.mkdtemp(prefix="wh-")
+    a, b = Store(spark, root), Store(spark, root)
+    for s in (a, b):
+        s.begin("r1")
+    real, between = store.replace_text, []
+
+    def meanwhile(spark, path, text, overwrite=True):
+        if not between and not overwrite:
+            between.append(path)
+            b.publish("r1", "t1", {"y": {"parts": [b.write(spark.range(2), "y", "r1")]}})
+        return real(spark, path, text, overwrite)
+
+    monkeypatch.setattr(store, "replace_text", meanwhile)
+    a.publish("r1", "t1", {"x": {"parts": [a.write(spark.range(1), "x", "r1")]}})
+    assert sorted(a.manifest()["tables"]) == ["x", "y"] and len(store.list_manifests(spark, root)) == 2
+
+
+def test_intermediates_are_cleared(spark):
+    df = store.materialize(spark.range(5))
+    assert df.count() == 5
+    store.clear_intermediates(spark)
+    with pytest.raises(Exception, match="not exist"):
+        store.materialize(spark.range(1)).sparkSession.read.parquet(df.inputFiles()[0].rsplit("/", 1)[0]).count()
