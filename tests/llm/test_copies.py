@@ -7,8 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from starloom.llm import near, substring, wordhash
-from tests.llm.data import clashing, frame, prose, rows, words
+from starloom.llm import exact, lines, near, substring, wordhash
+from tests.llm.data import SCHEMA, clashing, frame, prose, rows, words
 
 
 def shingles(text):
@@ -132,7 +132,7 @@ def test_components_of_long_and_wide_graphs(spark):
 
 
 def expected_substrings(data):
-    docs = sorted(((d if d is not None else substring.NO_ID, words(t)) for d, t, *_ in data), key=lambda r: r[0])
+    docs = sorted(((d if d is not None else 2**63, words(t)) for d, t, *_ in data), key=lambda r: r[0])
     first, out = {}, []
     for d, w in docs:
         for i in range(len(w) - 12):
@@ -143,7 +143,7 @@ def expected_substrings(data):
             if first[tuple(w[i:i + 13])] < d:
                 gone.update(range(i, i + 13))
         kept = " ".join(x for i, x in enumerate(w) if i not in gone)
-        out.append((d if d != substring.NO_ID else None, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+        out.append((d if d != 2**63 else None, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return out
 
 
@@ -222,3 +222,32 @@ def test_pipeline_stages(spark, tmp_path):
     tokens = sum(r["length"] for r in out["packing"])
     assert sum(r["start"] == 0 for r in out["packing"]) == len(out["mix_sources"]) and tokens > len(out["mix_sources"])
     assert cp.run(spark, str(tmp_path)).agg({"length": "sum"}).first()[0] == tokens
+
+
+def test_ids_of_any_type(spark):
+    """Text ids and the largest long are ids like others; a null id comes last."""
+    data = [r for r in rows(4, 30) if len(r[1] or "") < 5000]
+    as_text = spark.createDataFrame([(None if d is None else f"{d:05d}", *r) for d, *r in data], "doc_id string, text string, lang string, "
+                                    "source string, n_chars long").repartition(3)
+    shown = lambda df: Counter((None if r["doc_id"] is None else int(r["doc_id"]), *tuple(r)[1:]) for r in df.collect())
+    assert shown(substring.report(as_text)) == shown(substring.report(frame(spark, data)))
+    assert shown(lines.deduplicated(as_text)) == shown(lines.deduplicated(frame(spark, data)))
+    top = 2**63 - 1
+    text = "one line of it\nanother line here\nand a third line too\n" + " ".join(f"w{i}" for i in range(20))
+    got = substring.report(frame(spark, [(top, text, "en", "s", 1), (1, text, "en", "s", 1), (None, text, "en", "s", 1)])).collect()
+    assert {(r["doc_id"], r["n_removed"] > 0) for r in got} == {(top, True), (1, False), (None, True)}
+    got = lines.deduplicated(frame(spark, [(top, text, "en", "s", 1), (1, text, "en", "s", 1)])).collect()
+    assert {(r["doc_id"], r["n_removed"] > 0) for r in got} == {(top, True), (1, False)}
+
+
+def test_the_row_kept_does_not_depend_on_order(spark):
+    """Of rows equal in id and text the same one stays, however they are dealt out."""
+    text = " ".join(f"word{i}" for i in range(40))
+    data = [(5, text, lang, source, n) for lang in ("en", "de", None) for source in ("a", "b", None) for n in (1, 2, None)]
+    seen = set()
+    for seed in range(3):
+        shuffled = random.Random(seed).sample(data, len(data))
+        df = spark.createDataFrame(shuffled, SCHEMA).repartition(seed + 2)
+        seen |= {("exact", tuple(r)) for r in exact.keep_documents(df).collect()}
+        seen |= {("near", tuple(r)) for r in near.keep_documents(df).collect()}
+    assert len(seen) == 2
