@@ -23,6 +23,7 @@ from starloom.operators import lookup as L
 from starloom.operators import marts as M
 from starloom.operators import quality as Q
 from starloom.operators.facts import upsert_facts
+from starloom.operators.late import splice_dimension, splice_snapshot
 from starloom.operators.scd2 import scd2_rebuild
 from starloom.plans import car_service as CS
 from starloom.plans import stand_in as SI
@@ -32,6 +33,7 @@ from starloom.plans.loads import run_full, run_id_of, run_incremental, table_dig
 from starloom.plans.output import finalize
 from starloom.session import checkpoint_dir
 from starloom.sources import buckets as B
+from starloom.sources.csv_ranges import read_csv_ranges
 from starloom.sources.sql import register_views, run_sql
 from starloom.sources.store import Store, materialize
 from starloom.sources.tables import read_csv_with_quarantine, write_csv
@@ -321,6 +323,18 @@ def d11_scd2_rebuild(spark, sf):
     return finalize(scd2_rebuild(arch2, CS.DIM_CUSTOMER))
 
 
+@query("d11_scd2_late")
+def d11_scd2_late(spark, sf):
+    """Day 2 runs before the extract of day 1 arrives, which is then spliced in: as after both days in order."""
+    spec = CS.CUSTOMERS
+    arch0 = ST.initial_archives(spark, sf)[spec.name]
+    diff = materialize(A.snapshot_diff(SI.sources(spark, sf, 2)["Customers"], arch0, spec))
+    arch2 = materialize(A.open_after(diff, SI.T2).unionByName(A.closed_versions(diff, SI.T2)))
+    removed, added = (materialize(d) for d in splice_snapshot(arch2, SI.sources(spark, sf, 1)["Customers"], spec, SI.T1, SI.T2))
+    dim, _, _ = splice_dimension(scd2_rebuild(arch2, CS.DIM_CUSTOMER), removed, added, CS.DIM_CUSTOMER)
+    return finalize(dim)
+
+
 @query("d16_dim_date_incr")
 def d16_dim_date_incr(spark, sf):
     arch, dims = _dims(spark, sf)
@@ -675,6 +689,26 @@ def s2_csv_round_trip(spark, sf):
     return finalize(rows.unionByName(lost))
 
 
+@query("s8_csv_quarantine")
+def s8_csv_quarantine(spark, sf):
+    """``documents`` as CSV lines, of which every seventh lacks values and another seventh has one too many, read by byte
+    ranges: the good ones by their columns, the broken ones as they are."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/starloom-csv-{uuid.uuid4().hex}"
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    kind = F.col("doc_id") % 7
+    more = F.when(kind == 0, F.lit("")).when(kind == 1, F.concat(F.lit(","), F.col("lang"), F.lit(',one,"more"'))).otherwise(
+        F.concat(F.lit(","), F.col("lang")))
+    docs = SI.table(spark, sf, "documents")
+    line = F.concat(F.col("doc_id").cast("string"), F.lit(","), F.coalesce(quoted, F.lit("")), F.coalesce(more, F.lit(",")))
+    docs.select(line.alias("value")).write.text(path)
+    good, bad = read_csv_ranges(spark, path, ["lang", "text", "doc_id"], names=["doc_id", "text", "lang"])
+    rows = good.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("text_md5"), "lang",
+                       F.lit(False).alias("broken"))
+    lost = bad.select(F.substring_index("line", ",", 1).cast("bigint").alias("doc_id"), F.md5("line").alias("text_md5"),
+                      F.lit(None).cast("string").alias("lang"), F.lit(True).alias("broken"))
+    return finalize(rows.unionByName(lost))
+
+
 @query("s9_parameterised_sql")
 def s9_parameterised_sql(spark, sf):
     """Published tables as views, queried with named parameters."""

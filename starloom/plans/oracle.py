@@ -739,6 +739,13 @@ SQL["a7_archive_details"] = (
 SQL["s2_csv_round_trip"] = (
     "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars, CAST(NULL AS VARCHAR) AS absent FROM documents"
 )
+_CSV_QUOTED = "coalesce('\"' || replace(text, '\"', '\"\"') || '\"', '')"
+SQL["s8_csv_quarantine"] = f"""
+    SELECT doc_id, md5(nullif(text, '')) AS text_md5, nullif(lang, '') AS lang, FALSE AS broken FROM documents
+    WHERE doc_id % 7 > 1 OR (doc_id % 7 = 1 AND lang IS NULL)
+    UNION ALL
+    SELECT doc_id, md5(doc_id || ',' || {_CSV_QUOTED} || CASE doc_id % 7 WHEN 0 THEN '' ELSE ',' || lang || ',one,"more"' END),
+           NULL, TRUE FROM documents WHERE doc_id % 7 = 0 OR (doc_id % 7 = 1 AND lang IS NOT NULL)"""
 SQL["s9_parameterised_sql"] = (
     "SELECT o_orderpriority AS service_type_name, count(*)::BIGINT AS appointments, "
     "CAST(sum(TRY_CAST(o_totalprice AS DECIMAL(10,2))) AS DOUBLE) AS billed FROM orders "
@@ -856,6 +863,7 @@ _DAY1 |= {"dim_customer": SQL["d11_scd2_apply"], "dim_vehicle": _VEHICLES1}
 SQL["p2_incremental_load"] = " UNION ALL ".join(_digest(n, q) for n, q in _DAY1.items())
 SQL["s5_bucket_update"] = SQL["p2_resumed_run"] = SQL["p2_incremental_load"]
 SQL["p6_late_extract"] = SQL["d11_scd2_two_runs"]
+SQL["d11_scd2_late"] = SQL["d11_scd2_two_runs"]
 
 # Customers deleted on day 1 are back on day 2 with a version opened then; so are their vehicles.
 SQL["p4_reject_replay"] = (

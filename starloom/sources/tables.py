@@ -6,12 +6,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.sources.store import materialize
-
-CORRUPT = "_corrupt_record"
+from starloom.sources.csv_ranges import read_csv_ranges
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, props: Mapping[str, str] | None = None,
@@ -54,21 +51,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, props: Mapping[str, str] | N
 
 def read_csv_with_quarantine(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """Read a headered CSV extract as text columns: ``(good, bad)``, which partition its records whatever columns are
-    read from them.
-
-    Columns are bound by the header's names (a requested column that the header lacks is NULL; files whose headers
-    differ fail). Quoted values may hold line breaks, doubled quotes are quotes; so a file is parsed by one task, and a
-    large extract should come as many files. Records with too few or too many values go to ``bad`` as they are
-    (column ``line``). The extract is parsed once, into the shared checkpoint folder."""
-    reader = spark.read.options(header=True, multiLine=True, escape='"', mode="PERMISSIVE", enforceSchema=False,
-                                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    names = reader.csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*names, CORRUPT]])
-    parsed = materialize(reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    good = parsed.filter(F.col(CORRUPT).isNull()).select(
-        *[(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c) for c in columns])
-    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
-    return good, bad
+    read from them. Files are read by byte ranges, also where quoted values hold line breaks (``sources.csv_ranges``)."""
+    return read_csv_ranges(spark, path, columns)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
