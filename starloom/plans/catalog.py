@@ -33,6 +33,7 @@ from starloom.plans.loads import run_full, run_id_of, run_incremental, table_dig
 from starloom.plans.output import finalize
 from starloom.session import checkpoint_dir
 from starloom.sources import buckets as B
+from starloom.sources import evolution as E
 from starloom.sources.csv_ranges import read_csv_ranges
 from starloom.sources.sql import register_views, run_sql
 from starloom.sources.store import Store, materialize
@@ -709,6 +710,32 @@ def s8_csv_quarantine(spark, sf):
     return finalize(rows.unionByName(lost))
 
 
+@query("s7_evolved_read")
+def s7_evolved_read(spark, sf):
+    """``orders`` in three parts, before and after columns were renamed, widened, added and dropped, read in the last
+    columns."""
+    store = _fresh_store(spark)
+    o = SI.table(spark, sf, "orders")
+    third = F.pmod("o_orderkey", F.lit(3))
+    price = F.col("o_totalprice").cast("decimal(10,2)")
+    placed = F.col("o_orderdate").cast("date")
+    schemas = E.declare({"order_id": "bigint", "total": "decimal(10,2)", "placed": "date", "priority": "string"})
+    extracts = [o.filter(third == 0).select(F.col("o_orderkey").alias("order_id"), price.alias("total"),
+                                            placed.alias("placed"), F.col("o_orderpriority").alias("priority"))]
+    changes = [{"rename": {"total": "amount"}, "widen": {"total": "decimal(14,2)"}, "add": {"status": "string"}},
+               {"drop": ["priority"], "widen": {"placed": "timestamp_ntz"}, "add": {"customer": "bigint", "priority": "string"}}]
+    rest = [F.col("o_orderkey").alias("order_id"), price.alias("amount"), placed.alias("placed"),
+            F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")]
+    extracts += [o.filter(third == 1).select(*rest),
+                 o.filter(third == 2).select(*rest, F.col("o_custkey").alias("customer"))]
+    for n, (rows, change) in enumerate(zip(extracts, [None, *changes])):
+        schemas = E.evolve(schemas, **change) if change else schemas
+        ts = SI.T0 + timedelta(days=n)
+        entry = E.write_part(store, rows, "orders", run_id_of(ts), schemas)
+        store.publish(run_id_of(ts), ts.isoformat(), {"orders": entry})
+    return finalize(store.read("orders"))
+
+
 @query("s9_parameterised_sql")
 def s9_parameterised_sql(spark, sf):
     """Published tables as views, queried with named parameters."""

@@ -746,6 +746,12 @@ SQL["s8_csv_quarantine"] = f"""
     UNION ALL
     SELECT doc_id, md5(doc_id || ',' || {_CSV_QUOTED} || CASE doc_id % 7 WHEN 0 THEN '' ELSE ',' || lang || ',one,"more"' END),
            NULL, TRUE FROM documents WHERE doc_id % 7 = 0 OR (doc_id % 7 = 1 AND lang IS NOT NULL)"""
+SQL["s7_evolved_read"] = """
+    SELECT o_orderkey AS order_id, CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) AS amount,
+           strftime(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') AS placed,
+           CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS status,
+           CASE WHEN o_orderkey % 3 = 2 THEN o_custkey END AS customer,
+           CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS priority FROM orders"""
 SQL["s9_parameterised_sql"] = (
     "SELECT o_orderpriority AS service_type_name, count(*)::BIGINT AS appointments, "
     "CAST(sum(TRY_CAST(o_totalprice AS DECIMAL(10,2))) AS DOUBLE) AS billed FROM orders "

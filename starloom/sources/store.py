@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.session import checkpoint_dir
 from starloom.sources.buckets import carried, read_buckets
+from starloom.sources.evolution import read_evolved, write_part
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -212,6 +213,9 @@ class Store:
                 cur.update(carried(cur, entry))
             if "filters" in entry:
                 cur["filters"] = {**({} if entry.get("replace") else cur.get("filters", {})), **entry["filters"]}
+            for key in ("schemas", "schema_of"):
+                if key in entry:
+                    cur[key] = {**({} if entry.get("replace") else cur.get(key, {})), **entry[key]}
             for key in ("closed", "parts"):
                 if key in entry:
                     have = [] if entry.get("replace") else list(cur.get(key, []))
@@ -237,6 +241,9 @@ class Store:
             for key in ("closed", "parts"):
                 noted = key == "parts" and "filters" in e
                 if (tables is None or t in tables) and len(e.get(key, [])) > 1 and not (noted and describe is None):
+                    if key == "parts" and "schemas" in e:
+                        entry.update(write_part(self, read_evolved(self.spark, e), t, run_id, e["schemas"], "parts-compact"))
+                        continue
                     entry[key] = [self.write(self.spark.read.parquet(*e[key]), t, run_id, part=f"{key}-compact")]
                     if noted:
                         entry["filters"] = {p: describe(p, t, run_id) for p in entry[key]}
@@ -261,6 +268,8 @@ class Store:
         if not m or table not in m["tables"]:
             return None
         e = m["tables"][table]
+        if "schemas" in e:
+            return read_evolved(self.spark, e)
         paths: list[str] = []
         if which in ("open", "all") and e.get("buckets") is not None:
             if which == "open" or not e.get("closed"):
