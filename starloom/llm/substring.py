@@ -9,15 +9,15 @@ The reference index. Documents are cut into overlapping *blocks* by content: eac
 windows). Equal windows have equal anchors wherever they occur, so whether a window is a duplicate can be decided among
 the blocks of its anchor alone, and every document's blocks are indexed: nothing is sampled.
 
-1. Index: per anchor, the smallest and largest document and the smallest and largest block hash (one aggregate with
-   map-side combine, however often an anchor occurs). An anchor of one document needs no more work.
+1. Index: per anchor, the smallest and largest document and the smallest and largest block hash, beside each of its blocks
+   (one window over the anchor: blocks are shuffled once). An anchor of one document needs no more work.
 2. Parse: where all blocks of an anchor are equal, a block is part of a factor if the smallest document isn't its own.
 3. Factor boundaries: where an anchor has different blocks (a factor ends inside one of them), their single windows are
    compared, by the smallest document of each window hash (80 bits).
 
 The lookups travel by document: each document gets the anchors and window hashes found for it, never other texts, and
-parses its own text with them. Lists are bounded by the document's own length; hot anchors and windows are aggregated
-before they are shuffled, and the joins back are equi joins that adaptive execution splits.
+parses its own text with them. Lists are bounded by the document's own length. All blocks of an anchor, and all open
+windows of one hash, meet in one task, as rows of a few integers that spill to disk beyond its memory.
 
 Edge cases: a null text has no words; a null ``doc_id`` counts as larger than all others, so such a document loses what
 any document with an id has, and nothing to another without; ids may be of any type with an order; rows that share a ``doc_id`` are one document (they take
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import map_arrow, slices, text_or_empty
@@ -140,21 +140,18 @@ def _before() -> Column:
     return F.col("d0").isNotNull() & (F.col("doc").isNull() | (F.col("d0") < F.col("doc")))
 
 
-def _shared() -> list[Column]:
-    return [F.min("doc").alias("d0"), F.max("doc").alias("d1"), F.max(F.col("doc").isNull()).alias("none")]
-
-
 SHARED = "d0 < d1 or (none and d0 is not null)"
 
 
 def anchor_hits(docs: DataFrame) -> DataFrame:
     """(doc, same, mixed): the anchors found for a document. ``same``: all blocks of the anchor are equal and a smaller
     document has it; ``mixed``: the anchor is in several documents, with different blocks."""
-    rows = block_rows(docs)
-    index = (rows.groupBy("anchor")
-             .agg(*_shared(), F.min("block").alias("b0"), F.max("block").alias("b1"))
-             .filter(SHARED).select("anchor", "d0", (F.col("b0") != F.col("b1")).alias("differ")))
-    found = rows.select("doc", "anchor").join(index, "anchor").filter(F.col("differ") | _before())
+    of = Window.partitionBy("anchor")
+    index = block_rows(docs).select(
+        "doc", "anchor", F.min("doc").over(of).alias("d0"), F.max("doc").over(of).alias("d1"),
+        F.max(F.col("doc").isNull()).over(of).alias("none"),
+        (F.min("block").over(of) != F.max("block").over(of)).alias("differ"))
+    found = index.filter(SHARED).filter(F.col("differ") | _before())
     return found.groupBy("doc").agg(F.collect_set(F.when(~F.col("differ"), F.col("anchor"))).alias("same"),
                                     F.collect_set(F.when(F.col("differ"), F.col("anchor"))).alias("mixed"))
 
@@ -242,8 +239,8 @@ def boundary_hits(open_rows: DataFrame) -> DataFrame:
     """(row, starts): the places of the open windows that a smaller document has too."""
     windows = open_rows.select("row", "doc", F.explode(F.arrays_zip("at", "w1", "w2")).alias("w")).select(
         "row", "doc", "w.at", "w.w1", "w.w2")
-    owners = windows.groupBy("w1", "w2").agg(*_shared()).filter(SHARED).select("w1", "w2", "d0")
-    hits = windows.join(owners, ["w1", "w2"]).filter(_before())
+    first = windows.withColumn("d0", F.min("doc").over(Window.partitionBy("w1", "w2")))
+    hits = first.filter(_before())
     return hits.groupBy("row").agg(F.collect_list("at").alias("starts"))
 
 

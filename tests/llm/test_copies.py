@@ -174,6 +174,17 @@ def test_substrings_of_an_empty_table(spark):
     assert substring.report(frame(spark, [])).count() == 0
 
 
+def test_blocks_and_open_windows_are_shuffled_once(spark):
+    docs = frame(spark, rows()).selectExpr("doc_id doc", "text")
+    hits = substring.anchor_hits(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert hits.count("MapInArrow") == 1 and "Join" not in hits
+    opened = spark.createDataFrame([(1, 5, [0], [7], [1]), (2, 6, [3], [7], [1]), (3, None, [4], [7], [1]), (4, 5, [9], [7], [1])],
+                                   "row long, doc long, at array<int>, w1 array<long>, w2 array<smallint>")
+    starts = substring.boundary_hits(opened)
+    assert "Join" not in starts._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["row"]: r["starts"] for r in starts.collect()} == {2: [3], 3: [4]}
+
+
 def kept_ids(rows_in, same):
     """Brute force: the class of each row under ``same`` (pairwise), closed."""
     links = [(i, j) for i in range(len(rows_in)) for j in range(i) if same(rows_in[i], rows_in[j])]
