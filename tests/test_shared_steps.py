@@ -81,3 +81,25 @@ def test_tables_are_written_together(spark):
     wh = ST.initial_warehouse(spark, SF_SMALL, share=True)
     ST.write_together(wh, ["archive_employees"], ["dim_employee"])
     assert dict.keys(wh.archives) >= {"archive_employees"} and dict.keys(wh.dims) == {"dim_employee"}
+
+
+def test_a_run_tries_new_versions_and_earlier_rejects_only(spark):
+    far = "timestamp_ntz'9999-12-31 23:59:59'"
+    at = lambda t: f"timestamp_ntz'{t:%Y-%m-%d} 00:00:00'"
+    archive = spark.sql(f"""select * from values (1, 'a', {at(T0)}), (2, 'a', {at(T0)}), (2, 'b', {at(T1)}), (3, 'a', {at(T0)}),
+        (4, 'a', {at(T1)}), (5, 'a', timestamp_ntz'2023-01-01'), (6, 'a', timestamp_ntz'2023-01-01')
+        t(id, v, valid_from_timestamp)""").withColumn("valid_to_timestamp", F.expr(far))
+    rejects = spark.createDataFrame([(2,), (3,), (5,)], "id int")
+    tried = CS.fact_candidates(archive, T0, T1, rejects, "id")
+    assert sorted((r["id"], r["v"]) for r in tried.collect()) == [(2, "a"), (2, "b"), (3, "a"), (4, "a"), (5, "a")]  # 1 is a fact
+    whole = CS.fact_candidates(archive, T0, T1, None, "id")
+    assert sorted((r["id"], r["v"]) for r in whole.collect()) == [(1, "a"), (2, "a"), (2, "b"), (3, "a"), (4, "a")]
+
+
+def test_digest_diff_reads_its_source_once(spark):
+    old = _employees(spark, [(1, "A", None, "r"), (2, "B", "b", "r")])
+    kept = A.archive_initial(old, CS.EMPLOYEES, T0)
+    cuts = []
+    entry = {"of": 4, "schema": kept.schema.jsonValue(), "buckets": {}, "digests": {}}
+    diff, found = A.digest_diff(old, entry, CS.EMPLOYEES, lambda d: cuts.append(d) or d.filter("original_employee_id = 1"))
+    assert len(cuts) == 1 and diff.count() == 1 and len(found) == 1  # both the digests and the join read what was cut
