@@ -16,7 +16,7 @@ the blocks of its anchor alone, and every document's blocks are indexed: nothing
    compared, by the smallest document of each window hash (80 bits).
 
 The lookups travel by document: each document gets the anchors and window hashes found for it, never other texts, and
-parses its own text with them. Lists are bounded by the document's own length. All blocks of an anchor, and all open
+parses its own text, which travels compressed, with them. Lists are bounded by the document's own length. All blocks of an anchor, and all open
 windows of one hash, meet in one task, as rows of a few integers that spill to disk beyond its memory.
 
 Edge cases: a null text has no words; a null ``doc_id`` counts as larger than all others, so such a document loses what
@@ -28,6 +28,7 @@ result.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ from starloom.llm.wordhash import U, Words, mix
 from starloom.sources.store import materialize
 
 WINDOW, ANCHOR = 13, 5
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 
 
 class Blocks:
@@ -113,24 +114,29 @@ def _isin(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------------------------------------ index
 def block_rows(docs: DataFrame) -> DataFrame:
-    """(doc, anchor, block): one row per block, known by 64 bits of its anchor and 40 of its words."""
+    """(doc, anchor, block): one row per block, known by 48 bits of its anchor and 40 of its words. (Anchors that meet in 48
+    bits have different blocks, so their single windows are compared.)"""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             ids = batch.column(0)
-            for part in slices(batch.column(1).cast(pa.binary()).to_pylist(), len, SLICE_BYTES):
+            for part in slices((t.as_buffer().to_pybytes() for t in batch.column(1)), len, SLICE_BYTES):
                 b = Blocks(Words(part))
                 for i in range(0, len(b.doc), 500_000):
                     s = slice(i, i + 500_000)
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(at + b.doc[s])), pa.array(b.anchor[s].astype(np.int64)),
+                        [ids.take(pa.array(at + b.doc[s])), pa.array(_anchors(b)[s].astype(np.int64)),
                          pa.array((b.hash[s] >> U(24)).astype(np.int64))], names=["doc", "anchor", "block"])
                 at += len(part)
 
     return map_arrow(docs, run, f"doc {_kind(docs)}, anchor long, block long")
 
 
+def _anchors(b: Blocks) -> np.ndarray:
+    return b.anchor >> U(16)
+
+
 def _kind(docs: DataFrame) -> str:
     return docs.schema["doc"].dataType.simpleString()
 
@@ -180,13 +186,27 @@ def _second(h: np.ndarray) -> np.ndarray:
     return (h >> U(48)).astype(np.uint16).view(np.int16)
 
 
-PARSED = "n_words long, n_removed long, kept_sha256 string, text string, found array<int>, at array<int>, " \
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc, text) with each text compressed: texts are shuffled twice and make up most of what is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for part in slices((zlib.compress(memoryview(t.as_buffer()), 1) for t in batch.column(1)), len, SLICE_BYTES):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array(part, pa.binary())],
+                                                 names=["doc", "text"])
+                at += len(part)
+
+    return map_arrow(docs.select("doc", "text"), run, f"doc {_kind(docs)}, text binary")
+
+
+PARSED = "n_words long, n_removed long, kept_sha256 string, text binary, found array<int>, at array<int>, " \
          "w1 array<long>, w2 array<smallint>"
 
 
 def first_parse(joined: DataFrame) -> DataFrame:
-    """Parse (doc, text, same, mixed). A document without mixed anchors is finished; any other comes with the
-    duplicate stretches found so far (``found``), the words outside them (``text``), and the place and hashes of the
+    """Parse (doc, text, same, mixed), the text as ``packed`` gives it. A document without mixed anchors is finished; any other comes with the
+    duplicate stretches found so far (``found``), the words outside them (``text``, compressed), and the place and hashes of the
     windows still open (``at``, ``w1``, ``w2``). ``row`` numbers the rows: ids may repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +214,7 @@ def first_parse(joined: DataFrame) -> DataFrame:
 
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            rows = list(zip(batch.column(1).cast(pa.binary()).to_pylist(), range(batch.num_rows), strict=True))
+            rows = ((zlib.decompress(t.as_buffer()), i) for i, t in enumerate(batch.column(1)))
             for part in slices(rows, lambda r: len(r[0]), SLICE_BYTES):
                 yield parse([t for t, _ in part], batch.slice(part[0][1], len(part)), row)
                 row += len(part)
@@ -202,6 +222,7 @@ def first_parse(joined: DataFrame) -> DataFrame:
     def parse(texts: list[bytes], batch: pa.RecordBatch, row: int) -> pa.RecordBatch:
         words = Words(texts)
         b = Blocks(words)
+        anchors = _anchors(b)
         bounds = np.searchsorted(b.doc, np.arange(len(texts) + 1))
         w_bounds = np.searchsorted(words.doc[b.at] if len(b.at) else b.at, np.arange(len(texts) + 1))
         _, w1 = words.windows(WINDOW)  # in the order of b.at
@@ -213,14 +234,14 @@ def first_parse(joined: DataFrame) -> DataFrame:
             blocks = slice(bounds[i], bounds[i + 1])
             lists = [np.asarray(x.values, dtype=np.int64).astype(U) if x.is_valid else np.empty(0, dtype=U)
                      for x in (same, mixed)]
-            dup, unsure = _isin(b.anchor[blocks], lists[0]), _isin(b.anchor[blocks], lists[1])
+            dup, unsure = _isin(anchors[blocks], lists[0]), _isin(anchors[blocks], lists[1])
             of = b.block[mine] - bounds[i]
             found = b.at[mine][dup[of]] - first
             gone = _removed(n, found)
             kept = words.text(i) if not len(found) else [x for x, g in zip(words.text(i), gone, strict=True) if not g]
             if unsure.any():
                 o = unsure[of]
-                out.append((n, None, None, b" ".join(kept), _merged(found), (b.at[mine][o] - first).astype(np.int32),
+                out.append((n, None, None, zlib.compress(b" ".join(kept), 1), _merged(found), (b.at[mine][o] - first).astype(np.int32),
                             w1[mine][o].astype(np.int64), _second(w2[mine][o])))
             else:
                 out.append((n, int(gone.sum()), _sha(kept), None, None, None, None, None))
@@ -228,7 +249,7 @@ def first_parse(joined: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array(range(row, row + len(texts)), pa.int64()), batch.column(0), pa.array(cols[0], pa.int64()),
              pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
-             pa.array(cols[3], pa.binary()).cast(pa.string()), *(pa.array(cols[j], pa.list_(t)) for j, t in (
+             pa.array(cols[3], pa.binary()), *(pa.array(cols[j], pa.list_(t)) for j, t in (
                  (4, pa.int32()), (5, pa.int32()), (6, pa.int64()), (7, pa.int16())))],
             names=["row", "doc", "n_words", "n_removed", "kept_sha256", "text", "found", "at", "w1", "w2"])
 
@@ -255,7 +276,7 @@ def second_parse(joined: DataFrame) -> DataFrame:
                 stretches = found.values.to_pylist()
                 for begin, end in zip(stretches[::2], stretches[1::2], strict=True):
                     before[begin:end] = True
-                gone, words = before, text.as_py().encode().split()
+                gone, words = before, zlib.decompress(text.as_buffer()).split()
                 if starts.is_valid:
                     gone = before | _removed(len(before), np.asarray(starts.values, dtype=np.int64))
                     words = [x for x, g in zip(words, gone[~before], strict=True) if not g]
@@ -273,7 +294,7 @@ def report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words, joined by one space)."""
     source = docs.select(F.col("doc_id").alias("doc"), text_or_empty().alias("text"))
     hits = anchor_hits(source).withColumnRenamed("doc", "_doc")
-    parsed = materialize(first_parse(source.join(hits, F.col("doc").eqNullSafe(F.col("_doc")), "left")))
+    parsed = materialize(first_parse(packed(source).join(hits, F.col("doc").eqNullSafe(F.col("_doc")), "left")))
     done = parsed.filter("text is null").select("doc", "n_words", "n_removed", "kept_sha256")
     rest = parsed.filter("text is not null")
     rest_words = rest.select("row", "doc", "n_words", "text", "found")

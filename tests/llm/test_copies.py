@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -174,6 +175,18 @@ def test_substrings_of_an_empty_table(spark):
     assert substring.report(frame(spark, [])).count() == 0
 
 
+def test_texts_travel_compressed(spark):
+    text = "one two three four five six seven " * 300
+    docs = spark.createDataFrame([(1, text), (2, ""), (3, "é  \n x")], "doc long, text string")
+    sent = {r["doc"]: bytes(r["text"]) for r in substring.packed(docs).collect()}
+    assert {d: zlib.decompress(t).decode() for d, t in sent.items()} == {1: text, 2: "", 3: "é  \n x"} and len(sent[1]) < 500
+    anchors = [r["anchor"] for r in substring.block_rows(docs).collect()]
+    assert anchors and all(0 <= a < 2**48 for a in anchors)
+    hits = spark.sql("select 1L as doc, array(5L) as same, array(7L) as mixed")
+    opened = substring.first_parse(substring.packed(docs).join(hits, "doc", "left"))
+    assert dict(opened.dtypes)["text"] == "binary"
+
+
 def test_blocks_and_open_windows_are_shuffled_once(spark):
     docs = frame(spark, rows()).selectExpr("doc_id doc", "text")
     hits = substring.anchor_hits(docs)._jdf.queryExecution().optimizedPlan().toString()
