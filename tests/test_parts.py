@@ -51,6 +51,14 @@ def test_filters_of_text_ids_and_a_large_part(spark):
     assert false.count() < 60  # 12 bits a row: about one in 300
 
 
+def test_a_filter_takes_one_row_an_id(spark):
+    ids = spark.range(5000).withColumnRenamed("id", "x")
+    asked = P._asked(ids, "x", 65536)
+    assert "Generate" not in asked._jdf.queryExecution().optimizedPlan().toString()
+    rows = asked.collect()
+    assert len(rows) == 5000 and all(0 <= r["word"] < 1024 and 1 <= (r["mask"] & (2**64 - 1)).bit_count() <= P.HASHES for r in rows)
+
+
 def _versions(n):
     t0 = datetime(2024, 1, 1)
     out = []

@@ -5,9 +5,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from starloom.functions import clean as X
+from starloom.functions.hashing import value_hash
 from starloom.operators import archive as A
 from starloom.plans import car_service as CS
 from starloom.plans import catalog as C
+from starloom.plans import stand_in as SI
 from starloom.plans import state as ST
 from tests.conftest import SF_SMALL
 
@@ -103,3 +105,37 @@ def test_digest_diff_reads_its_source_once(spark):
     entry = {"of": 4, "schema": kept.schema.jsonValue(), "buckets": {}, "digests": {}}
     diff, found = A.digest_diff(old, entry, CS.EMPLOYEES, lambda d: cuts.append(d) or d.filter("original_employee_id = 1"))
     assert len(cuts) == 1 and diff.count() == 1 and len(found) == 1  # both the digests and the join read what was cut
+
+
+def test_details_of_all_days_are_those_of_each_day(spark, tmp_path):
+    rows = [(k, p, 1, n, q, 10.5 * (n + 1), 0.1, 0.0, "N", "O") for n, (k, p, q) in enumerate(
+        [(1, 5, 3.0), (41, 5, 3.0), (2, 6, 0.0), (None, 7, 2.0), (40, 8, None), (81, None, 7.0)])]
+    li = spark.createDataFrame(rows + rows[:2], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                               "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string")
+    li.withColumn("l_shipdate", F.expr("timestamp_ntz'1995-01-02 00:00:00'")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    lines = SI.detail_lines(spark, str(tmp_path))
+    for day, n in ((0, 6), (1, 9), (2, 9)):
+        one, shared = SI.details(spark, str(tmp_path), day), SI.details(spark, str(tmp_path), day, lines)
+        assert one.schema == shared.schema and sorted(map(str, one.collect())) == sorted(map(str, shared.collect()))
+        assert shared.count() == n
+
+
+def test_value_hash_tells_nulls_and_places(spark):
+    rows = [("a", None), (None, "a"), ("a", ""), ("", "a"), (None, None), ("a", "a")]
+    df = spark.createDataFrame(rows, "x string, y string").select(value_hash(["x", "y"]).alias("h"), value_hash(["y", "x"]).alias("k"))
+    got = df.collect()
+    assert len({r["h"] for r in got}) == len(rows) and all(r["h"] == r["k"] for r in got)
+
+
+def test_candidates_are_cut_before_they_are_looked_up(spark):
+    appts = spark.sql(f"""select 1L as original_appointment_id, 5L as customer_id, 5L as vehicle_id, 1L as technician_id, date'2024-01-01' as appointment_date,
+        '9:00:00' as appointment_time, 's' as service_type, 1.0BD as total_labor_hours, 1.0BD as total_parts_cost, 1.0BD as total_service_cost,
+        timestamp_ntz'{T1}' as valid_from_timestamp, timestamp_ntz'9999-12-31 23:59:59' as valid_to_timestamp""")
+    dims = {"dim_date": spark.sql("select 2024010109L as date_key"), "dim_service_type": spark.sql("select 1L as service_type_key, 's' as service_type_name")}
+    for dim, of in (("customer", "customer"), ("vehicle", "vehicle"), ("employee", "employee")):
+        dims[f"dim_{dim}"] = spark.sql(f"select 1L as {of}_key, 5L as original_{of}_id, true as is_current")
+    cuts, asked = [], []
+    cut = lambda d: cuts.append(d) or d
+    known = lambda c: asked.append(c) or c.limit(0).select("original_appointment_id")
+    facts, _ = CS.fact_service_appointments_incremental(appts, known, dims, T0, T1, None, cut)
+    assert facts.count() == 1 and len(cuts) == 2 and asked[0] is cuts[0]
