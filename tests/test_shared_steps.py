@@ -41,6 +41,15 @@ def test_written_diff_has_unchanged_rows_once(spark):
         assert sorted(map(str, rows(diff, T1).collect())) == sorted(map(str, rows(slim, T1).collect()))
 
 
+def test_open_versions_come_from_one_pass_over_the_diff(spark):
+    diff = _diff(spark)
+    rows = A.open_after(diff, T1)
+    assert "Union" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    two = diff.filter("op = 'N'").select("_arc.*").unionByName(A.new_versions(diff, T1))
+    assert rows.columns == two.columns and rows.dtypes == two.dtypes
+    assert sorted(map(str, rows.collect())) == sorted(map(str, two.collect())) and rows.count() == 4
+
+
 def test_rejects_and_facts_of_details_read_the_details_once(spark):
     plan = C.QUERIES["f_rejects"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_linenumber#") and sum("Relation" in x and "l_linenumber#" in x for x in plan.splitlines()) == 1
