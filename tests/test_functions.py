@@ -1,9 +1,13 @@
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from starloom.functions import clean as X
 from starloom.functions.hashing import hash_key, row_hash
+from starloom.operators import dims as D
+from starloom.plans import car_service as CS
+from starloom.plans.stand_in import _rounded
 
 
 def test_strip_and_clean(spark):
@@ -63,3 +67,47 @@ def test_hash_key_stable_and_distinct(spark):
     assert len(set(keys)) == 3 and all(0 <= k < 2 ** 60 for k in keys)
     again = [r[0] for r in df.repartition(3).select(hash_key(df, ["id", "vf"])).orderBy(F.lit(1)).collect()]
     assert sorted(again) == sorted(keys)
+
+
+def test_clean_text_as_by_pattern(spark):
+    texts = [" a\x85", "a \x85", "\t\n\x85", " b  ", "c  ", " ", " nan", "nan ", "nan", "NaT", "nan,NaN", "a,b", ",", "", " ",
+             "\x0bStraße\x0c", " x ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    stripped = F.regexp_replace(X.null_if_token("t"), f"^{X.WHITESPACE_CLASS}+|{X.WHITESPACE_CLASS}+$", "")
+    expected = F.when(stripped != "", stripped)
+    rows = df.select("t", X.clean_text("t").alias("a"), expected.alias("b"), X.clean_text("t", upper=True).alias("c"),
+                     F.upper(expected).alias("d"), X.clean_text("t", blank_to_null=False).alias("e"), stripped.alias("f")).collect()
+    assert all(r.a == r.b and r.c == r.d and r.e == r.f for r in rows)
+
+
+def test_rounded_as_round(spark):
+    values = [0.0, -0.0, 0.49999999999999994, 0.5, -0.5, 1.5, 2.5, -2.5, 2.4999999999999996, 0.1 * 3 * 100, 1234567.5, 4503599627370495.5,
+              4503599627370497.0, -9007199254740993.0, 1e15 + 0.5, 1e18, 901.00 * 100, 8.115 * 100, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    rows = df.select("v", _rounded(F.col("v")).alias("a"), F.round("v").cast("bigint").alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
+
+
+def test_code_of_accident_steps_is_compiled(spark, tmp_path):
+    """The JVM interprets methods of more than 8,000 bytes for good; no generated method of these steps is that long."""
+    types = {"string": "'x'", "timestamp_ntz": "timestamp_ntz'2024-01-01 10:00:00'", "boolean": "true"}
+    row = [F.expr(f"cast({types.get(t, '1')} as {t})").alias(c) for c, t in CS.ACCIDENT_TYPES.items()]
+    spark.range(3).select(*row).write.parquet(f"{tmp_path}/accidents")
+    spark.range(3).select(*[F.lit("x").cast(t).alias(CS.CUSTOMERS.archive_name(c)) if t == "string" else F.lit(None).cast(t).alias(
+        CS.CUSTOMERS.archive_name(c)) for c, t in CS.CUSTOMERS.columns.items()]).write.parquet(f"{tmp_path}/customers")
+    accidents, customers = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("accidents", "customers"))
+    dims = {"dim_location": CS.dim_location(accidents, customers), "dim_weather": CS.dim_weather(accidents),
+            "dim_daylight": CS.dim_daylight(accidents), "dim_road_features": CS.dim_road_features(accidents),
+            "dim_date": D.calendar_dim([D.date_hours(accidents, ts="Start_Time")])}
+    for name, df in dims.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    written = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in dims}
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the code of all stages is there without running them
+    try:
+        for df in (dims["dim_location"], dims["dim_daylight"], CS.fact_accidents(accidents, written)[0]):
+            text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+            sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+            assert sizes and max(sizes) <= 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
