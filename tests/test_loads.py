@@ -9,7 +9,7 @@ from starloom.plans import loads
 from starloom.plans import stand_in as SI
 from starloom.plans import state as ST
 from starloom.plans.loads import run_full, run_incremental, table_digests
-from starloom.sources.store import Store
+from starloom.sources.store import Store, _fs, _intermediates, passing
 from tests.conftest import SF_SMALL
 
 
@@ -94,3 +94,26 @@ def test_delete_guard_is_opt_in(spark):
         run_incremental(spark, store, empty, SI.T1, max_delete_ratio=0.5)
     run_incremental(spark, store, empty, SI.T1)
     assert store.read("dim_employee", "open").count() == 0
+
+
+def test_runs_leave_no_intermediate_tables(spark):
+    """What only the writes of a step read is deleted behind them: looked-up facts, diffs, versions to close."""
+    def left():
+        fs, p = _fs(spark, _intermediates(spark))
+        return {st.getPath().getName() for st in fs.listStatus(p)} if fs.exists(p) else set()
+
+    store, before = Store(spark, tempfile.mkdtemp(prefix="wh-")), left()
+    full(spark, store)
+    run_incremental(spark, store, ST.sources(spark, SF_SMALL, 1), SI.T1)
+    assert left() == before
+    assert all(v[0] > 0 for v in contents(spark, store).values())
+
+
+def test_passing_tables_go_with_their_block_even_if_it_fails(spark):
+    with pytest.raises(RuntimeError, match="stop"):
+        with passing(spark) as cut:
+            rows = cut(spark.range(3))
+            assert rows.count() == 3
+            raise RuntimeError("stop")
+    with pytest.raises(Exception):
+        spark.read.parquet(rows.inputFiles()[0]).count()
